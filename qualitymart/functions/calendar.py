@@ -4,35 +4,30 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualitymart import schemas as S
-from qualitymart.functions.scalars import date_to_sk
-
 # Default range of the calendar.
 DEFAULT_START = date(2018, 1, 1)
 DEFAULT_END = date(2030, 12, 31)
 
 
-def attributes(day: Column) -> list[Column]:
-    """All calendar columns of a date (C27); the fiscal year is the calendar year."""
-    iso_weekday = F.weekday(day) + 1
-    return [
-        date_to_sk(day).alias("date_sk"),
-        day.alias("full_date"),
-        F.year(day).alias("year"),
-        F.quarter(day).alias("quarter"),
-        F.month(day).alias("month"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.weekofyear(day).alias("week_of_year"),
-        F.dayofmonth(day).alias("day_of_month"),
-        iso_weekday.alias("day_of_week"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        (iso_weekday >= 6).alias("is_weekend"),
-        F.year(day).alias("fiscal_year"),
-        F.quarter(day).alias("fiscal_quarter"),
-    ]
+# All calendar columns of ``full_date`` (C27); the fiscal year is the calendar year.
+ATTRIBUTES = (
+    "year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS date_sk",
+    "full_date",
+    "cast(year(full_date) as smallint) AS year",
+    "cast(quarter(full_date) as smallint) AS quarter",
+    "cast(month(full_date) as smallint) AS month",
+    "date_format(full_date, 'MMMM') AS month_name",
+    "cast(weekofyear(full_date) as smallint) AS week_of_year",
+    "cast(day(full_date) as smallint) AS day_of_month",
+    "cast(weekday(full_date) + 1 as smallint) AS day_of_week",
+    "date_format(full_date, 'EEEE') AS day_name",
+    "weekday(full_date) >= 5 AS is_weekend",
+    "cast(year(full_date) as smallint) AS fiscal_year",
+    "cast(quarter(full_date) as smallint) AS fiscal_quarter",
+)
 
 
 def days(bounds: DataFrame, first: str, last: str) -> DataFrame:
@@ -49,7 +44,7 @@ def dim_date(spark: SparkSession, start: date = DEFAULT_START, end: date = DEFAU
 
 def from_bounds(bounds: DataFrame, first: str, last: str) -> DataFrame:
     """Calendar rows for a range that is itself computed from data."""
-    return S.conform(days(bounds, first, last).select(*attributes(F.col("full_date"))), "dim_date")
+    return days(bounds, first, last).selectExpr(*ATTRIBUTES)
 
 
 def refresh_names(target: DataFrame, source: DataFrame) -> DataFrame:

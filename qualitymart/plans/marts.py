@@ -18,14 +18,17 @@ def runs_with(status: str) -> Column:
 
 
 def _runs_with_test(t: Star, how: str, *columns: str) -> DataFrame:
-    """Runs with their release name and the test's squad."""
-    tests = t["dim_test"].select("test_sk", "squad_sk", *columns)
-    return (
-        t["fact_test_run"]
-        .join(t["dim_release"].select(*_RELEASE), "release_sk")
-        .join(tests, "test_sk", how)
-        .join(t["dim_squad"].select("squad_sk", "squad_name"), "squad_sk", "left")
-    )
+    """Runs with the keys their test leads to. Names are joined only after aggregation."""
+    return t["fact_test_run"].join(t["dim_test"].select("test_sk", "squad_sk", *columns), "test_sk", how)
+
+
+def _named(t: Star, counted: DataFrame, **names: list[str]) -> DataFrame:
+    """Replace the keys of aggregated rows by dimension columns; the release must be known."""
+    for dimension, columns in names.items():
+        key = f"{dimension}_sk"
+        how = "inner" if dimension == "release" else "left"
+        counted = counted.join(t[f"dim_{dimension}"].select(key, *columns), key, how).drop(key)
+    return counted
 
 
 def v1_qa_health_by_release(t: Star) -> DataFrame:
@@ -54,12 +57,10 @@ def v2_defect_density(t: Star) -> DataFrame:
     defects = t["dim_defect"].select(
         "defect_sk", "severity", "priority", F.col("status").alias("defect_status"), "squad_sk", "critical_flag"
     )
-    return (
+    counted = (
         t["fact_defect_link"]
-        .join(t["dim_release"].select(*_RELEASE), "release_sk")
         .join(defects, "defect_sk", "left")
-        .join(t["dim_squad"].select("squad_sk", "squad_name"), "squad_sk", "left")
-        .groupBy("release_name", "squad_name", "severity", "priority", "defect_status")
+        .groupBy("release_sk", "squad_sk", "severity", "priority", "defect_status")
         .agg(
             F.count_distinct("defect_key").alias("total_defects"),
             F.count_if("open_flag").alias("open_defects"),
@@ -67,6 +68,7 @@ def v2_defect_density(t: Star) -> DataFrame:
             F.count_distinct("test_run_id").alias("impacted_runs"),
         )
     )
+    return _named(t, counted, release=["release_name"], squad=["squad_name"])
 
 
 def v2b_defects_by_squad(t: Star) -> DataFrame:
@@ -138,12 +140,9 @@ def v3_requirement_coverage(t: Star) -> DataFrame:
 
 def v4_execution_trend(t: Star) -> DataFrame:
     """Runs per day, squad, environment and release; runs without a known test drop out."""
-    days = t["dim_date"].select("date_sk", "year", "month", "week_of_year")
-    runs = _runs_with_test(t, "inner").withColumnRenamed("date_sk", "_day").withColumn("run_date", F.to_date("started_at"))
-    return (
-        runs.join(t["dim_environment"].select("environment_sk", "environment_name"), "environment_sk", "left")
-        .join(days, F.col("_day") == F.col("date_sk"), "left")
-        .groupBy("run_date", "date_sk", "year", "month", "week_of_year", "squad_name", "environment_name", "release_name")
+    counted = (
+        _runs_with_test(t, "inner")
+        .groupBy(F.to_date("started_at").alias("run_date"), "date_sk", "squad_sk", "environment_sk", "release_sk")
         .agg(
             F.count("*").alias("total_runs"),
             runs_with("PASS").alias("passed"),
@@ -153,14 +152,17 @@ def v4_execution_trend(t: Star) -> DataFrame:
             F.avg("duration_s").alias("avg_duration_s"),
         )
     )
+    days = t["dim_date"].select("date_sk", "year", "month", "week_of_year")
+    return _named(
+        t, counted, release=["release_name"], squad=["squad_name"], environment=["environment_name"]
+    ).join(days, "date_sk", "left")
 
 
 def v5_test_type_breakdown(t: Star) -> DataFrame:
     """Runs per test type, squad and release."""
-    return (
+    counted = (
         _runs_with_test(t, "inner", "test_type_sk")
-        .join(t["dim_test_type"], "test_type_sk", "left")
-        .groupBy("test_type_name", "squad_name", "release_name")
+        .groupBy("test_type_sk", "squad_sk", "release_sk")
         .agg(
             F.count("*").alias("total_runs"),
             runs_with("PASS").alias("passed"),
@@ -169,6 +171,7 @@ def v5_test_type_breakdown(t: Star) -> DataFrame:
         )
         .withColumn("pass_rate_pct", pct(F.col("passed"), F.col("total_runs")))
     )
+    return _named(t, counted, release=["release_name"], squad=["squad_name"], test_type=["test_type_name"])
 
 
 def v6_test_run_detail(t: Star) -> DataFrame:
@@ -231,20 +234,10 @@ def v6_test_run_detail(t: Star) -> DataFrame:
 
 def v7_environment_health(t: Star) -> DataFrame:
     """Failed and blocked runs per environment, release, squad, root cause and day."""
-    return (
+    counted = (
         _runs_with_test(t, "left")
-        .join(t["dim_environment"], "environment_sk", "left")
-        .join(t["dim_root_cause"], "root_cause_sk", "left")
-        .withColumn("execution_date", F.to_date("started_at"))
         .groupBy(
-            "environment_name",
-            "environment_type",
-            "criticality",
-            "release_name",
-            "squad_name",
-            "root_cause_name",
-            "root_cause_category",
-            "execution_date",
+            "environment_sk", "release_sk", "squad_sk", "root_cause_sk", F.to_date("started_at").alias("execution_date")
         )
         .agg(
             F.count("*").alias("total_runs"),
@@ -255,6 +248,14 @@ def v7_environment_health(t: Star) -> DataFrame:
         .withColumn("pass_rate_pct", pct(F.col("_passed"), F.col("total_runs")))
         .drop("_passed")
     )
+    return _named(
+        t,
+        counted,
+        release=["release_name"],
+        squad=["squad_name"],
+        environment=["environment_name", "environment_type", "criticality"],
+        root_cause=["root_cause_name", "root_cause_category"],
+    )
 
 
 def v8_release_snapshot(t: Star, strict: bool = False) -> DataFrame:

@@ -8,36 +8,55 @@ Natural keys stand in for the surrogate keys, so results never depend on numberi
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
-from qualitymart.functions import calendar, scalars
+from qualitymart.functions import calendar
 from qualitymart.operators import coverage
 from qualitymart.sources.star import Star
 
 CALENDAR = (date(1995, 1, 1), date(2001, 12, 31))
 
-
-def week_start(ts: Column) -> Column:
-    return F.date_trunc("week", ts).cast("timestamp_ntz")
-
-
-def quarter_name(ts: Column) -> Column:
-    return F.concat(F.lit("R"), F.year(ts).cast("string"), F.lit("Q"), F.quarter(ts).cast("string"))
-
-
-def owner_squad(key: Column) -> Column:
-    """One of six squads, spread evenly over the keys."""
-    return ((key % 6) * 4).cast("int")
-
-
-def _choose(value: Column, options: dict[str, str], otherwise: str | None = None) -> Column:
-    chosen = F.lit(otherwise)
-    for key, label in options.items():
-        chosen = F.when(value == key, label).otherwise(chosen)
-    return chosen
+# Layouts of the test tables; given, so that no job has to look them up.
+RAW = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+    " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,"
+    " l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
+# Derivation rules, as Spark SQL expressions over the raw columns.
+RULES = {
+    "week": "date_sub(to_date(l_shipdate), weekday(to_date(l_shipdate)))",
+    "quarter": "concat('R', year({day}), 'Q', quarter({day}))",
+    "yyyymmdd": "year({day}) * 10000 + month({day}) * 100 + day({day})",
+    "squad": "cast(({key} % 6) * 4 as int)",
+    "test_type": "CASE p_type WHEN 'STANDARD' THEN 'Manual' WHEN 'ECONOMY' THEN 'Manual' WHEN 'PROMO' THEN 'Cucumber'"
+    " WHEN 'SMALL' THEN 'Generic' WHEN 'MEDIUM' THEN 'Generic' WHEN 'LARGE' THEN 'Regression' END",
+    "run_status": "CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 'PASS' WHEN 'AO' THEN 'ABORTED'"
+    " WHEN 'NF' THEN 'EXECUTING' WHEN 'NO' THEN 'TODO' WHEN 'RF' THEN 'FAIL' WHEN 'RO' THEN 'BLOCKED' END",
+    "quarter_key": "year({day}) * 10 + quarter({day})",
+    "environment": "CASE WHEN l_linenumber <= 6 THEN (l_linenumber + 1) div 2 END",
+    "cause": "cast(l_partkey % 9 + 1 as int)",
+    "defect_status": "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Reopened' END",
+    "severity": "CASE o_orderpriority WHEN '1-URGENT' THEN 'Critical' WHEN '2-HIGH' THEN 'High'"
+    " WHEN '3-MEDIUM' THEN 'Medium' ELSE 'Low' END",
+}
+
+
+def rule(name: str, **names: str) -> str:
+    return f"({RULES[name].format(**names)})"
 
 
 class DerivedStar:
@@ -46,13 +65,16 @@ class DerivedStar:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def star(self) -> Star:
-        builders = {name: getattr(self, name) for name in dir(self) if name.startswith(("dim_", "fact_", "bridge_", "pipeline_"))}
-        return Star(builders)
+        names = [n for n in dir(type(self)) if n.startswith(("dim_", "fact_", "bridge_", "pipeline_"))]
+        return Star({name: getattr(self, name) for name in names})
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        if table not in self._raw:
+            self._raw[table] = self.spark.read.schema(RAW[table]).parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._raw[table]
 
     # --- dimensions ---------------------------------------------------------
 
@@ -60,241 +82,191 @@ class DerivedStar:
         return calendar.dim_date(self.spark, *CALENDAR)
 
     def dim_program(self) -> DataFrame:
-        return self.raw("region").select(
-            F.col("r_regionkey").alias("program_sk"), F.col("r_name").alias("program_name")
-        )
+        return self.raw("region").selectExpr("r_regionkey AS program_sk", "r_name AS program_name")
 
     def dim_application(self) -> DataFrame:
         brands = self.raw("part").select("p_brand").distinct()
-        return brands.select(F.col("p_brand").alias("application_sk"), F.col("p_brand").alias("application_name"))
+        return brands.selectExpr("p_brand AS application_sk", "p_brand AS application_name")
 
     def dim_squad(self) -> DataFrame:
-        return self.raw("nation").select(
-            F.col("n_nationkey").alias("squad_sk"),
-            F.col("n_name").alias("squad_name"),
-            F.col("n_regionkey").alias("program_sk"),
-            F.concat(F.lit("Brand#"), (F.col("n_nationkey") + 1).cast("string")).alias("application_sk"),
+        return self.raw("nation").selectExpr(
+            "n_nationkey AS squad_sk",
+            "n_name AS squad_name",
+            "n_regionkey AS program_sk",
+            "concat('Brand#', n_nationkey + 1) AS application_sk",
         )
 
     def dim_release(self) -> DataFrame:
-        week = week_start(F.col("l_shipdate"))
-        names = self.raw("lineitem").select(quarter_name(week).alias("release_name")).distinct()
-        year = F.substring("release_name", 2, 4).cast("int")
-        first_month = (F.substring("release_name", 7, 1).cast("int") - 1) * 3 + 1
-        start = F.make_date(year, first_month, F.lit(1))
-        status = F.when(year < 2000, "Released").when(year == 2000, "In Progress").otherwise("Planning")
-        return names.select(
-            F.col("release_name").alias("release_sk"),
-            "release_name",
-            start.alias("release_date"),
-            scalars.date_to_sk(start).alias("release_date_sk"),
-            status.alias("release_status"),
-            (status == "Released").alias("is_released"),
+        weeks = self.raw("lineitem").selectExpr(f"trunc({rule('week')}, 'QUARTER') AS release_date").distinct()
+        return weeks.selectExpr(
+            f"{rule('quarter_key', day='release_date')} AS release_sk",
+            f"{rule('quarter', day='release_date')} AS release_name",
+            "release_date",
+            f"{rule('yyyymmdd', day='release_date')} AS release_date_sk",
+            "CASE WHEN year(release_date) < 2000 THEN 'Released' WHEN year(release_date) = 2000 THEN 'In Progress'"
+            " ELSE 'Planning' END AS release_status",
+            "year(release_date) < 2000 AS is_released",
         )
 
     def dim_status(self) -> DataFrame:
         return S.status_seed(self.spark).withColumn("status_sk", F.col("status_name"))
 
     def dim_root_cause(self) -> DataFrame:
-        return S.root_cause_seed(self.spark).withColumn("root_cause_sk", F.col("root_cause_name"))
+        rows = [(n, name, category) for n, (name, category) in enumerate(S.ROOT_CAUSES, start=1)]
+        return self.spark.createDataFrame(rows, "root_cause_sk INT, root_cause_name STRING, root_cause_category STRING")
 
     def dim_environment(self) -> DataFrame:
-        rows = [("DEV", "Development", "Low"), ("SIT", "Integration", "Medium"), ("UAT", "Acceptance", "High")]
-        names = self.spark.createDataFrame(rows, "environment_name STRING, environment_type STRING, criticality STRING")
-        return names.withColumn("environment_sk", F.col("environment_name"))
+        rows = [(1, "DEV", "Development", "Low"), (2, "SIT", "Integration", "Medium"), (3, "UAT", "Acceptance", "High")]
+        return self.spark.createDataFrame(
+            rows, "environment_sk BIGINT, environment_name STRING, environment_type STRING, criticality STRING"
+        )
 
     def dim_tester(self) -> DataFrame:
-        return self.raw("supplier").select(
-            F.col("s_suppkey").alias("tester_sk"),
-            F.col("s_name").alias("tester_id"),
-            F.col("s_name").alias("tester_name"),
-            F.concat(F.lit("Team "), F.col("s_nationkey").cast("string")).alias("team_name"),
+        return self.raw("supplier").selectExpr(
+            "s_suppkey AS tester_sk",
+            "s_name AS tester_id",
+            "s_name AS tester_name",
+            "concat('Team ', s_nationkey) AS team_name",
         )
 
     def dim_test_type(self) -> DataFrame:
-        return (
-            self.raw("part")
-            .select(self._test_type().alias("test_type_name"))
-            .distinct()
-            .select(F.col("test_type_name").alias("test_type_sk"), "test_type_name")
-        )
-
-    @staticmethod
-    def _test_type() -> Column:
-        return _choose(
-            F.col("p_type"),
-            {
-                "STANDARD": "Manual",
-                "ECONOMY": "Manual",
-                "PROMO": "Cucumber",
-                "SMALL": "Generic",
-                "MEDIUM": "Generic",
-                "LARGE": "Regression",
-            },
-        )
+        names = self.raw("part").selectExpr(f"{rule('test_type')} AS test_type_name").distinct()
+        return names.selectExpr("test_type_name AS test_type_sk", "test_type_name")
 
     def dim_test(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.raw("part").select(
-            key.alias("test_sk"),
-            F.concat(F.lit("T-"), key.cast("string")).alias("test_key"),
-            F.col("p_name").alias("summary"),
-            self._test_type().alias("test_type_sk"),
-            F.when(key % 10 != 3, F.concat(F.lit("/repo/"), F.col("p_brand"))).alias("repository_path"),
-            F.when(self._test_type() == "Cucumber", F.lit("Scenario: ")).alias("gherkin_definition"),
-            F.when((self._test_type() == "Generic") & (key % 7 != 0), F.lit("run")).alias("generic_definition"),
-            F.when(key % 50 != 0, owner_squad(key)).alias("squad_sk"),
-            F.lit("Active").alias("status"),
+        return self.raw("part").selectExpr(
+            "p_partkey AS test_sk",
+            "concat('T-', p_partkey) AS test_key",
+            "p_name AS summary",
+            f"{rule('test_type')} AS test_type_sk",
+            "CASE WHEN p_partkey % 10 <> 3 THEN concat('/repo/', p_brand) END AS repository_path",
+            f"CASE WHEN {rule('test_type')} = 'Cucumber' THEN 'Scenario:' END AS gherkin_definition",
+            f"CASE WHEN {rule('test_type')} = 'Generic' AND p_partkey % 7 <> 0 THEN 'run' END AS generic_definition",
+            f"CASE WHEN p_partkey % 50 <> 0 THEN {rule('squad', key='p_partkey')} END AS squad_sk",
+            "'Active' AS status",
         )
 
     def dim_test_execution(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return self.raw("orders").select(
-            key.alias("execution_sk"),
-            F.concat(F.lit("E-"), key.cast("string")).alias("execution_key"),
-            F.col("o_orderpriority").alias("summary"),
-            F.concat(F.lit("rev-"), (key % 10).cast("string")).alias("revision"),
-            F.col("o_orderstatus").alias("status"),
-            F.col("o_orderdate").alias("executed_at"),
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS execution_sk",
+            "concat('E-', o_orderkey) AS execution_key",
+            "o_orderpriority AS summary",
+            "concat('rev-', o_orderkey % 10) AS revision",
+            "o_orderstatus AS status",
+            "o_orderdate AS executed_at",
         )
 
     def dim_defect(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        severity = _choose(
-            F.col("o_orderpriority"), {"1-URGENT": "Critical", "2-HIGH": "High", "3-MEDIUM": "Medium"}, "Low"
-        )
-        days = F.make_dt_interval((key % 30).cast("int"))
-        return self.raw("orders").select(
-            key.alias("defect_sk"),
-            F.concat(F.lit("D-"), key.cast("string")).alias("defect_key"),
-            F.concat(F.lit("Defect of order "), key.cast("string")).alias("summary"),
-            self._defect_status().alias("status"),
-            F.col("o_orderpriority").alias("priority"),
-            severity.alias("severity"),
-            owner_squad(key).alias("squad_sk"),
-            F.when(key % 7 != 0, F.concat(F.lit("user-"), (key % 100).cast("string"))).alias("assignee"),
-            F.col("o_orderdate").alias("created_at"),
-            F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + days).alias("resolved_at"),
-            F.lit(None).cast("timestamp_ntz").alias("resolution_date"),
-            scalars.critical_defect(severity, F.col("o_orderpriority")).alias("critical_flag"),
-            (key % 17 == 0).alias("leakage_flag"),
-            F.when(key % 5 != 0, F.lit("Application Bug")).alias("root_cause"),
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS defect_sk",
+            "concat('D-', o_orderkey) AS defect_key",
+            "concat('Defect of order ', o_orderkey) AS summary",
+            f"{rule('defect_status')} AS status",
+            "o_orderpriority AS priority",
+            f"{rule('severity')} AS severity",
+            f"{rule('squad', key='o_orderkey')} AS squad_sk",
+            "CASE WHEN o_orderkey % 7 <> 0 THEN concat('user-', o_orderkey % 100) END AS assignee",
+            "o_orderdate AS created_at",
+            "CASE WHEN o_orderstatus = 'F' THEN o_orderdate + make_dt_interval(cast(o_orderkey % 30 as int)) END AS resolved_at",
+            "cast(NULL as timestamp_ntz) AS resolution_date",
+            f"{rule('severity')} = 'Critical' OR o_orderpriority IN ('P0', 'P1', 'Highest') AS critical_flag",
+            "o_orderkey % 17 = 0 AS leakage_flag",
+            "CASE WHEN o_orderkey % 5 <> 0 THEN 'Application Bug' END AS root_cause",
         )
 
-    @staticmethod
-    def _defect_status() -> Column:
-        return _choose(F.col("o_orderstatus"), {"F": "Closed", "O": "Open", "P": "Reopened"})
-
     def dim_issue(self) -> DataFrame:
-        key = F.col("c_custkey")
-        critical = F.col("c_acctbal") > 8000
-        squad = owner_squad(key)
-        return self.raw("customer").select(
-            key.alias("issue_sk"),
-            F.concat(F.lit("REQ-"), key.cast("string")).alias("issue_key"),
-            F.lit("Story").alias("issue_type"),
-            F.col("c_name").alias("summary"),
-            F.when(key % 3 == 0, "Done").otherwise("In Progress").alias("status"),
-            F.when(critical, "Highest").when(key % 20 == 0, F.lit(None)).otherwise("Medium").alias("priority"),
-            F.when(key % 40 != 0, squad).alias("squad_sk"),
-            F.when(key % 60 != 0, F.col("c_nationkey") % 5).alias("program_sk"),
-            critical.alias("critical_flag"),
-            F.col("c_mktsegment").alias("business_area"),
+        return self.raw("customer").selectExpr(
+            "c_custkey AS issue_sk",
+            "concat('REQ-', c_custkey) AS issue_key",
+            "'Story' AS issue_type",
+            "c_name AS summary",
+            "CASE WHEN c_custkey % 3 = 0 THEN 'Done' ELSE 'In Progress' END AS status",
+            "CASE WHEN c_acctbal > 8000 THEN 'Highest' WHEN c_custkey % 20 = 0 THEN NULL ELSE 'Medium' END AS priority",
+            f"CASE WHEN c_custkey % 40 <> 0 THEN {rule('squad', key='c_custkey')} END AS squad_sk",
+            "CASE WHEN c_custkey % 60 <> 0 THEN c_nationkey % 5 END AS program_sk",
+            "c_acctbal > 8000 AS critical_flag",
+            "c_mktsegment AS business_area",
         )
 
     def bridge_squad_user(self) -> DataFrame:
         """Each supplier is a user of its nation's squad and of one of the six owning squads."""
-        key = F.col("s_suppkey")
-        role = F.when(key % 10 == 0, "CXO").when(key % 10 <= 2, "Program_Manager").otherwise("Squad_Member")
-        squads = F.array_distinct(F.array(F.col("s_nationkey"), owner_squad(key)))
-        return self.raw("supplier").select(
-            F.explode(squads).alias("squad_sk"),
-            F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("user_email"),
-            role.alias("role"),
+        return self.raw("supplier").selectExpr(
+            f"explode(array_distinct(array(s_nationkey, {rule('squad', key='s_suppkey')}))) AS squad_sk",
+            "concat('user', s_suppkey, '@example.com') AS user_email",
+            "CASE WHEN s_suppkey % 10 = 0 THEN 'CXO' WHEN s_suppkey % 10 <= 2 THEN 'Program_Manager'"
+            " ELSE 'Squad_Member' END AS role",
         )
 
     # --- facts --------------------------------------------------------------
 
+    @cached_property
     def _runs(self) -> DataFrame:
         """Line items with the run columns and the original keys next to them."""
-        status = _choose(
-            F.concat("l_returnflag", "l_linestatus"),
-            {"AF": "PASS", "AO": "ABORTED", "NF": "EXECUTING", "NO": "TODO", "RF": "FAIL", "RO": "BLOCKED"},
-        )
-        causes = F.array(*[F.lit(name) for name, _ in S.ROOT_CAUSES])
-        started = week_start(F.col("l_shipdate"))
-        environment = F.when(F.col("l_linenumber") <= 2, "DEV").when(F.col("l_linenumber") <= 4, "SIT").when(
-            F.col("l_linenumber") <= 6, "UAT"
-        )
-        parts = self.raw("part").select("p_partkey", (self._test_type() != "Manual").alias("is_automated"))
-        base = self.raw("lineitem").withColumn("run_status", status).withColumn("started_at", started)
-        in_trouble = F.col("run_status").isin("FAIL", "BLOCKED")
-        cause = F.element_at(causes, (F.col("l_partkey") % 9 + 1).cast("int"))
-        seconds = F.when(F.col("run_status") != "TODO", F.col("l_quantity") * 60)
-        return base.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+        parts = self.raw("part").selectExpr("p_partkey", f"{rule('test_type')} <> 'Manual' AS is_automated")
+        base = self.raw("lineitem").selectExpr("*", f"{rule('run_status')} AS run_status", f"{rule('week')} AS _week")
+        in_trouble = "run_status IN ('FAIL', 'BLOCKED')"
+        causes = ", ".join(f"'{name}'" for name, _ in S.ROOT_CAUSES)
+        return base.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").selectExpr(
             "l_orderkey",
             "l_extendedprice",
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
-                "test_run_id"
-            ),
-            quarter_name(F.col("started_at")).alias("release_sk"),
-            F.col("l_partkey").alias("test_sk"),
-            F.col("l_orderkey").alias("execution_sk"),
-            environment.alias("environment_sk"),
-            F.col("l_suppkey").alias("tester_sk"),
-            F.col("run_status").alias("status_sk"),
-            F.when(in_trouble, cause).otherwise(S.NO_ROOT_CAUSE).alias("root_cause_sk"),
-            scalars.date_to_sk(F.col("started_at")).alias("date_sk"),
+            "concat(l_orderkey, '-', l_linenumber) AS test_run_id",
+            f"{rule('quarter_key', day='_week')} AS release_sk",
+            "l_partkey AS test_sk",
+            "l_orderkey AS execution_sk",
+            f"{rule('environment')} AS environment_sk",
+            "l_suppkey AS tester_sk",
+            "run_status AS status_sk",
+            f"CASE WHEN {in_trouble} THEN {rule('cause')} ELSE {len(S.ROOT_CAUSES)} END AS root_cause_sk",
+            f"{rule('yyyymmdd', day='_week')} AS date_sk",
             "run_status",
-            F.lit(1).alias("run_sequence"),
+            "1 AS run_sequence",
             "is_automated",
-            (F.col("run_status") == "BLOCKED").alias("is_blocked"),
-            F.when((F.col("run_status") == "BLOCKED") & (F.col("l_partkey") % 4 != 0), cause).alias("block_reason"),
-            "started_at",
-            (F.col("started_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))).alias("finished_at"),
-            seconds.alias("duration_s"),
-            F.concat(F.lit("user-"), F.col("l_suppkey").cast("string")).alias("executed_by"),
-            F.concat("l_returnflag", "l_linestatus").alias("comment"),
-            (in_trouble & (F.col("l_suppkey") % 4 != 0)).cast("int").alias("defect_count"),
+            "run_status = 'BLOCKED' AS is_blocked",
+            f"CASE WHEN run_status = 'BLOCKED' AND l_partkey % 4 <> 0 THEN element_at(array({causes}), {rule('cause')}) END AS block_reason",
+            "cast(_week as timestamp_ntz) AS started_at",
+            "CASE WHEN run_status <> 'TODO' THEN cast(_week as timestamp_ntz)"
+            " + make_dt_interval(0, 0, 0, cast(l_quantity * 60 as decimal(18, 6))) END AS finished_at",
+            "CASE WHEN run_status <> 'TODO' THEN l_quantity * 60 END AS duration_s",
+            "concat('user-', l_suppkey) AS executed_by",
+            "concat(l_returnflag, l_linestatus) AS comment",
+            f"cast({in_trouble} AND l_suppkey % 4 <> 0 as int) AS defect_count",
         )
 
     def fact_test_run(self) -> DataFrame:
-        return self._runs().drop("l_orderkey", "l_extendedprice")
+        return self._runs.drop("l_orderkey", "l_extendedprice")
 
     def fact_defect_link(self) -> DataFrame:
-        linked = self._runs().where("defect_count = 1").select(
-            F.col("l_orderkey").alias("defect_sk"), "test_run_id", "release_sk"
-        )
-        status = self.raw("orders").select("o_orderkey", self._defect_status().alias("_status"))
+        linked = self._runs.where("defect_count = 1").selectExpr("l_orderkey AS defect_sk", "test_run_id", "release_sk")
+        status = self.raw("orders").selectExpr("o_orderkey", f"{rule('defect_status')} AS _status")
         return (
             linked.distinct()
             .join(status, F.col("defect_sk") == F.col("o_orderkey"))
-            .select(
-                F.concat(F.lit("D-"), F.col("defect_sk").cast("string")).alias("defect_key"),
+            .selectExpr(
+                "concat('D-', defect_sk) AS defect_key",
                 "defect_sk",
                 "test_run_id",
                 "release_sk",
-                F.lit(S.LINK_TYPE).alias("link_type"),
-                (F.col("_status") != "Closed").alias("open_flag"),
+                f"'{S.LINK_TYPE}' AS link_type",
+                "_status <> 'Closed' AS open_flag",
             )
         )
 
     def fact_test_step_result(self) -> DataFrame:
         """One to three steps per run; the last one carries the run's status."""
-        run = self._runs().select("test_run_id", "run_status", "comment", F.size(F.split("test_run_id", "")).alias("_n"))
-        last = F.col("_n") % 3 + 1
-        return run.select("test_run_id", "run_status", "comment", last.alias("_last"), F.explode(F.sequence(F.lit(1), last)).alias("step_order")).select(
-            F.concat_ws(":", "test_run_id", F.col("step_order").cast("string")).alias("step_result_id"),
+        run = self._runs.selectExpr("test_run_id", "run_status", "comment", "length(test_run_id) % 3 + 1 AS _last")
+        steps = run.selectExpr("*", "explode(sequence(1, _last)) AS step_order")
+        return steps.selectExpr(
+            "concat(test_run_id, ':', step_order) AS step_result_id",
             "test_run_id",
             "step_order",
-            F.when(F.col("step_order") == F.col("_last"), F.col("run_status")).otherwise("PASS").alias("step_status"),
+            "CASE WHEN step_order = _last THEN run_status ELSE 'PASS' END AS step_status",
             "comment",
         )
 
     def requirement_runs(self) -> DataFrame:
         """Runs of each requirement: those of the orders its customer placed."""
-        orders = self.raw("orders").select("o_orderkey", F.col("o_custkey").alias("issue_sk"))
-        return self._runs().join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        orders = self.raw("orders").selectExpr("o_orderkey", "o_custkey AS issue_sk")
+        return self._runs.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             "issue_sk", "release_sk", "test_sk", "run_status", "started_at", "test_run_id", "l_extendedprice", "date_sk"
         )
 
@@ -304,20 +276,16 @@ class DerivedStar:
     # --- control tables, from the event stream --------------------------------
 
     def pipeline_run_log(self) -> DataFrame:
-        """Each event is one job run of its event type; errors are failed runs."""
-        started = F.col("ts")
-        failed = F.col("event_type") == "error"
-        seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("value").cast("decimal(18,6)"))
-        extracted = F.get_json_object("props", "$.k").cast("bigint")
-        return self.raw("events").select(
-            F.col("event_id").cast("string").alias("pipeline_run_id"),
-            F.concat(F.lit("job_"), (F.col("user_id") % 10).cast("string")).alias("job_name"),
-            F.when(failed, "failed").otherwise("success").alias("status"),
-            started.alias("started_at"),
-            (started + seconds).alias("finished_at"),
-            extracted.alias("records_extracted"),
-            F.when(failed, F.lit(0).cast("bigint")).otherwise(extracted).alias("rows_upserted"),
-            F.when(failed, F.concat(F.lit("failed on "), F.col("props"))).alias("error_message"),
+        """Each event is one job run; errors are failed runs."""
+        return self.raw("events").selectExpr(
+            "cast(event_id as string) AS pipeline_run_id",
+            "concat('job_', user_id % 10) AS job_name",
+            "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status",
+            "ts AS started_at",
+            "ts + make_dt_interval(0, 0, 0, cast(value as decimal(18, 6))) AS finished_at",
+            "cast(get_json_object(props, '$.k') as bigint) AS records_extracted",
+            "CASE WHEN event_type = 'error' THEN 0L ELSE cast(get_json_object(props, '$.k') as bigint) END AS rows_upserted",
+            "CASE WHEN event_type = 'error' THEN concat('failed on ', props) END AS error_message",
         )
 
     def pipeline_watermarks(self) -> DataFrame:
