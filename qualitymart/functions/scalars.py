@@ -1,6 +1,6 @@
 """Scalar rules (Column to Column) for payload fields, dates, ratios and labels.
 
-Payload arguments are VARIANT columns. Everything is built from Spark's own
+Payload arguments are VARIANT columns (or their names). Everything is built from Spark's own
 expressions, so a projection over a payload stays inside one code-generated stage.
 """
 
@@ -24,6 +24,23 @@ def node(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant")
 
 
+def parsed_values(text: Column | str) -> Column:
+    """Text as an array of its one JSON value, empty unless it is exactly one.
+
+    Made to be exploded: that drops bad text and parses each text once, where a filter on the parsed
+    value would be pushed below the projection and parse again. Spark's parser ignores whatever
+    follows the first value; inside brackets it is a syntax error or a second element.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    only = lambda found: F.when(F.size(found) == 1, found[0])
+    return F.array_compact(F.transform(F.array(items(listed)), only))
+
+
+def parse_json(text: Column | str) -> Column:
+    """Text as VARIANT, NULL unless it is exactly one JSON value."""
+    return F.try_element_at(parsed_values(text), F.lit(1))
+
+
 def text(v: Column, path: str = "$") -> Column:
     """The value at ``path`` as text; NULL if absent, JSON null or not reachable."""
     return F.try_variant_get(v, path, "string")
@@ -99,29 +116,32 @@ def first_component(v: Column, path: str = "$.components") -> Column:
     return object_or_scalar(node(v, f"{path}[0]"), "name")
 
 
-def custom_field(v: Column, name: str) -> Column:
-    """Value of the first entry of a ``customFields`` list with this name, ignoring case (C11).
+def named_entry(entries: Column, *names: str) -> Column:
+    """First entry of a ``customFields`` list with one of these names, ignoring case."""
+    wanted = [n.lower() for n in names]
+    return F.try_element_at(F.filter(entries, lambda x: F.lower(text(x, "$.name")).isin(*wanted)), F.lit(1))
 
-    The list may sit at the top or under ``test``, with ``value`` or a ``values`` list.
-    """
 
-    def hit(path: str) -> Column:
-        named = F.filter(items(v, path), lambda x: F.lower(text(x, "$.name")) == name.lower())
-        found = F.try_element_at(named, F.lit(1))
-        return F.coalesce(text(found, "$.value"), text(found, "$.values[0]"))
+def entry_value(entry: Column) -> Column:
+    """Value of a custom field entry: ``value``, or the first of ``values``."""
+    return F.coalesce(text(entry, "$.value"), text(entry, "$.values[0]"))
+
 
-    return F.coalesce(hit("$.customFields"), hit("$.test.customFields"))
+def custom_field(v: Column, *names: str) -> Column:
+    """Value of a custom field by name (C11); the list may sit at the top or under ``test``."""
+    found = lambda path: entry_value(named_entry(items(v, path), *names))
+    return F.coalesce(found("$.customFields"), found("$.test.customFields"))
 
 
 def envelope(v: Column) -> Column:
     """Where the tracker fields live: ``fields``, else ``jira``, else the root."""
     fields, jira = node(v, "$.fields"), node(v, "$.jira")
-    return F.when(truthy(fields), fields).when(truthy(jira), jira).otherwise(v)
+    return F.when(truthy(fields), fields).when(truthy(jira), jira).otherwise(node(v, "$"))
 
 
 def first_environment(environments_json: Column) -> Column:
     """First environment named in a JSON list; malformed text gives NULL."""
-    first = node(F.try_parse_json(environments_json), "$[0]")
+    first = node(parse_json(environments_json), "$[0]")
     return F.nullif(F.when(is_object(first), first_truthy(text(first, "$.name"), text(first, "$.value"))).otherwise(
         text(first)
     ), F.lit(""))

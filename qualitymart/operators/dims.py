@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from qualitymart.functions import scalars as X
 from qualitymart.functions.fieldmap import FieldMap
 
-V = F.col("v")
+V = "v"  # the payload column
 
 
 def releases(parsed: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def executions(parsed: DataFrame, fields_map: FieldMap) -> DataFrame:
 
 def environments(execution_rows: DataFrame) -> DataFrame:
     """Every environment an execution lists; the list is walked whole."""
-    names = F.explode(X.items(F.try_parse_json("environments_json")))
+    names = F.explode(X.items(X.parse_json("environments_json")))
     listed = execution_rows.select(names.alias("e"))
     e = F.col("e")
     name = F.when(X.is_object(e), X.first_truthy(X.text(e, "$.name"), X.text(e, "$.value"))).otherwise(X.text(e))

@@ -10,19 +10,29 @@ from qualitymart.functions import scalars as X
 from qualitymart.operators import keys
 from qualitymart.sources.star import Star
 
-V = F.col("v")
+V = "v"  # the payload column
 
 
-def _versions() -> Column:
-    """Versions a run counts for: its own, else those of its test, else a placeholder."""
-    name = lambda x: X.object_or_scalar(x, "name")
-    named = lambda path: F.filter(F.transform(X.items(V, path), name), lambda x: x.isNotNull() & (x != ""))
-    own, of_test = named("$.fixVersions"), named("$.test.jira.fixVersions")
-    chosen = F.when(F.size(own) > 0, own).when(F.size(of_test) > 0, of_test).otherwise(F.array(F.lit(S.UNVERSIONED)))
-    return F.array_distinct(chosen)
+# The parts of a run payload that are read, as one cast of the payload. Parts of varying shape stay VARIANT.
+RUN_PAYLOAD = (
+    "struct<status: variant, startedOn: string, started_at: string, finishedOn: string, finished_at: string,"
+    " assignee: variant, assigneeId: string, comment: string, blockReason: string, block_reason: string,"
+    " defects: array<variant>, fixVersions: array<variant>, customFields: array<variant>,"
+    " test: struct<key: string, jira: variant, testType: variant, customFields: array<variant>>,"
+    " _execution_key: string, _execution_issue_id: string>"
+)
+STEP_PAYLOAD = (
+    "struct<_test_run_id: string, index: variant, `order`: variant, status: variant, actualResult: string,"
+    " actual_result: string, comment: string>"
+)
 
 
-def _defects() -> Column:
+def _names(values: Column) -> Column:
+    """Version names of a list of objects or scalars; blanks are dropped."""
+    return F.filter(F.transform(values, lambda x: X.object_or_scalar(x, "name")), lambda x: x.isNotNull() & (x != ""))
+
+
+def _defects(values: Column) -> Column:
     """Linked defects as (key, open) pairs; an element may be an object or a bare key."""
 
     def pair(x: Column) -> Column:
@@ -32,41 +42,66 @@ def _defects() -> Column:
             X.link_open_flag(X.text(x, "$.jira.status.name")).alias("open_flag"),
         )
 
-    return F.transform(F.coalesce(X.items(V, "$.defects"), F.array().cast("array<variant>")), pair)
+    return F.transform(F.coalesce(values, F.array().cast("array<variant>")), pair)
 
 
 def runs(parsed: DataFrame) -> DataFrame:
-    """One row per run, before the fan-out over versions."""
-    text = lambda path: X.text(V, path)
-    assignee = X.node(V, "$.assignee")
-    person = X.is_object(assignee)
-    started_text = X.first_truthy(text("$.startedOn"), text("$.started_at"))
-    started = X.parse_ts(started_text)
-    finished = X.parse_ts(X.first_truthy(text("$.finishedOn"), text("$.finished_at")))
-    cause = F.coalesce(X.custom_field(V, "root_cause"), X.custom_field(V, "Root Cause"))
-    tester = F.when(person, X.first_truthy(X.text(assignee, "$.accountId"), X.text(assignee, "$.displayName")))
-    return parsed.select(
+    """One row per run, before the fan-out over versions.
+
+    In steps: cast the payload, pick the parts, derive the columns, so that nothing is worked out twice.
+    """
+    cast = parsed.select("source_key", "ord", F.try_variant_get(V, "$", RUN_PAYLOAD).alias("p"))
+    picked = cast.select(
+        "source_key",
+        "ord",
+        "p.*",
+        X.first_truthy(F.col("p.startedOn"), F.col("p.started_at")).alias("started_text"),
+        X.first_truthy(F.col("p.finishedOn"), F.col("p.finished_at")).alias("finished_text"),
+        X.is_object(F.col("p.assignee")).alias("person"),
+        _names(F.col("p.fixVersions")).alias("own_versions"),
+        _names(X.items(F.col("p.test.jira"), "$.fixVersions")).alias("test_versions"),
+        X.named_entry(F.col("p.customFields"), "root_cause", "Root Cause").alias("cause"),
+        X.named_entry(F.col("p.test.customFields"), "root_cause", "Root Cause").alias("test_cause"),
+    )
+    timed = picked.withColumns(
+        {
+            "started": X.parse_ts(F.col("started_text")),
+            "finished": X.parse_ts(F.col("finished_text")),
+            "display_name": F.when(F.col("person"), X.text("assignee", "$.displayName")),
+        }
+    )
+    of_person = lambda *paths: F.when(F.col("person"), X.first_truthy(*[X.text("assignee", p) for p in paths]))
+    versions = (
+        F.when(F.size("own_versions") > 0, F.col("own_versions"))
+        .when(F.size("test_versions") > 0, F.col("test_versions"))
+        .otherwise(F.array(F.lit(S.UNVERSIONED)))
+    )
+    cause = F.coalesce(X.entry_value(F.col("cause")), X.entry_value(F.col("test_cause")))
+    account = F.when(F.col("person"), X.first_truthy(F.col("display_name"), X.text("assignee", "$.accountId"))).otherwise(
+        X.text("assignee")
+    )
+    return timed.select(
         F.col("source_key").alias("test_run_id"),
-        X.first_truthy(text("$.test.jira.key"), text("$.test.key")).alias("test_key"),
-        X.first_truthy(text("$._execution_key"), text("$._execution_issue_id")).alias("execution_key"),
-        X.first_truthy(tester, text("$.assigneeId")).alias("tester_id"),
-        F.when(person, X.text(assignee, "$.displayName")).alias("tester_name"),
-        F.when(person, X.first_truthy(X.text(assignee, "$.email"), X.text(assignee, "$.emailAddress"))).alias("email"),
-        F.when(person, X.text(assignee, "$.teamName")).alias("team_name"),
-        X.status_name(X.node(V, "$.status")).alias("run_status"),
+        X.first_truthy(X.text("test.jira", "$.key"), F.col("test.key")).alias("test_key"),
+        X.first_truthy(F.col("_execution_key"), F.col("_execution_issue_id")).alias("execution_key"),
+        X.first_truthy(of_person("$.accountId", "$.displayName"), F.col("assigneeId")).alias("tester_id"),
+        F.col("display_name").alias("tester_name"),
+        of_person("$.email", "$.emailAddress").alias("email"),
+        F.when(F.col("person"), X.text("assignee", "$.teamName")).alias("team_name"),
+        X.status_name("status").alias("run_status"),
         X.first_truthy(cause, F.lit(S.NO_ROOT_CAUSE)).alias("root_cause_name"),
-        X.is_automated(text("$.test.testType.name")).alias("is_automated"),
-        X.first_truthy(text("$.blockReason"), text("$.block_reason")).alias("block_reason"),
-        started.alias("started_at"),
-        finished.alias("finished_at"),
-        X.duration_s(started, finished).alias("duration_s"),
+        X.is_automated(X.text("test.testType", "$.name")).alias("is_automated"),
+        X.first_truthy(F.col("blockReason"), F.col("block_reason")).alias("block_reason"),
+        F.col("started").alias("started_at"),
+        F.col("finished").alias("finished_at"),
+        X.duration_s(F.col("started"), F.col("finished")).alias("duration_s"),
         # The day is the one the payload shows, in the payload's own offset.
-        F.when(started.isNotNull(), X.date_to_sk(X.parse_date(started_text))).alias("date_sk"),
-        X.first_truthy(X.account(assignee), text("$.assigneeId")).alias("executed_by"),
-        text("$.comment").alias("comment"),
-        X.array_length(X.items(V, "$.defects")).alias("defect_count"),
-        _versions().alias("versions"),
-        _defects().alias("defects"),
+        F.when(F.col("started").isNotNull(), X.date_to_sk(X.parse_date(F.col("started_text")))).alias("date_sk"),
+        X.first_truthy(account, F.col("assigneeId")).alias("executed_by"),
+        "comment",
+        X.array_length(F.col("defects")).alias("defect_count"),
+        F.array_distinct(versions).alias("versions"),
+        _defects(F.col("defects")).alias("defects"),
         "ord",
     )
 
@@ -118,14 +153,14 @@ def defect_links(run_rows: DataFrame, t: Star) -> DataFrame:
 
 def steps(parsed: DataFrame) -> DataFrame:
     """Step results (B8); the order is the index, else the order, else 0."""
-    text = lambda path: X.text(V, path)
-    order = F.coalesce(X.truthy_text(V, "$.index").try_cast("int"), X.truthy_text(V, "$.order").try_cast("int"), F.lit(0))
-    return parsed.select(
+    rows = parsed.select("source_key", "ord", F.try_variant_get(V, "$", STEP_PAYLOAD).alias("p")).select("source_key", "ord", "p.*")
+    number = lambda c: X.truthy_text(F.col(c)).try_cast("int")
+    return rows.select(
         F.col("source_key").alias("step_result_id"),
-        F.coalesce(text("$._test_run_id"), F.lit("")).alias("test_run_id"),
-        order.alias("step_order"),
-        X.status_name(X.node(V, "$.status")).alias("step_status"),
-        X.first_truthy(text("$.actualResult"), text("$.actual_result")).alias("actual_result"),
-        text("$.comment").alias("comment"),
+        F.coalesce("_test_run_id", F.lit("")).alias("test_run_id"),
+        F.coalesce(number("index"), number("order"), F.lit(0)).alias("step_order"),
+        X.status_name(F.col("status")).alias("step_status"),
+        X.first_truthy(F.col("actualResult"), F.col("actual_result")).alias("actual_result"),
+        "comment",
         "ord",
     )

@@ -197,21 +197,19 @@ def tests_without_definition(t: Star, with_steps: DataFrame | None = None) -> Da
     return bare.select("test_key", "summary")
 
 
-def type_changes(history: DataFrame, runs: DataFrame) -> DataFrame:
-    """Tests whose type changed after their first run.
+def type_changes(history: DataFrame, runs: DataFrame, order: str = "ord") -> DataFrame:
+    """Tests whose type now differs from their first one, the change delivered after their first run.
 
-    ``history``: (test_key, test_type_name, loaded_at) of all deliveries; ``runs``: (test_key, started_at).
+    ``history``: (test_key, test_type_name, loaded_at, ord) of all deliveries; ``runs``: (test_key, started_at).
     """
     first = runs.groupBy("test_key").agg(F.min("started_at").alias("first_run"))
-    types = history.groupBy("test_key").agg(F.count_distinct("test_type_name").alias("types"))
-    several = types.where("types > 1").join(first, "test_key")
-    after = history.join(several, "test_key").where(F.col("loaded_at").cast("timestamp_ntz") > F.col("first_run"))
-    before = F.max_by("test_type_name", "loaded_at")
-    original = history.join(several.select("test_key"), "test_key", "left_semi").groupBy("test_key").agg(
-        F.min_by("test_type_name", "loaded_at").alias("first_type")
+    ends = history.groupBy("test_key").agg(
+        F.min_by("test_type_name", order).alias("first_type"),
+        F.max_by("test_type_name", order).alias("last_type"),
+        F.max("loaded_at").cast("timestamp_ntz").alias("last_load"),
     )
-    final = after.groupBy("test_key").agg(before.alias("last_type"))
-    return final.join(original, "test_key").where("last_type <> first_type").select("test_key", "first_type", "last_type")
+    changed = ends.where("first_type <> last_type").join(first, "test_key")
+    return changed.where("last_load > first_run").select("test_key", "first_type", "last_type")
 
 
 def rejects(*found: DataFrame) -> DataFrame:

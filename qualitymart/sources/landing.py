@@ -31,12 +31,12 @@ def read_pages(spark: SparkSession, path: str, per_line: bool = False) -> DataFr
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("page", F.try_parse_json("body")).where("page IS NOT NULL").drop("body")
+    return pages.select("origin", F.explode(X.parsed_values("body")).alias("page"))
 
 
 def bad_pages(pages: DataFrame) -> DataFrame:
     """Pages that are not JSON."""
-    return pages.where(F.try_parse_json("body").isNull()).select(
+    return pages.where(X.parse_json("body").isNull()).select(
         F.col("origin").alias("source"), F.lit("bad_json").alias("reason"), "body"
     )
 

@@ -10,11 +10,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from qualitymart import schemas as S
+from qualitymart.functions import scalars as X
 
-LAYOUT = StructType.fromDDL(S.STAGING + ", load_date DATE")
+LAYOUT = S.STAGING + ", load_date DATE"
 
 
 def known(records: DataFrame) -> DataFrame:
@@ -63,12 +63,11 @@ def parse(records: DataFrame) -> DataFrame:
     ``ord`` orders deliveries: a later load wins over an earlier one (I5), within a load the higher key.
     """
     order = F.struct("loaded_at", "run_id", "source_key")
-    parsed = records.select("source_key", F.try_parse_json("raw_json").alias("v"), order.alias("ord"))
-    return parsed.where("v IS NOT NULL")
+    return records.select("source_key", order.alias("ord"), F.explode(X.parsed_values("raw_json")).alias("v"))
 
 
 def bad_json(records: DataFrame) -> DataFrame:
     """Records that parse leaves out."""
-    return records.where(F.try_parse_json("raw_json").isNull()).select(
+    return records.where(X.parse_json("raw_json").isNull()).select(
         F.col("source_key").alias("source"), F.lit("bad_json").alias("reason"), F.col("raw_json").alias("body")
     )
