@@ -32,8 +32,9 @@ ATTRIBUTES = (
 
 def days(bounds: DataFrame, first: str, last: str) -> DataFrame:
     """One row per day between two date columns; no row where the range is reversed."""
-    in_order = bounds.where(F.col(first) <= F.col(last))
-    return in_order.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("full_date"))
+    # The end is raised to the start, since a constant range is evaluated before any filter.
+    span = F.sequence(first, F.greatest(first, last), F.expr("interval 1 day"))
+    return bounds.select(F.explode(F.when(F.col(first) <= F.col(last), span)).alias("full_date"))
 
 
 def dim_date(spark: SparkSession, start: date = DEFAULT_START, end: date = DEFAULT_END) -> DataFrame:

@@ -32,8 +32,8 @@ def initialise(
     """Seed statuses, root causes and the calendar; known rows stay, calendar names are corrected."""
     spark = warehouse.spark
     tx = warehouse.begin()
-    _dimension(tx, "dim_status", S.status_seed(spark), "status_name", upsert.insert_absent)
-    _dimension(tx, "dim_root_cause", S.root_cause_seed(spark), "root_cause_name", upsert.insert_absent)
+    _insert_new(tx, "dim_status", S.status_seed(spark), "status_name")
+    _insert_new(tx, "dim_root_cause", S.root_cause_seed(spark), "root_cause_name")
     tx.put("dim_date", calendar.refresh_names(tx.table("dim_date"), calendar.dim_date(spark, start, end)))
     return tx.commit()
 
@@ -50,6 +50,13 @@ def _dimension(tx: Transaction, name: str, updates: DataFrame, key: str, merge)
     tx.put(name, merged)
 
 
+def _insert_new(tx: Transaction, name: str, updates: DataFrame, key: str) -> None:
+    """Insert-if-absent that leaves the table alone when it already has every key."""
+    named = updates.where(F.col(key).isNotNull() & (F.col(key) != ""))
+    if not upsert.absent(named, tx.table(name), [key]).isEmpty():
+        _dimension(tx, name, named, key, upsert.insert_absent)
+
+
 def _names(rows: DataFrame, column: str) -> DataFrame:
     return rows.select(column).where(F.col(column).isNotNull() & (F.col(column) != "")).distinct()
 
@@ -79,12 +86,12 @@ def load_versions(tx: Transaction, parsed: DataFrame) -> None:
 
 def ensure_releases(tx: Transaction, rows: DataFrame) -> None:
     """Releases named by runs come into being without further attributes."""
-    _dimension(tx, "dim_release", _names(rows, "release_name"), "release_name", upsert.insert_absent)
+    _insert_new(tx, "dim_release", _names(rows, "release_name"), "release_name")
 
 
 def load_issues(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None:
     rows = cut(dims.issues(parsed, fields_map))
-    _dimension(tx, "dim_program", _names(rows, "program_name"), "program_name", upsert.insert_absent)
+    _insert_new(tx, "dim_program", _names(rows, "program_name"), "program_name")
     programs = tx.table("dim_program")
     applications = _latest(rows, "application_name", "platform", "program_name")
     applications = keys.lookup(applications, programs, "program_name", "program_name", "program_sk").drop("program_name")
@@ -127,7 +134,7 @@ def load_defects(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> No
 
 def load_tests(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None:
     rows = cut(dims.tests(parsed, fields_map))
-    _dimension(tx, "dim_test_type", _names(rows, "test_type_name"), "test_type_name", upsert.insert_absent)
+    _insert_new(tx, "dim_test_type", _names(rows, "test_type_name"), "test_type_name")
     types = tx.table("dim_test_type").withColumnRenamed("test_type_name", "_type")
     tests = keys.lookup(_with_owner(tx, _latest(rows, "test_key")), types, "test_type_name", "_type", "test_type_sk")
     wanted = [c for c in S.columns("dim_test") if c != "test_sk"]
@@ -142,7 +149,7 @@ def load_plans(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None
 
 def load_executions(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None:
     rows = cut(dims.executions(parsed, fields_map))
-    _dimension(tx, "dim_environment", dims.environments(rows), "environment_name", upsert.insert_absent)
+    _insert_new(tx, "dim_environment", dims.environments(rows), "environment_name")
     _dimension(tx, "dim_test_execution", _latest(rows, "execution_key"), "execution_key", upsert.overwrite)
 
 
@@ -151,7 +158,7 @@ def load_runs(tx: Transaction, parsed: DataFrame, refresh_open_flag: bool = Fals
     testers = upsert.last_known(facts.testers(rows), ["tester_id"], "ord")
     _dimension(tx, "dim_tester", testers, "tester_id", upsert.patch)
     seen = _names(rows, "run_status").withColumnRenamed("run_status", "status_name")
-    _dimension(tx, "dim_status", seen.withColumn("status_category", F.lit("Unknown")), "status_name", upsert.insert_absent)
+    _insert_new(tx, "dim_status", seen.withColumn("status_category", F.lit("Unknown")), "status_name")
     ensure_releases(tx, rows.select(F.explode("versions").alias("release_name")))
 
     # Redeliveries with the same versions are dropped before the lookups, the rest after the fan-out.
