@@ -73,8 +73,6 @@ def cycle(t: Star, as_of: date) -> DataFrame:
     rows = _null_safe_left(rows, open_critical_rollup(t["fact_defect_link"], t["dim_defect"]))
     counts = ["covered_requirements", "total_requirements", "open_critical_defects"]
     day = int(as_of.strftime("%Y%m%d"))
-    return (
-        rows.fillna(0, subset=counts)
-        .withColumn("snapshot_date_sk", F.lit(day))
-        .join(t["dim_date"].select(F.col("date_sk").alias("snapshot_date_sk")), "snapshot_date_sk", "left_semi")
-    )
+    dated = rows.fillna(0, subset=counts).withColumn("snapshot_date_sk", F.lit(day))
+    known = not t["dim_date"].where(F.col("date_sk") == day).isEmpty()
+    return dated if known else dated.where(F.lit(False))

@@ -11,6 +11,7 @@ from qualitymart.plans import marts, pages
 from qualitymart.plans.context import Context, apply_context
 from qualitymart.queries.marts import SNAPSHOT_DAY
 from qualitymart.queries.registry import query
+from qualitymart.session import cut
 
 RELEASES = [f"R{year}Q{quarter}" for year in range(1995, 2002) for quarter in range(1, 5)]
 SQUADS = [f"NATION_{n}" for n in range(0, 24, 4)]
@@ -227,7 +228,7 @@ def two_snapshots(t):
     """Snapshots of two days; the earlier one sees only the runs started by then."""
     known = t["fact_test_run"].where(F.col("started_at") <= F.lit(EARLIER_DAY))
     early = snapshot.cycle(t.replace(fact_test_run=known), EARLIER_DAY)
-    return t.replace(fact_cycle_snapshot=early.unionByName(snapshot.cycle(t, SNAPSHOT_DAY)))
+    return t.replace(fact_cycle_snapshot=cut(early.unionByName(snapshot.cycle(t, SNAPSHOT_DAY))))
 
 
 SNAPSHOTS = """days AS (SELECT unnest([DATE '1998-12-31', DATE '2001-12-31']) AS day),

@@ -54,7 +54,7 @@ ISSUE = """named_struct(
 def customers(i: Inputs) -> DataFrame:
     """Customers with their region's name."""
     return (
-        i.raw("customer")
+        i.staged("customer")
         .join(i.raw("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(i.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -82,7 +82,7 @@ DEFECT = f"""named_struct(
 
 
 def defects(i: Inputs) -> DataFrame:
-    return records(i.raw("orders"), "jira_defect", "concat('D-', o_orderkey)", f"to_json({DEFECT})")
+    return records(i.staged("orders"), "jira_defect", "concat('D-', o_orderkey)", f"to_json({DEFECT})")
 
 
 SERVER_TEST = f"""to_json(named_struct(
@@ -100,7 +100,7 @@ CLOUD_TEST = f"""to_json(named_struct(
 def tests(i: Inputs) -> DataFrame:
     """Every other test comes from the cloud variant."""
     payload = f"CASE WHEN p_partkey % 2 = 0 THEN {SERVER_TEST} ELSE {CLOUD_TEST} END"
-    return records(i.raw("part"), "xray_test", "concat('T-', p_partkey)", payload)
+    return records(i.staged("part"), "xray_test", "concat('T-', p_partkey)", payload)
 
 
 def executions(i: Inputs) -> DataFrame:
@@ -114,7 +114,7 @@ def executions(i: Inputs) -> DataFrame:
             'customfield_10301', named_struct('key', concat('P-', o_orderkey % 11)),
             'customfield_10302', concat('rev-', o_orderkey % 10),
             'updated', concat(cast(cast(o_orderdate as date) as string), 'T08:00:00-02:00'))))"""
-    return records(i.raw("orders"), "xray_test_execution", "concat('E-', o_orderkey)", payload)
+    return records(i.staged("orders"), "xray_test_execution", "concat('E-', o_orderkey)", payload)
 
 
 RUN = f"""named_struct(
@@ -138,7 +138,7 @@ RUN = f"""named_struct(
 
 
 def run_rows(i: Inputs) -> DataFrame:
-    return i.raw("lineitem")
+    return i.staged("lineitem")
 
 
 def runs(i: Inputs) -> DataFrame:

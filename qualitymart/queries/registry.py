@@ -24,6 +24,14 @@ class Inputs:
         self.t = self.derived.star()
         self.raw = self.derived.raw
 
+    def staged(self, table: str) -> DataFrame:
+        """A table to make payloads from. One that is a single file is one task; it is spread over the
+        cores the way many staged files would be."""
+        df = self.raw(table)
+        if len(df.inputFiles()) > 1:
+            return df
+        return df.repartition(self.spark.sparkContext.defaultParallelism)
+
 
 def query(name: str, sql: str | None = None):
     """Register a query; ``sql`` may use the star tables named in ``oracle.STAR``."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -138,9 +140,20 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def constant_rows(spark: SparkSession, rows: Iterable[tuple], columns: str) -> DataFrame:
+    """A few fixed rows as SQL VALUES.
+
+    Spark knows the size of such a relation and broadcasts it; rows handed over as a Python list have
+    no known size, and a fact joined to them would be shuffled by their handful of keys.
+    """
+    text = ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {text} AS fixed({columns})")
+
+
 def status_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(STATUSES), "status_name STRING, status_category STRING, sort_order SMALLINT")
+    seed = constant_rows(spark, STATUSES, "status_name, status_category, sort_order")
+    return seed.withColumn("sort_order", F.col("sort_order").cast("smallint"))
 
 
 def root_cause_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ROOT_CAUSES), "root_cause_name STRING, root_cause_category STRING")
+    return constant_rows(spark, ROOT_CAUSES, "root_cause_name, root_cause_category")

@@ -47,7 +47,7 @@ RULES = {
     "run_status": "CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 'PASS' WHEN 'AO' THEN 'ABORTED'"
     " WHEN 'NF' THEN 'EXECUTING' WHEN 'NO' THEN 'TODO' WHEN 'RF' THEN 'FAIL' WHEN 'RO' THEN 'BLOCKED' END",
     "quarter_key": "year({day}) * 10 + quarter({day})",
-    "environment": "CASE WHEN l_linenumber <= 6 THEN (l_linenumber + 1) div 2 END",
+    "environment": "CASE WHEN l_linenumber <= 6 THEN cast((l_linenumber + 1) div 2 as int) END",
     "cause": "cast(l_partkey % 9 + 1 as int)",
     "defect_status": "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Reopened' END",
     "severity": "CASE o_orderpriority WHEN '1-URGENT' THEN 'Critical' WHEN '2-HIGH' THEN 'High'"
@@ -113,13 +113,11 @@ class DerivedStar:
 
     def dim_root_cause(self) -> DataFrame:
         rows = [(n, name, category) for n, (name, category) in enumerate(S.ROOT_CAUSES, start=1)]
-        return self.spark.createDataFrame(rows, "root_cause_sk INT, root_cause_name STRING, root_cause_category STRING")
+        return S.constant_rows(self.spark, rows, "root_cause_sk, root_cause_name, root_cause_category")
 
     def dim_environment(self) -> DataFrame:
         rows = [(1, "DEV", "Development", "Low"), (2, "SIT", "Integration", "Medium"), (3, "UAT", "Acceptance", "High")]
-        return self.spark.createDataFrame(
-            rows, "environment_sk BIGINT, environment_name STRING, environment_type STRING, criticality STRING"
-        )
+        return S.constant_rows(self.spark, rows, "environment_sk, environment_name, environment_type, criticality")
 
     def dim_tester(self) -> DataFrame:
         return self.raw("supplier").selectExpr(
@@ -202,11 +200,10 @@ class DerivedStar:
     @cached_property
     def _runs(self) -> DataFrame:
         """Line items with the run columns and the original keys next to them."""
-        parts = self.raw("part").selectExpr("p_partkey", f"{rule('test_type')} <> 'Manual' AS is_automated")
         base = self.raw("lineitem").selectExpr("*", f"{rule('run_status')} AS run_status", f"{rule('week')} AS _week")
         in_trouble = "run_status IN ('FAIL', 'BLOCKED')"
         causes = ", ".join(f"'{name}'" for name, _ in S.ROOT_CAUSES)
-        return base.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").selectExpr(
+        return base.selectExpr(
             "l_orderkey",
             "l_extendedprice",
             "concat(l_orderkey, '-', l_linenumber) AS test_run_id",
@@ -220,7 +217,6 @@ class DerivedStar:
             f"{rule('yyyymmdd', day='_week')} AS date_sk",
             "run_status",
             "1 AS run_sequence",
-            "is_automated",
             "run_status = 'BLOCKED' AS is_blocked",
             f"CASE WHEN run_status = 'BLOCKED' AND l_partkey % 4 <> 0 THEN element_at(array({causes}), {rule('cause')}) END AS block_reason",
             "cast(_week as timestamp_ntz) AS started_at",
@@ -233,7 +229,9 @@ class DerivedStar:
         )
 
     def fact_test_run(self) -> DataFrame:
-        return self._runs.drop("l_orderkey", "l_extendedprice")
+        parts = self.raw("part").selectExpr("p_partkey", f"{rule('test_type')} <> 'Manual' AS is_automated")
+        typed = self._runs.join(parts, F.col("test_sk") == F.col("p_partkey"), "left")
+        return typed.drop("l_orderkey", "l_extendedprice", "p_partkey")
 
     def fact_defect_link(self) -> DataFrame:
         linked = self._runs.where("defect_count = 1").selectExpr("l_orderkey AS defect_sk", "test_run_id", "release_sk")
