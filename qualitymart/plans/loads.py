@@ -25,6 +25,9 @@ from qualitymart.sources.warehouse import Transaction, Warehouse
 
 JOB = "delta_extractor"
 
+# A batch without any of these cannot change requirement coverage.
+COVERAGE_INPUTS = {"jira_version", "jira_issue", "xray_test", "xray_test_run"}
+
 
 def initialise(
     warehouse: Warehouse, start: date = calendar.DEFAULT_START, end: date = calendar.DEFAULT_END
@@ -235,7 +238,8 @@ def transform(
     for entity, load in plan:
         if counts.get(entity):
             load(parsed(entity))
-    load_coverage(tx)
+    if COVERAGE_INPUTS & counts.keys():
+        load_coverage(tx)
     load_snapshot(tx, as_of)
     tx.commit()
     return counts

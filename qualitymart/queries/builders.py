@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
+import uuid
+from datetime import date, datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -13,7 +13,10 @@ from qualitymart.functions.fieldmap import FieldMap, coerce
 from qualitymart.operators import coverage, dims, facts, keys, upsert, windows
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import query
+from qualitymart.session import shared_folder
 from qualitymart.sources import landing, staging
+from qualitymart.sources.warehouse import Warehouse
+from qualitymart.streaming import delta
 
 MAP = FieldMap()
 V = "v"  # the payload column
@@ -717,3 +720,26 @@ query(
        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC, l_suppkey DESC) = 1""",
 )(lambda i: replay(i, [(1995, 1997), (1997, 1999), (1999, 2002)]))
 
+
+
+def streamed_executions(i):
+    """Executions staged as files, applied by the streaming delta load, read back as a published table."""
+    root = f"{shared_folder(i.spark)}/stream-{uuid.uuid4().hex}"
+    staging.write(P.executions(i), f"{root}/staging")
+    warehouse = Warehouse(i.spark, f"{root}/warehouse")
+    delta.start(i.spark, f"{root}/staging", warehouse.root, f"{root}/checkpoint", date(2024, 3, 1)).awaitTermination()
+    return warehouse.star()["dim_test_execution"].drop("execution_sk", "assignee")
+
+
+query("i1_streamed_delta_load", EXECUTION)(streamed_executions)
+query(
+    "j8_join_on_computed_day",
+    """SELECT d.year, d.week_of_year, d.is_weekend, count(*) AS defects FROM dim_defect x
+       JOIN dim_date d ON d.full_date = CAST(x.created_at AS DATE) GROUP BY ALL""",
+)(
+    lambda i: i.t["dim_defect"]
+    .withColumn("date_sk", X.date_to_sk(F.to_date("created_at")))
+    .join(i.t["dim_date"], "date_sk")
+    .groupBy("year", "week_of_year", "is_weekend")
+    .agg(F.count("*").alias("defects"))
+)

@@ -55,6 +55,6 @@ def shared_folder(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that lost executors need not recompute it."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

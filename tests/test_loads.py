@@ -169,6 +169,9 @@ def test_dry_run_and_failure_publish_nothing(spark, replayed):
     dry = loads.run(spark, loads.LoadConfig(root, "run-4", as_of=AS_OF, dry_run=True), lambda wm: records(spark, extra))
     assert dry.status == "success" and dry.records_extracted == 1 and dry.rows_processed == 0
 
+    other = loads.LoadConfig(root, "run-6", as_of=AS_OF, dry_run=True, projects=("OTHER",))
+    assert loads.run(spark, other, lambda wm: records(spark, extra)).records_extracted == 0
+
     def broken(_):
         raise RuntimeError("no pages")
 
