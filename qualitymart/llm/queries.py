@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from qualitymart.llm import common, packing, token_counts, wavelet
+from qualitymart.llm import common, fingerprint, packing, sharding, token_counts, url_filter, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,16 +28,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+RULES = [
+    url_filter.Rule("com", "/", "allow"),
+    url_filter.Rule("example.com", "/en/", "block"),
+    url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"),
+    url_filter.Rule("net", "/fr/", "block"),
+]
+
+
+@query
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's url ends in the number of its document; urls of labelled documents train the trees."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    document = F.regexp_extract("url", r"://[^?#]*/([0-9]{1,18})(?:[.]html|/)?(?:[?#]|$)", 1).try_cast("long")
+    block = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = pages.select("url", document.alias("doc_id")).join(labels, "doc_id").select("url", block.alias("block"))
+    return url_filter.judge(pages, RULES, labelled)
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=24)
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
 
+@query
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.new_folder(spark, "token-ids")
