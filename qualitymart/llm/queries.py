@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualitymart.llm import common, fingerprint, packing, sharding, token_counts, url_filter, wavelet
+from qualitymart.llm import common, fingerprint, language, packing, quality, sharding, token_counts, url_filter, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +47,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, RULES, labelled)
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -62,6 +67,15 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.held_out(F.col("doc_id"))
+    names, chances = language.learn(docs.where(~held_out), "text", "lang")
+    found = language.identify(docs, names, chances)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
 @query
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(table(spark, sf_dir, "documents"))

@@ -111,7 +111,7 @@ def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame, id_column: s
 
     share = min(1.0, trained / count)
     training = known.where(F.pmod(F.xxhash64("_url"), F.lit(1_000_000)) < int(share * 1_000_000))
-    boosting = GBTClassifier(featuresCol="_features", labelCol="_block", predictionCol="_predicted", maxIter=trees, maxDepth=4, maxBins=64, stepSize=0.3, seed=7)
+    boosting = GBTClassifier(featuresCol="_features", labelCol="_block", predictionCol="_predicted", maxIter=trees, maxDepth=4, maxBins=64, minInstancesPerNode=10, stepSize=0.1, seed=7)
     model = boosting.setProbabilityCol("_probability").setRawPredictionCol("_raw").fit(with_features(training, suffixes, blocked / count))
     judged = model.transform(with_features(urls, suffixes, blocked / count)).withColumn("_score", vector_to_array("_probability")[1])
     verdict = F.coalesce("_rule.verdict", F.when(F.col("_score") > 0.5, "block").otherwise("allow"))
