@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualitymart.llm import common, fingerprint, language, packing, quality, sharding, token_counts, url_filter, wavelet
+from qualitymart.llm import common, fingerprint, jaccard_join, language, packing, quality, sharding, token_counts, url_filter, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages", "shares")
 
 
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, threshold=85)
+
+
 @query
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(table(spark, sf_dir, "documents"))
