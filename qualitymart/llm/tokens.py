@@ -30,6 +30,9 @@ SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f"
 
 END = "\x00"
 
+#: Pre-tokens whose ids a worker remembers.
+KNOWN = 1 << 18
+
 
 def byte_alphabet() -> dict[str, int]:
     """The printable character that stands for each byte in a byte-level vocabulary, by rule: printable
@@ -83,8 +86,8 @@ class Library:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(f"({re.escape(s)})" for s in sorted(special, key=len, reverse=True)) or r"(?!)")
+        self.strings = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.special = re.compile("|".join(f"({re.escape(s)})" for s in self.strings) or r"(?!)")
         self.size = self.tokenizer.get_vocab_size()
         alphabet = byte_alphabet()
         self.bytes_of = lambda shown: bytes(alphabet[c] for c in shown)
@@ -123,7 +126,7 @@ class Ranked(Library):
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=found, special_tokens={})
 
     def plain(self, text: str) -> bool:
-        return PLAIN.fullmatch(text) is not None and self.special.search(text) is None
+        return PLAIN.fullmatch(text) is not None and not any(s in text for s in self.strings)
 
 
 class Bytes(Ranked):
@@ -151,6 +154,9 @@ class Words(Ranked):
         super().__init__(path, config, f"[^{END}]+{END}")
         letters, digits = char_class("L"), char_class("N")
         self.split = re.compile(rf"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{digits}]|[^{SPACES}{letters}{digits}]+")
+        self.known: dict[str, bytes] = {}
+        by_rank = sorted(self.encoding.token_byte_values(), key=self.encoding.encode_single_token)
+        self.ends = np.array([b.endswith(END.encode()) for b in by_rank])
 
     def pretokens(self, text: str) -> list[str]:
         if not self.plain(text):
@@ -162,8 +168,23 @@ class Words(Ranked):
     def ids(self, text: str) -> np.ndarray:
         if not self.plain(text):
             return Library.ids(self, text)
-        marked = END.join([*self.pretokens(text), ""])
-        return self.id_of[np.frombuffer(array("I", self.encoding.encode_ordinary(marked)), dtype=np.uint32)]
+        pretokens = self.pretokens(text)
+        parts = list(map(self.known.get, pretokens))
+        rare = [k for k, part in enumerate(parts) if part is None]
+        if rare:
+            found = self._encode([pretokens[k] for k in rare])
+            for k, part in zip(rare, found, strict=True):
+                parts[k] = part
+            if len(self.known) < KNOWN:
+                self.known.update((pretokens[k], parts[k]) for k in rare if len(pretokens[k]) <= 32)
+        return np.frombuffer(b"".join(parts), dtype=np.uint32)
+
+    def _encode(self, pretokens: list[str]) -> list[bytes]:
+        """The ids of each pre-token, all encoded in one call and cut after ids that end a word."""
+        found = np.frombuffer(array("I", self.encoding.encode_ordinary(END.join([*pretokens, ""]))), dtype=np.uint32)
+        raw = self.id_of[found].tobytes()
+        cuts = [0, *((np.flatnonzero(self.ends[found]) + 1) * 4).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def pieces(self, pretokens: list[str]) -> list[int]:
         encode = self.encoding.encode_ordinary
