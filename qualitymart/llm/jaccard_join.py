@@ -328,3 +328,20 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
     part = components(links.unionByName(more).unionByName(equal))
     found = measured.select(F.col("node").alias("doc_id"), "n_shingles")
     return found.join(part, found["doc_id"] == part["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, threshold: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those linked to a smaller id, columns as they are.
+
+    Of rows that repeat an id, one stays. Rows with a null id and those without a word all stay.
+    """
+    found = near_duplicates(docs, words, threshold, id_column, text_column)
+    gone = stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "duplicates")
+    few = F.broadcast(gone) if gone.limit(SENT + 1).count() <= SENT else gone
+    kept = docs.join(few, docs[id_column] == few["_id"], "left_anti")
+    ids = docs.where(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("_id")).count().where("count > 1").select("_id")
+    repeated = stored(ids, "repeated-ids")
+    if not repeated.limit(1).count():
+        return kept
+    again = semi(kept, repeated, id_column).dropDuplicates([id_column])
+    return kept.join(repeated, kept[id_column] == repeated["_id"], "left_anti").unionByName(again)
