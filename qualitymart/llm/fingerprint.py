@@ -47,7 +47,7 @@ def as_text(lanes: str) -> Column:
 def combine(a: str, b: str, sign: int = 1) -> Column:
     """Fingerprint ``a`` with the paragraphs of ``b`` inserted (or with ``sign=-1`` deleted)."""
     how = "+" if sign > 0 else "-"
-    return F.expr(f"transform(arrays_zip({a} as a, {b} as b), (v, i) -> if(i < {EQUAL}, (v.a {how} v.b) & 4294967295, v.a {how} v.b))")
+    return F.expr(f"transform(zip_with({a}, {b}, (x, y) -> x {how} y), (x, i) -> if(i < {EQUAL}, x & 4294967295, x))")
 
 
 def likeness(a: str, b: str) -> Column:
