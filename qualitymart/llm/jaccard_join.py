@@ -32,8 +32,8 @@ from qualitymart.llm.common import partitions, stored
 from qualitymart.llm.components import components
 from qualitymart.llm.token_counts import texts_of
 
-#: Groups of the count vectors.
-AXES = 64
+#: Groups of the count vectors, and the count from which on a coordinate is only known to be that high.
+AXES, FULL = 256, 65_535
 #: Points in a leaf of the tree, and children of an inner node.
 LEAF = 16
 #: A table of ids is sent to all tasks if it has at most this many rows (24 MB), else it is joined by a shuffle.
@@ -82,7 +82,17 @@ def shingles(text: str, words: int) -> np.ndarray:
 
 
 def count_vector(found: np.ndarray) -> np.ndarray:
-    return np.bincount((mixed(found, 1) >> U64(40)).astype(np.int64) % AXES, minlength=AXES).astype(np.uint32)
+    counts = np.bincount((mixed(found, 1) >> U64(56)).astype(np.int64), minlength=AXES)
+    return np.minimum(counts, FULL).astype(np.uint16)
+
+
+def can_link(x: np.ndarray, y: np.ndarray, sizes_x: np.ndarray | int, sizes_y: np.ndarray, threshold: int) -> np.ndarray:
+    """Whether the summed minima of count vectors (rows, or one row against all) allow the threshold."""
+    least = np.minimum(x, y)
+    bound = least.sum(1, dtype=np.int64)
+    if least.size and least.max() >= FULL:
+        bound[(least >= FULL).any(1)] = np.iinfo(np.int64).max
+    return bound >= overlap_needed(sizes_x, sizes_y, threshold)
 
 
 @lru_cache(maxsize=64)
@@ -110,7 +120,7 @@ def group_keys(found: np.ndarray, threshold: int) -> np.ndarray:
     for least, differences in classes_of(len(found), threshold):
         groups = differences + differences // 16 + 4 if differences else 1
         group = ((mixed(found, 2) >> U64(32)) * U64(groups)) >> U64(32)
-        order = np.argsort(group, kind="stable")
+        order = np.argsort(group.astype(np.uint16) if groups <= 1 << 16 else group, kind="stable")
         group = group[order]
         starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         sums = np.add.reduceat(mixed(found, 3)[order], starts)
@@ -130,53 +140,54 @@ def overlap_needed(a: np.ndarray | int, b: np.ndarray | int, threshold: int) ->
 class Tree:
     """An R-tree of count vectors, packed level by level from points sorted by size and by coordinates."""
 
-    def __init__(self, points: np.ndarray):
-        self.points, self.sizes = points.astype(np.int64), points.sum(1).astype(np.int64)
-        order = np.lexsort((self.points[:, 1], self.points[:, 0], self.sizes))
-        self.levels = []
+    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+        self.points, self.sizes = points, sizes
+        order = np.lexsort((points[:, 1], points[:, 0], sizes))
         groups = [order[k : k + LEAF] for k in range(0, len(order), LEAF)]
-        top = [self.points[g].max(0) for g in groups]
-        small = [self.sizes[g].min() for g in groups]
-        while True:
-            self.levels.append((groups, np.array(top), np.array(small)))
-            if len(groups) <= 1:
-                break
+        top, small = np.array([points[g].max(0) for g in groups]), np.array([sizes[g].min() for g in groups])
+        self.levels = [(groups, top, small)]
+        while len(groups) > 1:
             groups = [np.arange(k, min(k + LEAF, len(top))) for k in range(0, len(top), LEAF)]
-            top, small = [np.max([top[j] for j in g], 0) for g in groups], [min(small[j] for j in g) for g in groups]
+            top, small = np.array([top[g].max(0) for g in groups]), np.array([small[g].min() for g in groups])
+            self.levels.append((groups, top, small))
 
-    def reach(self, point: np.ndarray, threshold: int) -> np.ndarray:
+    def reach(self, point: np.ndarray, size: int, threshold: int) -> np.ndarray:
         """The points whose overlap with ``point`` may reach the threshold."""
-        size = int(point.sum())
-        at = np.array([0]) if len(self.levels[-1][0]) else np.zeros(0, int)
+        at = np.zeros(1, int)
         for groups, top, small in reversed(self.levels):
-            can = np.minimum(top[at], point).sum(1) >= overlap_needed(size, small[at], threshold)
-            at = np.concatenate([groups[k] for k in at[can]]) if can.any() else np.zeros(0, int)
-        can = np.minimum(self.points[at], point).sum(1) >= overlap_needed(size, self.sizes[at], threshold)
-        return at[can]
+            can = at[can_link(top[at], point, size, small[at], threshold)]
+            at = np.concatenate([groups[k] for k in can]) if len(can) else np.zeros(0, int)
+        return at[can_link(self.points[at], point, size, self.sizes[at], threshold)]
 
 
-def shared_keys(rows: DataFrame, words: int, threshold: int) -> DataFrame:
-    """``key, node`` of all documents that share a key with another one, and ``leader``, the smallest of them.
-
-    Equal sets in one batch are sent once. A task reads its keys in order and holds no group.
-    """
+def keyed(rows: DataFrame, words: int, threshold: int) -> DataFrame:
+    """``node, n_shingles, _k1, _k2, vector, keys`` of every row: the size and a 128-bit hash of its set, the
+    count vector and the group keys. A set that was in the batch before has no keys."""
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, seen, keys, nodes, held = batch.column(0).to_pylist(), set(), [], [], 0
-            for k, text in texts_of(batch, 1):
+            seen, columns = set(), [[] for _ in range(5)]
+            for _, text in texts_of(batch, 1):
                 found = shingles(text, words)
-                whole = xxhash.xxh3_128_digest(found.tobytes())
-                if len(found) and whole not in seen:
-                    seen.add(whole)
-                    keys.append(group_keys(found, threshold))
-                    nodes.append(np.full(len(keys[-1]), ids[k], np.int64))
-                    held += len(keys[-1])
-                if held > 1 << 17:
-                    yield pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], ["key", "node"])
-                    keys, nodes, held = [], [], 0
-            if held:
-                yield pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], ["key", "node"])
+                whole = tuple(int(mixed(found, k).sum(dtype=U64).view(np.int64)) for k in (7, 8))
+                new = len(found) and whole not in seen
+                seen.add(whole)
+                keys = group_keys(found, threshold).view(np.int64) if new else np.zeros(0, np.int64)
+                for column, value in zip(columns, (len(found), *whole, count_vector(found).tobytes(), keys), strict=True):
+                    column.append(value)
+            ends = np.cumsum([0, *map(len, columns[4])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *columns[4]])))
+            out = [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary()), lists]
+            yield pa.record_batch(out, ["node", "n_shingles", "_k1", "_k2", "vector", "keys"])
+
+    return rows.mapInArrow(measure, "node long, n_shingles long, _k1 long, _k2 long, vector binary, keys array<long>")
+
+
+def shared_keys(measured: DataFrame) -> DataFrame:
+    """``key, node`` of all documents that share a key with another one, and ``leader``, the smallest of them.
+
+    A task reads its keys in order and holds no group.
+    """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key = held_node = leader = None  # the last row so far and its run's leader
@@ -186,24 +197,23 @@ def shared_keys(rows: DataFrame, words: int, threshold: int) -> DataFrame:
                 continue
             if held_key is not None:
                 keys, nodes = np.concatenate([[held_key], keys]), np.concatenate([[held_node], nodes])
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            run = np.cumsum(np.concatenate([[True], keys[1:] != keys[:-1]])) - 1
+            new = np.concatenate([[True], keys[1:] != keys[:-1]])
+            starts, run = np.flatnonzero(new), np.cumsum(new) - 1
             leaders = nodes[starts]
             if leader is not None:
-                leaders = leaders.copy()
                 leaders[0] = leader
             lengths = np.diff(np.append(starts, len(keys)))
             shared = (nodes[starts + lengths - 1] != leaders)[run]
             shared[-1] = False  # the last row waits, as its run may go on in the next batch
             if shared.any():
                 yield pa.record_batch([pa.array(keys[shared]), pa.array(nodes[shared]), pa.array(leaders[run][shared])], ["key", "node", "leader"])
-            held_key, held_node = keys[-1], nodes[-1]
-            leader = leaders[-1]
+            held_key, held_node, leader = keys[-1], nodes[-1], leaders[-1]
         if held_key is not None and leader != held_node:
             yield pa.record_batch([pa.array([held_key]), pa.array([held_node]), pa.array([leader])], ["key", "node", "leader"])
 
-    n = partitions(rows.sparkSession)
-    dealt = rows.mapInArrow(emit, "key long, node long").repartition(n, "key").sortWithinPartitions("key", "node")
+    n = partitions(measured.sparkSession)
+    keys = measured.where("node is not null").select(F.explode("keys").alias("key"), "node")
+    dealt = keys.repartition(n, "key").sortWithinPartitions("key", "node")
     return dealt.mapInArrow(runs, "key long, node long, leader long")
 
 
@@ -232,48 +242,78 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, threshold: int) -> D
     return stored(both.mapInArrow(check, "a long, b long"), "links")
 
 
+def vectors_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, AXES)
+
+
 def bounded(pairs: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
     """The ``pairs`` whose count vectors allow the threshold."""
-    left = pairs.join(points.select(F.col("node").alias("a"), F.col("vector").alias("_left")), "a")
-    both = left.join(points.select(F.col("node").alias("b"), F.col("vector").alias("_right")), "b").select("a", "b", "_left", "_right")
+    left = pairs.join(points.select(F.col("node").alias("a"), F.col("n_shingles").alias("_m"), F.col("vector").alias("_left")), "a")
+    both = left.join(points.select(F.col("node").alias("b"), F.col("n_shingles").alias("_n"), F.col("vector").alias("_right")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, AXES).astype(np.int64) for k in (2, 3))
-            keep = np.minimum(x, y).sum(1) >= overlap_needed(x.sum(1), y.sum(1), threshold)
+            sizes = [batch.column(k).to_numpy() for k in (2, 3)]
+            keep = can_link(vectors_of(batch.column(4)), vectors_of(batch.column(5)), *sizes, threshold)
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
-    return both.mapInArrow(check, "a long, b long")
+    return both.select("a", "b", "_m", "_n", "_left", "_right").mapInArrow(check, "a long, b long")
 
 
 def across(shared: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of documents under one key that are in different components, found by a tree per key."""
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []  # rows of the key at hand
-
-        def pairs() -> Iterator[pa.RecordBatch]:
-            nodes, parts = (np.array([r[k] for r in held], np.int64) for k in (1, 2))
-            if len(np.unique(parts)) < 2:
-                return
-            vectors = np.frombuffer(b"".join(r[3] for r in held), np.uint32).reshape(-1, AXES)
-            tree = Tree(vectors)
-            for k in range(len(held)):
-                at = tree.reach(tree.points[k], threshold)
+    """Pairs of documents under one key that are in different components: a tree per key, of which a key with
+    at most ``LEAF`` documents needs only the leaf."""
+
+    def told(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(np.minimum(nodes[i], nodes[j])), pa.array(np.maximum(nodes[i], nodes[j]))], ["a", "b"])
+
+    def in_leaves(keys, nodes, parts, sizes, vectors) -> Iterator[pa.RecordBatch]:
+        for gap in range(1, LEAF):
+            i = np.flatnonzero((keys[gap:] == keys[:-gap]) & (parts[gap:] != parts[:-gap])) if gap < len(keys) else np.zeros(0, int)
+            if len(i):
+                i = i[can_link(vectors[i], vectors[i + gap], sizes[i], sizes[i + gap], threshold)]
+                yield told(nodes, i, i + gap)
+
+    def in_tree(nodes, parts, sizes, vectors) -> Iterator[pa.RecordBatch]:
+        if len(np.unique(parts)) > 1:
+            tree = Tree(vectors, sizes)
+            for k in range(len(nodes)):
+                at = tree.reach(vectors[k], sizes[k], threshold)
                 at = at[(nodes[at] > nodes[k]) & (parts[at] != parts[k])]
                 if len(at):
-                    yield pa.record_batch([pa.array(np.full(len(at), nodes[k])), pa.array(nodes[at])], ["a", "b"])
+                    yield told(nodes, np.full(len(at), k), at)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # parts of the key at hand
+
+        def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            keys = columns[0]
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            lengths = np.diff(np.append(starts, len(keys)))
+            few = np.repeat(lengths <= LEAF, lengths)
+            yield from in_leaves(*(c[few] for c in columns))
+            for start, length in zip(starts[lengths > LEAF], lengths[lengths > LEAF], strict=True):
+                yield from in_tree(*(c[start : start + length] for c in columns[1:]))
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0][0] != row[0]:
-                    yield from pairs()
-                    held = []
-                held.append(row)
+            columns = [*(batch.column(k).to_numpy() for k in range(4)), vectors_of(batch.column(4))]
+            if not len(columns[0]):
+                continue
+            if held and held[-1][0][-1] == columns[0][0] == columns[0][-1]:
+                held.append(columns)
+                continue
+            last = len(columns[0]) - int((columns[0] == columns[0][-1]).sum())
+            if last:
+                yield from found([np.concatenate(c) for c in zip(*held, [c[:last] for c in columns], strict=True)])
+                held = []
+            elif held and held[-1][0][-1] != columns[0][0]:
+                yield from found([np.concatenate(c) for c in zip(*held, strict=True)])
+                held = []
+            held.append([c[last:] for c in columns])
         if held:
-            yield from pairs()
+            yield from found([np.concatenate(c) for c in zip(*held, strict=True)])
 
-    rows = shared.join(points, "node").select("key", "node", "component", "vector")
+    rows = shared.join(points, "node").select("key", "node", "component", "n_shingles", "vector")
     dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "node")
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
@@ -288,23 +328,15 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
     """
     rows = docs.select(F.col(id_column).cast("long").alias("_node"), F.coalesce(text_column, F.lit("")).alias("_text"))
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, keys, others, vectors = [], [], [], []
-            for _, text in texts_of(batch, 1):
-                found = shingles(text, words)
-                sizes.append(len(found))
-                keys.append(int(mixed(found, 7).sum(dtype=U64).view(np.int64)))
-                others.append(int(mixed(found, 8).sum(dtype=U64).view(np.int64)))
-                vectors.append(count_vector(found).tobytes())
-            out = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(others, pa.int64()), pa.array(vectors, pa.binary())]
-            yield pa.record_batch(out, ["node", "n_shingles", "_k1", "_k2", "vector"])
-
-    measured = stored(rows.mapInArrow(measure, "node long, n_shingles long, _k1 long, _k2 long, vector binary"), "points")
+    measured = stored(keyed(rows, words, threshold), "points")
     linkable = measured.where("n_shingles > 0 and node is not null")
-    sets = linkable.groupBy("n_shingles", "_k1", "_k2").agg(F.min("node").alias("first"))
-    firsts = stored(linkable.join(sets, ["n_shingles", "_k1", "_k2"]).select("node", "first"), "equal-sets")
-    points = linkable.select("node", "vector").join(firsts.where("node = first").select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    # only sets that occur more than once are joined; a set may hold a third of all rows
+    sets = linkable.groupBy("n_shingles", "_k1", "_k2").agg(F.min("node").alias("first"), F.max("node").alias("_last")).where("first <> _last").drop("_last")
+    sets = stored(sets, "equal-sets")
+    few = F.broadcast(sets) if sets.limit(SENT + 1).count() <= SENT else sets
+    ids = linkable.select("node", "n_shingles", "_k1", "_k2").join(few, ["n_shingles", "_k1", "_k2"], "left")
+    firsts = stored(ids.select("node", F.coalesce("first", "node").alias("first")).distinct(), "firsts")
+    points = linkable.select("node", "n_shingles", "vector").join(firsts.where("node = first").select("node"), "node", "left_semi").dropDuplicates(["node"])
 
     def by_first(frame: DataFrame, column: str) -> DataFrame:
         """``column`` replaced by the smallest id with the same n-grams."""
@@ -312,7 +344,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
         return frame.join(to, frame[column] == to["_n"]).drop(column, "_n").withColumnRenamed("_f", column)
 
     texts = rows.where("_node is not null")
-    shared = stored(shared_keys(texts, words, threshold), "shared-keys")
+    shared = stored(shared_keys(measured), "shared-keys")
     pairs = by_first(by_first(shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "a"), "b")
     pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = verified(stored(bounded(pairs, points, threshold), "pairs"), texts, words, threshold)
