@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,7 +46,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, memory="16g")
+    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, memory="16g", folder=tempfile.mkdtemp(prefix="bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     run = lambda name: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     run(HEADLINE[0])

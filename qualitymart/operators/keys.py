@@ -7,16 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
 
-
-def number(new_keys: DataFrame, key: str, sk: str, start: int, buckets: int = BUCKETS) -> DataFrame:
+def number(new_keys: DataFrame, key: str, sk: str, start: int, buckets: int | None = None) -> DataFrame:
     """Dense numbers after ``start`` for distinct natural keys.
 
     Keys are numbered inside hash buckets and shifted by the sizes of the buckets before, so no task
-    sees more than a bucket. The numbers depend only on the set of keys, which makes a recomputed
-    task give the same ones.
+    sees more than a bucket; there are as many as the session has shuffle partitions. The numbers depend
+    only on the set of keys, which makes a recomputed task give the same ones.
     """
+    buckets = buckets or int(new_keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = new_keys.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     sizes = spread.groupBy("_bucket").agg(F.count("*").alias("_n"))
     # At most ``buckets`` rows from here on: safe to order in one task and to broadcast.
@@ -34,11 +33,20 @@ def number(new_keys: DataFrame, key: str, sk: str, start: int, buckets: int = BU
 def merge_dimension(
     target: DataFrame, updates: DataFrame, key: str, sk: str, merge: Callable[[DataFrame, DataFrame, list[str]], DataFrame]
 ) -> DataFrame:
-    """Merge updates by natural key and number the rows that are new."""
-    merged = merge(target, updates.where(F.col(key).isNotNull() & (F.col(key) != "")), [key])
+    """Merge updates by natural key; only keys the target lacks are numbered.
+
+    Keys are told apart first: updates of known keys are merged into the target, the others get their
+    number among themselves and then pass through the same merge against an empty target.
+    """
+    named = updates.where(F.col(key).isNotNull() & (F.col(key) != ""))
+    known = target.select(F.col(key).alias("_known"))
+    fresh = named.join(known, F.col(key) == F.col("_known"), "left_anti")
     highest = target.agg(F.coalesce(F.max(sk), F.lit(0)).alias("m")).first()["m"]
-    fresh = number(merged.where(F.col(sk).isNull()).drop(sk), key, sk, highest)
-    return merged.where(F.col(sk).isNotNull()).unionByName(fresh)
+    numbers = number(fresh.select(key), key, sk, highest)
+    held = named.join(known, F.col(key) == F.col("_known"), "left_semi")
+    merged = merge(target, held, [key])
+    inserted = merge(target.where(F.lit(False)), fresh, [key]).drop(sk).join(numbers, key)
+    return merged.unionByName(inserted.select(*merged.columns))
 
 
 def lookup(df: DataFrame, dimension: DataFrame, on: str, key: str, *columns: str) -> DataFrame:

@@ -37,12 +37,37 @@ def visible_squads(t: Star, email: str, role: str | None) -> DataFrame:
 
 
 def secure(t: Star, email: str, role: str | None) -> Star:
-    """The star as a user in a role sees it (R3): an executive all, a user without a role nothing."""
+    """The star as a user in a role sees it.
+
+    An executive sees all. Others see what leads to their squads: tests, requirements and defects, their
+    runs, steps, coverage, links and snapshots; of the users only themselves. Tables without a way to a
+    squad are open to every role. A user without a role gets no row of any table.
+    """
     if role == EXECUTIVE:
         return t
+    if role not in (MEMBER, MANAGER):
+        return t.replace(**{name: t[name].where(F.lit(False)) for name in t})
     frames: dict[str, DataFrame] = {}
     restrict_to_squads(t, frames, visible_squads(t, email, role))
-    return t.replace(**frames)
+    own = F.col("user_email") == email
+    if role == MANAGER:
+        own &= F.col("role").isin(MANAGER, EXECUTIVE)
+    return t.replace(**{**frames, "bridge_squad_user": t["bridge_squad_user"].where(own)})
+
+
+def visibility(t: Star, email: str, role: str | None) -> DataFrame:
+    """``tbl, visible, total``: how many rows of each table the user sees, and how many there are."""
+    seen = secure(t, email, role)
+    one = F.lit(1).cast("bigint")
+    counts = [
+        frame.agg(F.count(one).alias("n")).select(F.lit(name).alias("tbl"), *[F.when(F.lit(k == column), F.col("n")).otherwise(0).alias(k) for k in ("visible", "total")])
+        for name in sorted(t)
+        for column, frame in (("visible", seen[name]), ("total", t[name]))
+    ]
+    rows = counts[0]
+    for more in counts[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy("tbl").agg(F.sum("visible").alias("visible"), F.sum("total").alias("total"))
 
 
 def user_lookup(t: Star, email: str) -> DataFrame:

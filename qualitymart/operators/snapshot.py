@@ -73,6 +73,5 @@ def cycle(t: Star, as_of: date) -> DataFrame:
     rows = _null_safe_left(rows, open_critical_rollup(t["fact_defect_link"], t["dim_defect"]))
     counts = ["covered_requirements", "total_requirements", "open_critical_defects"]
     day = int(as_of.strftime("%Y%m%d"))
-    dated = rows.fillna(0, subset=counts).withColumn("snapshot_date_sk", F.lit(day))
-    known = not t["dim_date"].where(F.col("date_sk") == day).isEmpty()
-    return dated if known else dated.where(F.lit(False))
+    known = t["dim_date"].where(F.col("date_sk") == day).agg(F.max("date_sk")).scalar()
+    return rows.fillna(0, subset=counts).withColumn("snapshot_date_sk", known).where("snapshot_date_sk IS NOT NULL")

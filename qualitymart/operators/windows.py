@@ -78,23 +78,19 @@ def share_of_total(counted: DataFrame, value: str, share: str, within: Sequence[
 def run_sequence(runs: DataFrame, keys: Sequence[str], started: str, order: Sequence[str | Column]) -> DataFrame:
     """Ordinal of a run among the runs of the same keys (W5), by start time then ``order``.
 
-    Two levels: rows are numbered within (key, day), days get offsets from the counts of earlier
-    days. A key with very many runs is therefore spread over its days.
+    One key, or one day of it, may hold a large share of the rows. Rows are numbered within (key, minute);
+    minutes get offsets from the counts of earlier minutes of their day, days from those of earlier days. So
+    no task orders more rows than a key has in a minute, and the offsets are made from counts alone.
     """
-    day = F.to_date(started)
-    dated = runs.withColumn("_day", day)
-    within = Window.partitionBy(*keys, "_day").orderBy(started, *order)
-    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        dated.groupBy(*keys, "_day")
-        .agg(F.count("*").alias("_n"))
-        .select(*keys, "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
-    numbered = dated.withColumn("_within", F.row_number().over(within))
-    on = [numbered[c].eqNullSafe(offsets[c]) for c in [*keys, "_day"]]
-    return (
-        numbered.join(offsets, on, "left")
-        .select(numbered["*"], "_before")
-        .withColumn("run_sequence", F.col("_before") + F.col("_within"))
-        .drop("_day", "_within", "_before")
-    )
+    timed = runs.withColumns({"_day": F.to_date(started), "_minute": F.date_trunc("MINUTE", F.col(started))})
+    counts = timed.groupBy(*keys, "_day", "_minute").agg(F.count("*").alias("_n"))
+    before = lambda by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    minutes = counts.withColumn("_in_day", F.coalesce(F.sum("_n").over(before([*keys, "_day"], "_minute")), F.lit(0))).drop("_n")
+    days = counts.groupBy(*keys, "_day").agg(F.sum("_n").alias("_n"))
+    days = days.withColumn("_before", F.coalesce(F.sum("_n").over(before(keys, "_day")), F.lit(0))).drop("_n")
+    numbered = timed.withColumn("_within", F.row_number().over(Window.partitionBy(*keys, "_minute").orderBy(started, *order)))
+    same = lambda left, right, on: [left[c].eqNullSafe(right[c]) for c in on]
+    shifted = numbered.join(minutes, same(numbered, minutes, [*keys, "_day", "_minute"]), "left").select(numbered["*"], "_in_day")
+    shifted = shifted.join(days, same(shifted, days, [*keys, "_day"]), "left").select(shifted["*"], "_before")
+    ordinal = F.col("_before") + F.col("_in_day") + F.col("_within")
+    return shifted.withColumn("run_sequence", ordinal).drop("_day", "_minute", "_within", "_in_day", "_before")

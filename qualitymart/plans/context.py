@@ -167,14 +167,23 @@ def apply_context(t: Star, ctx: Context) -> Star:
             keep &= sk <= int(ctx.last_day.strftime("%Y%m%d"))
         frames["dim_date"] = get("dim_date").where(keep)
         frames["fact_test_run"] = get("fact_test_run").where(keep)
+    steps_of_runs(t, frames)
     return t.replace(**frames)
 
 
+def steps_of_runs(t: Star, frames: dict[str, DataFrame]) -> None:
+    """A filter on runs reaches their steps."""
+    steps = "fact_test_step_result"
+    if steps in t and "fact_test_run" in frames:
+        runs = frames["fact_test_run"].select("test_run_id").distinct()
+        frames[steps] = frames.get(steps, t[steps]).join(runs, "test_run_id", "left_semi")
+
+
 def restrict_to_squads(t: Star, frames: dict[str, DataFrame], squads: DataFrame) -> None:
     """Keep only rows that belong to the given squads, in every table that leads to a squad."""
     allowed = squads.select("squad_sk").distinct()
     frames["dim_squad"] = squads
-    for table in ("dim_test", "dim_issue", "dim_defect", "fact_cycle_snapshot"):
+    for table in ("dim_test", "dim_issue", "dim_defect", "dim_test_plan", "fact_cycle_snapshot", "bridge_squad_user"):
         if table in t:
             frames[table] = frames.get(table, t[table]).join(allowed, "squad_sk", "left_semi")
     for fact, key, dimension in (
@@ -184,3 +193,7 @@ def restrict_to_squads(t: Star, frames: dict[str, DataFrame], squads: DataFrame)
     ):
         if fact in t and dimension in frames:
             frames[fact] = frames.get(fact, t[fact]).join(frames[dimension].select(key), key, "left_semi")
+    for bridge in ("bridge_issue_test", "bridge_issue_release"):
+        if bridge in t and "dim_issue" in frames:
+            frames[bridge] = frames.get(bridge, t[bridge]).join(frames["dim_issue"].select("issue_key"), "issue_key", "left_semi")
+    steps_of_runs(t, frames)

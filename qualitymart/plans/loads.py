@@ -19,7 +19,7 @@ from qualitymart.functions import scalars as X
 from qualitymart.functions.fieldmap import FieldMap
 from qualitymart.operators import coverage, dims, facts, keys, snapshot, upsert, windows
 from qualitymart.session import configure, cut
-from qualitymart.sources import landing, staging
+from qualitymart.sources import staging
 from qualitymart.sources.control import Control
 from qualitymart.sources.warehouse import Transaction, Warehouse
 
@@ -43,6 +43,7 @@ def initialise(
 
 def _dimension(tx: Transaction, name: str, updates: DataFrame, key: str, merge) -> None:
     sk = S.columns(name)[0]
+    tx.count_changes(name, tx.table(name), updates.where(F.col(key).isNotNull() & (F.col(key) != "")), [key], merge)
     merged = keys.merge_dimension(tx.table(name), updates, key, sk, merge)
     if "is_active" in merged.columns:
         merged = merged.fillna(True, subset=["is_active"])
@@ -214,11 +215,16 @@ def load_snapshot(tx: Transaction, as_of: date) -> None:
 
 
 def transform(
-    records: DataFrame, warehouse: Warehouse, as_of: date, fields_map: FieldMap | None = None, refresh_open_flag: bool = False
+    records: DataFrame,
+    warehouse: Warehouse,
+    as_of: date,
+    fields_map: FieldMap | None = None,
+    refresh_open_flag: bool = False,
+    changed: dict[str, tuple[int, int]] | None = None,
 ) -> dict[str, int]:
     """Apply staged records to the published tables; rows processed per entity type.
 
-    Nothing is published unless every step succeeds.
+    Nothing is published unless every step succeeds. ``changed`` gets the rows inserted and updated per table.
     """
     configure(warehouse.spark)
     fields_map = fields_map or FieldMap()
@@ -242,16 +248,27 @@ def transform(
         load_coverage(tx)
     load_snapshot(tx, as_of)
     tx.commit()
+    if changed is not None:
+        changed |= tx.changed
     return counts
 
 
-def purge_project(warehouse: Warehouse, project: str) -> int:
-    """Remove a project's rows (U7): links, runs, steps and coverage first, then the dimensions."""
+def purge_project(warehouse: Warehouse, project: str, control: Control | None = None) -> int:
+    """Remove a project's rows (U7): links, runs, steps and coverage first, then the dimensions.
+
+    Runs go with their test or their execution. With ``control`` what is staged of the project becomes
+    void as well, so that a full refresh doesn't bring it back. The project's figures leave all snapshots of
+    its squads only with the next load, which takes them anew.
+    """
     tx = warehouse.begin()
     t = tx.star()
     gone_tests = t["dim_test"].where(F.substring_index("test_key", "-", 1) == project).select("test_sk")
+    gone_executions = t["dim_test_execution"].where(F.substring_index("execution_key", "-", 1) == project).select("execution_sk")
     gone_issues = t["dim_issue"].where(F.substring_index("issue_key", "-", 1) == project).select("issue_sk", "issue_key")
-    gone_runs = t["fact_test_run"].join(gone_tests, "test_sk", "left_semi").select("test_run_id").distinct()
+    runs = t["fact_test_run"]
+    gone_runs = runs.join(gone_tests, "test_sk", "left_semi").select("test_run_id").union(
+        runs.join(gone_executions, "execution_sk", "left_semi").select("test_run_id")
+    ).distinct()
     for fact in ("fact_test_step_result", "fact_defect_link", "fact_test_run"):
         tx.replace_parts(fact, t[fact].join(gone_runs, "test_run_id", "left_anti"))
     tx.replace_parts("fact_defect_link", upsert.purge_project(tx.table("fact_defect_link"), "defect_key", project))
@@ -266,6 +283,8 @@ def purge_project(warehouse: Warehouse, project: str) -> int:
         ("dim_test_execution", "execution_key"),
     ):
         tx.put(name, upsert.purge_project(t[name], key, project))
+    if control is not None:
+        control.add_purge(project)
     return tx.commit()
 
 
@@ -298,6 +317,7 @@ class LoadResult:
     watermark_before: datetime | None = None
     watermark_after: datetime | None = None
     error_message: str | None = None
+    rows_upserted: int = 0
 
 
 def run(spark: SparkSession, cfg: LoadConfig, extract: Callable[[datetime | None], DataFrame]) -> LoadResult:
@@ -316,13 +336,12 @@ def run(spark: SparkSession, cfg: LoadConfig, extract: Callable[[datetime | None
     try:
         records = extract(before)
         if cfg.projects:
-            key = F.when(
-                F.col("entity_type").isin("jira_issue", "jira_defect", "xray_test", "xray_test_execution", "xray_test_plan"),
-                landing.project_of(F.col("source_key")),
-            )
-            records = records.where(F.coalesce(key.isin(*cfg.projects), F.lit(True)))
+            records = records.where(F.coalesce(staging.project_of(records).isin(*cfg.projects), F.lit(False)))
         stamp = X.parse_ts(F.get_json_object("raw_json", "$.fields.updated")).cast("timestamp")
         is_issue = F.col("entity_type").isin("jira_issue", "jira_defect")
+        if cfg.until is not None:
+            moment = F.coalesce(F.when(is_issue, stamp), X.parse_ts(F.get_json_object("raw_json", "$.startedOn")).cast("timestamp"), F.col("loaded_at"))
+            records = records.where(moment <= F.lit(cfg.until))
         seen = Observation()
         staging.write(
             records.observe(
@@ -332,19 +351,21 @@ def run(spark: SparkSession, cfg: LoadConfig, extract: Callable[[datetime | None
         )
         extracted, newest = seen.get["n"], seen.get["newest"]
         after = datetime.fromtimestamp(newest / 1e6, tz=timezone.utc) if newest is not None else None
-        processed = 0
+        processed = upserted = 0
         if not cfg.dry_run:
-            todo = staging.scan(spark, cfg.staging, since=before, mode=cfg.mode)
+            todo = staging.scan(spark, cfg.staging, since=before, mode=cfg.mode, purged=control.purges())
             warehouse = Warehouse(spark, f"{cfg.root}/warehouse")
-            counts = transform(todo, warehouse, cfg.as_of or started.date(), cfg.fields_map)
+            changed: dict[str, tuple[int, int]] = {}
+            counts = transform(todo, warehouse, cfg.as_of or started.date(), cfg.fields_map, changed=changed)
             processed = sum(counts.values())
+            upserted = sum(inserted + updated for inserted, updated in changed.values())
             after = after or started
             if cfg.advance_watermark and cfg.until is None:
                 control.set_watermark(cfg.job, after)
         control.finish_run(
-            entry, "success", records_extracted=extracted, rows_processed=processed, rows_upserted=processed, watermark_after=after
+            entry, "success", records_extracted=extracted, rows_processed=processed, rows_upserted=upserted, watermark_after=after
         )
-        return LoadResult("success", extracted, processed, before, after)
+        return LoadResult("success", extracted, processed, before, after, rows_upserted=upserted)
     except Exception as error:  # noqa: BLE001 - the run log must record any failure
-        control.finish_run(entry, "failed", error_message=str(error)[:4000])
+        control.finish_run(entry, "failed", error_message=str(error))
         return LoadResult("failed", watermark_before=before, error_message=str(error))

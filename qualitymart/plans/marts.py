@@ -31,6 +31,12 @@ def _named(t: Star, counted: DataFrame, **names: list[str]) -> DataFrame:
     return counted
 
 
+def _by_name(named: DataFrame, sums: list[str]) -> DataFrame:
+    """Rows whose keys lead to the same names become one: a key without a dimension row is like no key."""
+    keys = [c for c in named.columns if c not in sums]
+    return named.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def v1_qa_health_by_release(t: Star) -> DataFrame:
     """Run counts per status and pass rate over all runs, per release."""
     releases = t["dim_release"].select(*_RELEASE, "release_date", "release_status")
@@ -139,7 +145,8 @@ def v3_requirement_coverage(t: Star) -> DataFrame:
 
 
 def v4_execution_trend(t: Star) -> DataFrame:
-    """Runs per day, squad, environment and release; runs without a known test drop out."""
+    """Runs per day, squad, environment and release; runs without a known test drop out. The day's key is that of
+    the calendar, NULL for a day it lacks."""
     counted = (
         _runs_with_test(t, "inner")
         .groupBy(F.to_date("started_at").alias("run_date"), "date_sk", "squad_sk", "environment_sk", "release_sk")
@@ -149,13 +156,16 @@ def v4_execution_trend(t: Star) -> DataFrame:
             runs_with("FAIL").alias("failed"),
             runs_with("BLOCKED").alias("blocked"),
             F.count_if("is_automated").alias("automated_runs"),
-            F.avg("duration_s").alias("avg_duration_s"),
+            F.sum("duration_s").alias("_duration"),
+            F.count("duration_s").alias("_timed"),
         )
     )
-    days = t["dim_date"].select("date_sk", "year", "month", "week_of_year")
-    return _named(
-        t, counted, release=["release_name"], squad=["squad_name"], environment=["environment_name"]
-    ).join(days, "date_sk", "left")
+    days = t["dim_date"].select(F.col("date_sk").alias("_day"), "year", "month", "week_of_year")
+    named = _named(t, counted, release=["release_name"], squad=["squad_name"], environment=["environment_name"])
+    dated = named.join(days, F.col("date_sk") == F.col("_day"), "left").drop("date_sk").withColumnRenamed("_day", "date_sk")
+    sums = ["total_runs", "passed", "failed", "blocked", "automated_runs", "_duration", "_timed"]
+    average = F.col("_duration") / F.nullif(F.col("_timed"), F.lit(0))
+    return _by_name(dated, sums).withColumn("avg_duration_s", average).drop("_duration", "_timed")
 
 
 def v5_test_type_breakdown(t: Star) -> DataFrame:
@@ -169,9 +179,10 @@ def v5_test_type_breakdown(t: Star) -> DataFrame:
             runs_with("FAIL").alias("failed"),
             runs_with("BLOCKED").alias("blocked"),
         )
-        .withColumn("pass_rate_pct", pct(F.col("passed"), F.col("total_runs")))
     )
-    return _named(t, counted, release=["release_name"], squad=["squad_name"], test_type=["test_type_name"])
+    named = _named(t, counted, release=["release_name"], squad=["squad_name"], test_type=["test_type_name"])
+    rows = _by_name(named, ["total_runs", "passed", "failed", "blocked"])
+    return rows.withColumn("pass_rate_pct", pct(F.col("passed"), F.col("total_runs")))
 
 
 def v6_test_run_detail(t: Star) -> DataFrame:
@@ -245,10 +256,8 @@ def v7_environment_health(t: Star) -> DataFrame:
             runs_with("BLOCKED").alias("blocked_runs"),
             runs_with("PASS").alias("_passed"),
         )
-        .withColumn("pass_rate_pct", pct(F.col("_passed"), F.col("total_runs")))
-        .drop("_passed")
     )
-    return _named(
+    named = _named(
         t,
         counted,
         release=["release_name"],
@@ -256,6 +265,8 @@ def v7_environment_health(t: Star) -> DataFrame:
         environment=["environment_name", "environment_type", "criticality"],
         root_cause=["root_cause_name", "root_cause_category"],
     )
+    rows = _by_name(named, ["total_runs", "failed_runs", "blocked_runs", "_passed"])
+    return rows.withColumn("pass_rate_pct", pct(F.col("_passed"), F.col("total_runs"))).drop("_passed")
 
 
 def v8_release_snapshot(t: Star, strict: bool = False) -> DataFrame:

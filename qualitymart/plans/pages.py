@@ -1,15 +1,15 @@
 """Page queries (G1 to G18): the result sets behind each report page.
 
 Every function takes the star in its filter context (``context.apply_context``, ``security.secure``)
-and returns rows a page shows. Matrices take their column values explicitly, so no extra pass over
-the data is needed to find them.
+and returns rows a page shows. Matrices are in long form, one row per cell: no value is lost that nobody
+listed, and no extra pass over the data is needed to find the columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
@@ -35,8 +35,13 @@ def week_of(day: str | Column) -> Column:
     return F.date_trunc("WEEK", day).cast("date")
 
 
-def matrix(df: DataFrame, rows: Sequence[str], column: str, values: Sequence[str], cells: dict[str, Column]) -> DataFrame:
-    """Rows by columns with one or more values per cell."""
+def matrix(df: DataFrame, rows: Sequence[str], column: str, cells: dict[str, Column]) -> DataFrame:
+    """Cells of rows by columns, one row each, a missing name being a column like any other."""
+    return df.groupBy(*rows, column).agg(*[c.alias(n) for n, c in cells.items()])
+
+
+def wide(df: DataFrame, rows: Sequence[str], column: str, values: Sequence[str], cells: dict[str, Column]) -> DataFrame:
+    """Rows by columns for a column whose values are fixed, like weekdays."""
     return df.groupBy(*rows).pivot(column, list(values)).agg(*[c.alias(n) for n, c in cells.items()])
 
 
@@ -87,21 +92,30 @@ def release_summary(t: Star) -> DataFrame:
     )
 
 
-def etmi_by_release(t: Star) -> DataFrame:
+def etmi_by_release(t: Star, unfiltered: Star | None = None) -> DataFrame:
     """Test maturity per release.
 
-    Regression automation looks at all tests of type Regression, whatever test or type filter the
-    page has, so it is a second aggregate over the runs of the release.
+    Regression automation looks at all tests of type Regression, whatever test or type filter the page
+    has: a page with such a filter gives the star without it as ``unfiltered``.
     """
-    runs = with_dims(t, "fact_test_run", {**RELEASE, **TYPE})
     regression = F.col("test_type_name") == "Regression"
+    automation = M.percent(F.count_if(regression & F.col("is_automated")), F.count_if(regression))
+    if unfiltered is not None:
+        page = etmi_by_release(t).select("release_name", "p1_total_runs", "p1_pass_rate", "automation_coverage", "execution_efficiency")
+        every = with_dims(unfiltered, "fact_test_run", {**RELEASE, **TYPE}).groupBy("release_name").agg(automation.alias("regression_automation"))
+        return _scored(page.join(every, "release_name"))
+    runs = with_dims(t, "fact_test_run", {**RELEASE, **TYPE})
     scored = runs.where("release_name IS NOT NULL").groupBy("release_name").agg(
         M.rows().alias("p1_total_runs"),
         M.pass_rate().alias("p1_pass_rate"),
         M.automation_rate().alias("automation_coverage"),
-        M.percent(F.count_if(regression & F.col("is_automated")), F.count_if(regression)).alias("regression_automation"),
+        automation.alias("regression_automation"),
         M.pass_rate().alias("execution_efficiency"),
     )
+    return _scored(scored)
+
+
+def _scored(scored: DataFrame) -> DataFrame:
     score = M.etmi_score(F.col("automation_coverage"), F.col("regression_automation"), F.col("execution_efficiency"))
     return (
         scored.withColumn("etmi_score", score)
@@ -114,8 +128,8 @@ def etmi_by_release(t: Star) -> DataFrame:
 # --- defects (G5, G13) ------------------------------------------------------
 
 
-def squad_status_matrix(t: Star, statuses: Sequence[str]) -> DataFrame:
-    return matrix(marts.v2_defect_density(t), ["squad_name"], "defect_status", statuses, {"n": F.sum("total_defects")})
+def squad_status_matrix(t: Star) -> DataFrame:
+    return matrix(marts.v2_defect_density(t), ["squad_name"], "defect_status", {"total_defects": F.sum("total_defects")})
 
 
 def defects_by(t: Star, *columns: str) -> DataFrame:
@@ -155,20 +169,20 @@ def coverage_status_share(t: Star) -> DataFrame:
     return windows.share_of_total(labelled, "requirements", "share")
 
 
-def coverage_matrix(t: Star, releases: Sequence[str]) -> DataFrame:
+def coverage_matrix(t: Star) -> DataFrame:
     """Coverage percentage per requirement and release."""
     rate = M.coverage_measures("issue_key")["coverage"]
-    return matrix(marts.v3_requirement_coverage(t), ["issue_key", "requirement_summary"], "release_name", releases, {"coverage": rate})
+    return matrix(marts.v3_requirement_coverage(t), ["issue_key", "requirement_summary"], "release_name", {"coverage": rate})
 
 
-def coverage_counts_matrix(t: Star, releases: Sequence[str]) -> DataFrame:
+def coverage_counts_matrix(t: Star) -> DataFrame:
     cells = {
         "total": F.sum("total_test_count"),
         "passing": F.sum("passing_test_count"),
         "failing": F.sum("failing_test_count"),
         "blocked": F.sum("blocked_test_count"),
     }
-    return matrix(marts.v3_requirement_coverage(t), ["issue_key", "requirement_summary"], "release_name", releases, cells)
+    return matrix(marts.v3_requirement_coverage(t), ["issue_key", "requirement_summary"], "release_name", cells)
 
 
 def uncovered_requirements(t: Star) -> DataFrame:
@@ -214,7 +228,7 @@ def weekly_pass_rate_by_squad(t: Star) -> DataFrame:
 def week_heatmap(t: Star) -> DataFrame:
     """Runs per calendar week and weekday; the columns keep the weekday order (O3)."""
     days = with_dims(t, "fact_test_run", {"dim_date": ["year", "week_of_year", "day_name"]}, "inner")
-    return matrix(days, ["year", "week_of_year"], "day_name", WEEKDAYS, {"total_runs": M.rows()})
+    return wide(days, ["year", "week_of_year"], "day_name", WEEKDAYS, {"total_runs": M.rows()})
 
 
 def trailing_runs(t: Star, days: int) -> DataFrame:
@@ -259,14 +273,14 @@ def automation_by_type(t: Star) -> DataFrame:
     )
 
 
-def squad_type_matrix(t: Star, types: Sequence[str]) -> DataFrame:
+def squad_type_matrix(t: Star) -> DataFrame:
     cells = {
         "total": F.sum("total_runs"),
         "passed": F.sum("passed"),
         "failed": F.sum("failed"),
         "blocked": F.sum("blocked"),
     }
-    return matrix(marts.v5_test_type_breakdown(t), ["squad_name"], "test_type_name", types, cells)
+    return matrix(marts.v5_test_type_breakdown(t), ["squad_name"], "test_type_name", cells)
 
 
 def runs_by_release_type(t: Star) -> DataFrame:
@@ -301,7 +315,10 @@ def run_detail(t: Star) -> DataFrame:
 def status_share(t: Star) -> DataFrame:
     counted = t["fact_test_run"].groupBy("run_status").agg(M.rows().alias("total_runs"))
     ordered = counted.join(t["dim_status"].select(F.col("status_name").alias("run_status"), "sort_order"), "run_status", "left")
-    return windows.share_of_total(ordered, "total_runs", "share").orderBy(F.asc_nulls_last("sort_order"), "run_status")
+    shown = windows.share_of_total(ordered, "total_runs", "share")
+    # a few statuses: the place that the page shows each at (O1)
+    place = F.row_number().over(Window.orderBy(F.asc_nulls_last("sort_order"), "run_status"))
+    return shown.withColumn("position", place).orderBy("position")
 
 
 def steps_of_runs(t: Star) -> DataFrame:
@@ -321,9 +338,9 @@ def environment_scorecard(t: Star) -> DataFrame:
     return scored.withColumn("band", scalars.band(F.col("pass_rate"), M.ENVIRONMENT_BANDS, "Red"))
 
 
-def environment_matrix(t: Star, squads: Sequence[str]) -> DataFrame:
+def environment_matrix(t: Star) -> DataFrame:
     runs = with_dims(t, "fact_test_run", {**ENVIRONMENT, **SQUAD})
-    return matrix(runs, ["environment_name"], "squad_name", squads, {"pass_rate": M.pass_rate()})
+    return matrix(runs, ["environment_name"], "squad_name", {"pass_rate": M.pass_rate()})
 
 
 def environment_subtotals(t: Star) -> DataFrame:
@@ -357,7 +374,10 @@ def environment_detail(t: Star) -> DataFrame:
     """Environment rows from worst to best."""
     health = marts.v7_environment_health(t)
     keys = ["environment_name", "environment_type", "criticality", "squad_name"]
-    return M.evaluate(health, keys, M.p7_measures()).orderBy("p7_pass_rate", *keys)
+    shown = M.evaluate(health, keys, M.p7_measures())
+    # one row per environment and squad: the place from worst to best (O3)
+    place = F.row_number().over(Window.orderBy("p7_pass_rate", *[F.asc_nulls_first(k) for k in keys]))
+    return shown.withColumn("position", place).orderBy("position")
 
 
 def environment_kpis(t: Star) -> DataFrame:

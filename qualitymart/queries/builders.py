@@ -442,7 +442,8 @@ RUNS = """run_rows AS (
            l_returnflag || l_linestatus AS comment, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS defect_count,
            CASE WHEN l_linenumber = 2 THEN ['v1', 'v2'] WHEN l_linenumber <> 3 THEN ['v3'] ELSE ['UNVERSIONED'] END AS versions,
            l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag
-    FROM (SELECT lineitem.*, CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'PASS' WHEN 'AO' THEN 'ABORTED' WHEN 'NF' THEN 'EXECUTING'
+    FROM (SELECT lineitem.*, CASE l_returnflag || l_linestatus WHEN 'AF' THEN CASE WHEN l_shipdate BETWEEN
+                 TIMESTAMP '1996-04-01' AND TIMESTAMP '1996-07-06' THEN 'EXECUTING' ELSE 'PASS' END WHEN 'AO' THEN 'ABORTED' WHEN 'NF' THEN 'EXECUTING'
                  WHEN 'NO' THEN 'TODO' WHEN 'RF' THEN 'FAIL' WHEN 'RO' THEN 'BLOCKED' END AS run_status FROM lineitem) r)"""
 RUN_COLUMNS = "test_run_id, run_status, is_automated, started_at, duration_s, date_sk, comment, defect_count"
 query(
@@ -495,22 +496,24 @@ query(
 )
 query(
     "b7_defect_links",
-    f"""WITH {RUNS} SELECT DISTINCT test_run_id, unnest(versions) AS release_sk,
-               CASE WHEN l_linenumber = 1 THEN 'D-' || (l_orderkey + 1) ELSE 'D-' || l_orderkey END AS defect_key FROM run_rows
-        WHERE l_returnflag = 'R'""",
-)(
-    lambda i: upsert.insert_absent(
-        (
-            links := windows.earliest(
-                facts.defect_links(facts.runs(staging.parse(P.runs(i))), built_star(i)),
-                ["defect_key", "test_run_id", "release_sk"],
-                ["ord", "open_flag"],
-            )
-        ).where(F.lit(False)),
-        links,
-        ["defect_key", "test_run_id", "release_sk"],
-    ).select("defect_key", "test_run_id", "release_sk")
-)
+    f"""WITH {RUNS}, links AS (SELECT test_run_id, unnest(versions) AS release_sk, l_orderkey,
+               CASE WHEN l_linenumber = 1 THEN 'D-' || (l_orderkey + 1) ELSE 'D-' || l_orderkey END AS defect_key,
+               l_linenumber <> 1 OR l_suppkey % 2 <> 0 AS open_flag FROM run_rows WHERE l_returnflag = 'R')
+        SELECT defect_key, test_run_id, release_sk, CASE WHEN l_orderkey % 2 = 0 THEN NOT bool_and(open_flag) ELSE bool_and(open_flag) END AS open_flag
+        FROM links GROUP BY defect_key, test_run_id, release_sk, l_orderkey""",
+)(lambda i: links_into_filled_target(i))
+
+
+def links_into_filled_target(i):
+    """Links of all runs, delivered to a table that holds those of even orders with the flag the other way round."""
+    triple = ["defect_key", "test_run_id", "release_sk"]
+    rows = facts.defect_links(facts.runs(staging.parse(P.runs(i))), built_star(i))
+    links = windows.earliest(rows, triple, ["ord", "open_flag"])
+    even = F.split("test_run_id", "-")[0].cast("bigint") % 2 == 0
+    held = links.where(even).withColumn("open_flag", ~F.col("open_flag"))
+    return upsert.insert_absent(held, links, triple).select(*triple, "open_flag")
+
+
 query(
     "b8_steps",
     """SELECT DISTINCT l_orderkey || '-' || l_linenumber || ':s' || n AS step_result_id, l_orderkey || '-' || l_linenumber AS test_run_id,
@@ -542,7 +545,7 @@ query(
         MAP,
     ).select("test_plan_key", "summary", "status", "squad_name")
 )
-LINKS = "SELECT DISTINCT o_custkey AS issue_sk, l_partkey AS test_sk FROM lineitem JOIN orders ON o_orderkey = l_orderkey"
+LINKS = "SELECT DISTINCT o_custkey AS issue_sk, l_partkey AS test_sk FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 45 <> 7"
 
 
 def requirement_links(i):
@@ -559,17 +562,22 @@ query(
             seen AS (SELECT issue_sk, release_name, count(*) FILTER (run_status = 'PASS') AS passing_test_count,
                             count(*) FILTER (run_status = 'FAIL') AS failing_test_count, count(*) FILTER (run_status = 'BLOCKED') AS blocked_test_count,
                             count(*) FILTER (run_status = 'EXECUTING') AS executing_test_count, max(date_sk) AS latest_execution_date_sk
-                     FROM links JOIN latest USING (test_sk) GROUP BY ALL)
-       SELECT seen.*, total_test_count,
-              total_test_count - passing_test_count - failing_test_count - blocked_test_count - executing_test_count AS todo_test_count,
+                     FROM links JOIN latest USING (test_sk) GROUP BY ALL),
+            planned AS (SELECT c_custkey AS issue_sk, 'R1997Q1' AS release_name FROM customer WHERE c_custkey % 9 = 0),
+            merged AS (SELECT issue_sk, release_name, coalesce(passing_test_count, 0) AS passing_test_count, coalesce(failing_test_count, 0) AS failing_test_count,
+                            coalesce(blocked_test_count, 0) AS blocked_test_count, coalesce(executing_test_count, 0) AS executing_test_count,
+                            latest_execution_date_sk
+                     FROM seen FULL JOIN planned USING (issue_sk, release_name))
+       SELECT merged.*, coalesce(n.total_test_count, 0) AS total_test_count,
+              coalesce(n.total_test_count, 0) - passing_test_count - failing_test_count - blocked_test_count - executing_test_count AS todo_test_count,
               CASE WHEN failing_test_count > 0 THEN 'FAIL' WHEN blocked_test_count > 0 THEN 'BLOCKED' WHEN executing_test_count > 0 THEN 'EXECUTING'
-                   WHEN todo_test_count > 0 THEN 'TODO' ELSE 'PASS' END AS coverage_status
-       FROM seen JOIN n USING (issue_sk)""",
+                   WHEN todo_test_count > 0 THEN 'TODO' WHEN passing_test_count > 0 THEN 'PASS' ELSE 'NO_COVERAGE' END AS coverage_status
+       FROM merged LEFT JOIN n USING (issue_sk)""",
 )(
     lambda i: coverage.from_links(
         requirement_links(i),
-        requirement_links(i).select("issue_sk", F.lit(None).cast("int").alias("release_sk")).where("false"),
-        i.derived.requirement_runs().withColumn("test_run_id", F.struct("test_run_id", "l_extendedprice")),
+        i.t["dim_issue"].where("issue_sk % 9 = 0").select("issue_sk", F.lit(19971).alias("release_sk")),
+        i.derived.runs(),
     )
     .join(i.t["dim_release"].select("release_sk", "release_name"), "release_sk")
     .select(
@@ -706,7 +714,8 @@ query(
 
 def replay(i, batches):
     """Last-writer state after merging the line items batch by batch, as delta loads would."""
-    cuts = [f"l_shipdate >= timestamp_ntz '{a}-01-01 00:00:00' AND l_shipdate < timestamp_ntz '{b}-01-01 00:00:00'" for a, b in batches]
+    edges = [f"l_shipdate < timestamp_ntz '{year}-01-01 00:00:00'" for year in batches]
+    cuts = [edges[0], *(f"NOT {a} AND {b}" for a, b in zip(edges, edges[1:], strict=False)), f"NOT coalesce({edges[-1]}, false)"]
     state = deliveries(i, cuts[0])
     for condition in cuts[1:]:
         state = upsert.overwrite(state, deliveries(i, condition), ["k"])
@@ -718,8 +727,7 @@ query(
     """SELECT l_orderkey || '-' || l_linenumber AS k, l_shipdate, l_extendedprice AS price, l_suppkey AS supplier,
               CASE WHEN l_partkey % 3 <> 0 THEN l_returnflag END AS flag FROM lineitem
        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC, l_suppkey DESC) = 1""",
-)(lambda i: replay(i, [(1995, 1997), (1997, 1999), (1999, 2002)]))
-
+)(lambda i: replay(i, [1997, 1999]))
 
 
 def streamed_executions(i):

@@ -7,14 +7,13 @@ from datetime import date
 from qualitymart.operators import snapshot
 from qualitymart.plans import marts
 from qualitymart.queries.registry import query
-from qualitymart.session import cut
 
 SNAPSHOT_DAY = date(2001, 12, 31)
 
 
 def with_snapshot(t):
-    """The star with the snapshot of one day, stored before it is read, as a load does."""
-    return t.replace(fact_cycle_snapshot=cut(snapshot.cycle(t, SNAPSHOT_DAY)))
+    """The star with the snapshot of one day."""
+    return t.replace(fact_cycle_snapshot=snapshot.cycle(t, SNAPSHOT_DAY))
 
 
 query("v1_qa_health_by_release", "SELECT * FROM v1")(lambda i: marts.v1_qa_health_by_release(i.t))

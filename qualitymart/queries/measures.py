@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from qualitymart.functions import measures as M
 from qualitymart.operators import windows
 from qualitymart.plans import marts, pages
-from qualitymart.plans.context import with_date, with_dims
+from qualitymart.plans.context import Context, apply_context, with_date, with_dims
 from qualitymart.queries.marts import with_snapshot
 from qualitymart.queries.registry import query
 
@@ -54,15 +54,15 @@ query(
 )(lambda i: pages.monthly_change(i.t))
 query(
     "m8_automation_by_type_lookup",
-    """SELECT release_name, count(*) FILTER (test_type_name <> 'Manual') AS automated_runs,
+    """SELECT release_name, count(*) FILTER (test_type_name IS DISTINCT FROM 'Manual') AS automated_runs,
               {ratio:automated_runs,count(*)} AS automation_ratio FROM run_squad GROUP BY release_name""",
 )(lambda i: pages.automation_by_type(i.t))
 query(
     "m9_defect_measures_by_squad",
     """SELECT squad_name, count(*) AS total_defects,
-              count(*) FILTER (status NOT IN ('Closed', 'Done', 'Resolved', 'Won''t Fix')) AS open_defects,
+              count(*) FILTER (coalesce(status, '') NOT IN ('Closed', 'Done', 'Resolved', 'Won''t Fix')) AS open_defects,
               count(*) FILTER (severity = 'Critical' OR priority IN ('P0', 'P1', 'Highest')) AS critical_defects,
-              count(*) FILTER (severity = 'Critical' AND status <> 'Closed') AS open_critical_defects,
+              count(*) FILTER (severity = 'Critical' AND status IS DISTINCT FROM 'Closed') AS open_critical_defects,
               {ratio:count(*) FILTER (status IN ('Closed', 'Done', 'Resolved')),count(*)} AS resolution_rate
        FROM dim_defect LEFT JOIN dim_squad USING (squad_sk) GROUP BY squad_name""",
 )(lambda i: M.evaluate(with_dims(i.t, "dim_defect", pages.SQUAD), ["squad_name"], M.defect_measures()))
@@ -125,6 +125,18 @@ query(
        SELECT *, CASE WHEN etmi_score >= 75 THEN 'Mature' WHEN etmi_score >= 50 THEN 'Developing' ELSE 'Emerging' END AS etmi_band,
               75.0 AS etmi_target, CASE WHEN etmi_score >= 75 THEN 'On Track' ELSE 'At Risk' END AS etmi_status FROM scored""",
 )(lambda i: pages.etmi_by_release(i.t))
+FEW = ("T-1", "T-2", "T-7", "T-8", "T-13")
+query(
+    "m16_regression_automation_under_a_test_filter",
+    """WITH page AS (SELECT release_name, count(*) AS p1_total_runs FROM run_squad WHERE test_key IN ('T-1', 'T-2', 'T-7', 'T-8', 'T-13') GROUP BY 1),
+            every AS (SELECT release_name, {ratio:count(*) FILTER (is_automated AND test_type_name = 'Regression'),count(*) FILTER (test_type_name = 'Regression')}
+                                               AS regression_automation FROM run_squad GROUP BY 1)
+       SELECT release_name, p1_total_runs, regression_automation FROM page JOIN every USING (release_name)""",
+)(
+    lambda i: pages.etmi_by_release(apply_context(i.t, Context(tests=FEW)), unfiltered=i.t).select(
+        "release_name", "p1_total_runs", "regression_automation"
+    )
+)
 query(
     "m18_p2_measures_by_severity",
     """SELECT severity, CAST(sum(total_defects) AS BIGINT) AS p2_total_defects, CAST(sum(open_defects) AS BIGINT) AS p2_open_defects,
@@ -236,7 +248,7 @@ query(
            PARTITION BY test_sk ORDER BY started_at DESC, test_run_id DESC, l_extendedprice DESC) AS n FROM fact_test_run) WHERE n = 1""",
 )(
     lambda i: windows.latest(
-        i.derived.requirement_runs().select("test_sk", "started_at", "test_run_id", "run_status", "l_extendedprice"),
+        i.derived.runs().select("test_sk", "started_at", "test_run_id", "run_status", "l_extendedprice"),
         ["test_sk"],
         ["started_at", "test_run_id", "l_extendedprice"],
     )
@@ -247,7 +259,7 @@ query(
               l_extendedprice) AS run_sequence FROM fact_test_run""",
 )(
     lambda i: windows.run_sequence(
-        i.derived.requirement_runs(), ["test_sk"], "started_at", ["test_run_id", "l_extendedprice"]
+        i.derived.runs(), ["test_sk"], "started_at", ["test_run_id", "l_extendedprice"]
     ).select("test_run_id", "run_status", "l_extendedprice", "run_sequence")
 )
 query(

@@ -13,7 +13,9 @@ STAR = {
         SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_sk, CAST(d AS DATE) AS full_date, year(d) AS year,
                quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name, weekofyear(d) AS week_of_year,
                day(d) AS day_of_month, isodow(d) AS day_of_week, dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend
-        FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY) g(d)""",
+        FROM (SELECT unnest(generate_series(date_trunc('year', min(o_orderdate))::TIMESTAMP,
+                     date_trunc('year', max(o_orderdate))::TIMESTAMP + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d
+              FROM orders)""",
     "dim_program": "SELECT r_regionkey AS program_sk, r_name AS program_name FROM region",
     "dim_application": "SELECT DISTINCT p_brand AS application_sk, p_brand AS application_name FROM part",
     "dim_squad": """
@@ -38,16 +40,17 @@ STAR = {
         SELECT s_suppkey AS tester_sk, s_name AS tester_name, 'Team ' || s_nationkey AS team_name FROM supplier""",
     "dim_test": """
         SELECT p_partkey AS test_sk, 'T-' || p_partkey AS test_key, p_name AS summary,
-               CASE WHEN p_type IN ('STANDARD', 'ECONOMY') THEN 'Manual' WHEN p_type = 'PROMO' THEN 'Cucumber'
+               CASE WHEN p_partkey % 37 = 5 THEN NULL WHEN p_type IN ('STANDARD', 'ECONOMY') THEN 'Manual' WHEN p_type = 'PROMO' THEN 'Cucumber'
                     WHEN p_type IN ('SMALL', 'MEDIUM') THEN 'Generic' WHEN p_type = 'LARGE' THEN 'Regression'
                END AS test_type_name,
                CASE WHEN p_partkey % 10 <> 3 THEN '/repo/' || p_brand END AS repository_path,
                CASE WHEN p_partkey % 50 <> 0 THEN CAST((p_partkey % 6) * 4 AS INT) END AS squad_sk
         FROM part""",
     "runs": """
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_orderkey || '-' || l_linenumber AS test_run_id,
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) AS test_run_id,
                date_trunc('week', l_shipdate)::TIMESTAMP AS started_at,
-               CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'PASS' WHEN 'AO' THEN 'ABORTED'
+               CASE l_returnflag || l_linestatus WHEN 'AF' THEN CASE WHEN l_shipdate BETWEEN TIMESTAMP '1996-04-01'
+                    AND TIMESTAMP '1996-07-06' THEN 'EXECUTING' ELSE 'PASS' END WHEN 'AO' THEN 'ABORTED'
                     WHEN 'NF' THEN 'EXECUTING' WHEN 'NO' THEN 'TODO' WHEN 'RF' THEN 'FAIL' WHEN 'RO' THEN 'BLOCKED'
                END AS run_status, l_quantity, l_returnflag || l_linestatus AS comment
         FROM lineitem""",
@@ -70,11 +73,11 @@ STAR = {
     "dim_release": """
         SELECT release_name, make_date(y, q * 3 - 2, 1) AS release_date,
                CASE WHEN y < 2000 THEN 'Released' WHEN y = 2000 THEN 'In Progress' ELSE 'Planning' END AS release_status
-        FROM (SELECT DISTINCT release_name, CAST(substr(release_name, 2, 4) AS INT) AS y,
-                     CAST(substr(release_name, 7, 1) AS INT) AS q FROM fact_test_run)""",
+        FROM (SELECT DISTINCT 'R' || year || 'Q' || quarter AS release_name, year AS y, quarter AS q FROM dim_date)""",
     "dim_defect": """
         SELECT o_orderkey AS defect_sk, 'D-' || o_orderkey AS defect_key, 'Defect of order ' || o_orderkey AS summary,
-               CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Reopened' END AS status,
+               CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'Closed' WHEN o_orderstatus = 'O' THEN 'Open'
+                    WHEN o_orderstatus = 'P' THEN 'Reopened' END AS status,
                o_orderpriority AS priority,
                CASE o_orderpriority WHEN '1-URGENT' THEN 'Critical' WHEN '2-HIGH' THEN 'High'
                     WHEN '3-MEDIUM' THEN 'Medium' ELSE 'Low' END AS severity,
@@ -97,8 +100,8 @@ STAR = {
         SELECT DISTINCT d.defect_key, d.defect_sk, r.test_run_id, r.release_name, d.status <> 'Closed' AS open_flag
         FROM fact_test_run r JOIN dim_defect d ON d.defect_sk = r.l_orderkey WHERE r.defect_count = 1""",
     "latest_requirement_run": """
-        SELECT o_custkey AS issue_sk, release_name, test_sk, run_status, date_sk
-        FROM fact_test_run JOIN orders ON o_orderkey = l_orderkey
+        SELECT o_custkey AS issue_sk, release_name, test_sk, CASE WHEN o_custkey % 30 = 0 THEN 'TODO' ELSE run_status END AS run_status, date_sk
+        FROM fact_test_run JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 45 <> 7
         QUALIFY row_number() OVER (PARTITION BY o_custkey, release_name, test_sk
                                    ORDER BY started_at DESC, test_run_id DESC, l_extendedprice DESC) = 1""",
     "fact_requirement_coverage": """

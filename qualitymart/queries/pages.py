@@ -11,12 +11,8 @@ from qualitymart.plans import marts, pages
 from qualitymart.plans.context import Context, apply_context
 from qualitymart.queries.marts import SNAPSHOT_DAY
 from qualitymart.queries.registry import query
-from qualitymart.session import cut
 
 RELEASES = [f"R{year}Q{quarter}" for year in range(1995, 2002) for quarter in range(1, 5)]
-SQUADS = [f"NATION_{n}" for n in range(0, 24, 4)]
-TYPES = ("Manual", "Cucumber", "Generic", "Regression")
-DEFECT_STATUSES = ("Open", "Closed", "Reopened")
 
 
 def pivot_sql(column: str, values, cell: str, suffix: str = "") -> str:
@@ -70,9 +66,8 @@ query(
 )(lambda i: pages.release_summary(i.t))
 query(
     "g5_squad_status_matrix",
-    f"""SELECT squad_name, {pivot_sql('defect_status', DEFECT_STATUSES, 'CAST(sum(total_defects) FILTER (@) AS BIGINT)')}
-        FROM v2 GROUP BY squad_name""",
-)(lambda i: pages.squad_status_matrix(i.t, DEFECT_STATUSES))
+    f"SELECT squad_name, defect_status, {bigsum('total_defects')} AS total_defects FROM v2 GROUP BY squad_name, defect_status",
+)(lambda i: pages.squad_status_matrix(i.t))
 P2 = ", ".join(
     f"{bigsum(c)} AS p2_{c}" for c in ("total_defects", "open_defects", "critical_defects", "impacted_runs")
 )
@@ -97,9 +92,9 @@ query(
 )(lambda i: pages.coverage_status_share(i.t))
 query(
     "g6_requirement_release_matrix",
-    f"""SELECT issue_key, requirement_summary, {pivot_sql('release_name', RELEASES, 'max(CASE WHEN @ THEN CASE WHEN is_covered THEN 100.0 ELSE 0.0 END END)')}
-        FROM v3 GROUP BY issue_key, requirement_summary""",
-)(lambda i: pages.coverage_matrix(i.t, RELEASES))
+    """SELECT issue_key, requirement_summary, release_name, max(CASE WHEN is_covered THEN 100.0 ELSE 0.0 END) AS coverage
+       FROM v3 GROUP BY issue_key, requirement_summary, release_name""",
+)(lambda i: pages.coverage_matrix(i.t))
 query(
     "g6_uncovered_requirements",
     """SELECT issue_key, requirement_summary, priority, squad_name, release_name, is_critical_requirement, total_test_count
@@ -142,12 +137,8 @@ query(
 CELLS = {"total": "total_runs", "passed": "passed", "failed": "failed", "blocked": "blocked"}
 query(
     "g8_squad_type_matrix",
-    "SELECT squad_name, "
-    + ", ".join(
-        pivot_sql("test_type_name", TYPES, f"CAST(sum({column}) FILTER (@) AS BIGINT)", f"_{name}") for name, column in CELLS.items()
-    )
-    + " FROM v5 GROUP BY squad_name",
-)(lambda i: pages.squad_type_matrix(i.t, TYPES))
+    f"SELECT squad_name, test_type_name, {', '.join(f'{bigsum(c)} AS {n}' for n, c in CELLS.items())} FROM v5 GROUP BY squad_name, test_type_name",
+)(lambda i: pages.squad_type_matrix(i.t))
 SLOWEST = """SELECT test_key, test_summary AS summary, test_type_name, avg(duration_s) / 60.0 AS avg_duration_min,
                     max(duration_s) AS max_duration_s, count(*) AS total_runs
              FROM run_squad GROUP BY ALL ORDER BY @ DESC NULLS LAST, test_key LIMIT 20"""
@@ -162,9 +153,10 @@ query(
 )(lambda i: pages.run_detail(apply_context(i.t, DRILL)))
 query(
     "g9_status_distribution",
-    """SELECT run_status, sort_order, count(*) AS total_runs, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share
-       FROM run_squad JOIN dim_status ON status_name = run_status
-       WHERE release_name = 'R1998Q2' AND squad_name = 'NATION_4' AND environment_name = 'UAT' GROUP BY ALL""",
+    """SELECT *, row_number() OVER (ORDER BY sort_order NULLS LAST, run_status) AS position FROM (
+           SELECT run_status, sort_order, count(*) AS total_runs, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share
+           FROM run_squad JOIN dim_status ON status_name = run_status
+           WHERE release_name = 'R1998Q2' AND squad_name = 'NATION_4' AND environment_name = 'UAT' GROUP BY ALL)""",
 )(lambda i: pages.status_share(apply_context(i.t, DRILL)))
 STEPS = """steps AS (SELECT test_run_id, step_order, comment,
                             CASE WHEN step_order = length(test_run_id) % 3 + 1 THEN run_status ELSE 'PASS' END AS step_status
@@ -188,14 +180,9 @@ query(
 )(lambda i: pages.environment_scorecard(i.t))
 query(
     "g10_environment_matrix",
-    "SELECT environment_name, "
-    + pivot_sql(
-        "squad_name",
-        SQUADS,
-        "CAST(count(*) FILTER (@ AND run_status = 'PASS') AS DOUBLE) / nullif(count(*) FILTER (@), 0) * 100",
-    )
-    + " FROM run_squad GROUP BY environment_name",
-)(lambda i: pages.environment_matrix(i.t, SQUADS))
+    """SELECT environment_name, squad_name, {ratio:count(*) FILTER (run_status = 'PASS'),count(*)} AS pass_rate
+       FROM run_squad GROUP BY environment_name, squad_name""",
+)(lambda i: pages.environment_matrix(i.t))
 query(
     "a13_environment_subtotals",
     """SELECT environment_name, squad_name, count(*) AS total_runs, {ratio:count(*) FILTER (run_status = 'PASS'),count(*)} AS pass_rate,
@@ -215,7 +202,9 @@ P7 = f"""{bigsum('total_runs')} AS p7_total_runs, {bigsum('failed_runs')} AS p7_
          {{ratio:(p7_total_runs - p7_failed_runs - p7_blocked_runs),p7_total_runs}} AS p7_pass_rate"""
 query(
     "g10_environment_detail",
-    f"SELECT environment_name, environment_type, criticality, squad_name, {P7} FROM v7 GROUP BY 1, 2, 3, 4",
+    f"""SELECT *, row_number() OVER (ORDER BY p7_pass_rate, environment_name NULLS FIRST, environment_type NULLS FIRST,
+                                     criticality NULLS FIRST, squad_name NULLS FIRST) AS position
+        FROM (SELECT environment_name, environment_type, criticality, squad_name, {P7} FROM v7 GROUP BY 1, 2, 3, 4)""",
 )(lambda i: pages.environment_detail(i.t))
 query("g10_environment_kpis", f"SELECT count(DISTINCT environment_name) AS environments_monitored, {P7} FROM v7")(
     lambda i: pages.environment_kpis(i.t)
@@ -228,7 +217,7 @@ def two_snapshots(t):
     """Snapshots of two days; the earlier one sees only the runs started by then."""
     known = t["fact_test_run"].where(F.col("started_at") <= F.lit(EARLIER_DAY))
     early = snapshot.cycle(t.replace(fact_test_run=known), EARLIER_DAY)
-    return t.replace(fact_cycle_snapshot=cut(early.unionByName(snapshot.cycle(t, SNAPSHOT_DAY))))
+    return t.replace(fact_cycle_snapshot=early.unionByName(snapshot.cycle(t, SNAPSHOT_DAY)))
 
 
 SNAPSHOTS = """days AS (SELECT unnest([DATE '1998-12-31', DATE '2001-12-31']) AS day),
@@ -293,12 +282,9 @@ COUNTS = {
 }
 query(
     "g14_requirement_release_counts",
-    "SELECT issue_key, requirement_summary, "
-    + ", ".join(
-        pivot_sql("release_name", RELEASES, f"CAST(sum({column}) FILTER (@) AS BIGINT)", f"_{name}") for name, column in COUNTS.items()
-    )
-    + " FROM v3 GROUP BY issue_key, requirement_summary",
-)(lambda i: pages.coverage_counts_matrix(i.t, RELEASES))
+    f"""SELECT issue_key, requirement_summary, release_name, {', '.join(f'{bigsum(c)} AS {n}' for n, c in COUNTS.items())}
+        FROM v3 GROUP BY issue_key, requirement_summary, release_name""",
+)(lambda i: pages.coverage_counts_matrix(i.t))
 P4 = f"""{bigsum('total_runs')} AS p4_total_runs, {bigsum('passed')} AS p4_passed, {bigsum('failed')} AS p4_failed,
          round(avg(avg_duration_s), 6) AS p4_avg_duration_s"""
 query("g15_runs_by_week_of_year", f"SELECT week_of_year, {P4} FROM v4 GROUP BY 1")(
@@ -318,32 +304,63 @@ query(
 
 # --- row-level security -----------------------------------------------------
 
-V1_COLUMNS = "release_name, count(*) AS total_runs, count(*) FILTER (run_status = 'PASS') AS passed"
+STEP_COUNT = "SELECT coalesce(sum(length(test_run_id) % 3 + 1), 0)"
+TOTALS = {
+    "bridge_squad_user": "SELECT count(*) FROM bridge_squad_user",
+    "dim_application": "SELECT count(*) FROM dim_application",
+    "dim_date": "SELECT count(*) FROM dim_date",
+    "dim_defect": "SELECT count(*) FROM dim_defect",
+    "dim_environment": "SELECT count(*) FROM dim_environment",
+    "dim_issue": "SELECT count(*) FROM dim_issue",
+    "dim_program": "SELECT count(*) FROM dim_program",
+    "dim_release": "SELECT count(*) FROM dim_release",
+    "dim_root_cause": "SELECT count(*) FROM dim_root_cause",
+    "dim_squad": "SELECT count(*) FROM dim_squad",
+    "dim_status": "SELECT count(*) FROM dim_status",
+    "dim_test": "SELECT count(*) FROM dim_test",
+    "dim_test_execution": "SELECT count(*) FROM orders",
+    "dim_test_type": "SELECT count(DISTINCT test_type_name) FROM dim_test",
+    "dim_tester": "SELECT count(*) FROM supplier",
+    "fact_defect_link": "SELECT count(*) FROM fact_defect_link",
+    "fact_requirement_coverage": "SELECT count(*) FROM fact_requirement_coverage",
+    "fact_test_run": "SELECT count(*) FROM fact_test_run",
+    "fact_test_step_result": f"{STEP_COUNT} FROM fact_test_run",
+    "pipeline_run_log": "SELECT count(*) FROM run_log",
+    "pipeline_watermarks": "SELECT count(DISTINCT job_name) FROM run_log WHERE status = 'success'",
+}
 
 
-def secured_runs(i, email, role):
-    """Runs per release as the user sees them, next to the user."""
-    seen = marts.v1_qa_health_by_release(security.secure(i.t, email, role))
-    return seen.select("release_name", "total_runs", "passed")
+def visibility_sql(squads: str, own: str) -> str:
+    """Rows of each table for a user with these squads (SQL) and these rows of the bridge (condition)."""
+    seen = TOTALS | {
+        "bridge_squad_user": f"SELECT count(*) FROM bridge_squad_user WHERE {own}",
+        "dim_defect": "SELECT count(*) FROM dim_defect WHERE squad_sk IN (FROM mine)",
+        "dim_issue": "SELECT count(*) FROM dim_issue WHERE squad_sk IN (FROM mine)",
+        "dim_squad": "SELECT count(*) FROM dim_squad WHERE squad_sk IN (FROM mine)",
+        "dim_test": "SELECT count(*) FROM dim_test WHERE squad_sk IN (FROM mine)",
+        "fact_defect_link": "SELECT count(*) FROM fact_defect_link JOIN dim_defect USING (defect_sk) WHERE squad_sk IN (FROM mine)",
+        "fact_requirement_coverage": "SELECT count(*) FROM fact_requirement_coverage JOIN dim_issue USING (issue_sk) WHERE squad_sk IN (FROM mine)",
+        "fact_test_run": "SELECT count(*) FROM fact_test_run JOIN dim_test USING (test_sk) WHERE squad_sk IN (FROM mine)",
+        "fact_test_step_result": f"{STEP_COUNT} FROM fact_test_run JOIN dim_test USING (test_sk) WHERE squad_sk IN (FROM mine)",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS tbl, ({seen[name]}) AS visible, ({TOTALS[name]}) AS total" for name in TOTALS)
+    return f"WITH mine AS ({squads}) {rows}"
 
 
-query(
-    "r1_member_sees_own_squads",
-    f"""SELECT {V1_COLUMNS} FROM run_squad r JOIN dim_squad s ON s.squad_name = r.squad_name
-        WHERE s.squad_sk IN (SELECT squad_sk FROM bridge_squad_user WHERE user_email = 'user4@example.com') GROUP BY release_name""",
-)(lambda i: secured_runs(i, "user4@example.com", security.MEMBER))
-query(
-    "r2_manager_sees_program",
-    f"""SELECT {V1_COLUMNS} FROM run_squad r WHERE program_sk IN (
-            SELECT program_sk FROM dim_squad JOIN bridge_squad_user USING (squad_sk)
-            WHERE user_email = 'user2@example.com' AND role IN ('Program_Manager', 'CXO')) GROUP BY release_name""",
-)(lambda i: secured_runs(i, "user2@example.com", security.MANAGER))
-query("r3_executive_sees_all", f"SELECT {V1_COLUMNS} FROM fact_test_run GROUP BY release_name")(
-    lambda i: secured_runs(i, "user10@example.com", security.EXECUTIVE)
+MEMBER_OF = "SELECT squad_sk FROM bridge_squad_user WHERE user_email = 'user4@example.com'"
+MANAGED = "user_email = 'user2@example.com' AND role IN ('Program_Manager', 'CXO')"
+PROGRAM_OF = f"""SELECT squad_sk FROM dim_squad WHERE program_sk IN (
+    SELECT program_sk FROM dim_squad JOIN bridge_squad_user USING (squad_sk) WHERE {MANAGED})"""
+query("r1_member_sees_own_squads", visibility_sql(MEMBER_OF, "user_email = 'user4@example.com'"))(
+    lambda i: security.visibility(i.t, "user4@example.com", security.MEMBER)
 )
-query(
-    "r3_no_role_sees_nothing", f"SELECT {V1_COLUMNS} FROM fact_test_run WHERE false GROUP BY release_name"
-)(lambda i: secured_runs(i, "stranger@example.com", None))
+query("r2_manager_sees_program", visibility_sql(PROGRAM_OF, MANAGED))(
+    lambda i: security.visibility(i.t, "user2@example.com", security.MANAGER)
+)
+EVERYTHING = " UNION ALL ".join(f"SELECT '{name}' AS tbl, ({sql}) AS visible, ({sql}) AS total" for name, sql in TOTALS.items())
+query("r3_executive_sees_all", EVERYTHING)(lambda i: security.visibility(i.t, "user10@example.com", security.EXECUTIVE))
+NOTHING = " UNION ALL ".join(f"SELECT '{name}' AS tbl, 0 AS visible, ({sql}) AS total" for name, sql in TOTALS.items())
+query("r3_no_role_sees_nothing", NOTHING)(lambda i: security.visibility(i.t, "stranger@example.com", None))
 query(
     "r4_user_lookup",
     """SELECT user_email, squad_name, role FROM bridge_squad_user JOIN dim_squad USING (squad_sk)

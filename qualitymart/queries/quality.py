@@ -7,8 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from qualitymart.operators import quality as Q
-from qualitymart.plans.context import Context, apply_context
-from qualitymart.queries.registry import query
+from qualitymart.queries.registry import RAW_SQL, build, query
 
 DAY = date(2001, 6, 30)
 NOON = datetime(2024, 1, 25, 12)
@@ -20,9 +19,9 @@ query(
 )(lambda i: Q.tests_without_recent_run(i.t, DAY))
 query(
     "d2_releases_without_pass",
-    """SELECT release_name, count(*) AS total_runs FROM run_squad WHERE test_key IN ('T-7', 'T-8')
+    """SELECT release_name, count(*) AS total_runs FROM run_squad
        GROUP BY release_name HAVING count(*) FILTER (run_status = 'PASS') = 0""",
-)(lambda i: Q.releases_without_pass(apply_context(i.t, Context(tests=("T-7", "T-8")))).select("release_name", "total_runs"))
+)(lambda i: Q.releases_without_pass(i.t).select("release_name", "total_runs"))
 query(
     "d3_failed_jobs",
     """SELECT pipeline_run_id, job_name, started_at, error_message FROM run_log
@@ -104,8 +103,8 @@ query(
 query(
     "d9_requirements_without_tests",
     """SELECT issue_key, business_area, critical_flag FROM dim_issue
-       WHERE issue_sk NOT IN (SELECT issue_sk FROM fact_requirement_coverage WHERE release_name = 'R1996Q3')""",
-)(lambda i: Q.requirements_without_tests(apply_context(i.t, Context(releases=("R1996Q3",)))))
+       WHERE issue_sk NOT IN (SELECT issue_sk FROM fact_requirement_coverage)""",
+)(lambda i: Q.requirements_without_tests(i.t))
 query(
     "d10_incomplete_closed_defects",
     """SELECT defect_key, 'root_cause' AS missing FROM dim_defect WHERE status = 'Closed' AND root_cause IS NULL""",
@@ -125,8 +124,8 @@ query(
 query(
     "d13_done_but_untested",
     """SELECT issue_key, CAST(sum(total_test_count) AS BIGINT) AS tests FROM dim_issue JOIN fact_requirement_coverage USING (issue_sk)
-       WHERE status = 'Done' AND release_name = 'R1996Q3' GROUP BY issue_key HAVING sum(total_test_count) = sum(todo_test_count)""",
-)(lambda i: Q.done_but_untested(apply_context(i.t, Context(releases=("R1996Q3",)))))
+       WHERE status = 'Done' GROUP BY issue_key HAVING sum(total_test_count) = sum(todo_test_count)""",
+)(lambda i: Q.done_but_untested(i.t))
 query(
     "d14_resolved_but_failing",
     """WITH latest AS (SELECT test_sk, test_run_id, run_status FROM fact_test_run
@@ -138,13 +137,13 @@ query(
 query(
     "d15_squad_mismatches",
     """SELECT i.issue_key, t.test_key, i.squad_sk AS issue_squad, t.squad_sk AS test_squad
-       FROM (SELECT DISTINCT o_custkey AS issue_sk, l_partkey AS test_sk FROM lineitem JOIN orders ON o_orderkey = l_orderkey) l
+       FROM (SELECT DISTINCT o_custkey AS issue_sk, l_partkey AS test_sk FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 45 <> 7) l
        JOIN dim_issue i USING (issue_sk) JOIN dim_test t USING (test_sk) WHERE i.squad_sk IS DISTINCT FROM t.squad_sk""",
 )(lambda i: Q.squad_mismatches(i.t, i.derived.requirement_runs().select("issue_sk", "test_sk")))
 query(
     "d15_tests_without_definition",
     """SELECT test_key, summary FROM dim_test WHERE test_type_name IN ('Manual', 'Regression')
-              OR (test_type_name = 'Generic' AND test_sk % 7 = 0)""",
+              OR test_type_name IS NULL OR (test_type_name = 'Generic' AND test_sk % 7 = 0)""",
 )(lambda i: Q.tests_without_definition(i.t))
 query(
     "d15_type_changes",
@@ -184,19 +183,8 @@ query(
         )
     )
 )
+SUMMARISED = [name for name in RAW_SQL if name.startswith("d") and name not in ("d3_last_jobs", "d5_census")]
 query(
     "d_summary",
-    """SELECT 'failures_without_defect' AS "check", count(*) AS violations FROM fact_test_run WHERE run_status = 'FAIL' AND defect_count = 0
-       UNION ALL SELECT 'requirements_without_tests', count(*) FROM dim_issue WHERE issue_sk NOT IN (SELECT issue_sk FROM fact_requirement_coverage)
-       UNION ALL SELECT 'incomplete_closed_defects', count(*) FROM dim_defect WHERE status = 'Closed' AND root_cause IS NULL
-       UNION ALL SELECT 'stale_executing', count(*) FROM fact_test_run WHERE run_status = 'EXECUTING' AND started_at < TIMESTAMP '2001-06-29'""",
-)(
-    lambda i: Q.summary(
-        {
-            "failures_without_defect": Q.failures_without_defect(i.t),
-            "requirements_without_tests": Q.requirements_without_tests(i.t),
-            "incomplete_closed_defects": Q.incomplete_closed_defects(i.t),
-            "stale_executing": Q.stale_executing(i.t, DAY),
-        }
-    )
-)
+    " UNION ALL ".join(f"SELECT '{name}' AS \"check\", count(*) AS violations FROM ({RAW_SQL[name]})" for name in SUMMARISED),
+)(lambda i: Q.summary({name: build(name, i) for name in SUMMARISED}))

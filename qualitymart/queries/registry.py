@@ -13,6 +13,8 @@ from qualitymart.sources.derived import DerivedStar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+RAW_SQL: dict[str, str] = {}
+_BUILDS: dict[str, Callable] = {}
 
 
 class Inputs:
@@ -24,14 +26,6 @@ class Inputs:
         self.t = self.derived.star()
         self.raw = self.derived.raw
 
-    def staged(self, table: str) -> DataFrame:
-        """A table to make payloads from. One that is a single file is one task; it is spread over the
-        cores the way many staged files would be."""
-        df = self.raw(table)
-        if len(df.inputFiles()) > 1:
-            return df
-        return df.repartition(self.spark.sparkContext.defaultParallelism)
-
 
 def query(name: str, sql: str | None = None):
     """Register a query; ``sql`` may use the star tables named in ``oracle.STAR``."""
@@ -44,8 +38,15 @@ def query(name: str, sql: str | None = None):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = run
+        _BUILDS[name] = build
         if sql is not None:
+            RAW_SQL[name] = sql
             ORACLES[name] = oracle.with_star(sql)
         return build
 
     return register
+
+
+def build(name: str, inputs: Inputs) -> DataFrame:
+    """A registered query over inputs that are already there."""
+    return _BUILDS[name](inputs)

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Runtime settings: all of them can be changed on a running session.
 RUNTIME = {
@@ -18,8 +17,11 @@ RUNTIME = {
 }
 
 
-def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None, memory: str = "12g") -> SparkSession:
-    """A local session for tests and bench; on a cluster the session comes from spark-submit."""
+def local_session(
+    cpus: int | str = 8, shuffle_partitions: int | None = None, memory: str = "12g", folder: str | None = None
+) -> SparkSession:
+    """A local session for tests and bench, which keep what they store in ``folder``; on a cluster the session comes
+    from spark-submit."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("qualitymart")
@@ -28,6 +30,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None, me
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     )
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder).config("spark.sql.warehouse.dir", f"{folder}/warehouse")
     return configure(builder.getOrCreate())
 
 
@@ -40,16 +44,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only where that is unset (a local session) a temporary folder stands in.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``; where that is unset, one inside the warehouse,
+    which all executors share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = os.environ.setdefault("QUALITYMART_TMP", tempfile.mkdtemp(prefix="qualitymart-"))
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stored"
+
+
+def read_or_none(spark: SparkSession, layout: str | StructType, path: str) -> DataFrame | None:
+    """A Parquet folder, or None if there is none yet. Any other failure to read it is raised."""
+    try:
+        return spark.read.schema(layout).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def cut(df: DataFrame) -> DataFrame:

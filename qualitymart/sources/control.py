@@ -8,11 +8,14 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
+from qualitymart.session import read_or_none
+
+
+PURGES = "project STRING, purged_at TIMESTAMP"
 
 
 def _utc(ts: datetime | None) -> datetime | None:
@@ -26,10 +29,8 @@ class Control:
         self.root = root.rstrip("/")
 
     def _events(self, table: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(S.struct(table)).parquet(f"{self.root}/{table}")
-        except AnalysisException:
-            return S.empty(self.spark, table)
+        events = read_or_none(self.spark, S.struct(table), f"{self.root}/{table}")
+        return S.empty(self.spark, table) if events is None else events
 
     def _append(self, table: str, row: dict) -> None:
         values = [tuple(row.get(c) for c in S.columns(table))]
@@ -55,6 +56,15 @@ class Control:
         now = _utc(now) or datetime.now(tz=timezone.utc)
         self._append("pipeline_watermarks", {"job_name": job, "last_success_ts": _utc(ts), "updated_at": now})
 
+    def purges(self) -> DataFrame:
+        """Projects taken out, with the time up to which what was staged of them is void."""
+        events = read_or_none(self.spark, PURGES, f"{self.root}/pipeline_purges")
+        return self.spark.createDataFrame([], PURGES) if events is None else events
+
+    def add_purge(self, project: str, now: datetime | None = None) -> None:
+        row = [(project, _utc(now) or datetime.now(tz=timezone.utc))]
+        self.spark.createDataFrame(row, PURGES).coalesce(1).write.mode("append").parquet(f"{self.root}/pipeline_purges")
+
     def run_log(self) -> DataFrame:
         """One row per job run: its final state once it has finished."""
         order = F.struct(F.col("finished_at").isNotNull(), "finished_at")

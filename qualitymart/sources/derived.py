@@ -7,7 +7,6 @@ Natural keys stand in for the surrogate keys, so results never depend on numberi
 
 from __future__ import annotations
 
-from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +17,6 @@ from qualitymart.functions import calendar
 from qualitymart.operators import coverage
 from qualitymart.sources.star import Star
 
-CALENDAR = (date(1995, 1, 1), date(2001, 12, 31))
-
 # Layouts of the test tables; given, so that no job has to look them up.
 RAW = {
     "region": "r_regionkey INT, r_name STRING",
@@ -42,14 +39,17 @@ RULES = {
     "quarter": "concat('R', year({day}), 'Q', quarter({day}))",
     "yyyymmdd": "year({day}) * 10000 + month({day}) * 100 + day({day})",
     "squad": "cast(({key} % 6) * 4 as int)",
-    "test_type": "CASE p_type WHEN 'STANDARD' THEN 'Manual' WHEN 'ECONOMY' THEN 'Manual' WHEN 'PROMO' THEN 'Cucumber'"
-    " WHEN 'SMALL' THEN 'Generic' WHEN 'MEDIUM' THEN 'Generic' WHEN 'LARGE' THEN 'Regression' END",
-    "run_status": "CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 'PASS' WHEN 'AO' THEN 'ABORTED'"
+    "test_type": "CASE WHEN p_partkey % 37 = 5 THEN NULL ELSE CASE p_type WHEN 'STANDARD' THEN 'Manual' WHEN 'ECONOMY' THEN 'Manual' WHEN 'PROMO' THEN 'Cucumber'"
+    " WHEN 'SMALL' THEN 'Generic' WHEN 'MEDIUM' THEN 'Generic' WHEN 'LARGE' THEN 'Regression' END END",
+    # in the second quarter of 1996 nothing passed
+    "run_status": "CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN if(l_shipdate BETWEEN timestamp_ntz '1996-04-01'"
+    " AND timestamp_ntz '1996-07-06', 'EXECUTING', 'PASS') WHEN 'AO' THEN 'ABORTED'"
     " WHEN 'NF' THEN 'EXECUTING' WHEN 'NO' THEN 'TODO' WHEN 'RF' THEN 'FAIL' WHEN 'RO' THEN 'BLOCKED' END",
     "quarter_key": "year({day}) * 10 + quarter({day})",
     "environment": "CASE WHEN l_linenumber <= 6 THEN cast((l_linenumber + 1) div 2 as int) END",
     "cause": "cast(l_partkey % 9 + 1 as int)",
-    "defect_status": "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Reopened' END",
+    "run_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd'))",
+    "defect_status": "CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Reopened' END END",
     "severity": "CASE o_orderpriority WHEN '1-URGENT' THEN 'Critical' WHEN '2-HIGH' THEN 'High'"
     " WHEN '3-MEDIUM' THEN 'Medium' ELSE 'Low' END",
 }
@@ -78,8 +78,14 @@ class DerivedStar:
 
     # --- dimensions ---------------------------------------------------------
 
+    @cached_property
+    def _years(self) -> DataFrame:
+        """First and last day of the years that have orders, as one row."""
+        bounds = self.raw("orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+        return bounds.selectExpr("trunc(to_date(a), 'YEAR') AS first", "date_sub(add_months(trunc(to_date(b), 'YEAR'), 12), 1) AS last")
+
     def dim_date(self) -> DataFrame:
-        return calendar.dim_date(self.spark, *CALENDAR)
+        return calendar.from_bounds(self._years, "first", "last")
 
     def dim_program(self) -> DataFrame:
         return self.raw("region").selectExpr("r_regionkey AS program_sk", "r_name AS program_name")
@@ -97,8 +103,8 @@ class DerivedStar:
         )
 
     def dim_release(self) -> DataFrame:
-        weeks = self.raw("lineitem").selectExpr(f"trunc({rule('week')}, 'QUARTER') AS release_date").distinct()
-        return weeks.selectExpr(
+        quarters = self._years.selectExpr("explode(sequence(first, last, interval 3 month)) AS release_date")
+        return quarters.selectExpr(
             f"{rule('quarter_key', day='release_date')} AS release_sk",
             f"{rule('quarter', day='release_date')} AS release_name",
             "release_date",
@@ -129,7 +135,7 @@ class DerivedStar:
 
     def dim_test_type(self) -> DataFrame:
         names = self.raw("part").selectExpr(f"{rule('test_type')} AS test_type_name").distinct()
-        return names.selectExpr("test_type_name AS test_type_sk", "test_type_name")
+        return names.where("test_type_name IS NOT NULL").selectExpr("test_type_name AS test_type_sk", "test_type_name")
 
     def dim_test(self) -> DataFrame:
         return self.raw("part").selectExpr(
@@ -206,7 +212,7 @@ class DerivedStar:
         return base.selectExpr(
             "l_orderkey",
             "l_extendedprice",
-            "concat(l_orderkey, '-', l_linenumber) AS test_run_id",
+            f"{rule('run_id')} AS test_run_id",
             f"{rule('quarter_key', day='_week')} AS release_sk",
             "l_partkey AS test_sk",
             "l_orderkey AS execution_sk",
@@ -228,6 +234,10 @@ class DerivedStar:
             f"cast({in_trouble} AND l_suppkey % 4 <> 0 as int) AS defect_count",
         )
 
+    def runs(self) -> DataFrame:
+        """The runs before their tests are looked up."""
+        return self._runs
+
     def fact_test_run(self) -> DataFrame:
         parts = self.raw("part").selectExpr("p_partkey", f"{rule('test_type')} <> 'Manual' AS is_automated")
         typed = self._runs.join(parts, F.col("test_sk") == F.col("p_partkey"), "left")
@@ -262,10 +272,12 @@ class DerivedStar:
         )
 
     def requirement_runs(self) -> DataFrame:
-        """Runs of each requirement: those of the orders its customer placed."""
-        orders = self.raw("orders").selectExpr("o_orderkey", "o_custkey AS issue_sk")
+        """Runs of each requirement: those of the orders its customer placed. Some requirements have no tests,
+        and of some all tests are still to do."""
+        orders = self.raw("orders").where("o_custkey % 45 <> 7").selectExpr("o_orderkey", "o_custkey AS issue_sk")
+        status = F.expr("if(issue_sk % 30 = 0, 'TODO', run_status)").alias("run_status")
         return self._runs.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            "issue_sk", "release_sk", "test_sk", "run_status", "started_at", "test_run_id", "l_extendedprice", "date_sk"
+            "issue_sk", "release_sk", "test_sk", status, "started_at", "test_run_id", "l_extendedprice", "date_sk"
         )
 
     def fact_requirement_coverage(self) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
@@ -35,14 +35,28 @@ def write(records: DataFrame, root: str) -> None:
     dated.write.mode("append").partitionBy("entity_type", "load_date").parquet(root)
 
 
+def project_of(records: DataFrame) -> Column:
+    """Project of a staged record: of its key, for versions the one they are stamped with, for runs and steps that
+    of their execution."""
+    stamped = F.coalesce(F.get_json_object("raw_json", "$._project_key"), F.get_json_object("raw_json", "$._execution_key"))
+    owned = F.col("entity_type").isin("jira_version", "xray_test_run", "xray_test_step_result")
+    return F.substring_index(F.when(owned, stamped).otherwise(F.col("source_key")), "-", 1)
+
+
 def scan(
-    spark: SparkSession, root: str, entity: str | None = None, since: datetime | None = None, mode: str = "full_refresh"
+    spark: SparkSession, root: str, entity: str | None = None, since: datetime | None = None, mode: str = "full_refresh",
+    purged: DataFrame | None = None,
 ) -> DataFrame:
     """Staged records, one per (source_key, run_id); in incremental mode only loads after ``since`` (F1).
 
-    The type and load day are partition columns, so a delta reads only recent folders.
+    The type and load day are partition columns, so a delta reads only recent folders. What was staged of a
+    project before it was purged (``purged``: project, purged_at) is left out.
     """
     records = spark.read.schema(LAYOUT).parquet(root)
+    if purged is not None:
+        last = purged.groupBy("project").agg(F.max("purged_at").alias("_purged_at"))
+        void = (project_of(records) == F.col("project")) & (F.col("loaded_at") <= F.col("_purged_at"))
+        records = records.join(last, void, "left_anti")
     if entity is not None:
         records = records.where(F.col("entity_type") == entity)
     if mode == "incremental" and since is not None:

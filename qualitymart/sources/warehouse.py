@@ -10,11 +10,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
+from qualitymart.operators import upsert
+from qualitymart.session import read_or_none
 from qualitymart.sources.star import Star
 
 LOG = "version BIGINT, tbl STRING, part STRING, path STRING"
@@ -34,10 +35,8 @@ class Warehouse:
         self.root = root.rstrip("/")
 
     def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG).parquet(f"{self.root}/_commits")
-        except AnalysisException:
-            return self.spark.createDataFrame([], LOG)
+        log = read_or_none(self.spark, LOG, f"{self.root}/_commits")
+        return self.spark.createDataFrame([], LOG) if log is None else log
 
     def current(self) -> tuple[int, dict[str, dict[str, str]]]:
         """Newest version and, per table, the folder of each partition.
@@ -70,6 +69,7 @@ class Transaction:
         self.spark = warehouse.spark
         self.version, self._folders = warehouse.current()
         self._changed: dict[tuple[str, str], str] = {}
+        self.changed: dict[str, tuple[int, int]] = {}
 
     def table(self, name: str, parts: Sequence[str] | None = None) -> DataFrame:
         folders = self._folders.get(name, {})
@@ -98,6 +98,13 @@ class Transaction:
         S.conform(df, name).write.mode("overwrite").parquet(f"{self.warehouse.root}/{path}")
         self._set(name, "", path)
 
+    def count_changes(self, name: str, target: DataFrame, updates: DataFrame, keys: Sequence[str], merge: Callable | None = None) -> None:
+        """Note how many updates insert and how many update rows of a table; only keys are read."""
+        row = upsert.changes(target, updates, keys).first()
+        updated = 0 if merge is upsert.insert_absent else row["updated"]
+        before = self.changed.get(name, (0, 0))
+        self.changed[name] = (before[0] + row["inserted"], before[1] + updated)
+
     def merge_parts(
         self, name: str, updates: DataFrame, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame]
     ) -> None:
@@ -114,6 +121,7 @@ class Transaction:
         touched = [str(r[0]) for r in names.where(F.col(column).isNotNull()).collect()]
         if not touched:
             return
+        self.count_changes(name, self.table(name, touched), updates, keys)
         self._write_parts(name, merge(self.table(name, touched), updates), touched)
 
     def replace_parts(self, name: str, df: DataFrame) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from datetime import date, datetime
@@ -72,10 +73,12 @@ if __name__ == "__main__":
     from qualitymart.session import local_session
 
     sf = f"/root/testdata/sf{sys.argv[1]}"
-    session = local_session(8)
+    parts = [part for part in sys.argv[2:] if not part.startswith("cpus=")]
+    cpus = next((part[5:] for part in sys.argv[2:] if part.startswith("cpus=")), "8")
+    session = local_session(cpus, folder=tempfile.mkdtemp(prefix="compare-"))
     session.sparkContext.setLogLevel("ERROR")
     connection = duck(sf)
-    chosen = [q for q in QUERIES if len(sys.argv) < 3 or any(part in q for part in sys.argv[2:])]
+    chosen = [q for q in QUERIES if not parts or any(part in q for part in parts)]
     bad = []
     for q in chosen:
         try:

@@ -8,10 +8,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from qualitymart.session import local_session
 
-    session = local_session(4, shuffle_partitions=2, memory="6g")
+    session = local_session(4, shuffle_partitions=2, memory="6g", folder=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

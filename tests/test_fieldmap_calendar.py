@@ -18,13 +18,13 @@ def extract(spark, payload, kind, field="customfield_1"):
 @pytest.mark.parametrize(
     "kind, value, expected",
     [
-        ("string", "Platform", "Platform"),
+        ("string", "Storefront", "Storefront"),
         ("string", "", None),
         ("string", 5, "5"),
-        ("select_value", {"value": "Manual", "id": "1"}, "Manual"),
-        ("select_value", "Manual", "Manual"),
-        ("issue_key", {"key": "PROJ-42"}, "PROJ-42"),
-        ("issue_key", "PROJ-42", "PROJ-42"),
+        ("select_value", {"value": "Smoke", "id": "8"}, "Smoke"),
+        ("select_value", "Smoke", "Smoke"),
+        ("issue_key", {"key": "SHOP-6"}, "SHOP-6"),
+        ("issue_key", "SHOP-6", "SHOP-6"),
         ("unknown", "x", "x"),
         ("string", None, None),
     ],
@@ -34,10 +34,10 @@ def test_text_coercions(spark, kind, value, expected):
 
 
 def test_json_coercions(spark):
-    environments = [{"value": "Staging"}, {"value": "Production"}]
-    assert json.loads(extract(spark, {"customfield_1": environments}, "array")) == ["Staging", "Production"]
-    assert json.loads(extract(spark, {"customfield_1": "Staging"}, "array")) == ["Staging"]
-    steps = [{"index": 1, "step": "Open"}]
+    environments = [{"value": "Lab"}, {"value": "Field"}]
+    assert json.loads(extract(spark, {"customfield_1": environments}, "array")) == ["Lab", "Field"]
+    assert json.loads(extract(spark, {"customfield_1": "Lab"}, "array")) == ["Lab"]
+    steps = [{"index": 4, "step": "Weigh it"}]
     assert json.loads(extract(spark, {"customfield_1": steps}, "json")) == steps
     assert extract(spark, {}, "array") is None
 
@@ -60,9 +60,9 @@ def test_default_map_has_fourteen_rows():
 def test_calendar(spark):
     rows = {r["date_sk"]: r for r in calendar.dim_date(spark, date(2024, 1, 1), date(2024, 12, 31)).collect()}
     assert len(rows) == 366
-    saturday = rows[20240615]
-    assert (saturday["quarter"], saturday["month_name"], saturday["day_name"]) == (2, "June", "Saturday")
-    assert (saturday["day_of_week"], saturday["is_weekend"], saturday["fiscal_quarter"]) == (6, True, 2)
+    sunday = rows[20241006]
+    assert (sunday["quarter"], sunday["month_name"], sunday["day_name"]) == (4, "October", "Sunday")
+    assert (sunday["day_of_week"], sunday["is_weekend"], sunday["fiscal_quarter"]) == (7, True, 4)
     assert rows[20240101]["week_of_year"] == 1 and rows[20241230]["week_of_year"] == 1
 
 

@@ -9,7 +9,7 @@ from qualitymart.operators import quality
 from qualitymart.sources import landing, staging
 
 
-def pages(spark, *bodies, origin="landing/QA/page.json"):
+def pages(spark, *bodies, origin="landing/SHOP/page.json"):
     return spark.createDataFrame([(b if isinstance(b, str) else json.dumps(b), origin) for b in bodies], "body STRING, origin STRING")
 
 
@@ -18,24 +18,24 @@ def by_key(df):
 
 
 def test_issues_are_routed_and_filtered(spark):
-    found = pages(spark, {"issues": [sample.issue(), sample.defect()], "nextPageToken": "t"}, "NOT JSON {{")
+    found = pages(spark, {"issues": [sample.issue(), sample.defect()], "nextPageToken": "t"}, "<html>busy</html>")
     rows = by_key(landing.issues(found, "r", sample.DAY))
-    assert {k: r["entity_type"] for k, r in rows.items()} == {"QA-1": "jira_issue", "QA-9": "jira_defect"}
-    assert json.loads(rows["QA-1"]["raw_json"])["fields"]["customfield_10201"] == "Squad A"
-    since = datetime(2024, 3, 1, 11, 59, 59, tzinfo=timezone.utc)
+    assert {k: r["entity_type"] for k, r in rows.items()} == {"SHOP-10": "jira_issue", "SHOP-66": "jira_defect"}
+    assert json.loads(rows["SHOP-10"]["raw_json"])["fields"]["customfield_10201"] == "Team Oak"
+    since = datetime(2024, 3, 1, 16, 19, 59, tzinfo=timezone.utc)
     assert landing.issues(found, "r", sample.DAY, since=since).count() == 1
-    assert landing.issues(found, "r", sample.DAY, since=since.replace(hour=12)).count() == 0
+    assert landing.issues(found, "r", sample.DAY, since=since.replace(minute=20)).count() == 0
     assert landing.issues(found, "r", sample.DAY, projects=["OTHER"]).count() == 0
     assert landing.bad_pages(found).first()["reason"] == "bad_json"
     newest = landing.newest_update(landing.issues(found, "r", sample.DAY)).select(F.col("watermark_after").cast("string")).first()[0]
-    assert newest == "2024-03-01 12:00:00"
+    assert newest == "2024-03-01 16:20:00"
 
 
 def test_versions_carry_their_project(spark):
     found = pages(spark, [sample.version(), {"name": "v9", "_project_key": "old"}])
     rows = by_key(landing.versions(found, "r", sample.DAY))
     assert set(rows) == {"1", "v9"}
-    assert {json.loads(r["raw_json"])["_project_key"] for r in rows.values()} == {"QA"}
+    assert {json.loads(r["raw_json"])["_project_key"] for r in rows.values()} == {"SHOP"}
 
 
 def test_server_and_cloud_envelopes(spark):
@@ -48,29 +48,29 @@ def test_server_and_cloud_envelopes(spark):
 
 def test_runs_and_steps(spark):
     body = sample.run(steps=[{"id": "s1", "index": 1}, {"id": "s2", "index": 2}])
-    runs, steps = landing.test_runs(pages(spark, [body], origin="x/QA-200/p.json"), "r", sample.DAY)
-    assert json.loads(by_key(runs)["99001"]["raw_json"])["_execution_key"] == "QA-200"
+    runs, steps = landing.test_runs(pages(spark, [body], origin="x/SHOP-1403/p.json"), "r", sample.DAY)
+    assert json.loads(by_key(runs)["5107"]["raw_json"])["_execution_key"] == "SHOP-1403"
     rows = by_key(steps)
-    assert set(rows) == {"99001:s1", "99001:s2"}
-    assert json.loads(rows["99001:s2"]["raw_json"])["_test_run_id"] == "99001"
+    assert set(rows) == {"5107:s1", "5107:s2"}
+    assert json.loads(rows["5107:s2"]["raw_json"])["_test_run_id"] == "5107"
     cloud = {"data": {"getTestRuns": {"results": [{"id": "5", "steps": [{"id": "a"}]}]}}}
     runs, steps = landing.test_runs(pages(spark, cloud), "r", sample.DAY, execution=F.lit("42"), cloud=True)
     assert json.loads(by_key(steps)["5:a"]["raw_json"])["_execution_issue_id"] == "42"
 
 
 def test_pages_are_read_from_files(spark, tmp_path):
-    (tmp_path / "QA").mkdir()
-    (tmp_path / "QA" / "versions.json").write_text(json.dumps([sample.version()], indent=2))
+    (tmp_path / "SHOP").mkdir()
+    (tmp_path / "SHOP" / "versions.json").write_text(json.dumps([sample.version()], indent=2))
     rows = landing.versions(landing.read_pages(spark, str(tmp_path)), "r", sample.DAY).collect()
-    assert json.loads(rows[0]["raw_json"])["_project_key"] == "QA"
+    assert json.loads(rows[0]["raw_json"])["_project_key"] == "SHOP"
 
 
 def test_staging_round_trip(spark, tmp_path):
     rows = [
-        sample.record("jira_issue", "QA-1", sample.issue()),
-        sample.record("jira_issue", "QA-1", sample.issue(summary="again"), 1),
-        sample.record("jira_issue", "QA-1", sample.issue(), 2, "run-2"),
-        sample.record("xray_test", "T-1", "NOT JSON {{"),
+        sample.record("jira_issue", "SHOP-10", sample.issue()),
+        sample.record("jira_issue", "SHOP-10", sample.issue(summary="again"), 1),
+        sample.record("jira_issue", "SHOP-10", sample.issue(), 2, "run-2"),
+        sample.record("xray_test", "T-1", "<html>busy</html>"),
         sample.record("xray_execution", "E-1", {}),
     ]
     records = spark.createDataFrame(rows, S.STAGING)
@@ -79,7 +79,7 @@ def test_staging_round_trip(spark, tmp_path):
     assert staging.scan(spark, root).count() == 3
     assert staging.scan(spark, root, "xray_test").count() == 1
     late = staging.scan(spark, root, since=sample.DAY.replace(hour=1), mode="incremental").collect()
-    assert [(r["source_key"], r["run_id"]) for r in late] == [("QA-1", "run-2")]
+    assert [(r["source_key"], r["run_id"]) for r in late] == [("SHOP-10", "run-2")]
     again = staging.scan(spark, root, "jira_issue").where("run_id = 'run-1'").first()
     assert json.loads(again["raw_json"])["fields"]["summary"] == "again"
     assert staging.parse(staging.scan(spark, root, "xray_test")).count() == 0

@@ -75,61 +75,61 @@ def test_golden_tables(replayed):
     got = meaning(warehouse.star())
     assert got["dim_release"] == [
         ("UNVERSIONED", None, None, None, None, False),
-        ("v1.0", date(2024, 5, 1), 20240401, "train 1", "Released", True),
-        ("v1.1", None, None, None, None, False),
+        ("w7.3", date(2024, 5, 1), 20240401, "wave 4", "Released", True),
+        ("w7.4", None, None, None, None, False),
     ]
     assert ("ON HOLD", "Unknown", 99) in got["dim_status"] and len(got["dim_status"]) == 7
     assert got["dim_issue"] == [
-        ("QA-1", "Changed", "P0", True, datetime(2024, 3, 1, 12)),
-        ("QA-2", "As a user I can log in", "High", False, datetime(2024, 3, 1, 12)),
+        ("SHOP-10", "Changed", "P0", True, datetime(2024, 3, 1, 16, 20)),
+        ("SHOP-17", "Basket survives a reload", "High", False, datetime(2024, 3, 1, 16, 20)),
     ]
-    assert got["dim_defect"] == [("QA-9", "Closed", "Critical", True, "Application Bug")]
-    assert got["dim_application"] == [("Auth", True)]
+    assert got["dim_defect"] == [("SHOP-66", "Closed", "Critical", True, "Application Bug")]
+    assert got["dim_application"] == [("Basket", True)]
     assert got["dim_environment"] == [("SIT",), ("UAT",)]
-    assert got["dim_tester"] == [("Alice", "Alice")]
+    assert got["dim_tester"] == [("Mira Voss", "Mira Voss")]
     # The redelivered run changes its row for v1.0; the row of the version it no longer names stays.
     assert got["runs"] == [
-        ("99001", "v1.0", "QA-100", "SIT", "Pass", "Not Applicable", "PASS", False, 330.0, 1),
-        ("99001", "v1.1", "QA-100", "SIT", "Fail", "Not Applicable", "FAIL", False, 330.0, 2),
-        ("99002", "v1.0", "QA-101", "SIT", "Pass", "Not Applicable", "PASS", False, 16530.0, 0),
-        ("99003", "UNVERSIONED", "QA-100", "SIT", "Unknown", "Not Applicable", "ON HOLD", False, None, 0),
+        ("5107", "w7.3", "SHOP-703", "SIT", "Pass", "Not Applicable", "PASS", False, 330.0, 1),
+        ("5107", "w7.4", "SHOP-703", "SIT", "Fail", "Not Applicable", "FAIL", False, 330.0, 2),
+        ("5108", "w7.3", "SHOP-710", "SIT", "Pass", "Not Applicable", "PASS", False, 16530.0, 0),
+        ("5109", "UNVERSIONED", "SHOP-703", "SIT", "Unknown", "Not Applicable", "ON HOLD", False, None, 0),
     ]
     # Links are never updated: the flag of the first delivery stays.
-    assert got["links"] == [("QA-77", "99001", "v1.0", True), ("QA-77", "99001", "v1.1", True), ("QA-9", "99001", "v1.0", True), ("QA-9", "99001", "v1.1", True)]
+    assert got["links"] == [("SHOP-542", "5107", "w7.3", True), ("SHOP-542", "5107", "w7.4", True), ("SHOP-66", "5107", "w7.3", True), ("SHOP-66", "5107", "w7.4", True)]
     # A step keeps its run and order and takes the later status.
-    assert got["fact_test_step_result"] == [("99001:s1", "99001", 1, "FAIL", "OK")]
+    assert got["fact_test_step_result"] == [("5107:s1", "5107", 1, "FAIL", "OK")]
     assert got["coverage"] == [
-        ("QA-1", "UNVERSIONED", 2, 0, 2, "TODO"),
-        ("QA-1", "v1.0", 2, 2, 0, "PASS"),
-        ("QA-1", "v1.1", 2, 0, 1, "FAIL"),
-        ("QA-2", "v1.0", 0, 0, 0, "NO_COVERAGE"),
+        ("SHOP-10", "UNVERSIONED", 2, 0, 2, "TODO"),
+        ("SHOP-10", "w7.3", 2, 2, 0, "PASS"),
+        ("SHOP-10", "w7.4", 2, 0, 1, "FAIL"),
+        ("SHOP-17", "w7.3", 0, 0, 0, "NO_COVERAGE"),
     ]
     assert got["snapshot"] == [
-        ("UNVERSIONED", "Squad A", 1, 1, 0, 1, 0),
-        ("v1.0", "Squad A", 2, 2, 2, 1, 0),
-        ("v1.1", "Squad A", 1, 1, 0, 1, 0),
+        ("UNVERSIONED", "Team Oak", 1, 1, 0, 1, 0),
+        ("w7.3", "Team Oak", 2, 2, 2, 1, 0),
+        ("w7.4", "Team Oak", 1, 1, 0, 1, 0),
     ]
 
 
 def test_marts_on_the_warehouse(replayed):
     t = replayed[1].star()
     health = {r["release_name"]: r for r in marts.v1_qa_health_by_release(t).collect()}
-    assert health["v1.0"]["pass_rate_pct"] == Decimal("100.00") and health["v1.1"]["failed"] == 1
+    assert health["w7.3"]["pass_rate_pct"] == Decimal("100.00") and health["w7.4"]["failed"] == 1
     quality = {r["release_name"]: r for r in marts.v9_quality_effectiveness(t).collect()}
     strict = {r["release_name"]: r for r in marts.v9_quality_effectiveness(t, strict=True).collect()}
-    assert quality["v1.0"]["total_defects"] == 1 and quality["v1.0"]["requirements_without_tests"] == 1
-    assert quality["v1.0"]["requirement_coverage_pct"] == Decimal("50.00")
+    assert quality["w7.3"]["total_defects"] == 1 and quality["w7.3"]["requirements_without_tests"] == 1
+    assert quality["w7.3"]["requirement_coverage_pct"] == Decimal("50.00")
     assert quality["UNVERSIONED"]["total_defects"] == 0 and quality["UNVERSIONED"]["defect_resolution_rate_pct"] is None
-    assert (quality["v1.0"]["total_runs"], strict["v1.0"]["total_runs"]) == (2, 2)
+    assert (quality["w7.3"]["total_runs"], strict["w7.3"]["total_runs"]) == (2, 2)
     density = {(r["release_name"], r["severity"]): r for r in marts.v2_defect_density(t).collect()}
-    assert density["v1.0", None]["total_defects"] == 1 and density["v1.0", "Critical"]["critical_defects"] == 1
+    assert density["w7.3", None]["total_defects"] == 1 and density["w7.3", "Critical"]["critical_defects"] == 1
     marts.register_views(t)
     assert t["dim_date"].sparkSession.sql("SELECT count(*) FROM vw_p6_test_run_detail").first()[0] == 4
 
 
 def test_secured_rows_are_a_subset(spark, replayed):
     t = replayed[1].star()
-    squad = t["dim_squad"].where("squad_name = 'Squad B'").first()["squad_sk"]
+    squad = t["dim_squad"].where("squad_name = 'Team Pine'").first()["squad_sk"]
     bridge = spark.createDataFrame([(squad, "b@example.com", "Squad_Member")], S.TABLES["bridge_squad_user"])
     t = t.replace(bridge_squad_user=bridge)
     assert security.secure(t, "b@example.com", "Squad_Member")["fact_test_run"].count() == 0
@@ -155,7 +155,7 @@ def test_full_stream_equals_replayed_deltas(spark, replayed, tmp_path):
 def test_control_state(spark, replayed):
     root, _, results = replayed
     control = Control(spark, f"{root}/control")
-    assert control.get_watermark(loads.JOB) == datetime(2024, 3, 1, 12, tzinfo=timezone.utc)
+    assert control.get_watermark(loads.JOB) == datetime(2024, 3, 1, 16, 20, tzinfo=timezone.utc)
     log = control.run_log().collect()
     assert len(log) == 3 and {r["status"] for r in log} == {"success"}
     assert control.get_watermark("never ran") is None
@@ -165,7 +165,7 @@ def test_dry_run_and_failure_publish_nothing(spark, replayed):
     root, warehouse, _ = replayed
     control = Control(spark, f"{root}/control")
     before = (warehouse.current()[0], control.get_watermark(loads.JOB))
-    extra = [sample.record("jira_issue", "QA-3", sample.issue("QA-3"), 5, "run-4")]
+    extra = [sample.record("jira_issue", "SHOP-24", sample.issue("SHOP-24"), 5, "run-4")]
     dry = loads.run(spark, loads.LoadConfig(root, "run-4", as_of=AS_OF, dry_run=True), lambda wm: records(spark, extra))
     assert dry.status == "success" and dry.records_extracted == 1 and dry.rows_processed == 0
 
@@ -178,13 +178,13 @@ def test_dry_run_and_failure_publish_nothing(spark, replayed):
     failed = loads.run(spark, loads.LoadConfig(root, "run-5", as_of=AS_OF), broken)
     assert failed.status == "failed" and failed.error_message == "no pages"
     assert (warehouse.current()[0], control.get_watermark(loads.JOB)) == before
-    assert staging.scan(spark, f"{root}/staging", "jira_issue").where("source_key = 'QA-3'").count() == 1
+    assert staging.scan(spark, f"{root}/staging", "jira_issue").where("source_key = 'SHOP-24'").count() == 1
     assert {r["status"] for r in control.run_log().collect()} == {"success", "failed"}
 
 
 def test_purge_removes_a_project(spark, replayed):
     _, warehouse, _ = replayed
-    loads.purge_project(warehouse, "QA")
+    loads.purge_project(warehouse, "SHOP")
     t = warehouse.star()
     for name in ("dim_issue", "dim_defect", "dim_test", "fact_test_run", "fact_defect_link", "fact_test_step_result", "fact_requirement_coverage"):
         assert t[name].count() == 0, name

@@ -1,33 +1,17 @@
-"""A sample of registered queries against their SQL; ``tests/compare.py`` runs all of them."""
+"""All registered queries against their SQL."""
 
 import compare
 import pytest
 
 from qualitymart.queries import ORACLES, QUERIES
 
-SAMPLE = [
-    "v1_qa_health_by_release",
-    "v2_defect_density",
-    "v4_execution_trend",
-    "v8_release_snapshot",
-    "v9_quality_effectiveness",
-    "m17_etmi_by_release",
-    "g0_filtered_page",
-    "a13_environment_subtotals",
-    "r2_manager_sees_program",
-    "b1_releases",
-    "b4_tests",
-    "b10_coverage_by_links",
-    "d14_resolved_but_failing",
-]
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     return compare.duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", QUERIES)
 def test_matches_sql(spark, duck, sf_dir, name):
     ok, message = compare.check(name, spark, duck, sf_dir)
     assert ok, message

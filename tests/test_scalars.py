@@ -22,24 +22,24 @@ def evaluate_text(spark, values, column):
 
 
 def test_account(spark):
-    values = [{"displayName": "Alice", "accountId": "001"}, {"accountId": "001"}, {"displayName": "", "accountId": "2"}, "bob", None, {}]
-    assert evaluate(spark, values, X.account) == ["Alice", "001", "2", "bob", None, None]
+    values = [{"displayName": "Ida Lund", "accountId": "u7"}, {"accountId": "u7"}, {"displayName": "", "accountId": "u9"}, "kim", None, {}]
+    assert evaluate(spark, values, X.account) == ["Ida Lund", "u7", "u9", "kim", None, None]
 
 
 def test_nested_text_and_object(spark):
-    values = [{"test": {"key": "QA-100"}}, {"test": "x"}, {"test": None}, {}]
-    assert evaluate(spark, values, lambda v: X.text(v, "$.test.key")) == ["QA-100", None, None, None]
-    nested = [{"a": {"b": {"c": "val"}}}, {"a": {"b": "scalar"}}, {"a": []}]
-    assert evaluate(spark, nested, lambda v: F.to_json(X.object_at(v, "$.a.b"))) == ['{"c":"val"}', None, None]
+    values = [{"test": {"key": "T-31"}}, {"test": "x"}, {"test": None}, {}]
+    assert evaluate(spark, values, lambda v: X.text(v, "$.test.key")) == ["T-31", None, None, None]
+    nested = [{"a": {"b": {"size": "xl"}}}, {"a": {"b": "flat"}}, {"a": []}]
+    assert evaluate(spark, nested, lambda v: F.to_json(X.object_at(v, "$.a.b"))) == ['{"size":"xl"}', None, None]
 
 
 def test_first_component_and_select(spark):
-    values = [{"components": [{"name": "Auth"}, {"name": "Core"}]}, {"components": ["Auth"]}, {"components": []}, {}]
-    assert evaluate(spark, values, X.first_component) == ["Auth", "Auth", None, None]
-    assert evaluate(spark, [{"value": "Manual"}, {"name": "Regression"}, "text", None], X.extract_select) == [
-        "Manual",
-        "Regression",
-        "text",
+    values = [{"components": [{"name": "Basket"}, {"name": "Prices"}]}, {"components": ["Basket"]}, {"components": []}, {}]
+    assert evaluate(spark, values, X.first_component) == ["Basket", "Basket", None, None]
+    assert evaluate(spark, [{"value": "Smoke"}, {"name": "Nightly"}, "plain", None], X.extract_select) == [
+        "Smoke",
+        "Nightly",
+        "plain",
         None,
     ]
 
@@ -50,10 +50,10 @@ def test_truthiness(spark):
 
 
 def test_custom_field(spark):
-    payload = {"customFields": [{"name": "Root Cause", "value": "Environment"}, {"name": "severity", "value": "High"}, {"name": "n", "value": None}]}
-    cloud = {"test": {"customFields": [{"id": 1, "name": "ROOT CAUSE", "values": ["Data", "x"]}]}}
-    assert evaluate(spark, [payload, cloud, {}], lambda v: X.custom_field(v, "root cause")) == ["Environment", "Data", None]
-    assert evaluate(spark, [payload], lambda v: X.custom_field(v, "SEVERITY")) == ["High"]
+    payload = {"customFields": [{"name": "Root Cause", "value": "Stale cache"}, {"name": "severity", "value": "Low"}, {"name": "n", "value": None}]}
+    cloud = {"test": {"customFields": [{"id": 1, "name": "ROOT CAUSE", "values": ["Bad seed", "x"]}]}}
+    assert evaluate(spark, [payload, cloud, {}], lambda v: X.custom_field(v, "root cause")) == ["Stale cache", "Bad seed", None]
+    assert evaluate(spark, [payload], lambda v: X.custom_field(v, "SEVERITY")) == ["Low"]
     assert evaluate(spark, [payload], lambda v: X.custom_field(v, "n")) == [None]
 
 
@@ -63,26 +63,26 @@ def test_envelope(spark):
 
 
 def test_parse_ts(spark):
-    values = ["2024-06-15T12:00:00Z", "2024-06-15T12:00:00+05:30", "2024-06-15T12:00:00.000+0000", "2024-06-15T12:00:00", None, "", "not-a-date", "12:00"]
-    noon = datetime(2024, 6, 15, 12)
-    assert evaluate_text(spark, values, X.parse_ts) == [noon, datetime(2024, 6, 15, 6, 30), noon, noon, None, None, None, None]
+    values = ["2023-11-08T18:00:00Z", "2023-11-08T18:00:00+05:30", "2023-11-08T18:00:00.000+0000", "2023-11-08T18:00:00", None, "", "soon", "18:00"]
+    noon = datetime(2023, 11, 8, 18)
+    assert evaluate_text(spark, values, X.parse_ts) == [noon, datetime(2023, 11, 8, 12, 30), noon, noon, None, None, None, None]
 
 
 def test_parse_date_and_key(spark):
-    values = ["2024-06-15", "2024-06-15T12:00:00Z", "20240615", "bad", "2024-13-01", "", None]
-    day = date(2024, 6, 15)
+    values = ["2023-11-08", "2023-11-08T18:00:00Z", "20231108", "later", "2023-14-01", "", None]
+    day = date(2023, 11, 8)
     assert evaluate_text(spark, values, X.parse_date) == [day, day, day, None, None, None, None]
-    assert evaluate_text(spark, values[:1] + [None], lambda c: X.date_to_sk(X.parse_date(c))) == [20240615, None]
+    assert evaluate_text(spark, values[:1] + [None], lambda c: X.date_to_sk(X.parse_date(c))) == [20231108, None]
 
 
 def test_json_must_be_one_value(spark):
-    values = ['{"a":1}', "[1,2]", '{"a":1}{', '{"a":1} {"b":2}', '{"a":1},{"b":2}', "NOT JSON {{", "", None, '{"a":1,"a":2}']
+    values = ['{"a":1}', "[1,2]", '{"a":1}{', '{"a":1} {"b":2}', '{"a":1},{"b":2}', "<html>busy</html>", "", None, '{"a":1,"a":2}']
     assert evaluate_text(spark, values, lambda c: F.to_json(X.parse_json(c))) == ['{"a":1}', "[1,2]", None, None, None, None, None, None, '{"a":2}']
 
 
 def test_first_environment(spark):
-    values = ['["SIT","UAT"]', '[{"name":"DEV"}]', '[{"value":"PROD"}]', "[]", "SIT", None]
-    assert evaluate_text(spark, values, X.first_environment) == ["SIT", "DEV", "PROD", None, None, None]
+    values = ['["LAB","FIELD"]', '[{"name":"BENCH"}]', '[{"value":"LIVE"}]', "[]", "LAB", None]
+    assert evaluate_text(spark, values, X.first_environment) == ["LAB", "BENCH", "LIVE", None, None, None]
 
 
 def test_flags(spark):
@@ -90,7 +90,7 @@ def test_flags(spark):
     assert evaluate_text(spark, kinds, X.is_automated) == [False, False, True, True]
     assert evaluate_text(spark, ["Closed", "WON'T FIX", "Open", None], X.link_open_flag) == [False, False, True, True]
     assert evaluate_text(spark, ["PASS", "TODO", "EXECUTING", None], X.is_executed) == [True, False, False, False]
-    assert evaluate_text(spark, ["2024-01-05", "2024/01/05 x", "Auth", None], X.is_date_string) == [True, True, False, False]
+    assert evaluate_text(spark, ["2023-11-08", "2023/11/08 x", "Basket", None], X.is_date_string) == [True, True, False, False]
 
 
 def test_minute_boundaries_differ_from_elapsed_time(spark):
