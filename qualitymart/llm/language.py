@@ -101,6 +101,12 @@ def infer(text: str, chances: np.ndarray) -> tuple[np.ndarray, list[int]]:
     return share, [int(k) for k in order[:chosen]]
 
 
+def mostly_one(text: str, chances: np.ndarray, least: float) -> bool:
+    """Whether one language is selected, or the first of several has at least ``least`` of the text."""
+    share, chosen = infer(text, chances)
+    return len(chosen) == 1 or bool(share[chosen[0]] >= least)
+
+
 def identify(docs: DataFrame, languages: list[str], chances: np.ndarray, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score, languages, shares`` of every row.
 
@@ -135,9 +141,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def keep_known(docs: DataFrame, least: float = 0.5, text_column: str = "text", language_column: str = "lang") -> DataFrame:
-    """The rows of ``docs`` in which one language has at least ``least`` of the text, columns as they are.
+    """The rows of ``docs`` that are in one language, or have at least ``least`` of their text in one; columns as
+    they are.
 
-    The languages are learned from the rows that name one.
+    The languages are learned from the rows that name one. Null texts and those without a letter go, and
+    all rows if no language was learned.
     """
     languages, chances = learn(docs, text_column, language_column)
     model = docs.sparkSession.sparkContext.broadcast((languages, chances))
@@ -146,6 +154,6 @@ def keep_known(docs: DataFrame, least: float = 0.5, text_column: str = "text", l
     def known(texts: pa.Array) -> pa.Array:
         names, table = model.value
         batch = pa.record_batch([texts], ["text"])
-        return pa.array([bool(names) and any(map(str.isalpha, t)) and bool(infer(t, table)[0].max() >= least) for _, t in texts_of(batch, 0)], pa.bool_())
+        return pa.array([bool(names) and any(map(str.isalpha, t)) and mostly_one(t, table, least) for _, t in texts_of(batch, 0)], pa.bool_())
 
     return docs.where(known(F.col(text_column)))
