@@ -170,15 +170,18 @@ def done_but_untested(t: Star) -> DataFrame:
 
 
 def resolved_but_failing(t: Star) -> DataFrame:
-    """Resolved defects a linked test of which fails in its latest run."""
+    """Resolved defects a linked test of which fails in its latest run.
+
+    The links of resolved defects lead to the tests in question; only their runs are looked at.
+    """
     resolved = t["dim_defect"].where(F.col("status").isin(*S.CLOSED_STATUSES)).select("defect_sk", "defect_key")
     order = ["started_at", "test_run_id", "run_status"]
-    latest = windows.latest(t["fact_test_run"].select("test_sk", *order).where("test_sk IS NOT NULL"), ["test_sk"], order)
+    runs = t["fact_test_run"].where("test_sk IS NOT NULL").select("test_sk", *order)
+    links = t["fact_defect_link"].select("defect_sk", "test_run_id").join(resolved, "defect_sk").select("defect_key", "test_run_id")
+    linked = links.join(runs.select("test_run_id", "test_sk"), "test_run_id").select("defect_key", "test_sk").distinct()
+    latest = windows.latest(runs.join(linked.select("test_sk").distinct(), "test_sk", "left_semi"), ["test_sk"], order)
     failing = latest.where("run_status = 'FAIL'").select("test_sk", F.col("test_run_id").alias("failing_run"))
-    # The failing tests are few; their runs lead to the links.
-    runs = t["fact_test_run"].select("test_run_id", "test_sk").join(failing, "test_sk").distinct()
-    links = t["fact_defect_link"].select("defect_sk", "test_run_id").distinct()
-    return links.join(runs, "test_run_id").join(resolved, "defect_sk").select("defect_key", "test_sk", "failing_run").distinct()
+    return linked.join(failing, "test_sk")
 
 
 def squad_mismatches(t: Star, links: DataFrame) -> DataFrame:

@@ -154,27 +154,36 @@ def cloud_entities(pages: DataFrame, entity: str, run_id: str, loaded_at: dateti
     return _records(rows, run_id, loaded_at, key, F.lit(entity), F.to_json(item))
 
 
-def test_runs(
+def run_records(
     pages: DataFrame, run_id: str, loaded_at: datetime | Column, execution: Column | None = None, cloud: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Run records and one record per step of each run.
+) -> DataFrame:
+    """Run records and one record per step of each run, from one parse of the pages.
 
     ``execution`` is the execution the page belongs to, by default the folder above the file. Runs
     and steps are stamped with it; a step is keyed ``run:step``.
     """
     execution = execution if execution is not None else project_from_path(F.col("origin"))
     stamp = "_execution_issue_id" if cloud else "_execution_key"
-    page, item = F.col("page"), F.col("item")
+    page, item, step = F.col("page"), F.col("item"), F.col("step")
     found = _cloud_items(page, CLOUD_ROOTS["xray_test_run"]) if cloud else _list_items(page)
     rows = _parsed(pages).select(F.explode(found).alias("item"), execution.alias("execution"))
-    key = X.first_truthy(X.text(item, "$.id"), X.text(item, "$.key"))
-    runs = _records(
-        rows, run_id, loaded_at, key, F.lit("xray_test_run"), _augmented(item, **{stamp: F.col("execution")})
+    rows = rows.withColumn("run", X.first_truthy(X.text(item, "$.id"), X.text(item, "$.key")))
+    # an item comes first without a step, for the run itself, then with each of its steps
+    steps = F.coalesce(X.items(item, "$.steps"), F.array().cast("array<variant>"))
+    rows = rows.withColumn("step", F.explode(F.concat(F.array(F.lit(None).cast("variant")), steps)))
+    is_run = step.isNull()
+    run = F.coalesce("run", F.lit(""))
+    key = F.when(is_run, F.col("run")).otherwise(F.concat_ws(":", run, F.coalesce(X.text(step, "$.id"), F.lit(""))))
+    payload = F.when(is_run, _augmented(item, **{stamp: F.col("execution")})).otherwise(
+        _augmented(step, **{"_test_run_id": run, stamp: F.col("execution")})
     )
-    step = F.col("step")
-    steps = rows.select(
-        F.coalesce(key, F.lit("")).alias("run"), "execution", F.explode(X.items(item, "$.steps")).alias("step")
-    )
-    step_key = F.concat_ws(":", F.col("run"), F.coalesce(X.text(step, "$.id"), F.lit("")))
-    payload = _augmented(step, **{"_test_run_id": F.col("run"), stamp: F.col("execution")})
-    return runs, _records(steps, run_id, loaded_at, step_key, F.lit("xray_test_step_result"), payload)
+    entity = F.when(is_run, "xray_test_run").otherwise("xray_test_step_result")
+    return _records(rows, run_id, loaded_at, key, entity, payload)
+
+
+def test_runs(
+    pages: DataFrame, run_id: str, loaded_at: datetime | Column, execution: Column | None = None, cloud: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The records of ``run_records``, runs and steps apart; a load that takes both uses that."""
+    records = run_records(pages, run_id, loaded_at, execution, cloud)
+    return tuple(records.where(F.col("entity_type") == entity) for entity in ("xray_test_run", "xray_test_step_result"))
