@@ -182,10 +182,33 @@ def test_dry_run_and_failure_publish_nothing(spark, replayed):
     assert {r["status"] for r in control.run_log().collect()} == {"success", "failed"}
 
 
+def test_window_and_projects_bound_what_is_staged(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [r for batch in sample.batches() for r in batch]
+    until = datetime(2024, 3, 1, 7, 0, tzinfo=timezone.utc)
+    cfg = loads.LoadConfig(root, "run-1", as_of=AS_OF, until=until, dry_run=True)
+    assert loads.run(spark, cfg, lambda wm: records(spark, rows)).records_extracted == 1  # the run that started at 02:45 UTC
+    other = [sample.record("xray_test_run", "7", {**sample.run("7"), "_execution_key": "ELSE-1"}), sample.record("jira_version", "9", {**sample.version(), "_project_key": "ELSE"})]
+    kept = loads.LoadConfig(root, "run-2", as_of=AS_OF, projects=("ELSE",), dry_run=True)
+    assert loads.run(spark, kept, lambda wm: records(spark, rows, other)).records_extracted == 2
+
+
+def test_broken_folders_are_not_taken_for_empty(spark, tmp_path):
+    (tmp_path / "control" / "pipeline_watermarks").mkdir(parents=True)
+    (tmp_path / "control" / "pipeline_watermarks" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|magic"):
+        Control(spark, str(tmp_path / "control")).get_watermark("job")
+    assert Control(spark, str(tmp_path / "nothing")).get_watermark("job") is None
+
+
 def test_purge_removes_a_project(spark, replayed):
-    _, warehouse, _ = replayed
-    loads.purge_project(warehouse, "SHOP")
+    root, warehouse, _ = replayed
+    control = Control(spark, f"{root}/control")
+    loads.purge_project(warehouse, "SHOP", control)
     t = warehouse.star()
     for name in ("dim_issue", "dim_defect", "dim_test", "fact_test_run", "fact_defect_link", "fact_test_step_result", "fact_requirement_coverage"):
         assert t[name].count() == 0, name
     assert t["dim_release"].count() == 3 and t["dim_date"].where(F.col("date_sk") == 20240302).count() == 1
+    left = staging.scan(spark, f"{root}/staging", purged=control.purges())
+    # records that name no project stay: a version without one, a step without its execution, a reject
+    assert {r["source_key"] for r in left.collect()} == {"1", "BAD", "5107:s1"}

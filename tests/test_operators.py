@@ -1,7 +1,7 @@
 """Merge shapes, keys and window operators against small expected results."""
 
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -47,6 +47,25 @@ def test_merges_are_idempotent(spark):
         assert content(merge(once, updates, ["k"])) == content(once)
 
 
+def test_only_new_keys_are_numbered(spark):
+    target = frame(spark, [("a", 5, "old"), ("b", 9, "old")], "name STRING, sk BIGINT, note STRING")
+    updates = frame(spark, [("b", "new"), ("c", "new"), ("d", None), ("", "x"), (None, "x")], "name STRING, note STRING")
+    merged = {r["name"]: (r["sk"], r["note"]) for r in keys.merge_dimension(target, updates, "name", "sk", upsert.overwrite).collect()}
+    assert merged["a"] == (5, "old") and merged["b"] == (9, "new") and set(merged) == {"a", "b", "c", "d"}
+    assert {merged["c"][0], merged["d"][0]} == {10, 11} and merged["c"][1] == "new"
+    kept = keys.merge_dimension(target, updates, "name", "sk", upsert.insert_absent)
+    assert {r["name"]: r["note"] for r in kept.collect()}["b"] == "old"
+
+
+def test_ordinals_of_a_busy_day(spark):
+    start = datetime(2024, 5, 1, 8)
+    rows = [("k", start + timedelta(minutes=n // 5), n) for n in range(200)] + [("k", start + timedelta(days=1), 200), ("j", None, 1)]
+    random.Random(3).shuffle(rows)
+    runs = spark.createDataFrame(rows, "k STRING, at TIMESTAMP_NTZ, n INT")
+    found = {(r["k"], r["n"]): r["run_sequence"] for r in windows.run_sequence(runs, ["k"], "at", ["n"]).collect()}
+    assert all(found["k", n] == n + 1 for n in range(201)) and found["j", 1] == 1
+
+
 def test_surrogate_keys_are_dense_and_stable(spark):
     target = frame(spark, [("a", 1), ("b", 2)], "name STRING, sk BIGINT")
     updates = frame(spark, [("b",), ("c",), ("d",), ("",), (None,)], "name STRING")
