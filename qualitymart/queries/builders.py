@@ -357,14 +357,33 @@ query(
               CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 3 <> 0 THEN 'App ' || c_mktsegment ELSE 'Core' END AS application_name,
               'NATION_' || ((c_custkey % 6) * 4) AS squad_name,
               CASE WHEN c_custkey % 5 <> 0 THEN 'user' || (c_custkey % 50) ELSE 'acc' || (c_custkey % 50) END AS reporter,
-              TIMESTAMP '2024-01-15 09:00:00' AS created_at, make_timestamp(2024, 2, CAST(c_custkey % 28 + 1 AS INT), 10, 30, 15.0) AS updated_at,
+              CASE WHEN c_custkey % 7 <> 0 THEN 'dev' || (c_custkey % 20) END AS assignee,
+              TIMESTAMP '2024-01-09 06:40:00' AS created_at, make_timestamp(2024, 2, CAST(c_custkey % 28 + 1 AS INT), 10, 30, 15.0) AS updated_at,
               c_custkey % 4 <> 0 AND c_acctbal > 8000 AS critical_flag, c_mktsegment AS business_area
        FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
 )(
     lambda i: dims.issues(staging.parse(P.issues(i)), MAP).drop(
-        "ord", "platform", "assignee", "resolution_date", "linked_keys", "fix_versions"
+        "ord", "platform", "resolution_date", "linked_keys", "fix_versions"
     )
 )
+query(
+    "b2_issue_links",
+    """SELECT 'REQ-' || c_custkey AS issue_key, unnest(['T-' || (c_custkey % 200 + 1), 'T-' || (c_custkey % 150 + 1)]) AS test_key
+       FROM customer WHERE c_custkey % 6 <> 0""",
+)(lambda i: dims.issues(staging.parse(P.issues(i)), MAP).select("issue_key", F.explode("linked_keys").alias("test_key")))
+query("b2_issue_releases", "SELECT 'REQ-' || c_custkey AS issue_key, 'v' || (c_custkey % 7) AS release_name FROM customer")(
+    lambda i: dims.issues(staging.parse(P.issues(i)), MAP).select("issue_key", F.explode("fix_versions").alias("release_name"))
+)
+query(
+    "b2_squads_last_writer",
+    """SELECT 'NATION_' || ((c_custkey % 6) * 4) AS squad_name, r_name AS program_name
+       FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+       QUALIFY row_number() OVER (PARTITION BY c_custkey % 6 ORDER BY 'REQ-' || c_custkey DESC) = 1""",
+)(
+    lambda i: windows.latest(
+        dims.issues(staging.parse(P.issues(i)), MAP).select("squad_name", "program_name", "ord"), ["squad_name"], ["ord"]
+    ).drop("ord")
+)
 query(
     "b2_applications_last_writer",
     """SELECT application_name, program_name FROM (
@@ -417,9 +436,11 @@ query(
               CASE WHEN p_partkey % 2 = 0 THEN '/repo/' || p_brand END AS repository_path,
               CASE WHEN p_partkey % 2 = 1 AND p_size <= 25 THEN 'Scenario ' || p_size END AS gherkin_definition,
               CASE WHEN p_partkey % 2 = 1 THEN 'free text' WHEN p_size > 25 THEN 'run it' END AS generic_definition,
-              CASE WHEN p_partkey % 2 = 0 THEN 'NATION_' || ((p_partkey % 6) * 4) END AS squad_name
+              CASE WHEN p_partkey % 2 = 0 THEN 'NATION_' || ((p_partkey % 6) * 4) END AS squad_name,
+              CASE WHEN p_partkey % 2 = 0 AND p_size % 3 <> 0 THEN 'owner' || (p_size % 3) END AS assignee,
+              CASE WHEN p_partkey % 2 = 0 THEN TIMESTAMP '2024-01-11 13:05:00' END AS created_at
        FROM part JOIN dim_test t ON t.test_sk = p_partkey""",
-)(lambda i: dims.tests(staging.parse(P.tests(i)), MAP).drop("ord", "assignee", "created_at", "updated_at"))
+)(lambda i: dims.tests(staging.parse(P.tests(i)), MAP).drop("ord", "updated_at"))
 EXECUTION = """SELECT 'E-' || o_orderkey AS execution_key, o_orderpriority AS summary, o_orderstatus AS status,
                       'P-' || (o_orderkey % 11) AS test_plan_key,
                       CASE WHEN o_orderkey % 6 <> 0 THEN '["' || ['DEV', 'SIT', 'UAT'][CAST(o_orderkey % 3 + 1 AS INT)] || '","PROD"]' END AS environments_json,

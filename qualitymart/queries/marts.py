@@ -58,3 +58,12 @@ query(
            FROM (SELECT DISTINCT release_name, defect_sk FROM fact_defect_link) JOIN dim_defect USING (defect_sk)
            GROUP BY release_name) d ON d.release_name = v9.release_name""",
 )(lambda i: marts.v9_quality_effectiveness(i.t, strict=True))
+
+
+def registered(i):
+    """The marts as SQL views over the registered tables."""
+    marts.register_views(with_snapshot(i.t))
+    return i.spark.sql("SELECT v.*, r.release_status AS status_of_table FROM vw_p1_qa_health_by_release v JOIN dim_release r USING (release_name)")
+
+
+query("s13_registered_views", "SELECT *, release_status AS status_of_table FROM v1")(registered)

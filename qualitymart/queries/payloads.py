@@ -41,7 +41,11 @@ ISSUE = """named_struct(
         'priority', CASE WHEN c_custkey % 4 <> 0 THEN named_struct('name', CASE WHEN c_acctbal > 8000 THEN 'P1' ELSE 'Medium' END) END,
         'reporter', named_struct('displayName', CASE WHEN c_custkey % 5 <> 0 THEN concat('user', c_custkey % 50) END,
                                  'accountId', concat('acc', c_custkey % 50)),
-        'created', '2024-01-15T09:00:00.000+0000',
+        'assignee', CASE WHEN c_custkey % 7 <> 0 THEN named_struct('displayName', concat('dev', c_custkey % 20)) END,
+        'issuelinks', CASE WHEN c_custkey % 6 <> 0 THEN array(
+            named_struct('outwardIssue', named_struct('key', concat('T-', c_custkey % 200 + 1)), 'inwardIssue', NULL),
+            named_struct('outwardIssue', NULL, 'inwardIssue', named_struct('key', concat('T-', c_custkey % 150 + 1)))) END,
+        'created', '2024-01-09T06:40:00.000+0000',
         'updated', concat('2024-02-', lpad(cast(c_custkey % 28 + 1 as string), 2, '0'), 'T10:30:15.000+0000'),
         'customfield_10200', r_name,
         'customfield_10201', concat('NATION_', (c_custkey % 6) * 4),
@@ -89,6 +93,7 @@ SERVER_TEST = f"""to_json(named_struct(
     'key', concat('T-', p_partkey),
     'fields', named_struct(
         'summary', p_name, 'status', named_struct('name', 'Active'), 'squad_name', concat('NATION_', (p_partkey % 6) * 4),
+        'assignee', CASE WHEN p_size % 3 <> 0 THEN concat('owner', p_size % 3) END, 'created', '2024-01-11T13:05:00.000+0000',
         'customfield_10100', named_struct('value', {rule('test_type')}),
         'customfield_10101', concat('/repo/', p_brand), 'customfield_10104', CASE WHEN p_size > 25 THEN 'run it' END)))"""
 CLOUD_TEST = f"""to_json(named_struct(
