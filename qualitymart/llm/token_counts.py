@@ -22,7 +22,7 @@ from qualitymart.llm.common import stored
 from qualitymart.llm.tokens import load
 
 #: At most this many pre-tokens of at most this many characters are sent to the tasks.
-HEAD, HEAD_CHARS = 1 << 18, 64
+HEAD, HEAD_CHARS = 1 << 20, 64
 #: Distinct pre-tokens a task holds before it passes their counts on.
 HELD = 200_000
 
