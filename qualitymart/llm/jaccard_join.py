@@ -3,7 +3,7 @@
 The method is a count-vector R-tree: n-grams are hashed into ``AXES`` groups, a document is the point of its
 counts per group, and the overlap of two documents is at most the sum of the coordinates' minima. Boxes
 around points bound it the same way, so a tree of boxes finds the points that can reach the threshold;
-what it finds is verified on the n-grams themselves.
+what it finds is bounded once more with finer groups and verified on the n-grams themselves.
 
 One tree can't hold the corpus, and points of unrelated documents lie so close that no cut of the space
 parts them. So the join is first dealt by content: for two documents of a size class, the threshold allows
@@ -25,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ from qualitymart.llm.components import components
 from qualitymart.llm.token_counts import texts_of
 
 #: Groups of the count vectors, and the count from which on a coordinate is only known to be that high.
-AXES, FULL = 256, 65_535
+AXES, FULL = 256, 255
 #: Points in a leaf of the tree, and children of an inner node.
 LEAF = 16
 #: A table of ids is sent to all tasks if it has at most this many rows (24 MB), else it is joined by a shuffle.
@@ -83,7 +84,26 @@ def shingles(text: str, words: int) -> np.ndarray:
 
 def count_vector(found: np.ndarray) -> np.ndarray:
     counts = np.bincount((mixed(found, 1) >> U64(56)).astype(np.int64), minlength=AXES)
-    return np.minimum(counts, FULL).astype(np.uint16)
+    return np.minimum(counts, FULL).astype(np.uint8)
+
+
+def fine_vector(found: np.ndarray) -> bytes:
+    """A count vector with as many groups as the set has n-grams, up to a power of two, compressed. It can be
+    folded to fewer groups, as a group of half as many is the sum of two."""
+    axes = max(AXES, 1 << max(len(found) - 1, 1).bit_length())
+    counts = np.bincount((mixed(found, 1) >> U64(65 - axes.bit_length())).astype(np.int64), minlength=axes)
+    return zstandard.compress(counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes() + bytes([int(counts.max() >= 256)]))
+
+
+def fine_overlap(x: bytes, y: bytes) -> int:
+    """The summed minima of two fine vectors, over the groups of the smaller one."""
+    vectors = []
+    for packed in (x, y):
+        raw = zstandard.decompress(packed)
+        vectors.append(np.frombuffer(raw[:-1], np.uint32 if raw[-1] else np.uint8).astype(np.uint32))
+    axes = min(map(len, vectors))
+    small = [v.reshape(axes, -1).sum(1) for v in vectors]
+    return int(np.minimum(*small).sum())
 
 
 def can_link(x: np.ndarray, y: np.ndarray, sizes_x: np.ndarray | int, sizes_y: np.ndarray, threshold: int) -> np.ndarray:
@@ -161,26 +181,26 @@ class Tree:
 
 
 def keyed(rows: DataFrame, words: int, threshold: int) -> DataFrame:
-    """``node, n_shingles, _k1, _k2, vector, keys`` of every row: the size and a 128-bit hash of its set, the
-    count vector and the group keys. A set that was in the batch before has no keys."""
+    """``node, n_shingles, _k1, _k2, vector, fine, keys`` of every row: the size and a 128-bit hash of its set, the
+    count vectors and the group keys. A set that was in the batch before has no keys."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, columns = set(), [[] for _ in range(5)]
+            seen, columns = set(), [[] for _ in range(6)]
             for _, text in texts_of(batch, 1):
                 found = shingles(text, words)
                 whole = tuple(int(mixed(found, k).sum(dtype=U64).view(np.int64)) for k in (7, 8))
                 new = len(found) and whole not in seen
                 seen.add(whole)
                 keys = group_keys(found, threshold).view(np.int64) if new else np.zeros(0, np.int64)
-                for column, value in zip(columns, (len(found), *whole, count_vector(found).tobytes(), keys), strict=True):
+                for column, value in zip(columns, (len(found), *whole, count_vector(found).tobytes(), fine_vector(found), keys), strict=True):
                     column.append(value)
-            ends = np.cumsum([0, *map(len, columns[4])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *columns[4]])))
-            out = [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary()), lists]
-            yield pa.record_batch(out, ["node", "n_shingles", "_k1", "_k2", "vector", "keys"])
+            ends = np.cumsum([0, *map(len, columns[5])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *columns[5]])))
+            out = [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), *(pa.array(c, pa.binary()) for c in columns[3:5]), lists]
+            yield pa.record_batch(out, ["node", "n_shingles", "_k1", "_k2", "vector", "fine", "keys"])
 
-    return rows.mapInArrow(measure, "node long, n_shingles long, _k1 long, _k2 long, vector binary, keys array<long>")
+    return rows.mapInArrow(measure, "node long, n_shingles long, _k1 long, _k2 long, vector binary, fine binary, keys array<long>")
 
 
 def shared_keys(measured: DataFrame) -> DataFrame:
@@ -243,18 +263,19 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, threshold: int) -> D
 
 
 def vectors_of(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, AXES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, AXES)
 
 
 def bounded(pairs: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
-    """The ``pairs`` whose count vectors allow the threshold."""
-    left = pairs.join(points.select(F.col("node").alias("a"), F.col("n_shingles").alias("_m"), F.col("vector").alias("_left")), "a")
-    both = left.join(points.select(F.col("node").alias("b"), F.col("n_shingles").alias("_n"), F.col("vector").alias("_right")), "b")
+    """The ``pairs`` whose fine count vectors allow the threshold; most others end here, before texts are moved."""
+    left = pairs.join(points.select(F.col("node").alias("a"), F.col("n_shingles").alias("_m"), F.col("fine").alias("_left")), "a")
+    both = left.join(points.select(F.col("node").alias("b"), F.col("n_shingles").alias("_n"), F.col("fine").alias("_right")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [batch.column(k).to_numpy() for k in (2, 3)]
-            keep = can_link(vectors_of(batch.column(4)), vectors_of(batch.column(5)), *sizes, threshold)
+            overlaps = [fine_overlap(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            keep = np.array(overlaps, np.int64) >= overlap_needed(*sizes, threshold)
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
     return both.select("a", "b", "_m", "_n", "_left", "_right").mapInArrow(check, "a long, b long")
@@ -313,7 +334,7 @@ def across(shared: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
         if held:
             yield from found([np.concatenate(c) for c in zip(*held, strict=True)])
 
-    rows = shared.join(points, "node").select("key", "node", "component", "n_shingles", "vector")
+    rows = shared.join(points.drop("fine"), "node").select("key", "node", "component", "n_shingles", "vector")
     dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "node")
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
@@ -336,7 +357,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
     few = F.broadcast(sets) if sets.limit(SENT + 1).count() <= SENT else sets
     ids = linkable.select("node", "n_shingles", "_k1", "_k2").join(few, ["n_shingles", "_k1", "_k2"], "left")
     firsts = stored(ids.select("node", F.coalesce("first", "node").alias("first")).distinct(), "firsts")
-    points = linkable.select("node", "n_shingles", "vector").join(firsts.where("node = first").select("node"), "node", "left_semi").dropDuplicates(["node"])
+    points = linkable.select("node", "n_shingles", "vector", "fine").join(firsts.where("node = first").select("node"), "node", "left_semi").dropDuplicates(["node"])
 
     def by_first(frame: DataFrame, column: str) -> DataFrame:
         """``column`` replaced by the smallest id with the same n-grams."""
@@ -354,7 +375,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
     shared = shared.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed_keys = shared.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("key")
     crossing = stored(across(shared.join(mixed_keys, "key", "left_semi"), points, threshold), "pairs")
-    more = verified(crossing, texts, words, threshold)
+    more = verified(stored(bounded(crossing, points, threshold), "pairs"), texts, words, threshold)
 
     equal = firsts.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     part = components(links.unionByName(more).unionByName(equal))

@@ -95,13 +95,14 @@ def test_linked_sets_share_a_key():
         if 100 * shared >= 85 * (len(a) + len(b) - shared):
             assert len(np.intersect1d(jaccard_join.group_keys(a, 85), jaccard_join.group_keys(b, 85)))
             assert jaccard_join.can_link(jaccard_join.count_vector(a)[None], jaccard_join.count_vector(b)[None], len(a), np.array([len(b)]), 85).all()
+            assert shared <= jaccard_join.fine_overlap(jaccard_join.fine_vector(a), jaccard_join.fine_vector(b)) <= min(len(a), len(b))
 
 
 def test_tree_finds_all_that_the_bound_allows():
     rnd = np.random.default_rng(8)
     base = rnd.poisson(2, (20, jaccard_join.AXES))
     points = np.repeat(base, 15, 0) + (rnd.random((300, jaccard_join.AXES)) < 0.02)
-    points = points.astype(np.uint16)
+    points = points.astype(np.uint8)
     sizes = points.sum(1).astype(np.int64)
     tree = jaccard_join.Tree(points, sizes)
     for k in range(300):
@@ -109,6 +110,16 @@ def test_tree_finds_all_that_the_bound_allows():
         assert sorted(tree.reach(points[k], int(sizes[k]), 85)) == expected.tolist()
 
 
+def test_fine_vectors_bound_the_overlap_closely():
+    rnd = np.random.default_rng(3)
+    for size, other in ((1, 1), (300, 300), (3000, 2600), (100_000, 90_000)):
+        a = np.unique(rnd.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: other // 2], rnd.integers(0, 2**63, other - other // 2).astype(np.uint64)]))
+        shared = len(np.intersect1d(a, b))
+        bound = jaccard_join.fine_overlap(jaccard_join.fine_vector(a), jaccard_join.fine_vector(b))
+        assert shared <= bound <= min(len(a), len(b)) and bound <= shared + 0.35 * min(len(a), len(b)) + 1
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(k + 1, k) for k in range(60)] + [(200, 300), (200, 250), (7, 7)], "a long, b long")
     found = {r.node: r.component for r in components(links).collect()}
