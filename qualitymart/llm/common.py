@@ -15,6 +15,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Texts can be long, and an Arrow batch of them is held by the executor and by its Python worker: from
+    here on batches of this session have at most ``rows`` rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path of its own in the folder that all executors share."""
     return f"{shared_folder(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

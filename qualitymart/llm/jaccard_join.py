@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import partitions, stored
+from qualitymart.llm.common import partitions, small_batches, stored
 from qualitymart.llm.components import components
 from qualitymart.llm.token_counts import texts_of
 
@@ -41,6 +41,8 @@ LEAF = 16
 SENT = 1_000_000
 #: Words whose hashes a worker remembers.
 KNOWN = 1 << 18
+#: Sets a task remembers having sent.
+SEEN = 100_000
 #: Largest size of a class over its smallest.
 SPAN = 1.5
 
@@ -182,11 +184,14 @@ class Tree:
 
 def keyed(rows: DataFrame, words: int, threshold: int) -> DataFrame:
     """``node, n_shingles, _k1, _k2, vector, fine, keys`` of every row: the size and a 128-bit hash of its set, the
-    count vectors and the group keys. A set that was in the batch before has no keys."""
+    count vectors and the group keys. A set that the task has seen lately has no keys."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            seen, columns = set(), [[] for _ in range(6)]
+            columns: list[list] = [[] for _ in range(6)]
+            if len(seen) > SEEN:
+                seen.clear()
             for _, text in texts_of(batch, 1):
                 found = shingles(text, words)
                 whole = tuple(int(mixed(found, k).sum(dtype=U64).view(np.int64)) for k in (7, 8))
@@ -347,6 +352,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
     white space alone has no n-grams and no links. Rows that repeat an id are one document for the links and
     are returned as often as they occur. A null id has no links and a null component.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("_node"), F.coalesce(text_column, F.lit("")).alias("_text"))
 
     measured = stored(keyed(rows, words, threshold), "points")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qualitymart.llm.common import small_batches
 from qualitymart.llm.token_counts import texts_of
 
 #: Buckets of hashed trigrams.
@@ -42,6 +43,7 @@ def learn(texts: DataFrame, text_column: str, language_column: str) -> tuple[lis
     Rows with a null text or language teach nothing. What comes to the driver is one number per language
     and bucket.
     """
+    small_batches(texts.sparkSession)
     rows = texts.select(F.col(language_column).alias("_lang"), F.col(text_column).alias("_text")).where("_lang is not null and _text is not null")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,6 +116,7 @@ def identify(docs: DataFrame, languages: list[str], chances: np.ndarray, id_colu
     language was learned is ``und`` with score 0. Ids aren't looked at and may be null or repeated.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     model = spark.sparkContext.broadcast((languages, chances))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import numbered, stored
+from qualitymart.llm.common import numbered, small_batches, stored
 from qualitymart.llm.token_counts import texts_of
 from qualitymart.llm.tokens import load
 
@@ -174,6 +174,7 @@ def pack(docs: DataFrame, path: str, end_id: int, capacity: int = 1024, id_colum
     A null text is empty and has the end id alone. Rows that repeat an id or a text are packed as often as
     they occur. A null id is returned as null. An empty table has no pieces.
     """
+    small_batches(docs.sparkSession)
     pieces = stored(pieces_of(docs, path, end_id, capacity, id_column, text_column), "pieces")
     runs = plan({r[0]: r[1] for r in pieces.groupBy("length").count().collect()}, capacity)
     table = np.array(sorted(runs.rows), np.int64).reshape(-1, 4)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qualitymart.llm.common import small_batches
 from qualitymart.llm.token_counts import texts_of
 
 #: The scorer is trained on about this many documents at most, taken by a hash of their text.
@@ -153,6 +154,7 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = 1
 
 def learn(texts: DataFrame, text_column: str, trained: int = TRAINED) -> tuple[np.ndarray, float] | None:
     """The scorer's weights and bias, learned from the texts alone; None for an empty table."""
+    small_batches(texts.sparkSession)
     rows = texts.select(F.coalesce(text_column, F.lit("")).alias("_text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import stored
+from qualitymart.llm.common import small_batches, stored
 from qualitymart.llm.tokens import load
 
 #: At most this many pre-tokens of at most this many characters are sent to the tasks.
@@ -76,6 +76,7 @@ def count_tokens(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
     returned as null. No other column of ``docs`` is read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.col(id_column).alias("_id"), F.coalesce(text_column, F.lit("")).alias("_text"))
     id_type = texts.schema["_id"].dataType.simpleString()
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import partitions
+from qualitymart.llm.common import partitions, small_batches
 from qualitymart.llm.token_counts import texts_of
 from qualitymart.llm.tokens import load
 
@@ -124,6 +124,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int, id_column
     of a hash of their texts; a null id comes first. An empty table makes a folder without shards.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(text_column, F.lit("")).alias("_text"))
     tie = F.xxhash64("_text")
     dealt = rows.repartitionByRange(partitions(spark), F.col("_id"), tie).sortWithinPartitions("_id", tie)
