@@ -188,6 +188,7 @@ def keyed(rows: DataFrame, words: int, threshold: int) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
+        pack = zstandard.ZstdCompressor().compress
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
             if len(seen) > SEEN:
@@ -198,7 +199,7 @@ def keyed(rows: DataFrame, words: int, threshold: int) -> DataFrame:
                 new = len(found) and whole not in seen
                 seen.add(whole)
                 keys = group_keys(found, threshold).view(np.int64) if new else np.zeros(0, np.int64)
-                for column, value in zip(columns, (len(found), *whole, count_vector(found).tobytes(), fine_vector(found), keys), strict=True):
+                for column, value in zip(columns, (len(found), *whole, pack(count_vector(found).tobytes()), fine_vector(found), keys), strict=True):
                     column.append(value)
             ends = np.cumsum([0, *map(len, columns[5])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *columns[5]])))
@@ -268,7 +269,8 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, threshold: int) -> D
 
 
 def vectors_of(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, AXES)
+    unpack = zstandard.ZstdDecompressor().decompress
+    return np.frombuffer(b"".join(map(unpack, column.to_pylist())), np.uint8).reshape(-1, AXES)
 
 
 def bounded(pairs: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
