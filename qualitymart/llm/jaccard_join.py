@@ -184,7 +184,7 @@ class Tree:
 
 def keyed(rows: DataFrame, words: int, threshold: int) -> DataFrame:
     """``node, n_shingles, _k1, _k2, vector, fine, keys`` of every row: the size and a 128-bit hash of its set, the
-    count vectors and the group keys. A set that the task has seen lately has no keys."""
+    count vectors and the group keys. A set that the task has seen lately has no keys, and neither has a null node."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -193,11 +193,13 @@ def keyed(rows: DataFrame, words: int, threshold: int) -> DataFrame:
             columns: list[list] = [[] for _ in range(6)]
             if len(seen) > SEEN:
                 seen.clear()
-            for _, text in texts_of(batch, 1):
+            valid = batch.column(0).is_valid().to_pylist()
+            for k, text in texts_of(batch, 1):
                 found = shingles(text, words)
-                whole = tuple(int(mixed(found, k).sum(dtype=U64).view(np.int64)) for k in (7, 8))
-                new = len(found) and whole not in seen
-                seen.add(whole)
+                whole = tuple(int(mixed(found, seed).sum(dtype=U64).view(np.int64)) for seed in (7, 8))
+                new = valid[k] and len(found) and whole not in seen
+                if valid[k]:
+                    seen.add(whole)
                 keys = group_keys(found, threshold).view(np.int64) if new else np.zeros(0, np.int64)
                 for column, value in zip(columns, (len(found), *whole, pack(count_vector(found).tobytes()), fine_vector(found), keys), strict=True):
                     column.append(value)

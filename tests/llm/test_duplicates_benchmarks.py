@@ -82,6 +82,15 @@ def test_links_of_odd_documents(spark, odd, none):
     assert jaccard_join.near_duplicates(none).collect() == []
 
 
+def test_a_null_id_takes_no_links_away(spark):
+    """All rows in one task, the null id ahead of the valid one with the same text."""
+    near = family(31, 1, 80, 1)
+    rows = [(None, near[0]), (1, near[0]), (2, near[1]), (None, near[1])]
+    found = jaccard_join.near_duplicates(frame(spark, rows).coalesce(1)).collect()
+    check_components(spark, rows, found, 4, 85)
+    assert {r.doc_id: r.component_id for r in found} == {None: None, 1: 1, 2: 1}
+
+
 def test_linked_sets_share_a_key():
     """The pigeonhole: sets at the threshold agree in a group, whatever their sizes."""
     rnd = np.random.default_rng(6)
