@@ -14,7 +14,8 @@ content, and only documents that share a key are compared, by the bound above.
 A large group of near copies shares most keys. Its pairs aren't all made: first every document is verified
 against the smallest id under each of its keys, which already joins such a group. The tree then looks, under
 keys that still hold several components, for pairs across them; no link is lost, as two documents of one
-component need none.
+component need none. A large key is cut into blocks, and every two blocks that aren't of one component are
+compared by themselves, so no task holds more than two.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from qualitymart.llm.token_counts import texts_of
 AXES, FULL = 256, 255
 #: Points in a leaf of the tree, and children of an inner node.
 LEAF = 16
+#: Rows of a key that are compared in one task; a larger key is cut into blocks of about as many.
+BLOCK = 2048
 #: A table of ids is sent to all tasks if it has at most this many rows (24 MB), else it is joined by a shuffle.
 SENT = 1_000_000
 #: Words whose hashes a worker remembers.
@@ -290,43 +293,81 @@ def bounded(pairs: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
     return both.select("a", "b", "_m", "_n", "_left", "_right").mapInArrow(check, "a long, b long")
 
 
-def across(shared: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of documents under one key that are in different components: a tree per key, of which a key with
-    at most ``LEAF`` documents needs only the leaf."""
+def compared(shared: DataFrame, keys: DataFrame) -> DataFrame:
+    """``group, side, node, component`` of the rows of ``shared`` (``key, node, component``) under ``keys`` (``key, n``: its rows).
+
+    A key with at most ``BLOCK`` rows is one group, of side -1. A larger one is cut: components that are large in it have
+    blocks of their own, the others share some, each by a hash of the node. Every two blocks of a key are one group, of
+    sides 0 and 1, and a shared block is also a group by itself, of side -1. Blocks of one component aren't compared.
+    """
+    large_keys = keys.where(F.col("n") > BLOCK).select("key")
+    small = shared.join(keys.where(F.col("n") <= BLOCK), "key").select(F.col("key").alias("group"), F.lit(-1).alias("side"), "node", "component")
+    if not large_keys.limit(1).count():
+        return small
+    large = stored(semi(shared, large_keys.withColumnRenamed("key", "_id"), "key").select("key", "node", "component"), "large-keys")
+    sizes = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_rows"))
+    part = F.when(F.col("_rows") * 4 >= BLOCK, F.col("component"))  # null for the components that share blocks
+    parts = stored(sizes.groupBy("key", part.alias("_part")).agg(F.ceil(F.sum("_rows") / BLOCK).alias("_cuts")), "parts")
+
+    own = parts.where("_part is not null").select("key", F.col("_part").alias("component"), F.lit(True).alias("_own"), "_cuts")
+    pool = parts.where("_part is null").select("key", F.col("_cuts").alias("_pool"))
+    if parts.limit(SENT + 1).count() <= SENT:
+        own, pool = F.broadcast(own), F.broadcast(pool)
+    rows = large.join(own, ["key", "component"], "left").join(pool, "key", "left")
+    salt = F.pmod(F.xxhash64("node"), F.coalesce("_cuts", "_pool"))
+    block = F.struct(F.col("_own").isNull().alias("shared"), F.when(F.col("_own"), F.col("component")).otherwise(0).alias("part"), salt.alias("salt"))
+    rows = rows.select("key", "node", "component", block.alias("_block"))
+
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cuts") - 1))
+    blocks = parts.select("key", "_part", salts.alias("_salt"))
+    blocks = blocks.select("key", F.struct(F.col("_part").isNull().alias("shared"), F.coalesce("_part", F.lit(0)).alias("part"), F.col("_salt").alias("salt")).alias("_block"))
+    other = blocks.select("key", F.col("_block").alias("_other"))
+    pairs = blocks.join(other, "key").where("_block <= _other and (_block.shared or _block.shared <> _other.shared or _block.part <> _other.part)")
+    pairs = stored(pairs.withColumn("group", F.xxhash64("key", "_block", "_other")), "block-pairs")
+    sides = pairs.select("key", "_block", "group", F.expr("if(_block = _other, -1, 0)").alias("side"))
+    sides = sides.unionByName(pairs.where("_block <> _other").select("key", F.col("_other").alias("_block"), "group", F.lit(1).alias("side")))
+    return small.unionByName(rows.join(sides, ["key", "_block"]).select("group", "side", "node", "component"))
+
+
+def across(shared: DataFrame, keys: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of documents under one of ``keys`` that are in different components: a tree per group of ``compared``, of which
+    a group with at most ``LEAF`` documents needs only the leaf."""
 
     def told(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([pa.array(np.minimum(nodes[i], nodes[j])), pa.array(np.maximum(nodes[i], nodes[j]))], ["a", "b"])
 
-    def in_leaves(keys, nodes, parts, sizes, vectors) -> Iterator[pa.RecordBatch]:
-        for gap in range(1, LEAF):
-            i = np.flatnonzero((keys[gap:] == keys[:-gap]) & (parts[gap:] != parts[:-gap])) if gap < len(keys) else np.zeros(0, int)
+    def in_leaves(groups, nodes, sides, parts, sizes, vectors) -> Iterator[pa.RecordBatch]:
+        for gap in range(1, min(LEAF, len(groups))):
+            apart = (parts[gap:] != parts[:-gap]) & ((sides[gap:] < 0) | (sides[gap:] != sides[:-gap]))
+            i = np.flatnonzero((groups[gap:] == groups[:-gap]) & apart)
             if len(i):
                 i = i[can_link(vectors[i], vectors[i + gap], sizes[i], sizes[i + gap], threshold)]
                 yield told(nodes, i, i + gap)
 
-    def in_tree(nodes, parts, sizes, vectors) -> Iterator[pa.RecordBatch]:
-        if len(np.unique(parts)) > 1:
-            tree = Tree(vectors, sizes)
-            for k in range(len(nodes)):
-                at = tree.reach(vectors[k], sizes[k], threshold)
-                at = at[(nodes[at] > nodes[k]) & (parts[at] != parts[k])]
+    def in_tree(nodes, sides, parts, sizes, vectors) -> Iterator[pa.RecordBatch]:
+        left, right = np.flatnonzero(sides < 1), np.flatnonzero(sides != 0)
+        if len(left) and len(right) and len(np.unique(parts)) > 1:
+            tree = Tree(vectors[left], sizes[left])
+            for k in right:
+                at = left[tree.reach(vectors[k], sizes[k], threshold)]
+                at = at[((sides[k] > 0) | (nodes[at] > nodes[k])) & (parts[at] != parts[k])]
                 if len(at):
                     yield told(nodes, np.full(len(at), k), at)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # parts of the key at hand
+        held: list[tuple] = []  # parts of the group at hand, two blocks at most
 
         def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            keys = columns[0]
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            lengths = np.diff(np.append(starts, len(keys)))
+            groups = columns[0]
+            starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+            lengths = np.diff(np.append(starts, len(groups)))
             few = np.repeat(lengths <= LEAF, lengths)
             yield from in_leaves(*(c[few] for c in columns))
             for start, length in zip(starts[lengths > LEAF], lengths[lengths > LEAF], strict=True):
                 yield from in_tree(*(c[start : start + length] for c in columns[1:]))
 
         for batch in batches:
-            columns = [*(batch.column(k).to_numpy() for k in range(4)), vectors_of(batch.column(4))]
+            columns = [*(batch.column(k).to_numpy() for k in range(5)), vectors_of(batch.column(5))]
             if not len(columns[0]):
                 continue
             if held and held[-1][0][-1] == columns[0][0] == columns[0][-1]:
@@ -343,8 +384,8 @@ def across(shared: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
         if held:
             yield from found([np.concatenate(c) for c in zip(*held, strict=True)])
 
-    rows = shared.join(points.drop("fine"), "node").select("key", "node", "component", "n_shingles", "vector")
-    dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "node")
+    rows = compared(shared, keys).join(points.drop("fine"), "node").select("group", "node", "side", "component", "n_shingles", "vector")
+    dealt = rows.repartition(partitions(rows.sparkSession), "group").sortWithinPartitions("group", "node")
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
@@ -383,8 +424,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
     part = components(links)
     shared = by_first(shared.select("key", "node"), "node").distinct()
     shared = shared.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_keys = shared.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("key")
-    crossing = stored(across(shared.join(mixed_keys, "key", "left_semi"), points, threshold), "pairs")
+    mixed_keys = shared.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("n")).where("_low <> _high").select("key", "n")
+    crossing = stored(across(shared, stored(mixed_keys, "mixed-keys"), points, threshold), "pairs")
     more = verified(stored(bounded(crossing, points, threshold), "pairs"), texts, words, threshold)
 
     equal = firsts.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))

@@ -76,6 +76,44 @@ def test_links_without_broadcasts(spark, monkeypatch):
     check_components(spark, rows, jaccard_join.near_duplicates(frame(spark, rows)).collect(), 4, 85)
 
 
+def test_large_keys_are_compared_in_blocks(spark, monkeypatch):
+    """Of a key's pairs of different components, each is in one group; no group is larger than about two blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 40)
+    parts = {1: [0] * 500 + [7] * 90 + list(range(1000, 1170)), 2: [0] * 300 + [5], 3: list(range(2000, 2200)), 4: [1, 2, 2]}
+    table = spark.createDataFrame([(key, node, c) for key, of in parts.items() for node, c in enumerate(of)], "key long, node long, component long")
+    keys = spark.createDataFrame([(key, len(of)) for key, of in parts.items()], "key long, n long")
+    groups = {}
+    for r in jaccard_join.compared(table, keys).collect():
+        groups.setdefault(r.group, []).append((r.node, r.side, r.component))
+    assert max(map(len, groups.values())) <= 3 * 40
+    met = Counter()
+    for members in groups.values():
+        assert len({c for *_, c in members}) > 1 or len(members) == 1
+        met.update((min(m, n), max(m, n)) for k, (m, s, c) in enumerate(members) for n, t, d in members[:k] if c != d and (s < 0 or s != t))
+    assert met == Counter((m, n) for of in parts.values() for n, d in enumerate(of) for m, c in enumerate(of[:n]) if c != d)
+
+
+@pytest.mark.parametrize("block", [3, 20])
+def test_links_of_a_templated_family(spark, monkeypatch, block):
+    """Near copies, variants around the threshold and members that are all just under it, in blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rnd = random.Random(4)
+    base = prose(61, 150).split()
+
+    def variant(changes):
+        words = list(base)
+        for at in rnd.sample(range(3, 147), changes):
+            words[at] = f"v{rnd.randrange(10**6)}"
+        return " ".join(words)
+
+    texts = [variant(1) for _ in range(40)] + [variant(k) for k in range(3, 9) for _ in range(8)]
+    rnd.shuffle(texts)
+    rows = list(enumerate(texts))
+    found = jaccard_join.near_duplicates(frame(spark, rows).repartition(3)).collect()
+    check_components(spark, rows, found, 4, 85)
+    assert len({r.component_id for r in found}) > 2
+
+
 def test_links_of_odd_documents(spark, odd, none):
     rows = [(r[0], r[1]) for r in odd_rows()]
     check_components(spark, rows, jaccard_join.near_duplicates(odd).collect(), 4, 85)
