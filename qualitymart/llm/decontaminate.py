@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qualitymart.llm.common import stored
 
@@ -21,8 +22,8 @@ from qualitymart.llm.common import stored
 #: standard deviation of 3.
 RADIUS = 19
 BITS = 64
-#: Tables of at most this many rows (under 100 MB) are sent to all tasks; larger ones are joined by a shuffle.
-SENT = 1_000_000
+#: Tables of at most this many rows and bytes are sent to all tasks; larger ones are joined by a shuffle.
+SENT, SENT_BYTES = 1_000_000, 100_000_000
 
 
 def words_of(text: str) -> Column:
@@ -71,9 +72,24 @@ def overlap(a: str, b: str) -> Column:
     return F.expr(f"if({repeated}, {counted}, size({shared}))")
 
 
+def row_bytes(rows: DataFrame) -> Column:
+    """About the size of a row in memory: 8 bytes a value, and texts and arrays by their length."""
+    total = F.lit(16)
+    for field in rows.schema:
+        if isinstance(field.dataType, T.ArrayType):
+            width = 8 * (2 + len(field.dataType.elementType)) if isinstance(field.dataType.elementType, T.StructType) else 8
+            total = total + 24 + F.when(F.col(field.name).isNull(), 0).otherwise(F.size(field.name)) * width
+        elif isinstance(field.dataType, T.StringType | T.BinaryType):
+            total = total + 16 + F.coalesce(F.octet_length(field.name), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
 def sent(small: DataFrame) -> DataFrame:
     """``small`` for a join: with a hint if its size allows it."""
-    return F.broadcast(small) if small.limit(SENT + 1).count() <= SENT else small
+    rows, size = small.limit(SENT + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(small).cast("long")), F.lit(0))).first()
+    return F.broadcast(small) if rows <= SENT and size <= SENT_BYTES else small
 
 
 def find_items(docs: DataFrame, items: DataFrame, words: int = 5, least: float = 0.8, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -130,9 +146,12 @@ def find_items(docs: DataFrame, items: DataFrame, words: int = 5, least: float =
 
     # items that agree in a block, are within the radius and are similar
     left = cut.select("*", F.posexplode_outer(block_values("_print", radius)).alias("_block", "_value"))
-    right = item_grams.select("item_id", F.col("_n").alias("_in"), F.col("_k").alias("_ik"), "_grams", "_item_print", F.posexplode(block_values("_item_print", radius)).alias("_ib", "_iv"))
+    right = item_grams.select("item_id", F.col("_n").alias("_in"), F.col("_k").alias("_ik"), "_item_print", F.posexplode(block_values("_item_print", radius)).alias("_ib", "_iv"))
     near = left.join(sent(right), (F.col("_block") == F.col("_ib")) & (F.col("_value") == F.col("_iv")) & (F.col("_n") == F.col("_in")) & (F.col("_k") == F.col("_ik")))
     near = near.withColumn("_apart", F.expr("_print ^ _item_print")).where((F.bit_count("_apart") <= radius) & (first_equal_block("_apart", radius) == F.col("_block")))
+    # the items' n-grams, which are long, only now; items that repeat an id and agree in all of these are each other's finds
+    whole = sent(item_grams.withColumnsRenamed({"item_id": "_item", "_n": "_wn", "_k": "_wk", "_item_print": "_whole_print"}))
+    near = near.join(whole, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("_in") == F.col("_wn")) & (F.col("_ik") == F.col("_wk")) & (F.col("_item_print") == F.col("_whole_print")))
     near = near.withColumn("_shared", overlap("_window", "_grams"))
     near = near.withColumn("similarity", F.expr("_shared / (size(_window) + size(_grams) - _shared)")).where(F.col("similarity") >= F.lit(least - 1e-12))
     best = F.max_by(F.struct("_at", "_n"), F.struct("similarity", -F.col("_at"))).alias("_best")

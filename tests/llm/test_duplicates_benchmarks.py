@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import regex
 from conftest import frame, odd_rows, prose
+from pyspark.sql import functions as F
 
 from qualitymart.llm import common, decontaminate, jaccard_join
 from qualitymart.llm.components import components
@@ -232,6 +233,23 @@ def test_items_are_found(spark, monkeypatch, sent):
     assert {(10 * k, k) for k in range(12)} <= set(got) and not any((10 * k + 5, k) in got for k in range(12))
 
 
+def test_long_items_are_not_sent_by_their_rows(spark, monkeypatch):
+    """What is sent to all tasks is bounded by bytes; item blocks are sent without the items' n-grams."""
+    asked = []
+    ask = decontaminate.sent
+    monkeypatch.setattr(decontaminate, "sent", lambda small: asked.append(small.columns) or ask(small))
+    docs, items = contaminated()
+    items = [*items, (0, items[1][1]), (1, items[1][1])]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = pairs_of(decontaminate.find_items(frame(spark, docs), table).collect())
+    assert got == pytest.approx(brute_items(docs, items))
+    assert not any({"_iv", "_grams"} <= set(columns) for columns in asked)
+    long = spark.range(60).select("id", F.sequence(F.lit(1), F.lit(1000)).cast("array<long>").alias("_grams"))
+    assert decontaminate.sent(long) is not long
+    monkeypatch.setattr(decontaminate, "SENT_BYTES", 400_000)
+    assert decontaminate.sent(long) is long
+
+
 def test_fingerprints_and_blocks(spark):
     rnd = random.Random(2)
     values = [[rnd.getrandbits(64) - 2**63 for _ in range(n)] for n in (1, 2, 7, 40)]
