@@ -280,3 +280,16 @@ def test_spans_that_differ_at_their_source_stay(spark, monkeypatch):
     rows = [(0, prose(1, 60)), (1, prose(2, 60)), (2, prose(1, 60))]
     found = {r.doc_id: r.n_removed for r in repeated_spans.remove_repeats(frame(spark, rows)).collect()}
     assert found == {0: 0, 1: 0, 2: 60}
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_against_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    sf_dir = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    expected = con.execute(queries.ORACLES[name])
+    names = sorted(d[0] for d in expected.description)
+    wanted = Counter(map(tuple, con.execute(f"SELECT {', '.join(names)} FROM ({queries.ORACLES[name]})").fetchall()))
+    assert Counter(map(tuple, queries.QUERIES[name](spark, sf_dir).select(names).collect())) == wanted
