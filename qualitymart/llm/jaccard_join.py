@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import partitions, small_batches, stored
+from qualitymart.llm.common import batch_rows, numbered, partitions, small_batches, stored
 from qualitymart.llm.components import components
 from qualitymart.llm.token_counts import texts_of
 
@@ -248,10 +248,15 @@ def shared_keys(measured: DataFrame) -> DataFrame:
     return dealt.mapInArrow(runs, "key long, node long, leader long")
 
 
+def sent_if_few(table: DataFrame) -> DataFrame:
+    """A stored table of ids, to be sent to all tasks if it has few rows."""
+    return F.broadcast(table) if table.limit(SENT + 1).count() <= SENT else table
+
+
 def semi(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """The ``rows`` whose ``column`` is in ``ids`` (one column ``_id``, distinct): sent to all tasks if they are few."""
-    few = ids.limit(SENT + 1).count() <= SENT
-    return rows.join(F.broadcast(ids) if few else ids, rows[column] == ids["_id"], "left_semi")
+    ids = sent_if_few(ids)
+    return rows.join(ids, rows[column] == ids["_id"], "left_semi")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, words: int, threshold: int) -> DataFrame:
@@ -270,7 +275,8 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, threshold: int) -> D
                 keep.append(100 * same >= threshold * (len(p) + len(q) - same))
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.mapInArrow(check, "a long, b long"), "links")
+    with batch_rows(rows.sparkSession, 200):
+        return stored(both.mapInArrow(check, "a long, b long"), "links")
 
 
 def vectors_of(column: pa.Array) -> np.ndarray:
@@ -279,7 +285,11 @@ def vectors_of(column: pa.Array) -> np.ndarray:
 
 
 def bounded(pairs: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
-    """The ``pairs`` whose fine count vectors allow the threshold; most others end here, before texts are moved."""
+    """The ``pairs`` whose fine count vectors allow the threshold; most others end here, before texts are moved. Only
+    vectors of documents in a pair are moved."""
+    pairs = stored(pairs, "candidate-pairs")
+    ids = stored(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct(), "candidates")
+    points = semi(points, ids, "node").dropDuplicates(["node"])
     left = pairs.join(points.select(F.col("node").alias("a"), F.col("n_shingles").alias("_m"), F.col("fine").alias("_left")), "a")
     both = left.join(points.select(F.col("node").alias("b"), F.col("n_shingles").alias("_n"), F.col("fine").alias("_right")), "b")
 
@@ -290,7 +300,8 @@ def bounded(pairs: DataFrame, points: DataFrame, threshold: int) -> DataFrame:
             keep = np.array(overlaps, np.int64) >= overlap_needed(*sizes, threshold)
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
-    return both.select("a", "b", "_m", "_n", "_left", "_right").mapInArrow(check, "a long, b long")
+    with batch_rows(points.sparkSession, 500):
+        return stored(both.select("a", "b", "_m", "_n", "_left", "_right").mapInArrow(check, "a long, b long"), "pairs")
 
 
 def compared(shared: DataFrame, keys: DataFrame) -> DataFrame:
@@ -384,52 +395,84 @@ def across(shared: DataFrame, keys: DataFrame, points: DataFrame, threshold: int
         if held:
             yield from found([np.concatenate(c) for c in zip(*held, strict=True)])
 
-    rows = compared(shared, keys).join(points.drop("fine"), "node").select("group", "node", "side", "component", "n_shingles", "vector")
+    groups = compared(shared, keys)
+    ids = stored(groups.select(F.col("node").alias("_id")).distinct(), "compared")
+    points = semi(points, ids, "node").select("node", "n_shingles", "vector").dropDuplicates(["node"])
+    rows = groups.join(points, "node").select("group", "node", "side", "component", "n_shingles", "vector")
     dealt = rows.repartition(partitions(rows.sparkSession), "group").sortWithinPartitions("group", "node")
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
+def with_nodes(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame | None]:
+    """``_id, _node, _text`` of every row, and ``_id, _text_hash, _node`` of texts that share their id with another text,
+    or None if there are none.
 
-    Two documents are linked if ``100 * intersection >= threshold * union`` of their distinct n-grams.
-    ``component_id`` is the smallest id reachable by links, its own included. A null or empty text and one of
-    white space alone has no n-grams and no links. Rows that repeat an id are one document for the links and
-    are returned as often as they occur. A null id has no links and a null component.
+    Such a text is a node of its own, numbered after the largest id; every other one has its id as its node.
     """
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_column).cast("long").alias("_node"), F.coalesce(text_column, F.lit("")).alias("_text"))
-
-    measured = stored(keyed(rows, words, threshold), "points")
+    rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(text_column, F.lit("")).alias("_text"))
+    keyed_rows = rows.withColumn("_text_hash", F.xxhash64("_text"))
+    several = keyed_rows.where("_id is not null").groupBy("_id").agg(F.min("_text_hash").alias("_low"), F.max("_text_hash").alias("_high"))
+    several = stored(several.where("_low <> _high").select("_id"), "ids-of-several-texts")
+    if not several.limit(1).count():
+        return rows.select("_id", F.col("_id").alias("_node"), "_text"), None
+    texts = semi(keyed_rows, several, "_id").select("_id", "_text_hash").distinct()
+    highest = rows.agg(F.max("_id")).first()[0]
+    if highest + several.count() * 2 > (1 << 62):
+        raise ValueError("ids are too large for texts that share one to be numbered after them")
+    named = numbered(texts, [], F.struct("_id", "_text_hash"), [F.col("_id"), F.col("_text_hash")], "_number")
+    named = stored(named.select("_id", "_text_hash", (F.col("_number") + highest + 1).alias("_node")), "nodes")
+    found = keyed_rows.join(sent_if_few(named), ["_id", "_text_hash"], "left")
+    return found.select("_id", F.coalesce("_node", "_id").alias("_node"), "_text"), named
+
+
+def linked(rows: DataFrame, words: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """``node, n_shingles`` of every row (``_node, _text``; one text per node), and links ``a, b`` that join each component."""
+    measured = stored(keyed(rows.select("_node", "_text"), words, threshold), "points")
     linkable = measured.where("n_shingles > 0 and node is not null")
     # only sets that occur more than once are joined; a set may hold a third of all rows
     sets = linkable.groupBy("n_shingles", "_k1", "_k2").agg(F.min("node").alias("first"), F.max("node").alias("_last")).where("first <> _last").drop("_last")
     sets = stored(sets, "equal-sets")
-    few = F.broadcast(sets) if sets.limit(SENT + 1).count() <= SENT else sets
-    ids = linkable.select("node", "n_shingles", "_k1", "_k2").join(few, ["n_shingles", "_k1", "_k2"], "left")
-    firsts = stored(ids.select("node", F.coalesce("first", "node").alias("first")).distinct(), "firsts")
-    points = linkable.select("node", "n_shingles", "vector", "fine").join(firsts.where("node = first").select("node"), "node", "left_semi").dropDuplicates(["node"])
+    equal = linkable.select("node", "n_shingles", "_k1", "_k2").join(sent_if_few(sets), ["n_shingles", "_k1", "_k2"])
+    equal = stored(equal.where("node <> first").select("first", "node").distinct(), "equal-nodes")
 
     def by_first(frame: DataFrame, column: str) -> DataFrame:
-        """``column`` replaced by the smallest id with the same n-grams."""
-        to = firsts.select(F.col("node").alias("_n"), F.col("first").alias("_f"))
-        return frame.join(to, frame[column] == to["_n"]).drop(column, "_n").withColumnRenamed("_f", column)
-
-    texts = rows.where("_node is not null")
-    shared = stored(shared_keys(measured), "shared-keys")
-    pairs = by_first(by_first(shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "a"), "b")
+        """``column`` replaced by the smallest node with the same n-grams."""
+        to = sent_if_few(equal).select(F.col("node").alias("_n"), F.col("first").alias("_f"))
+        return frame.join(to, frame[column] == to["_n"], "left").withColumn(column, F.coalesce("_f", column)).drop("_n", "_f")
+
+    texts = rows.where("_node is not null").select("_node", "_text")
+    points = linkable.select("node", "n_shingles", "vector", "fine")
+    shared = stored(by_first(shared_keys(measured), "node").select("key", "node", "leader"), "shared-keys")
+    pairs = by_first(shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "a")
     pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = verified(stored(bounded(pairs, points, threshold), "pairs"), texts, words, threshold)
+    links = verified(bounded(pairs, points, threshold), texts, words, threshold)
 
     part = components(links)
-    shared = by_first(shared.select("key", "node"), "node").distinct()
-    shared = shared.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_keys = shared.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("n")).where("_low <> _high").select("key", "n")
-    crossing = stored(across(shared, stored(mixed_keys, "mixed-keys"), points, threshold), "pairs")
-    more = verified(stored(bounded(crossing, points, threshold), "pairs"), texts, words, threshold)
-
-    equal = firsts.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    part = components(links.unionByName(more).unionByName(equal))
+    members = shared.select("key", "node").join(sent_if_few(part), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    members = members.repartition(partitions(rows.sparkSession), "key").dropDuplicates(["key", "node"])  # one exchange, also for the next count
+    mixed_keys = members.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("n")).where("_low <> _high").select("key", "n")
+    crossing = across(members, stored(mixed_keys, "mixed-keys"), points, threshold)
+    more = verified(bounded(crossing, points, threshold), texts, words, threshold)
+    links = links.unionByName(more).unionByName(equal.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    return measured.select("node", "n_shingles"), links
+
+
+def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row.
+
+    Two documents are linked if ``100 * intersection >= threshold * union`` of their distinct n-grams.
+    ``component_id`` is the smallest id reachable by links, its own included. A null or empty text and one of
+    white space alone has no n-grams and no links. Rows that repeat an id are one document, with the links of all
+    their texts, and are returned as often as they occur. A null id has no links and a null component. An empty table
+    gives no rows. No other column is read.
+    """
+    small_batches(docs.sparkSession)
+    rows, named = with_nodes(docs, id_column, text_column)
+    measured, links = linked(rows, words, threshold)
+    if named is not None:
+        links = links.unionByName(named.select(F.col("_id").alias("a"), F.col("_node").alias("b")))
+        measured = measured.join(sent_if_few(named.select("_id", "_node")), F.col("node") == F.col("_node"), "left").withColumn("node", F.coalesce("_id", "node"))
+    part = components(links)
     found = measured.select(F.col("node").alias("doc_id"), "n_shingles")
     return found.join(part, found["doc_id"] == part["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -437,15 +480,24 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
 def one_of_each(docs: DataFrame, words: int = 5, threshold: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` without those linked to a smaller id, columns as they are.
 
-    Of rows that repeat an id, one stays. Rows with a null id and those without a word all stay.
+    Of rows that repeat both id and text, one stays. Different texts under one id are documents of their own, which
+    come after all whose id is their own. Rows with a null id and, but for repeated ones, those without a word all stay.
+    An empty table stays empty.
     """
-    found = near_duplicates(docs, words, threshold, id_column, text_column)
-    gone = stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "duplicates")
-    few = F.broadcast(gone) if gone.limit(SENT + 1).count() <= SENT else gone
-    kept = docs.join(few, docs[id_column] == few["_id"], "left_anti")
+    small_batches(docs.sparkSession)
+    rows, named = with_nodes(docs, id_column, text_column)
+    _, links = linked(rows, words, threshold)
+    gone = stored(components(links).where("component <> node").select("node"), "duplicates")
+    few = sent_if_few(gone)
+    kept = docs.join(few, docs[id_column] == few["node"], "left_anti")
+    text_hash = F.xxhash64(F.coalesce(docs[text_column], F.lit("")))
+    if named is not None:
+        texts = stored(named.join(few, F.col("_node") == F.col("node")).select("_id", "_text_hash"), "duplicate-texts")
+        texts = sent_if_few(texts)
+        kept = kept.join(texts, (docs[id_column] == texts["_id"]) & (text_hash == texts["_text_hash"]), "left_anti")
     ids = docs.where(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("_id")).count().where("count > 1").select("_id")
     repeated = stored(ids, "repeated-ids")
     if not repeated.limit(1).count():
         return kept
-    again = semi(kept, repeated, id_column).dropDuplicates([id_column])
+    again = semi(kept, repeated, id_column).dropDuplicates([id_column, text_column])
     return kept.join(repeated, kept[id_column] == repeated["_id"], "left_anti").unionByName(again)

@@ -183,6 +183,16 @@ def test_one_of_each(spark, odd, none):
     assert sorted(r.doc_id for r in jaccard_join.one_of_each(frame(spark, rows)).collect()) == [5, 7]
 
 
+def test_different_texts_under_one_id(spark):
+    """Each text keeps its links: ids reached through either are one component, and neither text takes the other's place."""
+    a, b, c = prose(31, 80), prose(32, 80), prose(33, 80)
+    near = lambda text: text.replace(text.split()[40], "changed", 1)
+    rows = [(1, a), (1, b), (1, b), (1, None), (2, near(a)), (3, near(b)), (4, c), (0, near(c)), (7, c)]
+    check_components(spark, rows, jaccard_join.near_duplicates(frame(spark, rows).repartition(3)).collect(), 4, 85)
+    kept = Counter((r.doc_id, r.text) for r in jaccard_join.one_of_each(frame(spark, rows)).collect())
+    assert kept == Counter([(1, None), (2, near(a)), (3, near(b)), (0, near(c))])
+
+
 WORDS = regex.compile(r"[\p{L}\p{N}]+")
 
 
