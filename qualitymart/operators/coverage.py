@@ -74,9 +74,13 @@ def from_links(links: DataFrame, planned: DataFrame, runs: DataFrame) -> DataFra
     fix versions; ``runs``: run facts. Runs are cut down to one row per (test, release) before they
     meet the links, so the join grows with links times releases, never with the number of runs.
     """
+    return from_latest(links, planned, latest_per_test(runs.where("test_sk IS NOT NULL"), ["test_sk", "release_sk"]))
+
+
+def from_latest(links: DataFrame, planned: DataFrame, latest: DataFrame) -> DataFrame:
+    """As ``from_links``, for the last run of each (test, release): ``test_sk, release_sk, run_status, date_sk``."""
     links = links.select("issue_sk", "test_sk").distinct()
     linked_tests = links.groupBy("issue_sk").agg(F.count("*").alias("total_test_count"))
-    latest = latest_per_test(runs.where("test_sk IS NOT NULL"), ["test_sk", "release_sk"])
     seen = (
         links.join(latest, "test_sk")
         .withColumn("_status", _test_status(F.col("run_status")))

@@ -31,17 +31,24 @@ def number(new_keys: DataFrame, key: str, sk: str, start: int, buckets: int | No
 
 
 def merge_dimension(
-    target: DataFrame, updates: DataFrame, key: str, sk: str, merge: Callable[[DataFrame, DataFrame, list[str]], DataFrame]
+    target: DataFrame,
+    updates: DataFrame,
+    key: str,
+    sk: str,
+    merge: Callable[[DataFrame, DataFrame, list[str]], DataFrame],
+    highest: int | None = None,
 ) -> DataFrame:
     """Merge updates by natural key; only keys the target lacks are numbered.
 
     Keys are told apart first: updates of known keys are merged into the target, the others get their
-    number among themselves and then pass through the same merge against an empty target.
+    number among themselves and then pass through the same merge against an empty target. ``highest`` is the last
+    number given, needed if ``target`` is only a part of the dimension.
     """
     named = updates.where(F.col(key).isNotNull() & (F.col(key) != ""))
     known = target.select(F.col(key).alias("_known"))
     fresh = named.join(known, F.col(key) == F.col("_known"), "left_anti")
-    highest = target.agg(F.coalesce(F.max(sk), F.lit(0)).alias("m")).first()["m"]
+    if highest is None:
+        highest = target.agg(F.coalesce(F.max(sk), F.lit(0)).alias("m")).first()["m"]
     numbers = number(fresh.select(key), key, sk, highest)
     held = named.join(known, F.col(key) == F.col("_known"), "left_semi")
     merged = merge(target, held, [key])

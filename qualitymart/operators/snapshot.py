@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualitymart.functions import scalars
@@ -13,24 +13,56 @@ from qualitymart.sources.star import Star
 _KEYS = ["release_sk", "squad_sk"]
 
 
+def _run_counts() -> list[Column]:
+    status = F.col("run_status")
+    return [
+        F.count("*").alias("total_tests"),
+        F.count_if(scalars.is_executed(status)).alias("executed_tests"),
+        F.count_if(status == "PASS").alias("passed_tests"),
+        F.count_if(status == "FAIL").alias("failed_tests"),
+        F.count_if(status == "BLOCKED").alias("blocked_tests"),
+        F.count_if(status == "TODO").alias("not_run_tests"),
+        F.count_if("is_automated").alias("automated_executions"),
+        F.count_if(F.col("is_automated") & scalars.is_executed(status)).alias("automated_executed"),
+    ]
+
+
 def run_rollup(runs: DataFrame, tests: DataFrame) -> DataFrame:
     """Run counts and mean duration by (release, squad) (A2)."""
-    status = F.col("run_status")
-    return (
-        runs.join(tests.select("test_sk", "squad_sk"), "test_sk", "left")
-        .groupBy(*_KEYS)
-        .agg(
-            F.count("*").alias("total_tests"),
-            F.count_if(scalars.is_executed(status)).alias("executed_tests"),
-            F.count_if(status == "PASS").alias("passed_tests"),
-            F.count_if(status == "FAIL").alias("failed_tests"),
-            F.count_if(status == "BLOCKED").alias("blocked_tests"),
-            F.count_if(status == "TODO").alias("not_run_tests"),
-            F.count_if("is_automated").alias("automated_executions"),
-            F.count_if(F.col("is_automated") & scalars.is_executed(status)).alias("automated_executed"),
-            F.avg("duration_s").alias("avg_duration_s"),
-        )
-    )
+    of_squads = runs.join(tests.select("test_sk", "squad_sk"), "test_sk", "left")
+    return of_squads.groupBy(*_KEYS).agg(*_run_counts(), F.avg("duration_s").alias("avg_duration_s"))
+
+
+def month_state(runs: DataFrame) -> DataFrame:
+    """What snapshot and coverage need of a month's runs, per (month, release, test): counts, durations, the last run.
+
+    Parts of different months add up, and a month that changes is counted anew by itself, so a run that goes or moves
+    is taken back without a look at other months.
+    """
+    last = F.max(F.struct("started_at", "test_run_id", "run_status", "date_sk")).alias("last")
+    durations = [F.sum("duration_s").alias("duration_sum"), F.count("duration_s").alias("duration_count")]
+    return runs.groupBy("month", "release_sk", "test_sk").agg(*_run_counts(), *durations, last)
+
+
+def latest_of_state(state: DataFrame) -> DataFrame:
+    """The last run of each (test, release) over the months of ``month_state``."""
+    last = state.where("test_sk IS NOT NULL").groupBy("test_sk", "release_sk").agg(F.max("last").alias("_last"))
+    return last.select("test_sk", "release_sk", "_last.run_status", "_last.date_sk")
+
+
+def rollup_of_state(state: DataFrame, tests: DataFrame) -> DataFrame:
+    """``run_rollup`` from the parts of ``month_state``; only these meet the squads."""
+    counts = [c for c in state.columns if c.endswith(("_tests", "_executions", "_executed"))]
+    parts = [*counts, "duration_sum", "duration_count"]
+    of_tests = state.groupBy("release_sk", "test_sk").agg(*[F.sum(c).alias(c) for c in parts])
+    of_squads = of_tests.join(tests.select("test_sk", "squad_sk"), "test_sk", "left")
+    mean = F.try_divide(F.sum("duration_sum"), F.sum("duration_count")).alias("avg_duration_s")
+    return of_squads.groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in counts], mean)
+
+
+def open_link_state(links: DataFrame) -> DataFrame:
+    """The open links of a month as distinct (release, defect)."""
+    return links.where("open_flag").select("month", "release_sk", "defect_sk", "defect_key").distinct()
 
 
 def coverage_rollup(coverage: DataFrame, issues: DataFrame) -> DataFrame:
@@ -47,10 +79,14 @@ def coverage_rollup(coverage: DataFrame, issues: DataFrame) -> DataFrame:
 
 def open_critical_rollup(links: DataFrame, defects: DataFrame) -> DataFrame:
     """Distinct open critical defects by (release, squad) (A4)."""
+    return open_critical_of_state(links.where("open_flag"), defects)
+
+
+def open_critical_of_state(open_links: DataFrame, defects: DataFrame) -> DataFrame:
+    """The same from open links alone, or from the parts of ``open_link_state``."""
     critical = defects.where("critical_flag").select("defect_sk", "squad_sk")
     return (
-        links.where("open_flag")
-        .join(critical, "defect_sk")
+        open_links.join(critical, "defect_sk")
         .groupBy(*_KEYS)
         .agg(F.count_distinct("defect_key").alias("open_critical_defects"))
     )
@@ -68,9 +104,14 @@ def cycle(t: Star, as_of: date) -> DataFrame:
 
     Only (release, squad) pairs that have runs appear.
     """
-    rows = run_rollup(t["fact_test_run"], t["dim_test"])
-    rows = _null_safe_left(rows, coverage_rollup(t["fact_requirement_coverage"], t["dim_issue"]))
-    rows = _null_safe_left(rows, open_critical_rollup(t["fact_defect_link"], t["dim_defect"]))
+    runs = run_rollup(t["fact_test_run"], t["dim_test"])
+    return of_day(t, as_of, runs, open_critical_rollup(t["fact_defect_link"], t["dim_defect"]))
+
+
+def of_day(t: Star, as_of: date, runs: DataFrame, open_critical: DataFrame) -> DataFrame:
+    """The day's rows from counted runs and open critical defects; no fact but the coverage is read."""
+    rows = _null_safe_left(runs, coverage_rollup(t["fact_requirement_coverage"], t["dim_issue"]))
+    rows = _null_safe_left(rows, open_critical)
     counts = ["covered_requirements", "total_requirements", "open_critical_defects"]
     day = int(as_of.strftime("%Y%m%d"))
     known = t["dim_date"].where(F.col("date_sk") == day).agg(F.max("date_sk")).scalar()

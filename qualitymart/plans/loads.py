@@ -1,7 +1,11 @@
 """Loads: staged records to published tables, in full or as a delta.
 
 The order is dimensions before facts: versions, issues, defects, tests, plans, executions, runs with
-their links, steps, coverage, snapshot. Everything a load changes is published in one step.
+their links, steps, coverage, snapshot. Everything a load changes is prepared first and published at its end.
+
+A load reads what it changes: the buckets of its keys in dimensions and locators, the months of its runs in facts.
+Coverage and snapshot are kept up from a state per month (``snapshot.month_state``): the months that the load rewrote are
+counted anew, the tests whose state differs lead to the requirements whose coverage is made again.
 """
 
 from __future__ import annotations
@@ -19,9 +23,9 @@ from qualitymart.functions import scalars as X
 from qualitymart.functions.fieldmap import FieldMap
 from qualitymart.operators import coverage, dims, facts, keys, snapshot, upsert, windows
 from qualitymart.session import configure, cut
-from qualitymart.sources import staging
+from qualitymart.sources import staging, window
 from qualitymart.sources.control import Control
-from qualitymart.sources.warehouse import Transaction, Warehouse
+from qualitymart.sources.warehouse import HASHED, Update, Warehouse
 
 JOB = "delta_extractor"
 
@@ -31,30 +35,38 @@ COVERAGE_INPUTS = {"jira_version", "jira_issue", "xray_test", "xray_test_run"}
 
 def initialise(
     warehouse: Warehouse, start: date = calendar.DEFAULT_START, end: date = calendar.DEFAULT_END
-) -> int:
+) -> None:
     """Seed statuses, root causes and the calendar; known rows stay, calendar names are corrected."""
     spark = warehouse.spark
     tx = warehouse.begin()
     _insert_new(tx, "dim_status", S.status_seed(spark), "status_name")
     _insert_new(tx, "dim_root_cause", S.root_cause_seed(spark), "root_cause_name")
     tx.put("dim_date", calendar.refresh_names(tx.table("dim_date"), calendar.dim_date(spark, start, end)))
-    return tx.commit()
+    tx.publish()
 
 
-def _dimension(tx: Transaction, name: str, updates: DataFrame, key: str, merge) -> None:
+def _dimension(tx: Update, name: str, updates: DataFrame, key: str, merge) -> None:
+    """Merge into a dimension; of one kept in buckets, only those of the updates' keys are read and written."""
     sk = S.columns(name)[0]
-    tx.count_changes(name, tx.table(name), updates.where(F.col(key).isNotNull() & (F.col(key) != "")), [key], merge)
-    merged = keys.merge_dimension(tx.table(name), updates, key, sk, merge)
+    updates = updates.where(F.col(key).isNotNull() & (F.col(key) != ""))
+    parts = highest = None
+    if name in HASHED:
+        updates = cut(updates)
+        parts = tx.parts_of(name, updates)
+        highest = tx.table(name).agg(F.coalesce(F.max(sk), F.lit(0)).alias("m")).first()["m"]
+    target = tx.table(name, parts)
+    tx.count_changes(name, target, updates, [key], merge)
+    merged = keys.merge_dimension(target, updates, key, sk, merge, highest)
     if "is_active" in merged.columns:
         merged = merged.fillna(True, subset=["is_active"])
     if "is_released" in merged.columns:
         merged = merged.fillna(False, subset=["is_released"])
     if name == "dim_status":
         merged = merged.fillna(99, subset=["sort_order"])
-    tx.put(name, merged)
+    tx.put(name, merged, parts)
 
 
-def _insert_new(tx: Transaction, name: str, updates: DataFrame, key: str) -> None:
+def _insert_new(tx: Update, name: str, updates: DataFrame, key: str) -> None:
     """Insert-if-absent that leaves the table alone when it already has every key."""
     named = updates.where(F.col(key).isNotNull() & (F.col(key) != ""))
     if not upsert.absent(named, tx.table(name), [key]).isEmpty():
@@ -71,7 +83,7 @@ def _latest(rows: DataFrame, key: str, *columns: str) -> DataFrame:
     return windows.latest(chosen.where(F.col(key).isNotNull() & (F.col(key) != "")), [key], ["ord"]).drop("ord")
 
 
-def load_versions(tx: Transaction, parsed: DataFrame) -> None:
+def load_versions(tx: Update, parsed: DataFrame) -> None:
     rows = dims.releases(parsed)
     order = "ord"
     known = upsert.last_known(rows.drop("release_date_sk"), ["release_name"], order)
@@ -88,12 +100,13 @@ def load_versions(tx: Transaction, parsed: DataFrame) -> None:
     _dimension(tx, "dim_release", known.join(flags, "release_name"), "release_name", merge)
 
 
-def ensure_releases(tx: Transaction, rows: DataFrame) -> None:
+def ensure_releases(tx: Update, rows: DataFrame) -> None:
     """Releases named by runs come into being without further attributes."""
     _insert_new(tx, "dim_release", _names(rows, "release_name"), "release_name")
 
 
-def load_issues(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None:
+def load_issues(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> DataFrame:
+    """Returns the keys of the delivered issues."""
     rows = cut(dims.issues(parsed, fields_map))
     _insert_new(tx, "dim_program", _names(rows, "program_name"), "program_name")
     programs = tx.table("dim_program")
@@ -106,29 +119,31 @@ def load_issues(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> Non
         squads, tx.table("dim_application").withColumnRenamed("application_name", "_app"), "application_name", "_app", "application_sk"
     ).drop("program_name", "application_name")
     _dimension(tx, "dim_squad", squads, "squad_name", upsert.overwrite)
-    latest = _latest(rows, "issue_key")
+    latest = cut(_latest(rows, "issue_key"))
     issues = keys.lookup(latest, programs.withColumnRenamed("program_name", "_program"), "program_name", "_program", "program_sk")
     issues = keys.lookup(issues, tx.table("dim_squad").select("squad_name", "squad_sk").withColumnRenamed("squad_name", "_squad"), "squad_name", "_squad", "squad_sk")
     wanted = [c for c in S.columns("dim_issue") if c != "issue_sk"]
     _dimension(tx, "dim_issue", issues.select(*wanted), "issue_key", upsert.overwrite)
     _replace_bridge(tx, "bridge_issue_test", latest, F.col("linked_keys"), "test_key")
     _replace_bridge(tx, "bridge_issue_release", latest, F.col("fix_versions"), "release_name")
+    return latest.select("issue_key")
 
 
-def _replace_bridge(tx: Transaction, name: str, issues: DataFrame, values, column: str) -> None:
+def _replace_bridge(tx: Update, name: str, issues: DataFrame, values, column: str) -> None:
     """The links of the delivered issues replace their former ones."""
     pairs = issues.select("issue_key", F.explode(F.array_distinct(values)).alias(column)).where(F.col(column).isNotNull())
-    kept = tx.table(name).join(issues.select("issue_key"), "issue_key", "left_anti")
-    tx.put(name, kept.unionByName(pairs))
+    parts = tx.parts_of(name, issues)
+    kept = tx.table(name, parts).join(issues.select("issue_key"), "issue_key", "left_anti")
+    tx.put(name, kept.unionByName(pairs), parts)
 
 
-def _with_owner(tx: Transaction, rows: DataFrame) -> DataFrame:
+def _with_owner(tx: Update, rows: DataFrame) -> DataFrame:
     """Squad key by name; squads are looked up here, never created."""
     squads = tx.table("dim_squad").select(F.col("squad_name").alias("_squad"), "squad_sk")
     return keys.lookup(rows, squads, "squad_name", "_squad", "squad_sk")
 
 
-def load_defects(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None:
+def load_defects(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> None:
     rows = _with_owner(tx, _latest(dims.defects(parsed, fields_map), "defect_key"))
     applications = tx.table("dim_application").select(F.col("application_name").alias("_app"), "application_sk")
     rows = keys.lookup(rows, applications, "application_name", "_app", "application_sk")
@@ -136,28 +151,30 @@ def load_defects(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> No
     _dimension(tx, "dim_defect", rows.select(*wanted), "defect_key", upsert.overwrite)
 
 
-def load_tests(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None:
+def load_tests(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> DataFrame:
+    """Returns the keys of the delivered tests."""
     rows = cut(dims.tests(parsed, fields_map))
     _insert_new(tx, "dim_test_type", _names(rows, "test_type_name"), "test_type_name")
     types = tx.table("dim_test_type").withColumnRenamed("test_type_name", "_type")
     tests = keys.lookup(_with_owner(tx, _latest(rows, "test_key")), types, "test_type_name", "_type", "test_type_sk")
     wanted = [c for c in S.columns("dim_test") if c != "test_sk"]
     _dimension(tx, "dim_test", tests.select(*wanted), "test_key", upsert.overwrite)
+    return _names(rows, "test_key")
 
 
-def load_plans(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None:
+def load_plans(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> None:
     rows = _with_owner(tx, _latest(dims.plans(parsed, fields_map), "test_plan_key"))
     wanted = [c for c in S.columns("dim_test_plan") if c != "test_plan_sk"]
     _dimension(tx, "dim_test_plan", rows.select(*wanted), "test_plan_key", upsert.overwrite)
 
 
-def load_executions(tx: Transaction, parsed: DataFrame, fields_map: FieldMap) -> None:
+def load_executions(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> None:
     rows = cut(dims.executions(parsed, fields_map))
     _insert_new(tx, "dim_environment", dims.environments(rows), "environment_name")
     _dimension(tx, "dim_test_execution", _latest(rows, "execution_key"), "execution_key", upsert.overwrite)
 
 
-def load_runs(tx: Transaction, parsed: DataFrame, refresh_open_flag: bool = False) -> None:
+def load_runs(tx: Update, parsed: DataFrame, refresh_open_flag: bool = False) -> None:
     rows = cut(facts.runs(parsed))
     testers = upsert.last_known(facts.testers(rows), ["tester_id"], "ord")
     _dimension(tx, "dim_tester", testers, "tester_id", upsert.patch)
@@ -171,47 +188,77 @@ def load_runs(tx: Transaction, parsed: DataFrame, refresh_open_flag: bool = Fals
     fanned = facts.test_run_facts(once, tx.star())
     wanted = [c for c in S.columns("fact_test_run") if c in fanned.columns]
     runs = cut(windows.latest(fanned.select(*wanted, "ord"), pair, ["ord"]).drop("ord"))
-    tx.merge_parts("fact_test_run", runs, pair, lambda t, u: upsert.replace_rows(t, u, pair))
+    tx.merge_months("fact_test_run", runs, pair, lambda t, u: upsert.replace_rows(t, u, pair))
 
     triple = ["defect_key", "test_run_id", "release_sk"]
     linked = facts.defect_links(rows, tx.star())
     pick = windows.latest if refresh_open_flag else windows.earliest
     links = cut(pick(linked, triple, ["ord"]).drop("ord"))
     keep = upsert.replace_rows if refresh_open_flag else upsert.insert_absent
-    tx.merge_parts("fact_defect_link", links, triple, lambda t, u: keep(t, u, triple))
+    tx.merge_months("fact_defect_link", links, triple, lambda t, u: keep(t, u, triple))
 
 
-def load_steps(tx: Transaction, parsed: DataFrame) -> None:
+def load_steps(tx: Update, parsed: DataFrame) -> None:
     rows = facts.steps(parsed)
     frozen, moving = ["test_run_id", "step_order"], ["step_status", "actual_result", "comment"]
     steps = upsert.first_and_last(rows, ["step_result_id"], "ord", frozen, moving)
-    # Steps are filed under the month of their run; only the ids of the runs are scanned for it.
-    wanted = steps.select("test_run_id").distinct()
-    months = tx.table("fact_test_run").select("test_run_id", "month").join(wanted, "test_run_id", "left_semi")
-    filed = months.groupBy("test_run_id").agg(F.max("month").alias("month"))
+    # Steps are filed under the month of their run.
+    filed = tx.months_of("fact_test_run", steps.select("test_run_id").distinct()).groupBy("test_run_id").agg(F.max("month").alias("month"))
     steps = cut(steps.join(filed, "test_run_id", "left").fillna(0, subset=["month"]))
-    tx.merge_parts(
+    tx.merge_months(
         "fact_test_step_result", steps, ["step_result_id"], lambda t, u: upsert.partial(t, u, ["step_result_id"], moving)
     )
 
 
-def load_coverage(tx: Transaction) -> None:
-    """Coverage from the current links, versions and runs."""
-    issues = tx.table("dim_issue").select("issue_sk", "issue_key")
-    links = tx.table("bridge_issue_test").join(issues, "issue_key").join(tx.table("dim_test").select("test_sk", "test_key"), "test_key")
-    planned = (
-        tx.table("bridge_issue_release")
-        .join(issues, "issue_key")
-        .join(tx.table("dim_release").select("release_sk", "release_name"), "release_name")
-    )
-    tx.put("fact_requirement_coverage", coverage.from_links(links, planned, tx.table("fact_test_run")))
+def refresh_states(tx: Update) -> DataFrame:
+    """Count the months anew that the update has rewritten; ``test_sk`` of the tests whose state differs from before."""
+    months = tx.replaced("fact_defect_link")
+    if months:
+        tx.put("state_open_links", snapshot.open_link_state(tx.table("fact_defect_link", months)), months)
+    months = tx.replaced("fact_test_run")
+    before = tx.table("state_test_runs", months)
+    if months:
+        tx.put("state_test_runs", snapshot.month_state(tx.table("fact_test_run", months)), months)
+    after = tx.table("state_test_runs", months)
+    return cut(before.exceptAll(after).unionByName(after.exceptAll(before)).select("test_sk").distinct())
+
 
+def load_coverage(tx: Update, issue_keys: DataFrame, test_keys: DataFrame, changed_tests: DataFrame) -> None:
+    """Make the coverage of the requirements anew that an update may change.
 
-def load_snapshot(tx: Transaction, as_of: date) -> None:
-    """Snapshot of the day, merged with one taken earlier that day."""
+    These are the given issues (``issue_key``), those linked to the given tests (``test_key``) or to tests whose state
+    changed (``test_sk``), and those planned for releases that the update has added.
+    """
+    tests = tx.table("dim_test").select("test_sk", "test_key")
+    keys_of_tests = test_keys.select("test_key").union(changed_tests.join(tests, "test_sk").select("test_key")).distinct()
+    new = tx.table("dim_release").select("release_name").join(tx.warehouse.table("dim_release").select("release_name"), "release_name", "left_anti")
+    linked = tx.table("bridge_issue_test").join(keys_of_tests, "test_key", "left_semi").select("issue_key")
+    promised = tx.table("bridge_issue_release").join(new, "release_name", "left_semi").select("issue_key")
+    affected = issue_keys.select("issue_key").union(linked).union(promised).distinct()
+    issues = cut(tx.table("dim_issue").select("issue_sk", "issue_key").join(affected, "issue_key", "left_semi"))
+    parts = tx.parts_of("fact_requirement_coverage", issues)
+
+    links = cut(tx.table("bridge_issue_test").join(issues, "issue_key").join(tests, "test_key"))
+    releases = tx.table("dim_release").select("release_sk", "release_name")
+    planned = tx.table("bridge_issue_release").join(issues, "issue_key").join(releases, "release_name")
+    state = tx.table("state_test_runs").join(links.select("test_sk").distinct(), "test_sk", "left_semi")
+    covered = coverage.from_latest(links, planned, snapshot.latest_of_state(state))
+    others = tx.table("fact_requirement_coverage", parts).join(issues.select("issue_sk"), "issue_sk", "left_anti")
+    tx.put("fact_requirement_coverage", others.unionByName(S.conform(covered, "fact_requirement_coverage")), parts)
+
+
+def load_snapshot(tx: Update, as_of: date) -> None:
+    """Snapshot of the day from the monthly states, merged with one taken earlier that day."""
     on = ["snapshot_date_sk", "release_sk", "squad_sk"]
-    rows = cut(snapshot.cycle(tx.star(), as_of))
-    tx.merge_parts("fact_cycle_snapshot", rows, on, lambda t, u: upsert.overwrite(t, u, on, null_safe=True))
+    t = tx.star()
+    runs = snapshot.rollup_of_state(tx.table("state_test_runs"), t["dim_test"])
+    open_critical = snapshot.open_critical_of_state(tx.table("state_open_links"), t["dim_defect"])
+    rows = cut(snapshot.of_day(t, as_of, runs, open_critical))
+    days = tx.parts_of("fact_cycle_snapshot", rows)
+    if days:
+        held = tx.table("fact_cycle_snapshot", days)
+        tx.count_changes("fact_cycle_snapshot", held, rows, on)
+        tx.put("fact_cycle_snapshot", upsert.overwrite(held, rows, on, null_safe=True), days)
 
 
 def transform(
@@ -231,7 +278,7 @@ def transform(
     counts = {r["entity_type"]: r["count"] for r in records.groupBy("entity_type").count().collect()}
     tx = warehouse.begin()
     parsed = lambda entity: staging.parse(records.where(F.col("entity_type") == entity))
-    plan: list[tuple[str, Callable[[DataFrame], None]]] = [
+    plan: list[tuple[str, Callable[[DataFrame], DataFrame | None]]] = [
         ("jira_version", lambda p: load_versions(tx, p)),
         ("jira_issue", lambda p: load_issues(tx, p, fields_map)),
         ("jira_defect", lambda p: load_defects(tx, p, fields_map)),
@@ -241,56 +288,62 @@ def transform(
         ("xray_test_run", lambda p: load_runs(tx, p, refresh_open_flag)),
         ("xray_test_step_result", lambda p: load_steps(tx, p)),
     ]
-    for entity, load in plan:
-        if counts.get(entity):
-            load(parsed(entity))
+    delivered = {entity: load(parsed(entity)) for entity, load in plan if counts.get(entity)}
+    changed_tests = refresh_states(tx)
     if COVERAGE_INPUTS & counts.keys():
-        load_coverage(tx)
+        none = warehouse.spark.createDataFrame([], "issue_key STRING, test_key STRING")
+        load_coverage(tx, delivered.get("jira_issue", none), delivered.get("xray_test", none), changed_tests)
     load_snapshot(tx, as_of)
-    tx.commit()
+    tx.publish()
     if changed is not None:
         changed |= tx.changed
     return counts
 
 
-def purge_project(warehouse: Warehouse, project: str, control: Control | None = None) -> int:
-    """Remove a project's rows (U7): links, runs, steps and coverage first, then the dimensions.
+def purge_project(warehouse: Warehouse, project: str, control: Control | None = None) -> None:
+    """Remove a project's rows (U7): links, runs and steps first, then the dimensions, then coverage.
 
-    Runs go with their test or their execution. With ``control`` what is staged of the project becomes
-    void as well, so that a full refresh doesn't bring it back. The project's figures leave all snapshots of
-    its squads only with the next load, which takes them anew.
+    Runs go with their test or their execution; only months that hold some of them are rewritten, and only buckets
+    that hold the project's keys. With ``control`` what is staged of the project becomes void as well, so that a full
+    refresh doesn't bring it back. The project's figures leave the snapshots of its squads with the next load, which
+    takes that day's anew.
     """
     tx = warehouse.begin()
     t = tx.star()
-    gone_tests = t["dim_test"].where(F.substring_index("test_key", "-", 1) == project).select("test_sk")
-    gone_executions = t["dim_test_execution"].where(F.substring_index("execution_key", "-", 1) == project).select("execution_sk")
-    gone_issues = t["dim_issue"].where(F.substring_index("issue_key", "-", 1) == project).select("issue_sk", "issue_key")
-    runs = t["fact_test_run"]
-    gone_runs = runs.join(gone_tests, "test_sk", "left_semi").select("test_run_id").union(
-        runs.join(gone_executions, "execution_sk", "left_semi").select("test_run_id")
-    ).distinct()
+    of_project = lambda name, key: t[name].where(F.substring_index(key, "-", 1) == project)
+    gone_tests = cut(of_project("dim_test", "test_key").select("test_sk", "test_key"))
+    gone_executions = cut(of_project("dim_test_execution", "execution_key").select("execution_sk"))
+    runs = t["fact_test_run"].select("test_run_id", "test_sk", "execution_sk")
+    of_tests = runs.join(gone_tests.select("test_sk"), "test_sk", "left_semi").select("test_run_id")
+    of_executions = runs.join(gone_executions, "execution_sk", "left_semi").select("test_run_id")
+    gone_runs = cut(of_tests.union(of_executions).distinct())
+    gone_defects = cut(of_project("fact_defect_link", "defect_key").select("defect_key").distinct())
     for fact in ("fact_test_step_result", "fact_defect_link", "fact_test_run"):
-        tx.replace_parts(fact, t[fact].join(gone_runs, "test_run_id", "left_anti"))
-    tx.replace_parts("fact_defect_link", upsert.purge_project(tx.table("fact_defect_link"), "defect_key", project))
-    tx.put("fact_requirement_coverage", t["fact_requirement_coverage"].join(gone_issues.select("issue_sk"), "issue_sk", "left_anti"))
-    for bridge in ("bridge_issue_test", "bridge_issue_release"):
-        tx.put(bridge, upsert.purge_project(t[bridge], "issue_key", project))
-    for name, key in (
-        ("dim_issue", "issue_key"),
-        ("dim_defect", "defect_key"),
-        ("dim_test", "test_key"),
-        ("dim_test_plan", "test_plan_key"),
-        ("dim_test_execution", "execution_key"),
-    ):
-        tx.put(name, upsert.purge_project(t[name], key, project))
+        tx.remove_rows(fact, gone_runs, "test_run_id")
+    tx.remove_rows("fact_defect_link", gone_defects, "defect_key")
+    # requirements that lose a linked test are covered anew; those of the project go
+    issues = of_project("dim_issue", "issue_key").select("issue_key", "issue_sk")
+    gone_issues = cut(issues)
+    left = t["bridge_issue_test"].join(gone_tests.select("test_key"), "test_key", "left_semi").select("issue_key").distinct()
+    left = cut(left.join(gone_issues.select("issue_key"), "issue_key", "left_anti"))
+    for name in ("bridge_issue_test", "bridge_issue_release", "dim_issue", "dim_defect", "dim_test", "dim_test_plan", "dim_test_execution"):
+        key = HASHED.get(name, "test_plan_key")
+        parts = tx.parts_of(name, of_project(name, key)) if name in HASHED else None
+        tx.put(name, upsert.purge_project(tx.table(name, parts), key, project), parts)
+    parts = tx.parts_of("fact_requirement_coverage", gone_issues)
+    tx.put("fact_requirement_coverage", tx.table("fact_requirement_coverage", parts).join(gone_issues.select("issue_sk"), "issue_sk", "left_anti"), parts)
+    load_coverage(tx, left, warehouse.spark.createDataFrame([], "test_key STRING"), refresh_states(tx))
+    tx.publish()
     if control is not None:
         control.add_purge(project)
-    return tx.commit()
 
 
 @dataclass(frozen=True)
 class LoadConfig:
-    """Settings of one load. ``since`` overrides the stored watermark; ``until`` bounds a backfill."""
+    """Settings of one load. ``since`` overrides the stored watermark; ``until`` bounds a backfill.
+
+    The watermark moves unless the bounds are given by hand; ``advance_watermark`` decides otherwise.
+    """
 
     root: str
     run_id: str
@@ -301,9 +354,13 @@ class LoadConfig:
     until: datetime | None = None
     projects: tuple[str, ...] = ()
     dry_run: bool = False
-    advance_watermark: bool = True
+    advance_watermark: bool | None = None
     fields_map: FieldMap = field(default_factory=FieldMap)
 
+    @property
+    def moves_watermark(self) -> bool:
+        return self.since is None and self.until is None if self.advance_watermark is None else self.advance_watermark
+
     @property
     def staging(self) -> str:
         return f"{self.root}/staging"
@@ -324,14 +381,16 @@ def run(spark: SparkSession, cfg: LoadConfig, extract: Callable[[datetime | None
     """One load: extract since the watermark, stage, transform, advance the watermark.
 
     ``extract`` gives the staging records to load. The watermark moves to the newest update seen (else
-    to the start of the load), only after full success, never in a dry run or a bounded backfill.
+    to the start of the load), only after full success, never in a dry run or a bounded backfill. A load of some projects
+    reads from and moves the marks of those projects alone, so that a later load of all misses nothing. A bounded backfill
+    takes what changed in its window with all that it refers to.
     """
     configure(spark)
     control = Control(spark, f"{cfg.root}/control")
     started = datetime.now(tz=timezone.utc)
     before = cfg.since
     if before is None and cfg.mode == "incremental":
-        before = control.get_watermark(cfg.job)
+        before = control.get_watermark(cfg.job, cfg.projects)
     entry = control.start_run(cfg.job, watermark_before=before, now=started)
     try:
         records = extract(before)
@@ -340,8 +399,7 @@ def run(spark: SparkSession, cfg: LoadConfig, extract: Callable[[datetime | None
         stamp = X.parse_ts(F.get_json_object("raw_json", "$.fields.updated")).cast("timestamp")
         is_issue = F.col("entity_type").isin("jira_issue", "jira_defect")
         if cfg.until is not None:
-            moment = F.coalesce(F.when(is_issue, stamp), X.parse_ts(F.get_json_object("raw_json", "$.startedOn")).cast("timestamp"), F.col("loaded_at"))
-            records = records.where(moment <= F.lit(cfg.until))
+            records = window.closed(staging.known(records), cfg.since, cfg.until, cfg.fields_map)
         seen = Observation()
         staging.write(
             records.observe(
@@ -360,8 +418,8 @@ def run(spark: SparkSession, cfg: LoadConfig, extract: Callable[[datetime | None
             processed = sum(counts.values())
             upserted = sum(inserted + updated for inserted, updated in changed.values())
             after = after or started
-            if cfg.advance_watermark and cfg.until is None:
-                control.set_watermark(cfg.job, after)
+            if cfg.moves_watermark:
+                control.set_watermark(cfg.job, after, projects=cfg.projects)
         control.finish_run(
             entry, "success", records_extracted=extracted, rows_processed=processed, rows_upserted=upserted, watermark_after=after
         )

@@ -146,11 +146,10 @@ def run_rows(i: Inputs) -> DataFrame:
     return i.raw("lineitem")
 
 
-def runs(i: Inputs) -> DataFrame:
-    """One record per line item; run ids repeat, so the price makes the last delivery unique."""
+def runs(i: Inputs, key: str = "concat(l_orderkey, '-', l_linenumber)") -> DataFrame:
+    """One record per line item; by default run ids repeat, ``rule('run_id')`` makes them unique."""
     with_key = f"""regexp_replace(to_json({RUN}), '^\\\\{{', concat('{{"_execution_key":"E-', l_orderkey, '",'))"""
-    rows = records(run_rows(i).withColumn("_key", F.expr("concat(l_orderkey, '-', l_linenumber)")), "xray_test_run", "_key", with_key)
-    return rows
+    return records(run_rows(i).withColumn("_key", F.expr(key)), "xray_test_run", "_key", with_key)
 
 
 def pages(rows: DataFrame, page: str, item: str, envelope: str) -> DataFrame:

@@ -76,12 +76,25 @@ TABLES = {
     " executed_tests BIGINT, passed_tests BIGINT, failed_tests BIGINT, blocked_tests BIGINT, not_run_tests BIGINT,"
     " automated_executions BIGINT, automated_executed BIGINT, covered_requirements BIGINT,"
     " total_requirements BIGINT, open_critical_defects BIGINT, avg_duration_s DOUBLE",
-    "pipeline_watermarks": "job_name STRING, last_success_ts TIMESTAMP, updated_at TIMESTAMP",
+    "pipeline_watermarks": "job_name STRING, last_success_ts TIMESTAMP, updated_at TIMESTAMP, project STRING",
     "pipeline_run_log": "pipeline_run_id STRING, job_name STRING, status STRING, started_at TIMESTAMP,"
     " finished_at TIMESTAMP, records_extracted BIGINT, rows_processed BIGINT, rows_upserted BIGINT,"
     " watermark_before TIMESTAMP, watermark_after TIMESTAMP, error_message STRING, alert_sent BOOLEAN",
 }
 
+# What updates keep besides the star: per month what coverage and snapshot need of runs and links, and where the rows of a
+# fact's keys are.
+STATES = {
+    "state_test_runs": "release_sk BIGINT, test_sk BIGINT, total_tests BIGINT, executed_tests BIGINT, passed_tests BIGINT,"
+    " failed_tests BIGINT, blocked_tests BIGINT, not_run_tests BIGINT, automated_executions BIGINT,"
+    " automated_executed BIGINT, duration_sum DOUBLE, duration_count BIGINT,"
+    " last STRUCT<started_at: TIMESTAMP_NTZ, test_run_id: STRING, run_status: STRING, date_sk: INT>, month INT",
+    "state_open_links": "release_sk BIGINT, defect_sk BIGINT, defect_key STRING, month INT",
+    "month_of_run": "test_run_id STRING, month INT",
+    "month_of_link": "test_run_id STRING, month INT",
+    "month_of_step": "step_result_id STRING, month INT",
+}
+
 # Run statuses (name, category, sort order).
 STATUSES = (
     ("PASS", "Pass", 1),
@@ -119,7 +132,7 @@ LINK_TYPE = "Caused By"
 
 
 def struct(table: str) -> StructType:
-    return StructType.fromDDL(TABLES[table])
+    return StructType.fromDDL(TABLES.get(table) or STATES[table])
 
 
 def columns(table: str) -> list[str]:

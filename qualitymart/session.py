@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -44,20 +43,35 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; where that is unset, one inside the warehouse,
-    which all executors share as well."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; where that is unset, one inside the warehouse.
+
+    On a cluster that leaves the warehouse on a local disk as well there is no such folder, which is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stored"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_stored"
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and the file system it is in, whichever that is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def read_or_none(spark: SparkSession, layout: str | StructType, path: str) -> DataFrame | None:
-    """A Parquet folder, or None if there is none yet. Any other failure to read it is raised."""
-    try:
-        return spark.read.schema(layout).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """A Parquet folder, or None if there is none yet. Any failure to read it is raised."""
+    folder, files = _folder(spark, path)
+    return spark.read.schema(layout).parquet(path) if files.exists(folder) else None
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

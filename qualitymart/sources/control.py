@@ -6,6 +6,7 @@ Both are append-only folders of small rows; the state of a job is its newest row
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from qualitymart.session import read_or_none
 
 
 PURGES = "project STRING, purged_at TIMESTAMP"
+BATCHES = "stream STRING, batch_id BIGINT"
 
 
 def _utc(ts: datetime | None) -> datetime | None:
@@ -37,24 +39,36 @@ class Control:
         self.spark.createDataFrame(values, S.struct(table)).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
 
     def watermarks(self) -> DataFrame:
-        """Current watermark per job."""
-        last = self._events("pipeline_watermarks").groupBy("job_name").agg(
+        """Current watermarks: per job that of its loads of all projects, and one per project loaded by itself."""
+        last = self._events("pipeline_watermarks").groupBy("job_name", "project").agg(
             F.max(F.struct("updated_at", "last_success_ts")).alias("_last")
         )
-        return last.select("job_name", "_last.last_success_ts", "_last.updated_at")
-
-    def get_watermark(self, job: str) -> datetime | None:
-        rows = (
-            self.watermarks()
-            .where(F.col("job_name") == job)
-            .select(F.unix_micros("last_success_ts").alias("micros"))
-            .collect()
-        )
-        return datetime.fromtimestamp(rows[0]["micros"] / 1e6, tz=timezone.utc) if rows else None
+        return last.select("job_name", "_last.last_success_ts", "_last.updated_at", "project")
+
+    def get_watermark(self, job: str, projects: Sequence[str] = ()) -> datetime | None:
+        """From when on a load has to read: the mark of all projects, or the least of the given ones.
+
+        A project has been read up to its own mark or that of all, whichever is later.
+        """
+        own = F.col("project").isNull() | F.col("project").isin(*projects)
+        marks = self.watermarks().where((F.col("job_name") == job) & own).select("project", F.unix_micros("last_success_ts").alias("micros"))
+        found = {r["project"]: r["micros"] for r in marks.collect()}
+        of_all = found.get(None)
+        least = [max((m for m in (found.get(p), of_all) if m is not None), default=None) for p in projects] or [of_all]
+        return None if None in least else datetime.fromtimestamp(min(least) / 1e6, tz=timezone.utc)
 
-    def set_watermark(self, job: str, ts: datetime, now: datetime | None = None) -> None:
+    def set_watermark(self, job: str, ts: datetime, now: datetime | None = None, projects: Sequence[str] = ()) -> None:
         now = _utc(now) or datetime.now(tz=timezone.utc)
-        self._append("pipeline_watermarks", {"job_name": job, "last_success_ts": _utc(ts), "updated_at": now})
+        for project in projects or (None,):
+            self._append("pipeline_watermarks", {"job_name": job, "last_success_ts": _utc(ts), "updated_at": now, "project": project})
+
+    def add_batch(self, stream: str, batch_id: int) -> None:
+        """Note that a stream's batch has been published."""
+        self.spark.createDataFrame([(stream, batch_id)], BATCHES).coalesce(1).write.mode("append").parquet(f"{self.root}/stream_batches")
+
+    def has_batch(self, stream: str, batch_id: int) -> bool:
+        events = read_or_none(self.spark, BATCHES, f"{self.root}/stream_batches")
+        return events is not None and not events.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty()
 
     def purges(self) -> DataFrame:
         """Projects taken out, with the time up to which what was staged of them is void."""

@@ -43,6 +43,13 @@ def project_of(records: DataFrame) -> Column:
     return F.substring_index(F.when(owned, stamped).otherwise(F.col("source_key")), "-", 1)
 
 
+def without_purged(records: DataFrame, purged: DataFrame) -> DataFrame:
+    """Records but for those staged of a project before it was purged (``project, purged_at``)."""
+    last = purged.groupBy("project").agg(F.max("purged_at").alias("_purged_at"))
+    void = (project_of(records) == F.col("project")) & (F.col("loaded_at") <= F.col("_purged_at"))
+    return records.join(last, void, "left_anti")
+
+
 def scan(
     spark: SparkSession, root: str, entity: str | None = None, since: datetime | None = None, mode: str = "full_refresh",
     purged: DataFrame | None = None,
@@ -54,9 +61,7 @@ def scan(
     """
     records = spark.read.schema(LAYOUT).parquet(root)
     if purged is not None:
-        last = purged.groupBy("project").agg(F.max("purged_at").alias("_purged_at"))
-        void = (project_of(records) == F.col("project")) & (F.col("loaded_at") <= F.col("_purged_at"))
-        records = records.join(last, void, "left_anti")
+        records = without_purged(records, purged)
     if entity is not None:
         records = records.where(F.col("entity_type") == entity)
     if mode == "incremental" and since is not None:

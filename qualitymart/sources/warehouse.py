@@ -1,102 +1,149 @@
-"""Published tables: parquet folders plus a commit log.
+"""Published tables: plain Parquet folders, divided by month, by day or by key.
 
-A load writes new folders and publishes all of them with one append to the log, so readers see a
-whole batch or nothing; a failed load leaves only unreferenced folders behind. Large facts are kept
-per month, and a load rewrites only the months it touches. One writer at a time.
+Facts are kept per month, large dimensions in buckets of their key's hash. An update reads and rewrites only the
+folders that hold its keys, with Spark's dynamic partition overwrite. All tables of an update are prepared first, in a
+folder of their own, and written over the published ones when every step has succeeded; an update that fails while it
+prepares has changed nothing, and one that fails while it writes is mended by applying it again. One writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from qualitymart import schemas as S
 from qualitymart.operators import upsert
-from qualitymart.session import read_or_none
+from qualitymart.session import read_or_none, remove
 from qualitymart.sources.star import Star
 
-LOG = "version BIGINT, tbl STRING, part STRING, path STRING"
-
-# Facts kept per partition, with the column that names the partition.
-PARTITIONED = {
+#: Tables kept per value of a column.
+DATED = {
     "fact_test_run": "month",
     "fact_test_step_result": "month",
     "fact_defect_link": "month",
     "fact_cycle_snapshot": "snapshot_date_sk",
+    "state_test_runs": "month",
+    "state_open_links": "month",
+}
+#: Tables kept in buckets of a key.
+HASHED = {
+    "dim_issue": "issue_key",
+    "dim_defect": "defect_key",
+    "dim_test": "test_key",
+    "dim_test_execution": "execution_key",
+    "bridge_issue_test": "issue_key",
+    "bridge_issue_release": "issue_key",
+    "fact_requirement_coverage": "issue_sk",
+    "month_of_run": "test_run_id",
+    "month_of_link": "test_run_id",
+    "month_of_step": "step_result_id",
 }
+#: Where the rows of a fact's keys are: a narrow table from key to month, in buckets of the key.
+LOCATORS = {"fact_test_run": "month_of_run", "fact_defect_link": "month_of_link", "fact_test_step_result": "month_of_step"}
+#: Buckets of a new warehouse; a bucket of the largest dimension should be a file or two.
+BUCKETS = 32
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        """``buckets`` is taken for a new warehouse; one that exists keeps its own."""
         self.spark = spark
         self.root = root.rstrip("/")
+        layout = read_or_none(spark, "buckets INT", f"{self.root}/_layout")
+        self.is_new = layout is None
+        self.buckets = buckets if layout is None else layout.first()[0]
 
-    def _log(self) -> DataFrame:
-        log = read_or_none(self.spark, LOG, f"{self.root}/_commits")
-        return self.spark.createDataFrame([], LOG) if log is None else log
+    def division(self, name: str) -> str | None:
+        """Column that names the folder of a row, if the table is divided."""
+        return DATED.get(name) or ("bucket" if name in HASHED else None)
 
-    def current(self) -> tuple[int, dict[str, dict[str, str]]]:
-        """Newest version and, per table, the folder of each partition.
+    def divided(self, name: str, df: DataFrame) -> DataFrame:
+        """Rows in the table's layout, with the bucket they belong to."""
+        rows = S.conform(df, name)
+        return rows.withColumn("bucket", self.bucket(HASHED[name])) if name in HASHED else rows
 
-        The log has a row per published folder, a bounded number however large the tables are.
-        """
-        newest = self._log().groupBy("tbl", "part").agg(F.max_by("path", "version").alias("path"), F.max("version").alias("version"))
-        folders: dict[str, dict[str, str]] = {}
-        version = 0
-        for row in newest.collect():
-            version = max(version, row["version"])
-            if row["path"]:
-                folders.setdefault(row["tbl"], {})[row["part"]] = row["path"]
-        return version, folders
-
-    def begin(self) -> Transaction:
-        return Transaction(self)
+    def bucket(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("int")
+
+    def rows(self, name: str, folder: str | None = None) -> DataFrame:
+        """The table with its division, from its own or another folder."""
+        layout = S.struct(name)
+        if name in HASHED:
+            layout = layout.add("bucket", IntegerType())
+        found = read_or_none(self.spark, layout, folder or f"{self.root}/{name}")
+        return self.spark.createDataFrame([], layout) if found is None else found.select(*layout.fieldNames())
+
+    def table(self, name: str) -> DataFrame:
+        return self.rows(name).select(*S.columns(name))
+
+    def begin(self) -> Update:
+        return Update(self)
 
     def star(self) -> Star:
         """All published tables, as of now."""
-        tx = self.begin()
-        return Star({name: (lambda n=name: tx.table(n)) for name in S.TABLES})
+        return Star({name: (lambda n=name: self.table(n)) for name in S.TABLES})
 
 
-class Transaction:
-    """Reads the state at its start, plus what it has written itself."""
+class Update:
+    """Tables as they are published, with what the update has prepared so far in their place."""
 
     def __init__(self, warehouse: Warehouse):
         self.warehouse = warehouse
         self.spark = warehouse.spark
-        self.version, self._folders = warehouse.current()
-        self._changed: dict[tuple[str, str], str] = {}
+        self.folder = f"{warehouse.root}/_prepared/{uuid.uuid4().hex}"
+        # per table: the folders that are replaced (None: all) and their new rows
+        self._prepared: dict[str, tuple[set | None, DataFrame]] = {}
         self.changed: dict[str, tuple[int, int]] = {}
 
-    def table(self, name: str, parts: Sequence[str] | None = None) -> DataFrame:
-        folders = self._folders.get(name, {})
-        chosen = [path for part, path in folders.items() if parts is None or part in parts]
-        if not chosen:
-            return S.empty(self.spark, name)
-        return self.spark.read.schema(S.struct(name)).parquet(*[f"{self.warehouse.root}/{p}" for p in chosen])
+    def _rows(self, name: str, parts: Iterable | None = None) -> DataFrame:
+        division = self.warehouse.division(name)
+        replaced, new = self._prepared.get(name, (set(), None))
+        chosen = (lambda df: df) if parts is None else (lambda df, of=list(parts): df.where(F.col(division).isin(of)))
+        if replaced is None:
+            return chosen(new)
+        held = self.warehouse.rows(name)
+        if new is None:
+            return chosen(held)
+        return chosen(held.where(~F.col(division).isin(list(replaced)))).unionByName(chosen(new))
+
+    def table(self, name: str, parts: Iterable | None = None) -> DataFrame:
+        """The table, or its rows in some folders."""
+        return self._rows(name, parts).select(*S.columns(name))
 
     def star(self) -> Star:
         return Star({name: (lambda n=name: self.table(n)) for name in S.TABLES})
 
-    def _folder(self, name: str) -> str:
-        return f"data/{name}/{self.version + 1}-{uuid.uuid4().hex[:12]}"
-
-    def _set(self, name: str, part: str, path: str) -> None:
-        self._changed[name, part] = path
-        folders = dict(self._folders.get(name, {}))
-        folders.pop(part, None)
-        if path:
-            folders[part] = path
-        self._folders = {**self._folders, name: folders}
-
-    def put(self, name: str, df: DataFrame) -> None:
-        """Replace a table."""
-        path = self._folder(name)
-        S.conform(df, name).write.mode("overwrite").parquet(f"{self.warehouse.root}/{path}")
-        self._set(name, "", path)
+    def parts_of(self, name: str, rows: DataFrame) -> list[int]:
+        """Folders of a divided table that the rows belong to; no more than the table has."""
+        part = self.warehouse.bucket(HASHED[name]) if name in HASHED else F.col(DATED[name])
+        return sorted(r[0] for r in rows.select(part.alias("_part")).distinct().collect() if r[0] is not None)
+
+    def replaced(self, name: str) -> list[int]:
+        """Folders of a divided table that the update has prepared."""
+        return sorted(self._prepared.get(name, (set(), None))[0])
+
+    def put(self, name: str, df: DataFrame, parts: Iterable | None = None) -> None:
+        """Replace a table, or some folders of a divided one, by ``df``."""
+        division, folder = self.warehouse.division(name), f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        rows = self.warehouse.divided(name, df)
+        if not division:
+            rows.write.parquet(folder)
+            self._prepared[name] = (None, self.warehouse.rows(name, folder))
+            return
+        rows.hint("rebalance", division).write.partitionBy(division).parquet(folder)
+        new = self.warehouse.rows(name, folder)
+        present = {r[0] for r in new.select(division).distinct().collect()}
+        before, earlier = self._prepared.get(name, (set(), None))
+        if parts is None:
+            parts = {r[0] for r in self._rows(name).select(division).distinct().collect()}
+        now = {*parts, *present}
+        if earlier is not None:
+            new = earlier.where(~F.col(division).isin(list(now))).unionByName(new)
+        self._prepared[name] = (before | now, new)
 
     def count_changes(self, name: str, target: DataFrame, updates: DataFrame, keys: Sequence[str], merge: Callable | None = None) -> None:
         """Note how many updates insert and how many update rows of a table; only keys are read."""
@@ -105,45 +152,66 @@ class Transaction:
         before = self.changed.get(name, (0, 0))
         self.changed[name] = (before[0] + row["inserted"], before[1] + updated)
 
-    def merge_parts(
-        self, name: str, updates: DataFrame, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame]
-    ) -> None:
-        """Merge updates into a partitioned table, rewriting only the partitions they touch.
+    def months_of(self, fact: str, ids: DataFrame) -> DataFrame:
+        """``key, month`` of a fact's rows with the given keys (distinct); reads the buckets of those keys alone."""
+        locator = LOCATORS[fact]
+        key = HASHED[locator]
+        return self.table(locator, self.parts_of(locator, ids)).join(ids, key, "left_semi")
+
+    def merge_months(self, name: str, updates: DataFrame, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Merge updates into a fact, rewriting only months they touch.
 
-        Touched are the partitions of the updates and those that hold a row with the same key, which
-        may have moved. Their list is bounded by the number of months or days.
+        Touched are the months of the updates and those that hold a row with the same key, which may have moved; the
+        locator tells them, so no other month is read.
         """
-        column = PARTITIONED[name]
-        held = self.table(name).select(column, *[k for k in keys if k != column]).join(
-            updates.select(*keys).distinct(), list(keys), "left_semi"
-        )
-        names = held.select(column).union(updates.select(column)).distinct()
-        touched = [str(r[0]) for r in names.where(F.col(column).isNotNull()).collect()]
-        if not touched:
+        locator = LOCATORS[name]
+        key = HASHED[locator]
+        ids = updates.select(key).where(F.col(key).isNotNull()).distinct()
+        months = {r[0] for r in self.months_of(name, ids).select("month").union(updates.select("month")).distinct().collect()} - {None}
+        if not months:
             return
-        self.count_changes(name, self.table(name, touched), updates, keys)
-        self._write_parts(name, merge(self.table(name, touched), updates), touched)
-
-    def replace_parts(self, name: str, df: DataFrame) -> None:
-        """Replace all partitions of a partitioned table."""
-        self._write_parts(name, df, list(self._folders.get(name, {})))
-
-    def _write_parts(self, name: str, df: DataFrame, replaced: Sequence[str]) -> None:
-        column, path = PARTITIONED[name], self._folder(name)
-        dated = S.conform(df, name).withColumn("_part", F.col(column).cast("string"))
-        dated.write.mode("overwrite").partitionBy("_part").parquet(f"{self.warehouse.root}/{path}")
-        layout = S.struct(name).add("_part", "string")
-        written = self.spark.read.schema(layout).parquet(f"{self.warehouse.root}/{path}").select("_part").distinct()
-        present = {r[0] for r in written.collect()}
-        for part in {*replaced, *present}:
-            self._set(name, part, f"{path}/_part={part}" if part in present else "")
-
-    def commit(self) -> int:
-        """Publish everything written so far in one step."""
-        rows = [(self.version + 1, name, part, path) for (name, part), path in self._changed.items()]
-        if rows:
-            log = self.spark.createDataFrame(rows, LOG).coalesce(1)
-            log.write.mode("append").parquet(f"{self.warehouse.root}/_commits")
-            self.version += 1
-            self._changed = {}
-        return self.version
+        target = self.table(name, months)
+        self.count_changes(name, target, updates, keys)
+        self.put(name, merge(target, updates), months)
+        self._locate(name, ids, months)
+
+    def _locate(self, name: str, ids: DataFrame, months: Iterable[int]) -> None:
+        """Note anew in which of the months the rows of some keys are; they are in no others."""
+        locator = LOCATORS[name]
+        key = HASHED[locator]
+        buckets = self.parts_of(locator, ids)
+        now = self.table(name, months).join(ids, key, "left_semi").select(key, "month").distinct()
+        others = self.table(locator, buckets).join(ids, key, "left_anti")
+        self.put(locator, others.unionByName(now), buckets)
+
+    def remove_rows(self, name: str, gone: DataFrame, key: str) -> None:
+        """Take the rows with some keys (distinct) out of a fact; only months that hold such rows are rewritten."""
+        rows = self.table(name)
+        months = [r[0] for r in rows.select(key, "month").join(gone, key, "left_semi").select("month").distinct().collect()]
+        if months:
+            of_locator = HASHED[LOCATORS[name]]
+            ids = self.table(name, months).join(gone, key, "left_semi").select(of_locator).distinct()
+            self.put(name, self.table(name, months).join(gone, key, "left_anti"), months)
+            # the published rows name the keys, whichever of them are left
+            self._locate_again(name, ids)
+
+    def _locate_again(self, name: str, ids: DataFrame) -> None:
+        months = [r[0] for r in self.months_of(name, ids).select("month").distinct().collect()]
+        self._locate(name, ids, months)
+
+    def publish(self) -> None:
+        """Write everything prepared over the published tables."""
+        if self.warehouse.is_new and self._prepared:
+            self.spark.range(1).select(F.lit(self.warehouse.buckets).alias("buckets")).coalesce(1).write.mode("ignore").parquet(f"{self.warehouse.root}/_layout")
+            self.warehouse.is_new = False
+        for name, (replaced, rows) in self._prepared.items():
+            division, path = self.warehouse.division(name), f"{self.warehouse.root}/{name}"
+            if not division:
+                rows.write.mode("overwrite").parquet(path)
+                continue
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(division).parquet(path)
+            present = {r[0] for r in rows.select(division).distinct().collect()}
+            for part in replaced - present:  # no row is left in it
+                remove(self.spark, f"{path}/{division}={part}")
+        self._prepared = {}
+        remove(self.spark, self.folder)

@@ -1,7 +1,8 @@
 """Delta loads as a Structured Streaming query over the staging area.
 
 The stream's checkpoint takes the place of the stored watermark: each staged file is applied once.
-State lives in the published tables, and applying a batch again gives the same tables.
+State lives in the published tables, and applying a batch again gives the same tables. With ``Control`` a batch that was
+published before the stream could note it is recognised, and what is void by a purge is left out.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from qualitymart.functions.fieldmap import FieldMap
 from qualitymart.plans import loads
 from qualitymart.session import configure
 from qualitymart.sources import staging
+from qualitymart.sources.control import Control
 from qualitymart.sources.warehouse import Warehouse
 
 
@@ -26,8 +28,9 @@ def start(
     as_of: date,
     fields_map: FieldMap | None = None,
     files_per_batch: int | None = None,
+    control: Control | None = None,
 ) -> StreamingQuery:
-    """Apply all staged files not applied yet, then stop."""
+    """Apply all staged files not applied yet, then stop. The stream is known to ``control`` by its checkpoint."""
     configure(spark)
     reader = spark.readStream.schema(staging.LAYOUT)
     if files_per_batch:
@@ -35,8 +38,14 @@ def start(
     stream = reader.parquet(staging_root)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        records = staging.latest_per_load(batch.drop("load_date"))
-        loads.transform(records, Warehouse(batch.sparkSession, warehouse_root), as_of, fields_map)
+        if control is not None and control.has_batch(checkpoint, batch_id):
+            return
+        records = batch.drop("load_date")
+        if control is not None:
+            records = staging.without_purged(records, control.purges())
+        loads.transform(staging.latest_per_load(records), Warehouse(batch.sparkSession, warehouse_root), as_of, fields_map)
+        if control is not None:
+            control.add_batch(checkpoint, batch_id)
 
     return (
         stream.writeStream.foreachBatch(apply)

@@ -8,11 +8,11 @@ import sample
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
-from qualitymart.operators import security
+from qualitymart.operators import security, snapshot, upsert
 from qualitymart.plans import loads, marts
 from qualitymart.sources import staging
 from qualitymart.sources.control import Control
-from qualitymart.sources.warehouse import Warehouse
+from qualitymart.sources.warehouse import Update, Warehouse
 from qualitymart.streaming import delta
 
 AS_OF = date(2024, 3, 2)
@@ -50,6 +50,12 @@ def meaning(t):
     return got
 
 
+def files(warehouse):
+    """What is published, file by file."""
+    t = warehouse.star()
+    return {name: sorted(t[name].inputFiles()) for name in t}
+
+
 def records(spark, *parts):
     return spark.createDataFrame([r for part in parts for r in part], S.STAGING)
 
@@ -63,7 +69,7 @@ def replayed(spark, tmp_path_factory):
     results = []
     for n, batch in enumerate(sample.batches()):
         since = sample.DAY.replace(hour=n) - (sample.DAY - sample.DAY.replace(day=1)) if n == 0 else sample.DAY.replace(hour=n - 1)
-        cfg = loads.LoadConfig(root, f"run-{n + 1}", as_of=AS_OF, since=since)
+        cfg = loads.LoadConfig(root, f"run-{n + 1}", as_of=AS_OF, since=since, advance_watermark=True)
         results.append(loads.run(spark, cfg, lambda wm, b=batch: records(spark, b)))
     return root, warehouse, results
 
@@ -147,9 +153,9 @@ def test_full_stream_equals_replayed_deltas(spark, replayed, tmp_path):
     query = delta.start(spark, f"{root}/staging", other.root, str(tmp_path / "checkpoint"), AS_OF)
     query.awaitTermination()
     assert meaning(other.star()) == meaning(warehouse.star())
-    version = other.current()[0]
+    published = files(other)
     delta.start(spark, f"{root}/staging", other.root, str(tmp_path / "checkpoint"), AS_OF).awaitTermination()
-    assert other.current()[0] == version
+    assert files(other) == published
 
 
 def test_control_state(spark, replayed):
@@ -164,7 +170,7 @@ def test_control_state(spark, replayed):
 def test_dry_run_and_failure_publish_nothing(spark, replayed):
     root, warehouse, _ = replayed
     control = Control(spark, f"{root}/control")
-    before = (warehouse.current()[0], control.get_watermark(loads.JOB))
+    before = (files(warehouse), control.get_watermark(loads.JOB))
     extra = [sample.record("jira_issue", "SHOP-24", sample.issue("SHOP-24"), 5, "run-4")]
     dry = loads.run(spark, loads.LoadConfig(root, "run-4", as_of=AS_OF, dry_run=True), lambda wm: records(spark, extra))
     assert dry.status == "success" and dry.records_extracted == 1 and dry.rows_processed == 0
@@ -177,7 +183,7 @@ def test_dry_run_and_failure_publish_nothing(spark, replayed):
 
     failed = loads.run(spark, loads.LoadConfig(root, "run-5", as_of=AS_OF), broken)
     assert failed.status == "failed" and failed.error_message == "no pages"
-    assert (warehouse.current()[0], control.get_watermark(loads.JOB)) == before
+    assert (files(warehouse), control.get_watermark(loads.JOB)) == before
     assert staging.scan(spark, f"{root}/staging", "jira_issue").where("source_key = 'SHOP-24'").count() == 1
     assert {r["status"] for r in control.run_log().collect()} == {"success", "failed"}
 
@@ -186,13 +192,106 @@ def test_window_and_projects_bound_what_is_staged(spark, tmp_path):
     root = str(tmp_path)
     rows = [r for batch in sample.batches() for r in batch]
     until = datetime(2024, 3, 1, 7, 0, tzinfo=timezone.utc)
-    cfg = loads.LoadConfig(root, "run-1", as_of=AS_OF, until=until, dry_run=True)
-    assert loads.run(spark, cfg, lambda wm: records(spark, rows)).records_extracted == 1  # the run that started at 02:45 UTC
+    cfg = loads.LoadConfig(root, "run-1", as_of=AS_OF, until=until)
+    assert loads.run(spark, cfg, lambda wm: records(spark, rows)).status == "success"
+    # the run that started at 02:45 UTC, with what it refers to, whenever that was landed
+    staged = {(r["entity_type"], r["source_key"]) for r in staging.scan(spark, f"{root}/staging").collect()}
+    assert ("xray_test_run", "5108") in staged and ("xray_test", "SHOP-710") in staged
+    assert {e for e, _ in staged} <= {"xray_test_run", "xray_test", "xray_test_execution", "xray_test_plan", "jira_version", "xray_test_step_result"}
+    facts = Warehouse(spark, f"{root}/warehouse").star()["fact_test_run"].collect()
+    assert facts and all(r["test_sk"] is not None and r["execution_sk"] is not None for r in facts)
+    assert Control(spark, f"{root}/control").get_watermark(loads.JOB) is None
     other = [sample.record("xray_test_run", "7", {**sample.run("7"), "_execution_key": "ELSE-1"}), sample.record("jira_version", "9", {**sample.version(), "_project_key": "ELSE"})]
     kept = loads.LoadConfig(root, "run-2", as_of=AS_OF, projects=("ELSE",), dry_run=True)
     assert loads.run(spark, kept, lambda wm: records(spark, rows, other)).records_extracted == 2
 
 
+def test_watermarks_of_projects(spark, tmp_path):
+    control = Control(spark, str(tmp_path))
+    day = lambda n: datetime(2024, 3, n, tzinfo=timezone.utc)
+    control.set_watermark("job", day(9), projects=("A",))
+    assert control.get_watermark("job") is None and control.get_watermark("job", ("A",)) == day(9)
+    assert control.get_watermark("job", ("A", "B")) is None
+    control.set_watermark("job", day(5))
+    assert control.get_watermark("job") == day(5)
+    assert control.get_watermark("job", ("A",)) == day(9) and control.get_watermark("job", ("A", "B")) == day(5)
+    control.set_watermark("job", day(12))
+    assert control.get_watermark("job", ("A",)) == day(12)
+
+
+def test_bounds_by_hand_leave_the_watermark(spark, tmp_path):
+    since = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    assert not loads.LoadConfig("x", "r", since=since).moves_watermark and not loads.LoadConfig("x", "r", until=since).moves_watermark
+    assert loads.LoadConfig("x", "r").moves_watermark and loads.LoadConfig("x", "r", since=since, advance_watermark=True).moves_watermark
+
+
+RUNS = "test_run_id STRING, release_sk BIGINT, test_sk BIGINT, run_status STRING, is_automated BOOLEAN, duration_s DOUBLE, date_sk INT, month INT"
+
+
+def merge_runs(spark, warehouse, rows):
+    tx = warehouse.begin()
+    updates = S.conform(spark.createDataFrame(rows, RUNS), "fact_test_run")
+    pair = ["test_run_id", "release_sk"]
+    tx.merge_months("fact_test_run", updates, pair, lambda t, u: upsert.replace_rows(t, u, pair))
+    changed = {r[0] for r in loads.refresh_states(tx).collect()}
+    months = tx.replaced("fact_test_run")
+    tx.publish()
+    return months, changed
+
+
+def test_months_are_found_by_key(spark, tmp_path, monkeypatch):
+    """A run that moves to another month is replaced once, and only months that hold the update's keys are read."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=4)
+    run = lambda key, test, month, status="PASS": (key, 1, test, status, False, 60.0, month * 100 + 1, month)
+    months, changed = merge_runs(spark, warehouse, [run(f"r{k}", k, 202401 + k % 6) for k in range(60)])
+    assert months == [202401, 202402, 202403, 202404, 202405, 202406] and changed == set(range(60))
+    before = files(warehouse)["fact_test_run"]
+
+    read = []
+    rows_of = Update._rows
+    monkeypatch.setattr(Update, "_rows", lambda self, name, parts=None: read.append((name, parts)) or rows_of(self, name, parts))
+    months, changed = merge_runs(spark, warehouse, [run("r3", 3, 202402, "FAIL"), run("r9", 99, 202404)])
+    assert months == [202402, 202404] and changed == {3, 9, 99}
+    of_facts = {name: parts for name, parts in read if name in ("fact_test_run", "state_test_runs", "state_open_links")}
+    assert of_facts and all(set(parts or ()) <= {202402, 202404} for parts in of_facts.values())
+    monkeypatch.undo()
+
+    after = files(warehouse)["fact_test_run"]
+    assert {f for f in before if "202402" not in f and "202404" not in f} == {f for f in after if "202402" not in f and "202404" not in f}
+    t = warehouse.star()["fact_test_run"]
+    assert t.count() == 60 and [(r.month, r.run_status) for r in t.where("test_run_id = 'r3'").collect()] == [(202402, "FAIL")]
+    one = warehouse.begin().table("fact_test_run", [202402])
+    assert "PartitionFilters: [month" in one._jdf.queryExecution().executedPlan().toString().replace("isnotnull(month", "month")
+    assert {"month=202402"} == {r[0].split("/")[-2] for r in one.select(F.input_file_name()).distinct().collect()}
+
+    # the only run of a month moves away: the month has no folder any more, the state neither
+    merge_runs(spark, warehouse, [("solo", 1, 1000, "PASS", False, 1.0, 202512, 202512)])
+    merge_runs(spark, warehouse, [("solo", 1, 1000, "PASS", False, 1.0, 202401, 202401)])
+    t = warehouse.star()
+    assert not any("202512" in f for f in t["fact_test_run"].inputFiles()) and t["fact_test_run"].count() == 61
+    state = warehouse.table("state_test_runs")
+    full = snapshot.month_state(t["fact_test_run"]).select(*state.columns)
+    assert not state.exceptAll(full).count() and not full.exceptAll(state).count()
+
+
+def test_only_touched_buckets_of_a_dimension_are_written(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=16)
+    defects = lambda keys: spark.createDataFrame([(k, "x") for k in keys], "defect_key STRING, status STRING")
+    tx = warehouse.begin()
+    loads._dimension(tx, "dim_defect", defects([f"D-{k}" for k in range(200)]), "defect_key", upsert.overwrite)
+    tx.publish()
+    before = files(warehouse)["dim_defect"]
+    again = Warehouse(spark, str(tmp_path / "w"))
+    assert again.buckets == 16
+    tx = again.begin()
+    loads._dimension(tx, "dim_defect", defects(["D-3", "D-500", "D-501"]), "defect_key", upsert.overwrite)
+    assert len(tx.replaced("dim_defect")) <= 3
+    tx.publish()
+    rows = again.star()["dim_defect"]
+    assert len(set(before) - set(files(again)["dim_defect"])) <= 3
+    assert rows.count() == 202 and sorted(r[0] for r in rows.select("defect_sk").collect()) == list(range(1, 203))
+
+
 def test_broken_folders_are_not_taken_for_empty(spark, tmp_path):
     (tmp_path / "control" / "pipeline_watermarks").mkdir(parents=True)
     (tmp_path / "control" / "pipeline_watermarks" / "part-0.parquet").write_text("not parquet")
