@@ -4,7 +4,9 @@ A window is as many words of a document as an item has. Windows that could reach
 n-gram of some item and hold enough n-grams of items; this is counted from where the items' n-grams occur, so
 nothing is lost by it and few windows remain. Their SimHash fingerprints are cut into ``RADIUS + 1`` blocks:
 two fingerprints that differ in at most ``RADIUS`` bits agree in a whole block, so a join on blocks finds every
-item within the radius. What it finds is verified by the weighted similarity of the n-grams themselves, each
+item within the radius. Blocks that narrow don't tell items apart, so the join is also on the n-gram that a window starts
+with: the most similar window can be taken to start at one of the item's own n-grams, as one that doesn't only gains by
+moving on. What it finds is verified by the weighted similarity of the n-grams themselves, each
 weighing as often as it occurs.
 
 DataFrame functions only.
@@ -92,6 +94,12 @@ def sent(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if rows <= SENT and size <= SENT_BYTES else small
 
 
+def candidates(item_grams: DataFrame, radius: int) -> DataFrame:
+    """The items' fingerprints by n-gram, block and value: what a window is looked up in."""
+    rows = item_grams.select("item_id", F.col("_n").alias("_in"), F.col("_k").alias("_ik"), "_item_print", F.explode(F.array_distinct("_grams")).alias("_ig"))
+    return rows.select("*", F.posexplode(block_values("_item_print", radius)).alias("_ib", "_iv"))
+
+
 def find_items(docs: DataFrame, items: DataFrame, words: int = 5, least: float = 0.8, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """``doc_id, item_id, similarity, start, n_words, _key``: items in documents, one row for each pair of a
     document and an item, with the most similar window; ``start`` counts words, ``_key`` is the text's hash.
@@ -145,9 +153,10 @@ def find_items(docs: DataFrame, items: DataFrame, words: int = 5, least: float =
     cut = cut.withColumn("_print", simhash("_window"))
 
     # items that agree in a block, are within the radius and are similar
-    left = cut.select("*", F.posexplode_outer(block_values("_print", radius)).alias("_block", "_value"))
-    right = item_grams.select("item_id", F.col("_n").alias("_in"), F.col("_k").alias("_ik"), "_item_print", F.posexplode(block_values("_item_print", radius)).alias("_ib", "_iv"))
-    near = left.join(sent(right), (F.col("_block") == F.col("_ib")) & (F.col("_value") == F.col("_iv")) & (F.col("_n") == F.col("_in")) & (F.col("_k") == F.col("_ik")))
+    left = cut.select("*", F.get("_window", F.lit(0)).alias("_first"), F.posexplode_outer(block_values("_print", radius)).alias("_block", "_value"))
+    right = candidates(item_grams, radius)
+    same_block = (F.col("_block") == F.col("_ib")) & (F.col("_value") == F.col("_iv")) & (F.col("_first") == F.col("_ig"))
+    near = left.join(sent(right), same_block & (F.col("_n") == F.col("_in")) & (F.col("_k") == F.col("_ik")))
     near = near.withColumn("_apart", F.expr("_print ^ _item_print")).where((F.bit_count("_apart") <= radius) & (first_equal_block("_apart", radius) == F.col("_block")))
     # the items' n-grams, which are long, only now; items that repeat an id and agree in all of these are each other's finds
     whole = sent(item_grams.withColumnsRenamed({"item_id": "_item", "_n": "_wn", "_k": "_wk", "_item_print": "_whole_print"}))

@@ -179,7 +179,9 @@ def learn(texts: DataFrame, text_column: str, trained: int = TRAINED) -> tuple[n
             kinds = [pa.list_(pa.int32()), pa.list_(pa.float32()), pa.string()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["buckets", "vals", "votes"])
 
-    table = sample.mapInArrow(featured, "buckets array<int>, vals array<float>, votes string").toArrow()
+    # texts with the same features are one example, however often they occur, so the number is a bound
+    examples = sample.mapInArrow(featured, "buckets array<int>, vals array<float>, votes string").distinct()
+    table = examples.orderBy(F.xxhash64("buckets", "vals"), "votes").limit(trained).toArrow()
     examples = [(np.asarray(b.values), np.asarray(v.values), posterior.get(p.as_py(), 0.5)) for b, v, p in zip(table["buckets"], table["vals"], table["votes"], strict=True)]
     return fit_scorer(sorted(examples, key=lambda e: (e[2], e[0].tobytes(), e[1].tobytes())))
 

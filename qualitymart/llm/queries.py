@@ -67,7 +67,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=5, least=0.8)
-    return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.min_by("start", F.struct(-F.col("similarity"), "start")).alias("start"), F.first("n_words").alias("n_words"))
+    best = F.max_by(F.struct("similarity", "start", "n_words"), F.struct("similarity", -F.col("start"), "n_words")).alias("_best")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "_best.*")
 
 
 @query

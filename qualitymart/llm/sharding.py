@@ -29,7 +29,7 @@ def size_class(size: Column) -> Column:
 
 
 def place(classes: list[tuple[int, int, float]], capacity: float, shards: int | None) -> tuple[list[tuple[int, int, int]], int] | None:
-    """Runs ``(class, first number, shard)`` and the shards used, for classes ``(class, groups, mean size)``
+    """Runs ``(class, first number, shard)`` and the shards used, for classes ``(class, groups, size)``
     with larger sizes first. None if they don't fit into ``shards`` shards; those that are open are kept
     in order of the space left, as a balanced tree would, and found by bisection."""
     open_: list[tuple[float, int]] = []
@@ -104,8 +104,9 @@ def shard(docs: DataFrame, shards: int | None = 24, capacity: int | None = None,
     )
     rows = stored(rows, "sizes")
     groups = rows.groupBy("_key").agg(F.sum("_size").alias("_bytes")).withColumn("_class", size_class(F.col("_bytes")))
-    counted = groups.groupBy("_class").agg(F.count(F.lit(1)), F.avg("_bytes")).collect()
-    classes = [(r[0], r[1], float(r[2])) for r in counted]
+    # in shards of a fixed capacity every group of a class is taken to be as large as the largest
+    size = F.avg("_bytes") if capacity is None else F.max("_bytes")
+    classes = [(r[0], r[1], float(r[2])) for r in groups.groupBy("_class").agg(F.count(F.lit(1)), size).collect()]
     if capacity is not None:
         planned = place(sorted(classes, key=lambda c: -c[2]), capacity, None)[0]
     else:

@@ -13,8 +13,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: At most about this many labelled urls train the trees, taken by a hash of the url.
+from qualitymart.llm.common import stored
+
+#: At most this many distinct labelled urls train the trees, taken by a hash of the url.
 TRAINED = 200_000
+#: Statistics of at most this many last labels are sent to all tasks (32 MB).
+SENT = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -72,8 +76,12 @@ FEATURES = {
 
 
 def with_features(urls: DataFrame, suffixes: DataFrame, prior: float) -> DataFrame:
-    """Lexical features of ``_url``, with the smoothed statistics of the host's last label."""
+    """Lexical features of ``_url``, with the smoothed statistics of the host's last label.
+
+    A few last labels hold nearly all urls, so their statistics go to the urls, unless they are too many for that.
+    """
     rates = suffixes.select("_suffix", F.log1p("_n").alias("f_suffix_urls"), ((F.col("_bad") + 10 * prior) / (F.col("_n") + 10)).alias("f_suffix_blocked"))
+    rates = F.broadcast(rates) if rates.limit(SENT + 1).count() <= SENT else rates
     rows = urls.withColumns({k: F.expr(v).cast("double") for k, v in FEATURES.items()}).join(rates, "_suffix", "left")
     rows = rows.fillna({"f_suffix_urls": 0.0, "f_suffix_blocked": prior})
     return VectorAssembler(inputCols=[*FEATURES, "f_suffix_urls", "f_suffix_blocked"], outputCol="_features").transform(rows)
@@ -91,17 +99,17 @@ def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame, id_column: s
 
     The longest fitting rule decides; otherwise the trees do, with ``block_score`` their probability of
     block. ``labelled`` has ``url, block`` (boolean); rows with a null label don't count. Statistics of the
-    host's last label cover all labelled urls, the trees see about ``trained`` of them at most. If all
+    host's last label cover all labelled urls, the trees see ``trained`` distinct ones of them at most. If all
     labels are the same, the verdict is that label; without any label it is allow, with score 0. A null url
     has empty host and path and is judged like an empty one. Repeated rows are returned as often as they
-    occur; other columns aren't read.
+    occur; other columns aren't read. An empty table gives no rows.
     """
     urls = parsed(pages.select(F.col(id_column).alias("_id"), F.coalesce(url_column, F.lit("")).alias("_url")))
     urls = urls.withColumn("_rule", fitting_rule(rules, F.col("_host"), F.col("_path")))
     known = labelled.where(F.col("block").isNotNull()).select(F.coalesce("url", F.lit("")).alias("_url"), F.col("block").cast("double").alias("_block"))
     known = parsed(known)
 
-    suffixes = known.groupBy("_suffix").agg(F.count("_block").alias("_n"), F.sum("_block").alias("_bad"))
+    suffixes = stored(known.groupBy("_suffix").agg(F.count("_block").alias("_n"), F.sum("_block").alias("_bad")), "suffixes")
     seen = suffixes.agg(F.sum("_n"), F.sum("_bad")).first()
     count, blocked = int(seen[0] or 0), float(seen[1] or 0)
     result = [F.col("_id").alias("page_id"), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule.rule").alias("rule")]
@@ -109,9 +117,13 @@ def judge(pages: DataFrame, rules: list[Rule], labelled: DataFrame, id_column: s
         verdict = F.coalesce("_rule.verdict", F.lit("block" if blocked else "allow"))
         return urls.select(*result, verdict.alias("verdict"), F.lit(1.0 if blocked else 0.0).alias("block_score"))
 
-    share = min(1.0, trained / count)
-    training = known.where(F.pmod(F.xxhash64("_url"), F.lit(1_000_000)) < int(share * 1_000_000))
-    boosting = GBTClassifier(featuresCol="_features", labelCol="_block", predictionCol="_predicted", maxIter=trees, maxDepth=4, maxBins=64, minInstancesPerNode=10, stepSize=0.1, seed=7)
+    # every distinct url and label once, with its rows as the weight; of each label at most half of those the trees see
+    distinct = stored(known.groupBy("_url", "_block").agg(F.count(F.lit(1)).cast("double").alias("_weight")), "labelled-urls")
+    training = parsed(distinct)
+    if distinct.count() > trained:
+        half = [distinct.where(F.col("_block") == label).orderBy(F.xxhash64("_url"), "_url").limit(max(1, trained // 2)) for label in (0.0, 1.0)]
+        training = parsed(half[0].unionByName(half[1]))
+    boosting = GBTClassifier(featuresCol="_features", labelCol="_block", weightCol="_weight", predictionCol="_predicted", maxIter=trees, maxDepth=4, maxBins=64, minInstancesPerNode=10, stepSize=0.1, seed=7)
     model = boosting.setProbabilityCol("_probability").setRawPredictionCol("_raw").fit(with_features(training, suffixes, blocked / count))
     judged = model.transform(with_features(urls, suffixes, blocked / count)).withColumn("_score", vector_to_array("_probability")[1])
     verdict = F.coalesce("_rule.verdict", F.when(F.col("_score") > 0.5, "block").otherwise("allow"))

@@ -260,6 +260,14 @@ def test_long_items_are_not_sent_by_their_rows(spark, monkeypatch):
     assert decontaminate.sent(long) is long
 
 
+def test_windows_meet_few_items(spark):
+    """Items of one length: a window meets those that share its first n-gram, not all of its length."""
+    items = spark.createDataFrame([(k, prose(3000 + k, 24)) for k in range(400)], "item_id long, text string")
+    grams = items.select("item_id", decontaminate.words_of("text").alias("_w")).select("item_id", F.size("_w").alias("_n"), F.lit(5).alias("_k"), decontaminate.ngrams("_w", 5).alias("_grams"))
+    index = decontaminate.candidates(grams.withColumn("_item_print", decontaminate.simhash("_grams")), decontaminate.RADIUS)
+    assert index.groupBy("_ig", "_ib", "_iv", "_in", "_ik").count().agg(F.max("count")).first()[0] <= 4
+
+
 def test_fingerprints_and_blocks(spark):
     rnd = random.Random(2)
     values = [[rnd.getrandbits(64) - 2**63 for _ in range(n)] for n in (1, 2, 7, 40)]

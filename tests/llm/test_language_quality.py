@@ -137,3 +137,15 @@ def test_query_agrees_with_labels(spark):
     counts = {(r.quality, r.keep): r["count"] for r in rows.groupBy("quality", "keep").count().collect()}
     assert counts[1, True] / (counts[1, True] + counts.get((1, False), 0)) > 0.99
     assert counts[0, False] / (counts[0, False] + counts.get((0, True), 0)) > 0.9
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    """Copies of one text are one example, and no more examples than asked for reach the driver."""
+    rows = [(k, prose(1, 80)) for k in range(300)] + [(1000 + k, prose(k, 30 + k)) for k in range(40)]
+    seen = []
+    fit = quality.fit_scorer
+    monkeypatch.setattr(quality, "fit_scorer", lambda examples, **how: seen.append(len(examples)) or fit(examples, **how))
+    quality.learn(frame(spark, rows), "text")
+    quality.learn(frame(spark, rows), "text", trained=15)
+    assert 30 <= seen[0] <= 41 and seen[1] <= 15
+

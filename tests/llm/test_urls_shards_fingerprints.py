@@ -1,6 +1,7 @@
 """URL verdicts, shards and fingerprints against plain Python."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -56,6 +57,42 @@ def test_trees_learn_labels(spark):
     assert all(v == ("block" if k < 60 else "allow") for k, v in verdicts.items())
 
 
+def test_few_distinct_labelled_urls(spark):
+    """Many rows of two urls, of which each label keeps one however few may train."""
+    labelled = spark.createDataFrame([("https://bad.biz/?a=1&b=2", True)] * 70 + [("https://good.org/a", False)] * 30, "url string, block boolean")
+    pages = spark.createDataFrame([(1, "https://bad.biz/?a=1&b=2"), (2, "https://good.org/a")], "page_id long, url string")
+    for trained in (1, 3, 200):
+        assert len(url_filter.judge(pages, [], labelled, trees=3, trained=trained).collect()) == 2
+
+
+def test_features_against_plain_python(spark):
+    """Entropy, lengths, depth, digits and parameters of every odd url."""
+    rows = spark.createDataFrame([(u,) for u in URLS if u is not None], "_url string")
+    plan = url_filter.parsed(rows)
+    for r in plan.select("_url", "_host", "_path", *(F.expr(v).cast("double").alias(k) for k, v in url_filter.FEATURES.items())).collect():
+        url, (host, path) = r["_url"], host_path(r["_url"])
+        counts = Counter(url)
+        expected = {
+            "f_length": len(url), "f_host_length": len(host), "f_labels": host.count(".") + 1, "f_depth": path.count("/"),
+            "f_last_segment": len(path.rsplit("/", 1)[-1]), "f_digits": sum(c in "0123456789" for c in url) / max(1, len(url)),
+            "f_path_digits": sum(c in "0123456789" for c in path), "f_parameters": url.count("&") + url.count("?"),
+            "f_marks": sum(not (c.isascii() and c.isalnum()) for c in url) / max(1, len(url)), "f_fragment": float("#" in url),
+            "f_secure": float(url.startswith("https:")), "f_capitals": sum("A" <= c <= "Z" for c in url),
+            "f_entropy": -sum(n / len(url) * math.log2(n / len(url)) for n in counts.values()) if url else 0.0,
+        }
+        for name, value in expected.items():
+            if "\n" not in url or name != "f_last_segment":
+                assert r[name] == pytest.approx(value, abs=1e-9), (name, url)
+
+
+def test_statistics_of_labels_are_not_shuffled_to(spark):
+    """A few last labels hold nearly all urls: the pages stay where they are."""
+    suffixes = spark.createDataFrame([("com", 5, 1.0)], "_suffix string, _n long, _bad double")
+    urls = url_filter.parsed(spark.range(10).selectExpr("concat('https://a.com/', id) as _url"))
+    plan = url_filter.with_features(urls, suffixes, 0.1)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 @pytest.mark.parametrize(("labels", "verdict"), [([], "allow"), ([("http://a.org/", True)], "block"), ([("http://a.org/", False)], "allow")])
 def test_one_kind_of_label(spark, labels, verdict):
     labelled = spark.createDataFrame(labels, "url string, block boolean")
@@ -102,6 +139,13 @@ def test_fixed_capacity(spark):
     assert len(sizes) <= sum(v for v in sizes.values() if v <= 2000) / 2000 * 1.15 + 2
 
 
+def test_fixed_capacity_holds_for_mixed_sizes(spark):
+    """Texts of two sizes in one class of sizes: no shard is larger than its capacity."""
+    rows = [(k, chr(97 + k % 26) + f"{k:05d}" + "x" * (9_990 + 4 * (k % 2))) for k in range(400)]
+    found = sharding.shard(frame(spark, rows), shards=None, capacity=1_000_000).groupBy("shard").agg(F.sum("size").alias("n")).collect()
+    assert max(r.n for r in found) <= 1_000_000 and len(found) <= 5
+
+
 def test_shards_of_nothing(none):
     assert sharding.shard(none, 24).collect() == []
 
