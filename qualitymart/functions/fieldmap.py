@@ -86,6 +86,24 @@ def coerce(v: Column, field_type: str) -> Column:
     return COERCIONS.get(field_type, X.text)(v)
 
 
+#: Member that a type looks for in an object.
+MEMBERS = {"select_value": "value", "issue_key": "key"}
+
+
+def coerce_checked(v: Column, field_type: str) -> Column:
+    """``value, reason``: a mapped value as text, and why it may not be what was meant, or NULL.
+
+    ``missing_member``: an object without the member its type looks for, which gives NULL; ``unknown_field_type``:
+    a type that is not known, which gives the plain text.
+    """
+    reason = F.lit(None).cast("string")
+    if field_type not in COERCIONS:
+        reason = F.when(X.text(v).isNotNull(), "unknown_field_type")
+    elif field_type in MEMBERS:
+        reason = F.when(X.is_object(v) & X.text(v, f"$.{MEMBERS[field_type]}").isNull(), "missing_member")
+    return F.struct(coerce(v, field_type).alias("value"), reason.alias("reason"))
+
+
 class FieldMap:
     """The configured mappings; at most a few hundred rows, held on the driver."""
 
@@ -116,6 +134,16 @@ class FieldMap:
     def columns(self, entity_type: str, payload: Column) -> list[Column]:
         return [c.alias(name) for name, c in self.fields(entity_type, payload).items()]
 
+    def coercions(self, entity_type: str, parsed: DataFrame, payload: str = "v") -> DataFrame:
+        """``source_key, logical_name, value, reason`` of every mapped field that a record sets, in one pass over the
+        payloads; those with a reason are rejects, the others the values (C12, D16)."""
+        mapped = self.mappings_for(entity_type)
+        if not mapped:
+            return parsed.sparkSession.createDataFrame([], "source_key STRING, logical_name STRING, value STRING, reason STRING")
+        entry = lambda m: F.struct(F.lit(m.logical_name).alias("logical_name"), coerce_checked(X.node(F.col(payload), f"$.{m.source_field_id}"), m.field_type).alias("c"))
+        rows = parsed.select("source_key", F.explode(F.array(*map(entry, mapped))).alias("e")).select("source_key", "e.logical_name", "e.c.*")
+        return rows.where("value IS NOT NULL OR reason IS NOT NULL")
+
     def unknown_types(self, spark: SparkSession) -> DataFrame:
         """Mappings whose field type is not known; their values pass through as text."""
         bad = [m for m in self.mappings if m.field_type not in COERCIONS]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -64,3 +64,18 @@ def lookup(df: DataFrame, dimension: DataFrame, on: str, key: str, *columns: str
     """
     found = dimension.select(F.col(key).alias("_key"), *columns)
     return df.join(found, F.col(on) == F.col("_key"), "left").drop("_key")
+
+
+def respelled(rows: DataFrame, column: str, order: str | Column, dimension: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    """Natural keys that differ only in case take one spelling: the dimension's, if it has the key, else the first by ``order``.
+
+    After this, keys that are equal but for case are equal, so merging, numbering, grouping and lookups need no further
+    care. One spelling per key is found by an aggregate, which is combined before the shuffle.
+    """
+    folded = lambda c: F.collate(c, "UTF8_LCASE")
+    first = rows.where(F.col(column).isNotNull()).groupBy(folded(F.col(column)).alias("_folded")).agg(F.min_by(column, order).alias("_spelled"))
+    if dimension is not None:
+        known = dimension.select(F.col(key or column).alias("_known")).where(F.col("_known").isNotNull())
+        first = first.join(known, F.col("_folded") == folded(F.col("_known")), "left").withColumn("_spelled", F.coalesce("_known", "_spelled")).drop("_known")
+    found = rows.join(first, folded(rows[column]) == F.col("_folded"), "left")
+    return found.withColumn(column, F.coalesce("_spelled", column)).select(*rows.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
@@ -215,6 +215,32 @@ def type_changes(history: DataFrame, runs: DataFrame, order: str = "ord") -> Dat
     return changed.where("last_load > first_run").select("test_key", "first_type", "last_type")
 
 
+def type_versions(history: DataFrame) -> DataFrame:
+    """``test_key, test_type_name, valid_from, valid_to``: when a test had which type, from all its deliveries
+    (test_key, test_type_name, loaded_at, ord); open ends are NULL. Deliveries that change nothing start no version."""
+    in_order = Window.partitionBy("test_key").orderBy("ord")
+    before = F.lag("test_type_name").over(in_order)
+    first = F.row_number().over(in_order) == 1
+    changes = history.withColumn("_changed", first | ~before.eqNullSafe(F.col("test_type_name"))).withColumn("_first", first).where("_changed")
+    start = F.when(~F.col("_first"), F.col("loaded_at"))
+    return changes.select("test_key", "test_type_name", start.alias("valid_from"), F.lead("loaded_at").over(in_order).alias("valid_to"))
+
+
+def runs_of_former_types(runs: DataFrame, versions: DataFrame) -> DataFrame:
+    """Runs (test_key, test_run_id, started_at) whose test had another type then than it has now.
+
+    The version a run saw is looked up by test and time; each run meets one version, and none is ordered.
+    """
+    seen = versions.select("test_key", F.col("test_type_name").alias("seen_type"), "valid_from", "valid_to")
+    then = F.coalesce(F.col("started_at") >= F.col("valid_from"), F.lit(True)) & F.coalesce(F.col("started_at") < F.col("valid_to"), F.lit(True))
+    # only tests that have changed their type have more than one version
+    changed = versions.where("valid_from IS NOT NULL").select("test_key").distinct()
+    now = versions.where("valid_to IS NULL").select("test_key", F.col("test_type_name").alias("current_type"))
+    of_changed = runs.where("started_at IS NOT NULL").join(changed, "test_key", "left_semi")
+    found = of_changed.join(seen, "test_key").where(then).join(now, "test_key")
+    return found.where("NOT seen_type <=> current_type").select("test_run_id", "test_key", "seen_type", "current_type")
+
+
 def rejects(*found: DataFrame) -> DataFrame:
     """All rejected records (D16): bad JSON and unknown entity types."""
     total = found[0]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,7 +168,13 @@ def apply_context(t: Star, ctx: Context) -> Star:
         if ctx.last_day:
             keep &= sk <= int(ctx.last_day.strftime("%Y%m%d"))
         frames["dim_date"] = get("dim_date").where(keep)
-        frames["fact_test_run"] = get("fact_test_run").where(keep)
+        runs = get("fact_test_run").where(keep)
+        if "month" in runs.columns:  # published runs lie in folders by month; only those of the days are read
+            months = [F.lit(True)]
+            months += [F.col("month") >= int(ctx.first_day.strftime("%Y%m"))] if ctx.first_day else []
+            months += [F.col("month") <= int(ctx.last_day.strftime("%Y%m"))] if ctx.last_day else []
+            runs = runs.where(reduce(and_, months) | F.col("month").isNull())
+        frames["fact_test_run"] = runs
     steps_of_runs(t, frames)
     return t.replace(**frames)
 

@@ -83,8 +83,16 @@ def _latest(rows: DataFrame, key: str, *columns: str) -> DataFrame:
     return windows.latest(chosen.where(F.col(key).isNotNull() & (F.col(key) != "")), [key], ["ord"]).drop("ord")
 
 
+def _spelled(tx: Update, rows: DataFrame, **dimensions: str) -> DataFrame:
+    """Natural keys (column=dimension) in the spelling of their dimension, if the warehouse doesn't mind case."""
+    if tx.warehouse.ci:
+        for column, dimension in dimensions.items():
+            rows = keys.respelled(rows, column, F.col("ord"), tx.table(dimension), S.columns(dimension)[1])
+    return rows
+
+
 def load_versions(tx: Update, parsed: DataFrame) -> None:
-    rows = dims.releases(parsed)
+    rows = _spelled(tx, dims.releases(parsed), release_name="dim_release")
     order = "ord"
     known = upsert.last_known(rows.drop("release_date_sk"), ["release_name"], order)
     flags = rows.groupBy("release_name").agg(
@@ -107,7 +115,8 @@ def ensure_releases(tx: Update, rows: DataFrame) -> None:
 
 def load_issues(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> DataFrame:
     """Returns the keys of the delivered issues."""
-    rows = cut(dims.issues(parsed, fields_map))
+    names = {"program_name": "dim_program", "application_name": "dim_application", "squad_name": "dim_squad", "issue_key": "dim_issue"}
+    rows = cut(_spelled(tx, dims.issues(parsed, fields_map), **names))
     _insert_new(tx, "dim_program", _names(rows, "program_name"), "program_name")
     programs = tx.table("dim_program")
     applications = _latest(rows, "application_name", "platform", "program_name")
@@ -132,6 +141,9 @@ def load_issues(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> DataFram
 def _replace_bridge(tx: Update, name: str, issues: DataFrame, values, column: str) -> None:
     """The links of the delivered issues replace their former ones."""
     pairs = issues.select("issue_key", F.explode(F.array_distinct(values)).alias(column)).where(F.col(column).isNotNull())
+    if tx.warehouse.ci:
+        dimension = "dim_test" if column == "test_key" else "dim_release"
+        pairs = keys.respelled(pairs, column, F.col(column), tx.table(dimension), column).distinct()
     parts = tx.parts_of(name, issues)
     kept = tx.table(name, parts).join(issues.select("issue_key"), "issue_key", "left_anti")
     tx.put(name, kept.unionByName(pairs), parts)
@@ -144,7 +156,8 @@ def _with_owner(tx: Update, rows: DataFrame) -> DataFrame:
 
 
 def load_defects(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> None:
-    rows = _with_owner(tx, _latest(dims.defects(parsed, fields_map), "defect_key"))
+    names = {"defect_key": "dim_defect", "squad_name": "dim_squad", "application_name": "dim_application"}
+    rows = _with_owner(tx, _latest(_spelled(tx, dims.defects(parsed, fields_map), **names), "defect_key"))
     applications = tx.table("dim_application").select(F.col("application_name").alias("_app"), "application_sk")
     rows = keys.lookup(rows, applications, "application_name", "_app", "application_sk")
     wanted = [c for c in S.columns("dim_defect") if c not in ("defect_sk", "resolution_date")]
@@ -153,7 +166,7 @@ def load_defects(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> None:
 
 def load_tests(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> DataFrame:
     """Returns the keys of the delivered tests."""
-    rows = cut(dims.tests(parsed, fields_map))
+    rows = cut(_spelled(tx, dims.tests(parsed, fields_map), test_key="dim_test", squad_name="dim_squad", test_type_name="dim_test_type"))
     _insert_new(tx, "dim_test_type", _names(rows, "test_type_name"), "test_type_name")
     types = tx.table("dim_test_type").withColumnRenamed("test_type_name", "_type")
     tests = keys.lookup(_with_owner(tx, _latest(rows, "test_key")), types, "test_type_name", "_type", "test_type_sk")
@@ -163,19 +176,21 @@ def load_tests(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> DataFrame
 
 
 def load_plans(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> None:
-    rows = _with_owner(tx, _latest(dims.plans(parsed, fields_map), "test_plan_key"))
+    rows = _spelled(tx, dims.plans(parsed, fields_map), test_plan_key="dim_test_plan", squad_name="dim_squad")
+    rows = _with_owner(tx, _latest(rows, "test_plan_key"))
     wanted = [c for c in S.columns("dim_test_plan") if c != "test_plan_sk"]
     _dimension(tx, "dim_test_plan", rows.select(*wanted), "test_plan_key", upsert.overwrite)
 
 
 def load_executions(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> None:
-    rows = cut(dims.executions(parsed, fields_map))
+    rows = cut(_spelled(tx, dims.executions(parsed, fields_map), execution_key="dim_test_execution"))
     _insert_new(tx, "dim_environment", dims.environments(rows), "environment_name")
     _dimension(tx, "dim_test_execution", _latest(rows, "execution_key"), "execution_key", upsert.overwrite)
 
 
 def load_runs(tx: Update, parsed: DataFrame, refresh_open_flag: bool = False) -> None:
-    rows = cut(facts.runs(parsed))
+    names = {"test_key": "dim_test", "execution_key": "dim_test_execution", "tester_id": "dim_tester", "run_status": "dim_status"}
+    rows = cut(_spelled(tx, facts.runs(parsed), **names, root_cause_name="dim_root_cause"))
     testers = upsert.last_known(facts.testers(rows), ["tester_id"], "ord")
     _dimension(tx, "dim_tester", testers, "tester_id", upsert.patch)
     seen = _names(rows, "run_status").withColumnRenamed("run_status", "status_name")
@@ -342,7 +357,8 @@ def purge_project(warehouse: Warehouse, project: str, control: Control | None =
 class LoadConfig:
     """Settings of one load. ``since`` overrides the stored watermark; ``until`` bounds a backfill.
 
-    The watermark moves unless the bounds are given by hand; ``advance_watermark`` decides otherwise.
+    The watermark moves unless the bounds are given by hand; ``advance_watermark`` decides otherwise. With ``ci`` natural
+    keys that differ only in case are the same, and keep their first spelling; names of versions in runs compare exactly.
     """
 
     root: str
@@ -356,6 +372,7 @@ class LoadConfig:
     dry_run: bool = False
     advance_watermark: bool | None = None
     fields_map: FieldMap = field(default_factory=FieldMap)
+    ci: bool = False
 
     @property
     def moves_watermark(self) -> bool:
@@ -412,7 +429,7 @@ def run(spark: SparkSession, cfg: LoadConfig, extract: Callable[[datetime | None
         processed = upserted = 0
         if not cfg.dry_run:
             todo = staging.scan(spark, cfg.staging, since=before, mode=cfg.mode, purged=control.purges())
-            warehouse = Warehouse(spark, f"{cfg.root}/warehouse")
+            warehouse = Warehouse(spark, f"{cfg.root}/warehouse", ci=cfg.ci)
             changed: dict[str, tuple[int, int]] = {}
             counts = transform(todo, warehouse, cfg.as_of or started.date(), cfg.fields_map, changed=changed)
             processed = sum(counts.values())

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from qualitymart.functions import calendar
 from qualitymart.functions import scalars as X
-from qualitymart.functions.fieldmap import FieldMap, coerce
-from qualitymart.operators import coverage, dims, facts, keys, upsert, windows
+from qualitymart.functions.fieldmap import FieldMap, FieldMapping, coerce
+from qualitymart.operators import coverage, dims, facts, keys, quality, upsert, windows
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import query
-from qualitymart.session import shared_folder
+from qualitymart.session import cut, shared_folder
 from qualitymart.sources import landing, staging
+from qualitymart.sources.derived import rule
 from qualitymart.sources.warehouse import Warehouse
 from qualitymart.streaming import delta
 
@@ -772,3 +773,114 @@ query(
     .groupBy("year", "week_of_year", "is_weekend")
     .agg(F.count("*").alias("defects"))
 )
+
+
+# --- keys without case, compaction, rejects, history ---------------------------------
+
+
+def mixed_case_keys(i):
+    """Squads named by orders in three spellings, half of them known before; one row and one key each."""
+    spelled = "CASE o_orderkey % 3 WHEN 0 THEN upper(name) WHEN 1 THEN lower(name) ELSE initcap(name) END"
+    rows = i.raw("orders").selectExpr("o_orderkey", "concat('squad ', o_orderpriority, ' ', o_custkey % 40) AS name").selectExpr(f"{spelled} AS squad_name", "o_orderkey AS ord")
+    early, late = rows.where("ord % 2 = 0"), rows.where("ord % 2 = 1")
+    layout = i.spark.createDataFrame([], "squad_sk BIGINT, squad_name STRING, program_sk BIGINT")
+    state = layout
+    for batch in (early, late):
+        named = keys.respelled(batch, "squad_name", F.col("ord"), state)
+        updates = windows.latest(named, ["squad_name"], ["ord"]).select("squad_name", F.col("ord").alias("program_sk"))
+        state = cut(keys.merge_dimension(state, updates, "squad_name", "squad_sk", upsert.overwrite))
+    return state.select("squad_name", "program_sk", (F.col("squad_sk") > 0).alias("has_key"))
+
+
+query(
+    "j1_keys_without_case",
+    """WITH r AS (SELECT o_orderkey, 'squad ' || o_orderpriority || ' ' || (o_custkey % 40) AS name FROM orders),
+            s AS (SELECT o_orderkey, lower(name) AS folded, CASE o_orderkey % 3 WHEN 0 THEN upper(name) WHEN 1 THEN lower(name)
+                         ELSE 'Squad ' || lower(name[7:]) END AS spelled, o_orderkey % 2 AS late FROM r)
+       SELECT arg_min(spelled, (late, o_orderkey)) AS squad_name, arg_max(o_orderkey, (late, o_orderkey)) AS program_sk, true AS has_key FROM s GROUP BY folded""",
+)(mixed_case_keys)
+
+
+def compacted_staging(i):
+    """Executions staged twice, in many files, and compacted; what a scan gives, and how many records are left of each."""
+    root = f"{shared_folder(i.spark)}/staging-{uuid.uuid4().hex}"
+    records = P.executions(i)
+    newer = records.withColumns({"loaded_at": F.expr("loaded_at + interval 1 hour"), "raw_json": F.replace("raw_json", F.lit('"summary":"'), F.lit('"summary":"new '))})
+    staging.write(records.repartition(6), root)
+    staging.write(newer.where("source_key LIKE '%3'").repartition(4), root)
+    staging.compact(i.spark, root, date(2024, 3, 2))
+    staging.sweep(i.spark, root)
+    left = i.spark.read.schema(staging.LAYOUT).parquet(root).groupBy("source_key").agg(F.count(F.lit(1)).alias("n_records"))
+    found = staging.scan(i.spark, root).select("source_key", F.get_json_object("raw_json", "$.fields.summary").alias("summary"))
+    return found.join(left, "source_key")
+
+
+query(
+    "s9_compacted_staging",
+    """SELECT 'E-' || o_orderkey AS source_key, CASE WHEN o_orderkey % 10 = 3 THEN 'new ' ELSE '' END || o_orderpriority AS summary, 1 AS n_records FROM orders""",
+)(compacted_staging)
+CHECKED = FieldMap(
+    [
+        FieldMapping("customfield_10204", "severity", "dim_defect", "severity", "jira_defect", "issue_key"),
+        FieldMapping("customfield_10203", "root_cause", "dim_root_cause", "root_cause_name", "jira_defect", "select_value"),
+        FieldMapping("customfield_10010", "label", "dim_defect", "priority", "jira_defect", "number"),
+    ]
+)
+
+
+def defect_payloads(i):
+    """The mapped part of the defects' payloads, under ``v`` as the map finds it."""
+    return staging.parse(P.defects(i)).select("source_key", X.node(V, "$.fields").alias("v"))
+
+
+query(
+    "c12_mapped_fields",
+    """SELECT 'D-' || o_orderkey AS source_key, 'root_cause' AS logical_name, 'Application Bug' AS value FROM orders WHERE o_orderkey % 5 <> 0""",
+)(lambda i: CHECKED.coercions("jira_defect", defect_payloads(i)).where("reason IS NULL").select("source_key", "logical_name", "value"))
+query(
+    "d16_coercion_rejects",
+    """SELECT 'D-' || o_orderkey AS source_key, 'severity' AS logical_name, CAST(NULL AS VARCHAR) AS value, 'missing_member' AS reason FROM orders WHERE o_orderkey % 4 <> 0
+       UNION ALL SELECT 'D-' || o_orderkey, 'label', 'Low', 'unknown_field_type' FROM orders WHERE o_orderkey % 8 <> 0""",
+)(lambda i: CHECKED.coercions("jira_defect", defect_payloads(i)).where("reason IS NOT NULL"))
+
+
+def cut_off_pages(i):
+    """Defect pages of which every third was cut off."""
+    number = F.regexp_extract("origin", "([0-9]+)/page", 1).cast("bigint")
+    pages = P.pages(i.raw("orders"), "concat('B', o_orderkey div 100)", P.DEFECT, "named_struct('issues', @)")
+    return pages.withColumn("body", F.when(number % 3 == 0, F.substring("body", 1, 40)).otherwise(F.col("body")))
+
+
+query(
+    "d16_bad_pages",
+    """SELECT DISTINCT 'landing/B' || (o_orderkey // 100) || '/page.json' AS source, 'bad_json' AS reason, 40 AS length FROM orders WHERE (o_orderkey // 100) % 3 = 0""",
+)(lambda i: landing.bad_pages(cut_off_pages(i)).select("source", "reason", F.length("body").alias("length")))
+
+
+def former_types(i):
+    """Tests staged three times with changing types, and the runs that saw another type than the last."""
+    root = f"{shared_folder(i.spark)}/staging-{uuid.uuid4().hex}"
+    number = F.substring_index("source_key", "-", -1).cast("bigint")
+    kind = lambda c, old, new: F.replace(F.replace(c, F.lit(f'"name":"{old}"'), F.lit(f'"name":"{new}"')), F.lit(f'"value":"{old}"'), F.lit(f'"value":"{new}"'))
+    first = P.tests(i)
+    second = first.withColumn("raw_json", F.when(number % 3 == 0, kind(F.col("raw_json"), "Manual", "Generic")).otherwise(F.col("raw_json")))
+    third = second.withColumn("raw_json", F.when(number % 2 == 0, kind(F.col("raw_json"), "Generic", "Manual")).otherwise(F.col("raw_json")))
+    for n, (records, year) in enumerate(((first, 1994), (second, 1996), (third, 1998))):
+        dated = records.withColumns({"loaded_at": F.expr(f"timestamp '{year}-01-01 00:00:00'"), "run_id": F.lit(f"run-{n}")})
+        staging.write(dated, root)
+    tests = dims.tests(staging.parse(staging.scan(i.spark, root, "xray_test")), MAP)
+    history = tests.select("test_key", "test_type_name", F.col("ord.loaded_at").cast("timestamp_ntz").alias("loaded_at"), "ord")
+    runs = facts.runs(staging.parse(P.runs(i, rule("run_id")))).select("test_key", "test_run_id", "started_at")
+    return quality.runs_of_former_types(runs, quality.type_versions(history))
+
+
+query(
+    "d15_runs_of_former_types",
+    """WITH t0 AS (SELECT test_key, test_sk AS p, test_type_name AS a FROM dim_test),
+            t1 AS (SELECT *, CASE WHEN p % 3 = 0 AND a = 'Manual' THEN 'Generic' ELSE a END AS b FROM t0),
+            t2 AS (SELECT *, CASE WHEN p % 2 = 0 AND b = 'Generic' THEN 'Manual' ELSE b END AS c FROM t1),
+            r AS (SELECT l_partkey, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) AS test_run_id,
+                         l_shipdate::DATE::TIMESTAMP + INTERVAL 1410 MINUTE + CASE WHEN l_suppkey % 2 = 0 THEN INTERVAL 5 HOUR ELSE INTERVAL 0 HOUR END AS ts FROM lineitem)
+       SELECT test_run_id, test_key, CASE WHEN ts < TIMESTAMP '1996-01-01' THEN a WHEN ts < TIMESTAMP '1998-01-01' THEN b ELSE c END AS seen_type, c AS current_type
+       FROM r JOIN t2 ON p = l_partkey WHERE seen_type IS DISTINCT FROM c""",
+)(former_types)

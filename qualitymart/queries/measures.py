@@ -7,11 +7,12 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from qualitymart.functions import measures as M
-from qualitymart.operators import windows
+from qualitymart.operators import distinct, windows
 from qualitymart.plans import marts, pages
 from qualitymart.plans.context import Context, apply_context, with_date, with_dims
 from qualitymart.queries.marts import with_snapshot
 from qualitymart.queries.registry import query
+from qualitymart.session import cut
 
 RUN_MEASURES = """
     count(*) AS total_runs, count(*) FILTER (run_status = 'PASS') AS passed_runs,
@@ -288,3 +289,59 @@ query(
         *[f"{role}_{c}" for role in ("covered", "released") for c in ("full_date", "year", "month", "week_of_year")],
     )
 )
+
+# --- totals of distinct counts from parts -----------------------------------------
+
+
+def link_totals(i):
+    """Links by release and severity with all totals; the links are read once, by month."""
+    links = with_dims(i.t, "fact_defect_link", {**pages.RELEASE, "dim_defect": ["severity"]})
+    links = links.select("release_name", "severity", "defect_sk", "test_run_id", "open_flag", F.substring("test_run_id", -8, 6).alias("month_linked"))
+    rows = distinct.coded(cut(links), "test_run_id", "run_code")
+    counted = {"total_defect_links": F.lit(1), "open_defects_linked": F.col("open_flag").cast("int")}
+    cells = distinct.parts(rows, ["month_linked", "release_name", "severity"], {"unique_defects": F.col("defect_sk"), "impacted_test_runs": F.col("run_code")}, counted)
+    return distinct.totals(cells, ["release_name", "severity"], ["total_defect_links", "open_defects_linked", "unique_defects", "impacted_test_runs"])
+
+
+query(
+    "m13_link_matrix_totals",
+    """SELECT release_name, severity, CAST(GROUPING(release_name, severity) AS INT) AS level, count(*) AS total_defect_links,
+              count(*) FILTER (open_flag) AS open_defects_linked, count(DISTINCT l.defect_key) AS unique_defects, count(DISTINCT test_run_id) AS impacted_test_runs
+       FROM fact_defect_link l JOIN dim_defect d ON d.defect_key = l.defect_key GROUP BY CUBE (release_name, severity)""",
+)(link_totals)
+
+
+def coverage_totals(rows, by, key, names):
+    """Requirements and covered ones for every cell and total of two columns."""
+    total, covered = names[:2]
+    cells = distinct.parts(rows, by, {total: F.col(key), covered: F.when(F.col("is_covered"), F.col(key))})
+    found = distinct.totals(cells, by, [total, covered])
+    return found.withColumn(names[2], M.percent(F.col(covered), F.col(total)))
+
+
+query(
+    "m14_coverage_matrix_totals",
+    """SELECT squad_name, release_name, CAST(GROUPING(squad_name, release_name) AS INT) AS level, count(DISTINCT issue_sk) AS total_requirements,
+              count(DISTINCT issue_sk) FILTER (is_covered) AS covered_requirements, {ratio:covered_requirements,total_requirements} AS coverage
+       FROM fact_requirement_coverage JOIN dim_issue USING (issue_sk) LEFT JOIN dim_squad USING (squad_sk) GROUP BY CUBE (squad_name, release_name)""",
+)(
+    lambda i: coverage_totals(
+        with_dims(i.t, "fact_requirement_coverage", {**pages.SQUAD, **pages.RELEASE}),
+        ["squad_name", "release_name"],
+        "issue_sk",
+        ["total_requirements", "covered_requirements", "coverage"],
+    )
+)
+query(
+    "m19_requirement_matrix_totals",
+    """SELECT business_area, release_name, CAST(GROUPING(business_area, release_name) AS INT) AS level, count(DISTINCT issue_key) AS p3_total_requirements,
+              count(DISTINCT issue_key) FILTER (is_covered) AS p3_covered_requirements, {ratio:p3_covered_requirements,p3_total_requirements} AS p3_coverage
+       FROM v3 GROUP BY CUBE (business_area, release_name)""",
+)(
+    lambda i: coverage_totals(
+        distinct.coded(cut(marts.v3_requirement_coverage(i.t).select("business_area", "release_name", "issue_key", "is_covered")), "issue_key", "issue_code"),
+        ["business_area", "release_name"],
+        "issue_code",
+        ["p3_total_requirements", "p3_covered_requirements", "p3_coverage"],
+    )
+)

@@ -62,10 +62,10 @@ def _folder(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def read_or_none(spark: SparkSession, layout: str | StructType, path: str) -> DataFrame | None:
+def read_or_none(spark: SparkSession, layout: str | StructType, path: str, nested: bool = False) -> DataFrame | None:
     """A Parquet folder, or None if there is none yet. Any failure to read it is raised."""
     folder, files = _folder(spark, path)
-    return spark.read.schema(layout).parquet(path) if files.exists(folder) else None
+    return spark.read.schema(layout).option("recursiveFileLookup", nested).parquet(path) if files.exists(folder) else None
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -6,13 +6,15 @@ is resolved when reading, where the latest load of a key wins. A retried write i
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
 from qualitymart.functions import scalars as X
+from qualitymart.session import read_or_none, remove
 
 LAYOUT = S.STAGING + ", load_date DATE"
 
@@ -69,6 +71,33 @@ def scan(
     return latest_per_load(records.drop("load_date"))
 
 
+def compact(spark: SparkSession, root: str, before: date, purged: DataFrame | None = None) -> None:
+    """Rewrite closed load days (before a day) as the last record per key and run, in files of the session's target size.
+
+    Safe for a running reader: the rewritten records are added first, and a scan takes one of equal records; the files
+    they replace are only noted, and stay until ``sweep``. A stream over the folder sees the new files and applies the
+    same records once more.
+    """
+    closed = spark.read.schema(LAYOUT).parquet(root).where(F.col("load_date") < F.lit(before))
+    note = closed.select(F.col("_metadata.file_path").alias("path")).distinct().withColumn("replaced_at", F.current_timestamp())
+    note.write.parquet(f"{root}/_replaced/{uuid.uuid4().hex}")
+    records = closed if purged is None else without_purged(closed, purged)
+    dated = latest_per_load(records.drop("load_date")).withColumn("load_date", F.to_date("loaded_at"))
+    dated.hint("rebalance", "entity_type", "load_date").write.mode("append").partitionBy("entity_type", "load_date").parquet(root)
+
+
+def sweep(spark: SparkSession, root: str, replaced_before: datetime | None = None) -> int:
+    """Delete files that were replaced before a moment (by default all), once no reader can be using them any more."""
+    notes = read_or_none(spark, "path STRING, replaced_at TIMESTAMP", f"{root}/_replaced", nested=True)
+    if notes is None:
+        return 0
+    old = notes if replaced_before is None else notes.where(F.col("replaced_at") < F.lit(replaced_before))
+    paths = [r["path"] for r in old.select("path").distinct().toLocalIterator()]  # names of files, not records
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
+
+
 def latest_per_load(records: DataFrame) -> DataFrame:
     """Last record per entity, key and run; a maximum, so it is combined before the shuffle."""
     keys = ["entity_type", "source_key", "run_id"]

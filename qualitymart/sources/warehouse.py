@@ -49,9 +49,11 @@ BUCKETS = 32
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        """``buckets`` is taken for a new warehouse; one that exists keeps its own."""
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, ci: bool = False):
+        """``buckets`` is taken for a new warehouse; one that exists keeps its own. With ``ci`` loads take natural keys
+        that differ only in case for the same."""
         self.spark = spark
+        self.ci = ci
         self.root = root.rstrip("/")
         layout = read_or_none(spark, "buckets INT", f"{self.root}/_layout")
         self.is_new = layout is None

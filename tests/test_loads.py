@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from qualitymart import schemas as S
 from qualitymart.operators import security, snapshot, upsert
 from qualitymart.plans import loads, marts
+from qualitymart.plans.context import Context, apply_context
 from qualitymart.sources import staging
 from qualitymart.sources.control import Control
 from qualitymart.sources.warehouse import Update, Warehouse
@@ -264,6 +265,10 @@ def test_months_are_found_by_key(spark, tmp_path, monkeypatch):
     assert "PartitionFilters: [month" in one._jdf.queryExecution().executedPlan().toString().replace("isnotnull(month", "month")
     assert {"month=202402"} == {r[0].split("/")[-2] for r in one.select(F.input_file_name()).distinct().collect()}
 
+    # a page of two months reads those
+    page = apply_context(warehouse.star(), Context(first_day=date(2024, 2, 1), last_day=date(2024, 3, 31)))["fact_test_run"]
+    assert {"month=202402", "month=202403"} == {r[0].split("/")[-2] for r in page.select(F.input_file_name()).distinct().collect()}
+
     # the only run of a month moves away: the month has no folder any more, the state neither
     merge_runs(spark, warehouse, [("solo", 1, 1000, "PASS", False, 1.0, 202512, 202512)])
     merge_runs(spark, warehouse, [("solo", 1, 1000, "PASS", False, 1.0, 202401, 202401)])
@@ -274,6 +279,34 @@ def test_months_are_found_by_key(spark, tmp_path, monkeypatch):
     assert not state.exceptAll(full).count() and not full.exceptAll(state).count()
 
 
+def test_keys_without_case(spark, tmp_path):
+    """Squads and tests that differ only in case are one row with one key, in the first spelling."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"), ci=True)
+    for n, (squad, link) in enumerate((("Team Oak", "SHOP-703"), ("TEAM oak", "shop-703"))):
+        rows = [sample.record("xray_test", "SHOP-703", sample.test_case(squad=squad), n, f"run-{n}"), sample.record("jira_issue", f"SHOP-{n}", sample.issue(f"SHOP-{n}", squad=squad, links=(link,)), n, f"run-{n}")]
+        loads.transform(records(spark, rows), warehouse, AS_OF)
+    t = Warehouse(spark, warehouse.root).star()
+    assert [r.squad_name for r in t["dim_squad"].collect()] == ["Team Oak"]
+    assert {r.squad_sk for r in t["dim_issue"].collect()} == {t["dim_squad"].first().squad_sk}
+    assert {r.test_key for r in t["bridge_issue_test"].collect()} == {"SHOP-703"}
+
+
+def test_compaction_keeps_what_a_scan_gives(spark, tmp_path):
+    """Fewer files, the same records; old files stay for a running reader until they are swept."""
+    root = str(tmp_path / "staging")
+    for n in range(3):
+        staging.write(records(spark, *sample.batches()).withColumn("loaded_at", F.expr(f"loaded_at + interval {n} minutes")).repartition(5), root)
+    before = sorted(map(tuple, staging.scan(spark, root).collect()))
+    many = len(spark.read.schema(staging.LAYOUT).parquet(root).inputFiles())
+    running = staging.scan(spark, root)
+    staging.compact(spark, root, date(2024, 3, 3))
+    assert sorted(map(tuple, running.collect())) == before == sorted(map(tuple, staging.scan(spark, root).collect()))
+    assert staging.sweep(spark, root, datetime(2020, 1, 1, tzinfo=timezone.utc)) == 0
+    assert staging.sweep(spark, root) == many
+    assert sorted(map(tuple, staging.scan(spark, root).collect())) == before
+    assert len(spark.read.schema(staging.LAYOUT).parquet(root).inputFiles()) < many
+
+
 def test_only_touched_buckets_of_a_dimension_are_written(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=16)
     defects = lambda keys: spark.createDataFrame([(k, "x") for k in keys], "defect_key STRING, status STRING")
