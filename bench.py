@@ -54,7 +54,7 @@ def main() -> None:
     run = lambda name: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for name in ("defects", "runs"):
         path = f"{folder}/payloads/{name}"
-        getattr(payloads, name)(Inputs(spark, sf_dir)).write.parquet(path)
+        getattr(payloads, name)(Inputs(spark, sf_dir)).repartition(32).write.parquet(path)  # as many small files, as pages are landed
         setattr(payloads, name, lambda i, path=path: i.spark.read.parquet(path))
     run(HEADLINE[0])
     seconds: dict[str, float] = {}

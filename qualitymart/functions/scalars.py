@@ -59,12 +59,6 @@ def is_object(v: Column) -> Column:
     return _kind(v).startswith("OBJECT")
 
 
-def object_at(v: Column, path: str) -> Column:
-    """The JSON object at ``path`` as VARIANT, NULL for anything else."""
-    found = node(v, path)
-    return F.when(is_object(found), found)
-
-
 def truthy(v: Column) -> Column:
     """Whether a JSON value counts as set: not null, false, zero, empty text, list or object."""
     kind, as_text = _kind(v), text(v)

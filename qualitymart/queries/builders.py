@@ -796,7 +796,7 @@ query(
     "j1_keys_without_case",
     """WITH r AS (SELECT o_orderkey, 'squad ' || o_orderpriority || ' ' || (o_custkey % 40) AS name FROM orders),
             s AS (SELECT o_orderkey, lower(name) AS folded, CASE o_orderkey % 3 WHEN 0 THEN upper(name) WHEN 1 THEN lower(name)
-                         ELSE 'Squad ' || lower(name[7:]) END AS spelled, o_orderkey % 2 AS late FROM r)
+                         ELSE 'Squad ' || replace(lower(name[7:]), ' specified', ' Specified') END AS spelled, o_orderkey % 2 AS late FROM r)
        SELECT arg_min(spelled, (late, o_orderkey)) AS squad_name, arg_max(o_orderkey, (late, o_orderkey)) AS program_sk, true AS has_key FROM s GROUP BY folded""",
 )(mixed_case_keys)
 
@@ -884,3 +884,29 @@ query(
        SELECT test_run_id, test_key, CASE WHEN ts < TIMESTAMP '1996-01-01' THEN a WHEN ts < TIMESTAMP '1998-01-01' THEN b ELSE c END AS seen_type, c AS current_type
        FROM r JOIN t2 ON p = l_partkey WHERE seen_type IS DISTINCT FROM c""",
 )(former_types)
+
+
+def map_file(i):
+    """A map file with a field per nation; nations of some regions have a field type nobody knows."""
+    root = f"{shared_folder(i.spark)}/map-{uuid.uuid4().hex}"
+    kind = "CASE n_regionkey WHEN 0 THEN 'string' WHEN 1 THEN 'array' WHEN 2 THEN 'number' WHEN 3 THEN NULL ELSE 'date' END"
+    fields = f"""named_struct('source_field_id', concat('customfield_', n_nationkey), 'logical_name', lower(n_name), 'target_table', 'dim_issue',
+                              'target_column', 'business_area', 'entity_type', 'jira_issue', 'field_type', {kind})"""
+    doc = i.raw("nation").agg(F.expr(f"to_json(named_struct('mappings', collect_list({fields})))").alias("value"))
+    doc.write.text(root)
+    return FieldMap.load(i.spark, root)
+
+
+query(
+    "s6_field_map_file",
+    """SELECT 'customfield_' || n_nationkey AS source_field_id, lower(n_name) AS logical_name,
+              CASE n_regionkey WHEN 0 THEN 'string' WHEN 1 THEN 'array' WHEN 2 THEN 'number' WHEN 3 THEN 'string' ELSE 'date' END AS field_type FROM nation""",
+)(
+    lambda i: i.spark.createDataFrame(
+        [(m.source_field_id, m.logical_name, m.field_type) for m in map_file(i).mappings_for("jira_issue")], "source_field_id STRING, logical_name STRING, field_type STRING"
+    )
+)
+query(
+    "c12f_unknown_field_types",
+    "SELECT lower(n_name) AS logical_name, CASE n_regionkey WHEN 2 THEN 'number' ELSE 'date' END AS field_type FROM nation WHERE n_regionkey IN (2, 4)",
+)(lambda i: map_file(i).unknown_types(i.spark).select("logical_name", "field_type"))

@@ -183,6 +183,15 @@ query(
         )
     )
 )
+query(
+    "d17_short_calendar",
+    """SELECT 'dim_date' AS tbl, 'calendar rows' AS missing FROM (SELECT count(*) AS n FROM dim_date
+       WHERE month <= 6 AND year = (SELECT min(year) FROM dim_date)) WHERE n < 365""",
+)(
+    lambda i: Q.missing_seeds(
+        i.t.replace(dim_date=i.t["dim_date"].where("month <= 6").join(i.t["dim_date"].agg(F.min("year").alias("year")), "year", "left_semi"))
+    ).where("tbl = 'dim_date'")
+)
 SUMMARISED = [name for name in RAW_SQL if name.startswith("d") and name not in ("d3_last_jobs", "d5_census")]
 query(
     "d_summary",

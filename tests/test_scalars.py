@@ -30,7 +30,7 @@ def test_nested_text_and_object(spark):
     values = [{"test": {"key": "T-31"}}, {"test": "x"}, {"test": None}, {}]
     assert evaluate(spark, values, lambda v: X.text(v, "$.test.key")) == ["T-31", None, None, None]
     nested = [{"a": {"b": {"size": "xl"}}}, {"a": {"b": "flat"}}, {"a": []}]
-    assert evaluate(spark, nested, lambda v: F.to_json(X.object_at(v, "$.a.b"))) == ['{"size":"xl"}', None, None]
+    assert evaluate(spark, nested, lambda v: F.to_json(F.when(X.is_object(X.node(v, "$.a.b")), X.node(v, "$.a.b")))) == ['{"size":"xl"}', None, None]
 
 
 def test_first_component_and_select(spark):
