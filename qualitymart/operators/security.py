@@ -57,16 +57,14 @@ def secure(t: Star, email: str, role: str | None) -> Star:
 
 def visibility(t: Star, email: str, role: str | None) -> DataFrame:
     """``tbl, visible, total``: how many rows of each table the user sees, and how many there are."""
+    frames = {name: t[name] for name in sorted(t)}  # loaded once, so that a table open to the role is known by it
     seen = secure(t, email, role)
-    one = F.lit(1).cast("bigint")
-    counts = [
-        frame.agg(F.count(one).alias("n")).select(F.lit(name).alias("tbl"), *[F.when(F.lit(k == column), F.col("n")).otherwise(0).alias(k) for k in ("visible", "total")])
-        for name in sorted(t)
-        for column, frame in (("visible", seen[name]), ("total", t[name]))
-    ]
-    rows = counts[0]
-    for more in counts[1:]:
-        rows = rows.unionByName(more)
+    rows: DataFrame | None = None
+    for name, frame in frames.items():
+        for columns, counted in (({"visible", "total"}, frame),) if seen[name] is frame else (({"visible"}, seen[name]), ({"total"}, frame)):
+            n = counted.agg(F.count(F.lit(1)).alias("n"))
+            row = n.select(F.lit(name).alias("tbl"), *[(F.col("n") if c in columns else F.lit(0).cast("bigint")).alias(c) for c in ("visible", "total")])
+            rows = row if rows is None else rows.unionByName(row)
     return rows.groupBy("tbl").agg(F.sum("visible").alias("visible"), F.sum("total").alias("total"))
 
 
