@@ -1,7 +1,7 @@
 """Homomorphic multiset fingerprints of documents.
 
 A paragraph is hashed to a wide vector, and a document's fingerprint is the sum of its paragraphs'
-vectors, every lane modulo 2^32. So the order of paragraphs doesn't matter, and a paragraph is inserted or
+vectors, lanes for equality modulo 2^32. So the order of paragraphs doesn't matter, and a paragraph is inserted or
 deleted by adding or subtracting its vector, without the rest of the text. The vector has two parts:
 
 * ``EQUAL`` lanes with uniform hashes of the whole paragraph: documents with the same paragraphs agree in
@@ -22,6 +22,8 @@ from qualitymart.llm.common import partitions
 EQUAL, NEAR = 8, 128
 #: Two lanes of 32 bits share a long while sums are formed.
 PAIRS = NEAR // 2
+#: Rows are cut into ranges by about this many sampled positions for each.
+SAMPLED = 32
 
 
 def fingerprint(text: str) -> Column:
@@ -45,7 +47,7 @@ def as_text(lanes: str) -> Column:
 
 
 def combine(a: str, b: str, sign: int = 1) -> Column:
-    """Fingerprint ``a`` with the paragraphs of ``b`` inserted (or with ``sign=-1`` deleted)."""
+    """Fingerprint ``a`` with the paragraphs of ``b`` inserted (or with ``sign=-1`` deleted; they must be in it)."""
     how = "+" if sign > 0 else "-"
     return F.expr(f"transform(zip_with({a}, {b}, (x, y) -> x {how} y), (x, i) -> if(i < {EQUAL}, x & 4294967295, x))")
 
@@ -65,33 +67,44 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.expr(f"{a} = {b}"), 1.0).otherwise(F.expr(f"greatest(0d, least(1d, 1 - {apart} / nullif({both}, 0d)))"))
 
 
-def bucket_of(bounds: list[int], value: Column) -> Column:
-    """How many of the sorted ``bounds`` (one fewer than a power of two) are below ``value``, by bisection;
-    -1 for null."""
+def position(id_column: str, tie: str) -> Column:
+    """Where a row stands in ascending order of id, null ids first, and of ``tie`` among equal ids."""
+    known = F.col(id_column).isNotNull().cast("int")
+    return F.struct(known.alias("k"), F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("i"), F.col(tie).alias("t"))
+
+
+def cuts(rows: DataFrame, id_column: str, tie: str, ranges: int) -> list[tuple[int, int, int]]:
+    """``ranges`` - 1 sorted positions that part the rows into about equal ranges, from a sample of about ``SAMPLED``
+    positions a range. They decide where a row is worked on, not what becomes of it."""
+    share = min(1.0, SAMPLED * ranges / max(rows.count(), 1))
+    sample = rows.select(position(id_column, tie).alias("p")).select("p.*").sample(share, seed=1).toArrow()
+    found = sorted(zip(*(column.to_pylist() for column in sample.columns), strict=True)) or [(0, 0, 0)]
+    return [found[k * len(found) // ranges] for k in range(1, ranges)]
+
+
+def range_of(bounds: list[tuple[int, int, int]], place: Column) -> Column:
+    """How many of the sorted ``bounds`` (one fewer than a power of two) are below ``place``, by bisection."""
     steps = F.array(*(F.lit((len(bounds) + 1) >> k) for k in range(1, (len(bounds) + 1).bit_length())))
-    table = F.array(*(F.lit(b).cast("long") for b in bounds))
-    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) < value, at + step).otherwise(at))
-    return F.coalesce(F.when(value.isNotNull(), found), F.lit(-1))
+    table = F.expr("array(" + ", ".join(f"named_struct('k', {k}, 'i', bigint('{i}'), 't', bigint('{t}'))" for k, i, t in bounds) + ")")
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) < place, at + step).otherwise(at))
 
 
 def with_next(rows: DataFrame, id_column: str, tie: str, take: list[str]) -> DataFrame:
-    """Each row with the columns ``take`` of the next one (as ``next_*``) in descending order of id, after the
-    last the first.
+    """Each row with the columns ``take`` of the next one (as ``next_*``) in descending order of id and ``tie``, after
+    the last the first.
 
-    Ids are cut at quantiles into four ranges per shuffle task, each ordered by itself; the first row of a
-    range is also copied to the end of the range before it. Only one id per range goes to all tasks.
+    Rows are cut at quantiles of (id, tie) into four ranges per shuffle task or more, each ordered by itself, so rows
+    without an id, or that share one, spread out as well. The first row of a range is also copied to the end of the
+    range before it. Only the position of one row per range goes to all tasks.
     """
-    spark = rows.sparkSession
-    n = (4 * partitions(spark)).bit_length()
-    chances = [k / (1 << n) for k in range(1, 1 << n)]
-    bounds = rows.agg(F.percentile_approx(id_column, chances, 10 * (1 << n))).first()[0] or [0]
-    bounds = sorted(bounds) + [max(bounds)] * ((1 << n) - 1 - len(bounds))
-    dealt = rows.withColumn("_range", bucket_of(bounds, F.col(id_column)))
-    heads = dealt.groupBy("_range").agg(F.max(F.struct(id_column, tie)).alias("_head"))
+    ranges = 1 << (4 * partitions(rows.sparkSession)).bit_length()
+    place = position(id_column, tie)
+    dealt = rows.withColumn("_range", range_of(cuts(rows, id_column, tie, ranges), place))
+    heads = dealt.groupBy("_range").agg(F.max(place).alias("_head"))
     upward = Window.orderBy("_range")
     everything = upward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.withColumn("_before", F.coalesce(F.lead("_range").over(upward), F.min("_range").over(everything)))
-    same = dealt["_range"].eqNullSafe(heads["_range"]) & F.struct(dealt[id_column], dealt[tie]).eqNullSafe(heads["_head"])
+    same = (dealt["_range"] == heads["_range"]) & (place == heads["_head"])
     first = dealt.join(F.broadcast(heads), same).select(heads["_before"].alias("_range"), *(dealt[c] for c in rows.columns))
     first = first.dropDuplicates(["_range"])
     all_rows = dealt.withColumn("_copy", F.lit(0)).unionByName(first.withColumn("_copy", F.lit(1)))
@@ -100,10 +113,13 @@ def with_next(rows: DataFrame, id_column: str, tie: str, take: list[str]) -> Dat
     return found.where("_copy = 0").drop("_copy", "_range")
 
 
+def texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("_text"))
+
+
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, _text, lanes`` of every row; a null text counts as empty, which has one empty paragraph."""
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("_text"))
-    return rows.withColumn("lanes", fingerprint("_text"))
+    return texts(docs, id_column, text_column).withColumn("lanes", fingerprint("_text"))
 
 
 def edit_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -203,6 +203,20 @@ def test_edits_of_odd_documents(odd, spark, none):
     assert single[0].near_next == 1.0
 
 
+def test_edits_with_hot_ids(spark):
+    """Rows without an id, or that share one, are cut into ranges too, and follow the order of a hash of their text."""
+    rows = [(None, prose(k, 5)) for k in range(300)] + [(7, prose(1000 + k, 5)) for k in range(300)] + [(k * 10, prose(2000 + k, 5)) for k in range(300)]
+    docs = frame(spark, rows).repartition(4)
+    found = fingerprint.edit_report(docs).collect()
+    ties = {(r[0], r[1]): r[2] for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()}
+    down = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, ties[r]), reverse=True)
+    check_edits(found, down)
+    placed = fingerprint.texts(docs, "doc_id", "text").withColumn("_tie", F.xxhash64("_text"))
+    bounds = fingerprint.cuts(placed, "doc_id", "_tie", 16)
+    sizes = placed.groupBy(fingerprint.range_of(bounds, fingerprint.position("doc_id", "_tie"))).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2 * len(rows) / 16
+
+
 def test_order_of_paragraphs_insertion_and_deletion(spark):
     a, b, c = (prose(k, 30) for k in range(3))
     rows = frame(spark, [(1, f"{a}\n{b}\n{c}"), (2, f"{c}\n{a}\n{b}"), (3, f"{a}\n{b}"), (4, c), (5, f"{a}\n{a}\n{b}")])
