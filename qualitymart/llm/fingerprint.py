@@ -89,13 +89,13 @@ def range_of(bounds: list[tuple[int, int, int]], place: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) < place, at + step).otherwise(at))
 
 
-def with_next(rows: DataFrame, id_column: str, tie: str, take: list[str]) -> DataFrame:
-    """Each row with the columns ``take`` of the next one (as ``next_*``) in descending order of id and ``tie``, after
-    the last the first.
+def with_next(rows: DataFrame, id_column: str, tie: str, take: list[str], derived: dict[str, Column]) -> DataFrame:
+    """Each row with the columns ``derived``, and the columns ``take`` of the next one (as ``next_*``) in descending
+    order of id and ``tie``, after the last the first.
 
     Rows are cut at quantiles of (id, tie) into four ranges per shuffle task or more, each ordered by itself, so rows
     without an id, or that share one, spread out as well. The first row of a range is also copied to the end of the
-    range before it. Only the position of one row per range goes to all tasks.
+    range before it. Only the position of one row per range goes to all tasks. ``derived`` is computed once a row.
     """
     ranges = 1 << (4 * partitions(rows.sparkSession)).bit_length()
     place = position(id_column, tie)
@@ -107,7 +107,7 @@ def with_next(rows: DataFrame, id_column: str, tie: str, take: list[str]) -> Dat
     same = (dealt["_range"] == heads["_range"]) & (place == heads["_head"])
     first = dealt.join(F.broadcast(heads), same).select(heads["_before"].alias("_range"), *(dealt[c] for c in rows.columns))
     first = first.dropDuplicates(["_range"])
-    all_rows = dealt.withColumn("_copy", F.lit(0)).unionByName(first.withColumn("_copy", F.lit(1)))
+    all_rows = dealt.withColumn("_copy", F.lit(0)).unionByName(first.withColumn("_copy", F.lit(1))).withColumns(derived)
     order = Window.partitionBy("_range").orderBy("_copy", F.col(id_column).desc_nulls_last(), F.col(tie).desc())
     found = all_rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in take})
     return found.where("_copy = 0").drop("_copy", "_range")
@@ -129,8 +129,8 @@ def edit_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     in descending order of id. Null texts are empty, null ids come last, rows that repeat an id are ordered
     by a hash of their text. A single row is its own next. An empty table gives no rows.
     """
-    rows = fingerprints(docs, id_column, text_column).withColumn("_tie", F.xxhash64("_text"))
-    rows = with_next(rows, "doc_id", "_tie", ["_text", "lanes"])
+    rows = texts(docs, id_column, text_column).withColumn("_tie", F.xxhash64("_text"))
+    rows = with_next(rows, "doc_id", "_tie", ["_text", "lanes"], {"lanes": fingerprint("_text")})
     rows = rows.withColumn("n_chars", F.char_length("_text").cast("long"))
     half = F.expr("cast(n_chars div 2 as int)")
     edited = F.concat(F.expr("substring(_text, 1, cast(n_chars - n_chars div 2 as int))"), F.substring("next__text", F.lit(1), half))
