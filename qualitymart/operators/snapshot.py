@@ -50,14 +50,36 @@ def latest_of_state(state: DataFrame) -> DataFrame:
     return last.select("test_sk", "release_sk", "_last.run_status", "_last.date_sk")
 
 
+def _counts_of(parts: DataFrame) -> list[str]:
+    return [c for c in parts.columns if c.endswith(("_tests", "_executions", "_executed"))]
+
+
+def _added_up(parts: DataFrame) -> list[Column]:
+    """The counts and the mean duration of rows that are parts of one group."""
+    mean = F.try_divide(F.sum("duration_sum"), F.sum("duration_count")).alias("avg_duration_s")
+    return [*[F.sum(c).alias(c) for c in _counts_of(parts)], mean]
+
+
 def rollup_of_state(state: DataFrame, tests: DataFrame) -> DataFrame:
     """``run_rollup`` from the parts of ``month_state``; only these meet the squads."""
-    counts = [c for c in state.columns if c.endswith(("_tests", "_executions", "_executed"))]
-    parts = [*counts, "duration_sum", "duration_count"]
+    parts = [*_counts_of(state), "duration_sum", "duration_count"]
     of_tests = state.groupBy("release_sk", "test_sk").agg(*[F.sum(c).alias(c) for c in parts])
     of_squads = of_tests.join(tests.select("test_sk", "squad_sk"), "test_sk", "left")
-    mean = F.try_divide(F.sum("duration_sum"), F.sum("duration_count")).alias("avg_duration_s")
-    return of_squads.groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in counts], mean)
+    return of_squads.groupBy(*_KEYS).agg(*_added_up(of_squads))
+
+
+def run_rollup_of_days(runs: DataFrame, tests: DataFrame, days: list[date]) -> DataFrame:
+    """``run_rollup`` for each of ``days`` (as ``snapshot_date``) over the runs started by then, from one read of the runs.
+
+    Runs are counted once per day, release and squad; only these parts are dealt to the snapshot days that include
+    them. A run without a start is in none.
+    """
+    of_squads = runs.join(tests.select("test_sk", "squad_sk"), "test_sk", "left")
+    durations = [F.sum("duration_s").alias("duration_sum"), F.count("duration_s").alias("duration_count")]
+    daily = of_squads.groupBy(*_KEYS, F.to_date("started_at").alias("_day")).agg(*_run_counts(), *durations)
+    include = F.filter(F.array(*map(F.lit, sorted(set(days)))), lambda day: day >= F.col("_day"))
+    dealt = daily.withColumn("snapshot_date", F.explode(include))
+    return dealt.groupBy(*_KEYS, "snapshot_date").agg(*_added_up(daily))
 
 
 def open_link_state(links: DataFrame) -> DataFrame:
@@ -108,11 +130,23 @@ def cycle(t: Star, as_of: date) -> DataFrame:
     return of_day(t, as_of, runs, open_critical_rollup(t["fact_defect_link"], t["dim_defect"]))
 
 
+def cycle_of_days(t: Star, days: list[date]) -> DataFrame:
+    """Snapshot rows of several days at once, from the runs started by each day and today's coverage and defects; none
+    for days the calendar lacks. Every fact is read once."""
+    runs = run_rollup_of_days(t["fact_test_run"], t["dim_test"], days)
+    known = t["dim_date"].select(F.col("full_date").alias("snapshot_date"), F.col("date_sk").alias("snapshot_date_sk"))
+    rows = _with_states(t, runs, open_critical_rollup(t["fact_defect_link"], t["dim_defect"]))
+    return rows.join(known, "snapshot_date").drop("snapshot_date")
+
+
 def of_day(t: Star, as_of: date, runs: DataFrame, open_critical: DataFrame) -> DataFrame:
     """The day's rows from counted runs and open critical defects; no fact but the coverage is read."""
-    rows = _null_safe_left(runs, coverage_rollup(t["fact_requirement_coverage"], t["dim_issue"]))
-    rows = _null_safe_left(rows, open_critical)
-    counts = ["covered_requirements", "total_requirements", "open_critical_defects"]
     day = int(as_of.strftime("%Y%m%d"))
     known = t["dim_date"].where(F.col("date_sk") == day).agg(F.max("date_sk")).scalar()
-    return rows.fillna(0, subset=counts).withColumn("snapshot_date_sk", known).where("snapshot_date_sk IS NOT NULL")
+    return _with_states(t, runs, open_critical).withColumn("snapshot_date_sk", known).where("snapshot_date_sk IS NOT NULL")
+
+
+def _with_states(t: Star, runs: DataFrame, open_critical: DataFrame) -> DataFrame:
+    rows = _null_safe_left(runs, coverage_rollup(t["fact_requirement_coverage"], t["dim_issue"]))
+    rows = _null_safe_left(rows, open_critical)
+    return rows.fillna(0, subset=["covered_requirements", "total_requirements", "open_critical_defects"])

@@ -215,9 +215,7 @@ EARLIER_DAY = date(1998, 12, 31)
 
 def two_snapshots(t):
     """Snapshots of two days; the earlier one sees only the runs started by then."""
-    known = t["fact_test_run"].where(F.col("started_at") <= F.lit(EARLIER_DAY))
-    early = snapshot.cycle(t.replace(fact_test_run=known), EARLIER_DAY)
-    return t.replace(fact_cycle_snapshot=early.unionByName(snapshot.cycle(t, SNAPSHOT_DAY)))
+    return t.replace(fact_cycle_snapshot=snapshot.cycle_of_days(t, [EARLIER_DAY, SNAPSHOT_DAY]))
 
 
 SNAPSHOTS = """days AS (SELECT unnest([DATE '1998-12-31', DATE '2001-12-31']) AS day),

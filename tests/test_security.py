@@ -1,9 +1,11 @@
 """What each role sees of the derived star, and marts over keys without a dimension row."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
-from qualitymart.operators import security
+from qualitymart.operators import security, snapshot
 from qualitymart.plans import marts
 from qualitymart.plans.context import Context, apply_context
 from qualitymart.sources.derived import load
@@ -58,3 +60,18 @@ def test_days_outside_the_calendar_have_no_key(star):
 def test_run_ids_are_unique(star):
     runs = star["fact_test_run"]
     assert runs.select("test_run_id").distinct().count() == runs.count()
+
+
+def test_snapshots_of_several_days(star):
+    """All days at once give what each gives by itself over the runs started by then; runs without a start are in none."""
+    days = [date(1996, 6, 30), date(1998, 12, 31), date(2001, 12, 31), date(2300, 1, 1)]  # the calendar lacks the last
+    runs = star["fact_test_run"].withColumn("started_at", F.when(F.crc32("test_run_id") % 10 != 0, F.col("started_at")))
+    t = star.replace(fact_test_run=runs)
+    found = snapshot.cycle_of_days(t, [*days, days[0]])
+    alone = [snapshot.cycle(t.replace(fact_test_run=runs.where(F.to_date("started_at") <= F.lit(day))), day) for day in days]
+    rows = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(*columns).fillna(-1).collect())
+    columns = sorted(found.columns)
+    expected = [r for each in alone for r in rows(each)]
+    assert rows(found) == sorted(expected) and all(rows(each) for each in alone[:3])
+    read = found._jdf.queryExecution().executedPlan().toString()
+    assert read.count("FileScan") < alone[0].unionByName(alone[1])._jdf.queryExecution().executedPlan().toString().count("FileScan")
