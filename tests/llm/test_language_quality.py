@@ -1,5 +1,7 @@
 """Languages and quality against plain recomputation, planted cases and held-out rows."""
 
+import math
+import re
 import zlib
 from collections import Counter
 
@@ -149,3 +151,138 @@ def test_training_rows_are_bounded(spark, monkeypatch):
     quality.learn(frame(spark, rows), "text", trained=15)
     assert 30 <= seen[0] <= 41 and seen[1] <= 15
 
+
+
+# --- plain recomputations of whole queries ----------------------------------
+
+
+def plain_trigrams(text):
+    raw = re.sub(r"[\s\d]+", " ", text.lower()).encode("utf-8", "replace")
+    raw = b" " * (3 - len(raw)) + raw
+    found = Counter()
+    for a, b, c in zip(raw, raw[1:], raw[2:], strict=False):
+        found[((a << 16 | b << 8 | c) * 2654435761 % 2**32) >> 17] += 1
+    return found
+
+
+def plain_shares(counts, chances, steps):
+    """Shares of languages and the log-likelihood, one trigram and one language at a time."""
+    total, languages = sum(counts.values()), range(len(chances))
+    share = [1 / len(chances) for _ in languages]
+    for _ in range(steps if len(chances) > 1 else 0):
+        new = [0.0 for _ in languages]
+        for bucket, n in counts.items():
+            parts = [chances[k](bucket) * share[k] for k in languages]
+            for k in languages:
+                new[k] += n * parts[k] / sum(parts) / total
+        moved, share = max(abs(a - b) for a, b in zip(new, share, strict=True)), new
+        if moved < 1e-4:
+            break
+    return share, sum(n * math.log(sum(chances[k](bucket) * share[k] for k in languages)) for bucket, n in counts.items())
+
+
+def plain_languages(text, names, chances):
+    counts = {b: n / 3 for b, n in plain_trigrams(text).items()}
+    share, _ = plain_shares(counts, chances, 20)
+    order = sorted(range(len(names)), key=lambda k: -share[k])
+    chosen, best = order[:1], plain_shares(counts, [chances[order[0]]], 0)[1]
+    for k in order[1:]:
+        likelihood = plain_shares(counts, [chances[j] for j in [*chosen, k]], 12)[1]
+        if share[k] <= 0.01 or likelihood - best <= math.log(sum(counts.values()) + 2):
+            break
+        chosen, best = [*chosen, k], likelihood
+    return [names[k] for k in chosen], [share[k] for k in chosen]
+
+
+def test_query_of_languages_against_plain_em(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()
+    seen = {}
+    for r in docs:
+        if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.lang is not None and r.text is not None:
+            seen.setdefault(r.lang, Counter()).update(plain_trigrams(r.text))
+    names = sorted(seen)
+    chance = lambda c, total: lambda bucket: (c[bucket] + 0.5) / total
+    chances = [chance(seen[n], seen[n].total() + 0.5 * language.BUCKETS) for n in names]
+    found = {r.doc_id: r for r in QUERIES["op7_language_id"](spark, sf_dir).collect()}
+    assert len(found) == len(docs)
+    for r in docs:
+        if not any(map(str.isalpha, r.text or "")):
+            assert (found[r.doc_id].lang_pred, found[r.doc_id].score) == ("und", 0.0)
+            continue
+        expected, shares = plain_languages(r.text, names, chances)
+        assert found[r.doc_id].languages == expected and found[r.doc_id].lang_pred == expected[0]
+        assert np.allclose(found[r.doc_id].shares, shares, atol=1e-6) and abs(found[r.doc_id].score - shares[0]) < 1e-6
+
+
+def plain_accuracies(votes, steps=100):
+    """EM one document at a time: the share of good ones, each labeller's chances of a vote per class, and each document's posterior."""
+    labellers = range(len(votes[0]))
+    good = [0.05 if "-" in v else 0.95 for v in votes]
+    for _ in range(steps):
+        share = min(max(sum(good) / len(votes), 0.02), 0.98)
+        chance = []
+        for k in labellers:
+            for_good, for_bad = ({"-": a * 0.002 * len(votes), "+": b * 0.002 * len(votes)} for a, b in ((0.2, 1.8), (1.8, 0.2)))
+            for v, g in zip(votes, good, strict=True):
+                if v[k] != "0":
+                    for_good[v[k]] += g
+                    for_bad[v[k]] += 1 - g
+            chance.append([{x: n / sum(c.values()) for x, n in c.items()} for c in (for_good, for_bad)])
+        for d, v in enumerate(votes):
+            odds = math.log(share / (1 - share))
+            for k in labellers:
+                if v[k] != "0":
+                    odds += math.log(chance[k][0][v[k]] + 1e-12) - math.log(chance[k][1][v[k]] + 1e-12)
+            good[d] = 1 / (1 + math.exp(-odds))
+    return share, chance, good
+
+
+def plain_scorer(examples, epochs=12):
+    """AdaGrad on one feature at a time; a feature listed twice counts twice and is moved by its last value."""
+    weights, bias, seen, seen_bias, order = Counter(), 0.0, Counter(), 1e-6, np.random.default_rng(11)
+    for _ in range(epochs):
+        for k in order.permutation(len(examples)):
+            features, target = examples[k]
+            total = bias + sum(weights[b] * v for b, v in features)
+            gap = 1 / (1 + math.exp(-min(max(total, -30), 30))) - target
+            moved = {}
+            for b, v in features:
+                slope = gap * v + 1e-5 * weights[b]
+                squares = seen[b] + slope * slope
+                moved[b] = (weights[b] - 0.3 * slope / math.sqrt(squares + 1e-6), squares)
+            for b, (weight, squares) in moved.items():
+                weights[b], seen[b] = weight, squares
+            seen_bias += gap * gap
+            bias -= 0.3 * gap / math.sqrt(seen_bias)
+    return weights, bias
+
+
+def test_accuracies_against_plain_em():
+    good, bad = corpus()
+    votes = [quality.votes_of(quality.measures(t)) for _, t in good + bad]
+    share, chance, posterior = quality.accuracies(Counter(votes))
+    plain_share, plain_chance, plain_good = plain_accuracies(votes)
+    assert abs(share - plain_share) < 1e-6
+    assert np.allclose([posterior[v] for v in votes], plain_good, atol=1e-6)
+    for k, (for_good, for_bad) in enumerate(plain_chance):
+        assert np.allclose(chance[k][:, [0, 2]], [[c["-"], c["+"]] for c in (for_good, for_bad)], atol=1e-6)
+
+
+def test_query_of_quality_against_plain_em_and_scorer(spark, sf_dir):
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    votes = [quality.votes_of(quality.measures(t)) for _, t in docs]
+    posterior = dict(zip(votes, plain_accuracies(votes)[2], strict=True))
+    rows = {}
+    for (_, text), vote in zip(docs, votes, strict=True):
+        buckets, values = quality.features(text, quality.measures(text))
+        rows[buckets.tobytes(), values.tobytes(), vote] = (list(zip(buckets.tolist(), values.tolist(), strict=True)), posterior[vote])
+    examples = [rows[k] for k in sorted(rows, key=lambda k: (round(posterior[k[2]], 9), k[0], k[1]))]
+    weights, bias = plain_scorer(examples)
+    found = {r.doc_id: r for r in QUERIES["op2_quality_classifier"](spark, sf_dir).collect()}
+    assert len(found) == len(docs)
+    for doc_id, text in docs:
+        buckets, values = quality.features(text, quality.measures(text))
+        total = bias + sum(weights[b] * v for b, v in zip(buckets.tolist(), values.tolist(), strict=True))
+        expected = 1 / (1 + math.exp(-total)) if any(map(str.isalpha, text)) else 0.0
+        assert abs(found[doc_id].quality_score - expected) < 1e-6, doc_id
+        assert found[doc_id].keep == (found[doc_id].quality_score >= 0.5)
