@@ -24,6 +24,8 @@ BUCKETS = 1 << 15
 #: Overlapping trigrams repeat what their neighbours say, so each counts as this part of an observation.
 WEIGHT = 1 / 3
 UNDETERMINED = "und"
+#: At most this many languages are learned; the model has 256 KB for each, so it has at most 125 MB.
+LANGUAGES = 500
 #: Languages whose counts a task holds before it passes them on.
 HELD = 64
 
@@ -37,14 +39,17 @@ def trigrams(text: str) -> np.ndarray:
     return np.bincount(codes >> 17, minlength=BUCKETS)
 
 
-def learn(texts: DataFrame, text_column: str, language_column: str) -> tuple[list[str], np.ndarray]:
+def learn(texts: DataFrame, text_column: str, language_column: str, most: int = LANGUAGES) -> tuple[list[str], np.ndarray]:
     """Languages in alphabetical order, and the probability of each bucket (row) in each language (column).
 
-    Rows with a null text or language teach nothing. What comes to the driver is one number per language
-    and bucket.
+    Rows with a null text or language teach nothing. If the rows name more than ``most`` languages, as faulty labels
+    can, those that most rows name are learned (of equally many, the first in the alphabet), from all of their texts.
+    What comes to the driver is one number per learned language and bucket.
     """
     small_batches(texts.sparkSession)
-    rows = texts.select(F.col(language_column).alias("_lang"), F.col(text_column).alias("_text")).where("_lang is not null and _text is not null")
+    rows = texts.select(F.col(language_column).alias("_lang"), F.col(text_column).alias("_text")).where("_lang is not null")
+    named = rows.groupBy("_lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_lang").limit(most).select("_lang")
+    rows = rows.where("_text is not null").join(F.broadcast(named), "_lang", "left_semi").select("_lang", "_text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}

@@ -39,6 +39,17 @@ def test_languages_held_in_turn(spark, odd, monkeypatch):
     assert whole[0] == again[0] and (whole[1] == again[1]).all()
 
 
+def test_faulty_labels_are_bounded(spark):
+    """Of more languages than asked for, those named by most rows are learned, from all of their texts."""
+    rows = [(k, prose(k, 40), "en") for k in range(30)] + [(100 + k, prose(k, 40, GERMAN), "de") for k in range(30)]
+    junk = [(1000 + k, prose(k, 3), f"label {k:04}") for k in range(700)] + [(2000, None, "zz"), (2001, None, "zz")]
+    names, chances = language.learn(frame(spark, rows + junk), "text", "lang", most=3)
+    assert names == ["de", "en"]  # the third most frequent has null texts alone
+    assert np.allclose(chances, language.learn(frame(spark, rows), "text", "lang")[1])
+    names, chances = language.learn(frame(spark, rows + junk), "text", "lang")
+    assert names == ["de", "en", *(f"label {k:04}" for k in range(497))] and chances.shape == (language.BUCKETS, 499)
+
+
 def test_em_raises_the_likelihood(model):
     counts = language.trigrams(prose(7, 60) + prose(8, 60, GERMAN))
     full = np.flatnonzero(counts)
@@ -284,5 +295,5 @@ def test_query_of_quality_against_plain_em_and_scorer(spark, sf_dir):
         buckets, values = quality.features(text, quality.measures(text))
         total = bias + sum(weights[b] * v for b, v in zip(buckets.tolist(), values.tolist(), strict=True))
         expected = 1 / (1 + math.exp(-total)) if any(map(str.isalpha, text)) else 0.0
-        assert abs(found[doc_id].quality_score - expected) < 1e-6, doc_id
+        assert abs(found[doc_id].quality_score - expected) < 1e-4, doc_id
         assert found[doc_id].keep == (found[doc_id].quality_score >= 0.5)
