@@ -287,13 +287,16 @@ def test_query_of_quality_against_plain_em_and_scorer(spark, sf_dir):
     for (_, text), vote in zip(docs, votes, strict=True):
         buckets, values = quality.features(text, quality.measures(text))
         rows[buckets.tobytes(), values.tobytes(), vote] = (list(zip(buckets.tolist(), values.tolist(), strict=True)), posterior[vote])
-    examples = [rows[k] for k in sorted(rows, key=lambda k: (round(posterior[k[2]], 9), k[0], k[1]))]
+    rank = quality.accuracies(Counter(votes))[2]  # the order of examples only: posteriors can differ in their last digit
+    examples = [rows[k] for k in sorted(rows, key=lambda k: (rank[k[2]], k[0], k[1]))]
     weights, bias = plain_scorer(examples)
     found = {r.doc_id: r for r in QUERIES["op2_quality_classifier"](spark, sf_dir).collect()}
     assert len(found) == len(docs)
+    gaps = []
     for doc_id, text in docs:
         buckets, values = quality.features(text, quality.measures(text))
         total = bias + sum(weights[b] * v for b, v in zip(buckets.tolist(), values.tolist(), strict=True))
         expected = 1 / (1 + math.exp(-total)) if any(map(str.isalpha, text)) else 0.0
-        assert abs(found[doc_id].quality_score - expected) < 1e-4, doc_id
+        gaps.append(abs(found[doc_id].quality_score - expected))
         assert found[doc_id].keep == (found[doc_id].quality_score >= 0.5)
+    assert max(gaps) < 1e-6
