@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qualitymart.session import shared_folder
+from qualitymart.session import remove, shared_folder
+
+#: Folders of the tables that the step at hand has stored (``only_last``).
+_STORED: ContextVar[list[str] | None] = ContextVar("stored", default=None)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -48,10 +52,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Several readers then share one computation, and a lost executor costs no recomputation.
     """
     path = new_folder(df.sparkSession, name)
+    if (folders := _STORED.get()) is not None:
+        folders.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def only_last(spark: SparkSession, step: Callable[[], DataFrame]) -> DataFrame:
+    """What ``step()`` returns, which reads the table that it stored last and none of those it stored before.
+
+    The earlier ones are deleted then. If the step fails, all of them are.
+    """
+    outer, folders, kept = _STORED.get(), [], []
+    token = _STORED.set(folders)
+    try:
+        found = step()
+        kept = folders[-1:]
+    finally:
+        _STORED.reset(token)
+        for folder in folders[: len(folders) - len(kept)]:
+            remove(spark, folder)
+    if outer is not None:
+        outer += kept
+    return found
+
+
 def numbered(df: DataFrame, group: list[str], spread: Column, order: list[Column], name: str) -> DataFrame:
     """Number the rows of each ``group`` from 0 without a gap, as column ``name``.
 

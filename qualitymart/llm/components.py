@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import stored
+from qualitymart.llm.common import only_last, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,6 +14,10 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among a node's neighbours and then the label of that label, so paths
     shorten by half or more. Labels are written after each round; only the number of changes is collected.
     """
+    return only_last(links.sparkSession, lambda: spread(links))
+
+
+def spread(links: DataFrame) -> DataFrame:
     edges = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stored(edges.groupBy("a").agg(F.min("b").alias("_m")).select(F.col("a").alias("node"), F.least("a", "_m").alias("component")), "labels")
     while True:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualitymart.llm.common import stored
+from qualitymart.llm.common import only_last, stored
 
 #: Bits in which two fingerprints may differ. At a similarity of 0.8 they differ in 10 of 64 bits on average, with a
 #: standard deviation of 3.
@@ -170,7 +170,13 @@ def find_items(docs: DataFrame, items: DataFrame, words: int = 5, least: float =
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that hold no item, columns as they are."""
-    found = stored(find_items(docs, items, id_column=id_column, text_column=text_column, **how).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash")).distinct(), "contaminated")
+
+
+    def contaminated() -> DataFrame:
+        pairs = find_items(docs, items, id_column=id_column, text_column=text_column, **how)
+        return stored(pairs.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash")).distinct(), "contaminated")
+
+    found = only_last(docs.sparkSession, contaminated)
     rows = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(text_column, F.lit(""))))
     few = sent(found)
     return rows.join(few, rows[id_column].eqNullSafe(few["_id"]) & (rows["_text_hash"] == few["_hash"]), "left_anti").drop("_text_hash")

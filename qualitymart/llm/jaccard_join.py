@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import batch_rows, numbered, partitions, small_batches, stored
+from qualitymart.llm.common import batch_rows, numbered, only_last, partitions, small_batches, stored
 from qualitymart.llm.components import components
 from qualitymart.llm.token_counts import texts_of
 
@@ -445,14 +445,20 @@ def linked(rows: DataFrame, words: int, threshold: int) -> tuple[DataFrame, Data
     shared = stored(by_first(shared_keys(measured), "node").select("key", "node", "leader"), "shared-keys")
     pairs = by_first(shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "a")
     pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = verified(bounded(pairs, points, threshold), texts, words, threshold)
+    spark = rows.sparkSession
+    links = only_last(spark, lambda: verified(bounded(pairs, points, threshold), texts, words, threshold))
 
     part = components(links)
     members = shared.select("key", "node").join(sent_if_few(part), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     members = members.repartition(partitions(rows.sparkSession), "key").dropDuplicates(["key", "node"])  # one exchange, also for the next count
     mixed_keys = members.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("n")).where("_low <> _high").select("key", "n")
-    crossing = across(members, stored(mixed_keys, "mixed-keys"), points, threshold)
-    more = verified(bounded(crossing, points, threshold), texts, words, threshold)
+
+
+    def crossing() -> DataFrame:
+        found = across(members, stored(mixed_keys, "mixed-keys"), points, threshold)
+        return verified(bounded(found, points, threshold), texts, words, threshold)
+
+    more = only_last(spark, crossing)
     links = links.unionByName(more).unionByName(equal.select(F.col("first").alias("a"), F.col("node").alias("b")))
     return measured.select("node", "n_shingles"), links
 
@@ -467,14 +473,19 @@ def near_duplicates(docs: DataFrame, words: int = 4, threshold: int = 85, id_col
     gives no rows. No other column is read.
     """
     small_batches(docs.sparkSession)
-    rows, named = with_nodes(docs, id_column, text_column)
-    measured, links = linked(rows, words, threshold)
-    if named is not None:
-        links = links.unionByName(named.select(F.col("_id").alias("a"), F.col("_node").alias("b")))
-        measured = measured.join(sent_if_few(named.select("_id", "_node")), F.col("node") == F.col("_node"), "left").withColumn("node", F.coalesce("_id", "node"))
-    part = components(links)
-    found = measured.select(F.col("node").alias("doc_id"), "n_shingles")
-    return found.join(part, found["doc_id"] == part["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+    def classes() -> DataFrame:
+        rows, named = with_nodes(docs, id_column, text_column)
+        measured, links = linked(rows, words, threshold)
+        if named is not None:
+            links = links.unionByName(named.select(F.col("_id").alias("a"), F.col("_node").alias("b")))
+            measured = measured.join(sent_if_few(named.select("_id", "_node")), F.col("node") == F.col("_node"), "left").withColumn("node", F.coalesce("_id", "node"))
+        part = components(links)
+        found = measured.select(F.col("node").alias("doc_id"), "n_shingles")
+        found = found.join(part, found["doc_id"] == part["node"], "left")
+        return stored(found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")), "classes")
+
+    return only_last(docs.sparkSession, classes)
 
 
 def one_of_each(docs: DataFrame, words: int = 5, threshold: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -486,8 +497,13 @@ def one_of_each(docs: DataFrame, words: int = 5, threshold: int = 80, id_column:
     """
     small_batches(docs.sparkSession)
     rows, named = with_nodes(docs, id_column, text_column)
-    _, links = linked(rows, words, threshold)
-    gone = stored(components(links).where("component <> node").select("node"), "duplicates")
+
+
+    def duplicates() -> DataFrame:
+        _, links = linked(rows, words, threshold)
+        return stored(components(links).where("component <> node").select("node"), "duplicates")
+
+    gone = only_last(docs.sparkSession, duplicates)
     few = sent_if_few(gone)
     kept = docs.join(few, docs[id_column] == few["node"], "left_anti")
     text_hash = F.xxhash64(F.coalesce(docs[text_column], F.lit("")))

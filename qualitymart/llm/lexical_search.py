@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import small_batches, stored
+from qualitymart.llm.common import only_last, small_batches, stored
 from qualitymart.llm.token_counts import texts_of
 
 #: Documents of a tree, and different vectors in a leaf.
@@ -243,7 +243,7 @@ def search(
             terms.setdefault(item, set()).update(terms_of(text))
         names = list(terms)
         table = spark.createDataFrame(list(enumerate(names)), "_n long, item_id long")
-        best = search_block(rows, [(k, terms[name]) for k, name in enumerate(names)], top)
+        best = only_last(spark, lambda of=[(k, terms[name]) for k, name in enumerate(names)]: stored(search_block(rows, of, top), "best"))
         found.append(best.join(table, best["item"] == table["_n"]).select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
     if not found:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")

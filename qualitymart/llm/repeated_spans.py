@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qualitymart.llm.common import partitions, small_batches, stored
+from qualitymart.llm.common import only_last, partitions, small_batches, stored
 from qualitymart.llm.token_counts import texts_of
 from qualitymart.llm.words import Prefixes, hashed, mixed, words_of
 
@@ -297,9 +297,13 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     small_batches(docs.sparkSession)
     rows = document_of(id_column, text_column, docs)
-    spans = stored(repeated_spans(rows), "spans")
-    verified = spans.join(source_digests(rows, spans), ["from_doc", "from_tie", "from_start", "words"])
-    wanted = verified.groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "words", "digest")).alias("parts"))
+
+    def removals() -> DataFrame:
+        spans = only_last(docs.sparkSession, lambda: stored(repeated_spans(rows), "spans"))
+        verified = spans.join(source_digests(rows, spans), ["from_doc", "from_tie", "from_start", "words"])
+        return stored(verified.groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "words", "digest")).alias("parts")), "removals")
+
+    wanted = only_last(docs.sparkSession, removals)
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,7 +327,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(map(len, found), pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in found], pa.string())], ["_doc", "_tie", "n_words", "_whole"])
 
     layout = "doc long, tie long, _removed long, spans array<struct<start: int, end: int>>, _kept string"
-    changed = of_documents(rows, stored(wanted, "removals")).select("_doc", "_tie", "_text", "parts").mapInArrow(removed, layout).dropDuplicates(["doc", "tie"])
+    changed = of_documents(rows, wanted).select("_doc", "_tie", "_text", "parts").mapInArrow(removed, layout).dropDuplicates(["doc", "tie"])
     every = rows.select("_doc", "_tie", "_text").mapInArrow(whole, "_doc long, _tie long, n_words long, _whole string")
     found = every.join(changed, (F.col("_doc") == F.col("doc")) & (F.col("_tie") == F.col("tie")), "left")
     return found.select(
