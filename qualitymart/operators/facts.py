@@ -121,8 +121,8 @@ def test_run_facts(run_rows: DataFrame, t: Star) -> DataFrame:
     All lookups happen before the fan-out over versions; only the release is looked up after it.
     """
     environment = t["dim_test_execution"].withColumn("environment_name", X.first_environment(F.col("environments_json")))
-    df = keys.lookup(run_rows, t["dim_test"], "test_key", "test_key", "test_sk")
-    df = keys.lookup(df, environment, "execution_key", "execution_key", "execution_sk", "environment_name")
+    df = keys.lookup(run_rows, t["dim_test"], "test_key", "test_key", "test_sk", grows=True)
+    df = keys.lookup(df, environment, "execution_key", "execution_key", "execution_sk", "environment_name", grows=True)
     df = keys.lookup(df, t["dim_environment"], "environment_name", "environment_name", "environment_sk")
     df = keys.lookup(df, t["dim_tester"], "tester_id", "tester_id", "tester_sk")
     df = keys.lookup(df, t["dim_status"], "run_status", "status_name", "status_sk")
@@ -145,7 +145,7 @@ def defect_links(run_rows: DataFrame, t: Star) -> DataFrame:
     ).where("d.defect_key IS NOT NULL")
     fanned = pairs.select("test_run_id", "month", "ord", "d.*", F.explode("versions").alias("release_name"))
     df = keys.lookup(fanned, t["dim_release"], "release_name", "release_name", "release_sk")
-    df = keys.lookup(df, t["dim_defect"].withColumnRenamed("defect_key", "_defect"), "defect_key", "_defect", "defect_sk")
+    df = keys.lookup(df, t["dim_defect"].withColumnRenamed("defect_key", "_defect"), "defect_key", "_defect", "defect_sk", grows=True)
     return df.select(
         "defect_key", "defect_sk", "test_run_id", "release_sk", F.lit(S.LINK_TYPE).alias("link_type"), "open_flag", "month", "ord"
     )

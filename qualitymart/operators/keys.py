@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from qualitymart.session import dealt
+
 
 def number(new_keys: DataFrame, key: str, sk: str, start: int, buckets: int | None = None) -> DataFrame:
     """Dense numbers after ``start`` for distinct natural keys.
@@ -37,32 +39,34 @@ def merge_dimension(
     sk: str,
     merge: Callable[[DataFrame, DataFrame, list[str]], DataFrame],
     highest: int | None = None,
+    many: bool = False,
 ) -> DataFrame:
     """Merge updates by natural key; only keys the target lacks are numbered.
 
     Keys are told apart first: updates of known keys are merged into the target, the others get their
     number among themselves and then pass through the same merge against an empty target. ``highest`` is the last
-    number given, needed if ``target`` is only a part of the dimension.
+    number given, needed if ``target`` is only a part of the dimension. ``many`` updates are dealt out by key.
     """
-    named = updates.where(F.col(key).isNotNull() & (F.col(key) != ""))
+    named = dealt(updates.where(F.col(key).isNotNull() & (F.col(key) != "")), many)
     known = target.select(F.col(key).alias("_known"))
-    fresh = named.join(known, F.col(key) == F.col("_known"), "left_anti")
+    fresh = dealt(named.join(known, F.col(key) == F.col("_known"), "left_anti"), many)
     if highest is None:
         highest = target.agg(F.coalesce(F.max(sk), F.lit(0)).alias("m")).first()["m"]
-    numbers = number(fresh.select(key), key, sk, highest)
-    held = named.join(known, F.col(key) == F.col("_known"), "left_semi")
+    numbers = dealt(number(fresh.select(key), key, sk, highest), many)
+    held = dealt(named.join(known, F.col(key) == F.col("_known"), "left_semi"), many)
     merged = merge(target, held, [key])
     inserted = merge(target.where(F.lit(False)), fresh, [key]).drop(sk).join(numbers, key)
     return merged.unionByName(inserted.select(*merged.columns))
 
 
-def lookup(df: DataFrame, dimension: DataFrame, on: str, key: str, *columns: str) -> DataFrame:
+def lookup(df: DataFrame, dimension: DataFrame, on: str, key: str, *columns: str, grows: bool = False) -> DataFrame:
     """Attach columns of a dimension by natural key; NULL, empty and unknown keys get NULL.
 
-    Left to Spark which side to broadcast: it knows the size, and adaptive execution splits a key
-    that many rows share.
+    Left to Spark whether to broadcast a dimension whose size it knows; one that grows with the facts (``grows``) is dealt
+    out by key with them, and adaptive execution splits a key that many rows share.
     """
     found = dimension.select(F.col(key).alias("_key"), *columns)
+    found = found.hint("shuffle_hash") if grows else found
     return df.join(found, F.col(on) == F.col("_key"), "left").drop("_key")
 
 

@@ -22,7 +22,7 @@ from qualitymart.functions import calendar
 from qualitymart.functions import scalars as X
 from qualitymart.functions.fieldmap import FieldMap
 from qualitymart.operators import coverage, dims, facts, keys, snapshot, upsert, windows
-from qualitymart.session import configure, cut
+from qualitymart.session import configure, cut, dealt, is_many, sized
 from qualitymart.sources import staging, window
 from qualitymart.sources.control import Control
 from qualitymart.sources.warehouse import HASHED, Update, Warehouse
@@ -50,13 +50,16 @@ def _dimension(tx: Update, name: str, updates: DataFrame, key: str, merge) -> No
     sk = S.columns(name)[0]
     updates = updates.where(F.col(key).isNotNull() & (F.col(key) != ""))
     parts = highest = None
+    many = False
     if name in HASHED:
         updates = cut(updates)
+        many = is_many(updates)
+        updates = dealt(updates, many)
         parts = tx.parts_of(name, updates)
         highest = tx.table(name).agg(F.coalesce(F.max(sk), F.lit(0)).alias("m")).first()["m"]
     target = tx.table(name, parts)
     tx.count_changes(name, target, updates, [key], merge)
-    merged = keys.merge_dimension(target, updates, key, sk, merge, highest)
+    merged = keys.merge_dimension(target, updates, key, sk, merge, highest, many)
     if "is_active" in merged.columns:
         merged = merged.fillna(True, subset=["is_active"])
     if "is_released" in merged.columns:
@@ -129,23 +132,24 @@ def load_issues(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> DataFram
     ).drop("program_name", "application_name")
     _dimension(tx, "dim_squad", squads, "squad_name", upsert.overwrite)
     latest = cut(_latest(rows, "issue_key"))
+    delivered_keys = dealt(latest.select("issue_key"), is_many(latest))
     issues = keys.lookup(latest, programs.withColumnRenamed("program_name", "_program"), "program_name", "_program", "program_sk")
     issues = keys.lookup(issues, tx.table("dim_squad").select("squad_name", "squad_sk").withColumnRenamed("squad_name", "_squad"), "squad_name", "_squad", "squad_sk")
     wanted = [c for c in S.columns("dim_issue") if c != "issue_sk"]
     _dimension(tx, "dim_issue", issues.select(*wanted), "issue_key", upsert.overwrite)
-    _replace_bridge(tx, "bridge_issue_test", latest, F.col("linked_keys"), "test_key")
-    _replace_bridge(tx, "bridge_issue_release", latest, F.col("fix_versions"), "release_name")
-    return latest.select("issue_key")
+    _replace_bridge(tx, "bridge_issue_test", latest, delivered_keys, F.col("linked_keys"), "test_key")
+    _replace_bridge(tx, "bridge_issue_release", latest, delivered_keys, F.col("fix_versions"), "release_name")
+    return delivered_keys
 
 
-def _replace_bridge(tx: Update, name: str, issues: DataFrame, values, column: str) -> None:
+def _replace_bridge(tx: Update, name: str, issues: DataFrame, delivered: DataFrame, values, column: str) -> None:
     """The links of the delivered issues replace their former ones."""
     pairs = issues.select("issue_key", F.explode(F.array_distinct(values)).alias(column)).where(F.col(column).isNotNull())
     if tx.warehouse.ci:
         dimension = "dim_test" if column == "test_key" else "dim_release"
         pairs = keys.respelled(pairs, column, F.col(column), tx.table(dimension), column).distinct()
     parts = tx.parts_of(name, issues)
-    kept = tx.table(name, parts).join(issues.select("issue_key"), "issue_key", "left_anti")
+    kept = tx.table(name, parts).join(delivered, "issue_key", "left_anti")
     tx.put(name, kept.unionByName(pairs), parts)
 
 
@@ -202,13 +206,13 @@ def load_runs(tx: Update, parsed: DataFrame, refresh_open_flag: bool = False) ->
     pair = ["test_run_id", "release_sk"]
     fanned = facts.test_run_facts(once, tx.star())
     wanted = [c for c in S.columns("fact_test_run") if c in fanned.columns]
-    runs = cut(windows.latest(fanned.select(*wanted, "ord"), pair, ["ord"]).drop("ord"))
+    runs = sized(cut(windows.latest(fanned.select(*wanted, "ord"), pair, ["ord"]).drop("ord")))
     tx.merge_months("fact_test_run", runs, pair, lambda t, u: upsert.replace_rows(t, u, pair))
 
     triple = ["defect_key", "test_run_id", "release_sk"]
     linked = facts.defect_links(rows, tx.star())
     pick = windows.latest if refresh_open_flag else windows.earliest
-    links = cut(pick(linked, triple, ["ord"]).drop("ord"))
+    links = sized(cut(pick(linked, triple, ["ord"]).drop("ord")))
     keep = upsert.replace_rows if refresh_open_flag else upsert.insert_absent
     tx.merge_months("fact_defect_link", links, triple, lambda t, u: keep(t, u, triple))
 
@@ -216,10 +220,10 @@ def load_runs(tx: Update, parsed: DataFrame, refresh_open_flag: bool = False) ->
 def load_steps(tx: Update, parsed: DataFrame) -> None:
     rows = facts.steps(parsed)
     frozen, moving = ["test_run_id", "step_order"], ["step_status", "actual_result", "comment"]
-    steps = upsert.first_and_last(rows, ["step_result_id"], "ord", frozen, moving)
+    steps = sized(cut(upsert.first_and_last(rows, ["step_result_id"], "ord", frozen, moving)))
     # Steps are filed under the month of their run.
     filed = tx.months_of("fact_test_run", steps.select("test_run_id").distinct()).groupBy("test_run_id").agg(F.max("month").alias("month"))
-    steps = cut(steps.join(filed, "test_run_id", "left").fillna(0, subset=["month"]))
+    steps = sized(cut(steps.join(filed, "test_run_id", "left").fillna(0, subset=["month"])))
     tx.merge_months(
         "fact_test_step_result", steps, ["step_result_id"], lambda t, u: upsert.partial(t, u, ["step_result_id"], moving)
     )
@@ -235,7 +239,7 @@ def refresh_states(tx: Update) -> DataFrame:
     if months:
         tx.put("state_test_runs", snapshot.month_state(tx.table("fact_test_run", months)), months)
     after = tx.table("state_test_runs", months)
-    return cut(before.exceptAll(after).unionByName(after.exceptAll(before)).select("test_sk").distinct())
+    return sized(cut(before.exceptAll(after).unionByName(after.exceptAll(before)).select("test_sk").distinct()))
 
 
 def load_coverage(tx: Update, issue_keys: DataFrame, test_keys: DataFrame, changed_tests: DataFrame) -> None:
@@ -250,10 +254,10 @@ def load_coverage(tx: Update, issue_keys: DataFrame, test_keys: DataFrame, chang
     linked = tx.table("bridge_issue_test").join(keys_of_tests, "test_key", "left_semi").select("issue_key")
     promised = tx.table("bridge_issue_release").join(new, "release_name", "left_semi").select("issue_key")
     affected = issue_keys.select("issue_key").union(linked).union(promised).distinct()
-    issues = cut(tx.table("dim_issue").select("issue_sk", "issue_key").join(affected, "issue_key", "left_semi"))
+    issues = sized(cut(tx.table("dim_issue").select("issue_sk", "issue_key").join(affected, "issue_key", "left_semi")))
     parts = tx.parts_of("fact_requirement_coverage", issues)
 
-    links = cut(tx.table("bridge_issue_test").join(issues, "issue_key").join(tests, "test_key"))
+    links = sized(cut(tx.table("bridge_issue_test").join(issues, "issue_key").join(tests, "test_key")))
     releases = tx.table("dim_release").select("release_sk", "release_name")
     planned = tx.table("bridge_issue_release").join(issues, "issue_key").join(releases, "release_name")
     state = tx.table("state_test_runs").join(links.select("test_sk").distinct(), "test_sk", "left_semi")
@@ -326,21 +330,21 @@ def purge_project(warehouse: Warehouse, project: str, control: Control | None =
     tx = warehouse.begin()
     t = tx.star()
     of_project = lambda name, key: t[name].where(F.substring_index(key, "-", 1) == project)
-    gone_tests = cut(of_project("dim_test", "test_key").select("test_sk", "test_key"))
-    gone_executions = cut(of_project("dim_test_execution", "execution_key").select("execution_sk"))
+    gone_tests = sized(cut(of_project("dim_test", "test_key").select("test_sk", "test_key")))
+    gone_executions = sized(cut(of_project("dim_test_execution", "execution_key").select("execution_sk")))
     runs = t["fact_test_run"].select("test_run_id", "test_sk", "execution_sk")
     of_tests = runs.join(gone_tests.select("test_sk"), "test_sk", "left_semi").select("test_run_id")
     of_executions = runs.join(gone_executions, "execution_sk", "left_semi").select("test_run_id")
-    gone_runs = cut(of_tests.union(of_executions).distinct())
-    gone_defects = cut(of_project("fact_defect_link", "defect_key").select("defect_key").distinct())
+    gone_runs = sized(cut(of_tests.union(of_executions).distinct()))
+    gone_defects = sized(cut(of_project("fact_defect_link", "defect_key").select("defect_key").distinct()))
     for fact in ("fact_test_step_result", "fact_defect_link", "fact_test_run"):
         tx.remove_rows(fact, gone_runs, "test_run_id")
     tx.remove_rows("fact_defect_link", gone_defects, "defect_key")
     # requirements that lose a linked test are covered anew; those of the project go
     issues = of_project("dim_issue", "issue_key").select("issue_key", "issue_sk")
-    gone_issues = cut(issues)
+    gone_issues = sized(cut(issues))
     left = t["bridge_issue_test"].join(gone_tests.select("test_key"), "test_key", "left_semi").select("issue_key").distinct()
-    left = cut(left.join(gone_issues.select("issue_key"), "issue_key", "left_anti"))
+    left = sized(cut(left.join(gone_issues.select("issue_key"), "issue_key", "left_anti")))
     for name in ("bridge_issue_test", "bridge_issue_release", "dim_issue", "dim_defect", "dim_test", "dim_test_plan", "dim_test_execution"):
         key = HASHED.get(name, "test_plan_key")
         parts = tx.parts_of(name, of_project(name, key)) if name in HASHED else None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -74,6 +76,35 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+#: A side of a join with more rows is dealt out by key, not sent whole to the driver and every executor.
+MANY = 200_000
+
+
+def is_many(df: DataFrame) -> bool:
+    """Whether stored rows are more than a join may broadcast; reads at most that many of each partition.
+
+    Spark's own estimate doesn't tell: rows that come out of an exploded VARIANT are taken for a fortieth of their size or less.
+    """
+    return df.limit(MANY + 1).count() > MANY
+
+
+def dealt(df: DataFrame, many: bool = True) -> DataFrame:
+    """``df``, marked to be shuffled by the join that follows if it has many rows."""
+    return df.hint("merge") if many else df
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Stored rows (``cut``), marked by their number."""
+    return dealt(df, is_many(df))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared folder: for wide rows that are read several times, each time some columns."""
+    folder = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that lost executors need not recompute it."""
     spark = df.sparkSession

@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegerType
 
 from qualitymart import schemas as S
 from qualitymart.operators import upsert
-from qualitymart.session import read_or_none, remove
+from qualitymart.session import cut, read_or_none, remove, sized
 from qualitymart.sources.star import Star
 
 #: Tables kept per value of a column.
@@ -192,7 +192,7 @@ class Update:
         months = [r[0] for r in rows.select(key, "month").join(gone, key, "left_semi").select("month").distinct().collect()]
         if months:
             of_locator = HASHED[LOCATORS[name]]
-            ids = self.table(name, months).join(gone, key, "left_semi").select(of_locator).distinct()
+            ids = sized(cut(self.table(name, months).join(gone, key, "left_semi").select(of_locator).distinct()))
             self.put(name, self.table(name, months).join(gone, key, "left_anti"), months)
             # the published rows name the keys, whichever of them are left
             self._locate_again(name, ids)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from qualitymart.functions import scalars as X
 from qualitymart.functions.fieldmap import FieldMap
 from qualitymart.operators import dims, facts
-from qualitymart.session import cut
+from qualitymart.session import cut, dealt, stored
 from qualitymart.sources import staging
 
 #: Where a record states when it last changed, or started.
@@ -56,7 +56,8 @@ def closed(records: DataFrame, since: datetime | None, until: datetime, fields_m
     A run brings its test, execution, versions and defects, an issue its versions and linked tests, an execution its
     plan; a step comes with its run, whenever it was landed. An execution that a run brings brings its plan.
     """
-    rows = records.withColumns({"_time": own_time(), "_name": _name()})
+    # stored, since four passes read them
+    rows = stored(records.withColumns({"_time": own_time(), "_name": _name()}))
     inside = F.col("_time") <= F.lit(until)
     if since is not None:
         inside &= F.col("_time") > F.lit(since)
@@ -66,12 +67,12 @@ def closed(records: DataFrame, since: datetime | None, until: datetime, fields_m
     def named(wanted: DataFrame) -> DataFrame:
         on = (F.col("entity_type") == F.col("entity")) & (F.col("_name") == F.col("name"))
         referred = rows.where(F.col("entity_type").isin(*REFERRED) & ~inside)
-        return referred.join(wanted, on, "left_semi").select(*records.columns)
+        return referred.join(dealt(wanted), on, "left_semi").select(*records.columns)
 
     brought = cut(named(_referred(kept, fields_map)))
     # what they name in turn: plans of executions; the rest has been named before or lies in the window
     later = _referred(brought, fields_map).where("entity = 'xray_test_plan'")
     plans = named(later).join(brought.select("entity_type", "source_key"), ["entity_type", "source_key"], "left_anti").select(*records.columns)
-    runs = kept.where("entity_type = 'xray_test_run'").select(F.col("source_key").alias("_run")).distinct()
+    runs = dealt(kept.where("entity_type = 'xray_test_run'").select(F.col("source_key").alias("_run")).distinct())
     steps = rows.where(is_step).join(runs, F.get_json_object("raw_json", "$._test_run_id") == F.col("_run"), "left_semi")
     return kept.unionByName(brought).unionByName(plans).unionByName(steps.select(*records.columns))

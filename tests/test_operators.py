@@ -5,7 +5,10 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from qualitymart.operators import keys, upsert, windows
+from qualitymart import session
+from qualitymart.functions.fieldmap import FieldMap
+from qualitymart.operators import dims, keys, upsert, windows
+from qualitymart.sources import staging
 
 
 def frame(spark, rows, schema="k STRING, a STRING, b STRING"):
@@ -119,3 +122,27 @@ def test_run_sequence_against_brute_force(spark):
         for place, (_, n) in enumerate(sorted((s, n) for t, s, n in rows if t == test), start=1):
             expected[n] = place
     assert got == expected
+
+
+def test_many_parsed_updates_are_not_broadcast(spark, monkeypatch):
+    """Rows parsed out of VARIANT are taken for a fraction of their size; by their number they are dealt out by key."""
+    monkeypatch.setattr(session, "MANY", 100)
+    rows = spark.range(400).selectExpr("concat('E-', id) AS source_key", """concat('{"fields":{"summary":"s', id, '"}}') AS raw_json""",
+                                       "timestamp '2024-03-01 00:00:00' AS loaded_at", "'r' AS run_id")
+    updates = session.cut(dims.executions(staging.parse(rows), FieldMap()).select("execution_key", "summary"))
+    assert session.is_many(updates) and not session.is_many(updates.limit(100))
+    target = spark.createDataFrame([(1, "E-1", "old")], "execution_sk BIGINT, execution_key STRING, summary STRING")
+    merged = keys.merge_dimension(target, session.sized(updates), "execution_key", "execution_sk", upsert.overwrite, many=True)
+    # only the offsets of the buckets are sent to every task
+    assert merged._jdf.queryExecution().executedPlan().toString().count("+- BroadcastExchange") <= 1
+    found = {r.execution_key: (r.execution_sk, r.summary) for r in merged.collect()}
+    assert len(found) == 400 and found["E-1"] == (1, "s1") and {sk for sk, _ in found.values()} == set(range(1, 401))
+
+
+def test_dimensions_that_grow_are_not_broadcast(spark):
+    executions = dims.executions(staging.parse(spark.range(5).selectExpr("concat('E-', id) AS source_key", "'{}' AS raw_json",
+                                 "timestamp '2024-03-01 00:00:00' AS loaded_at", "'r' AS run_id")), FieldMap())
+    runs = spark.range(9).selectExpr("concat('E-', id) AS execution_key")
+    found = keys.lookup(runs, executions, "execution_key", "execution_key", "summary", grows=True)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 9
