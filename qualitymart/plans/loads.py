@@ -416,7 +416,7 @@ def run(spark: SparkSession, cfg: LoadConfig, extract: Callable[[datetime | None
     try:
         records = extract(before)
         if cfg.projects:
-            records = records.where(F.coalesce(staging.project_of(records).isin(*cfg.projects), F.lit(False)))
+            records = staging.of_projects(records, cfg.projects)
         stamp = X.parse_ts(F.get_json_object("raw_json", "$.fields.updated")).cast("timestamp")
         is_issue = F.col("entity_type").isin("jira_issue", "jira_defect")
         if cfg.until is not None:

@@ -7,6 +7,7 @@ is resolved when reading, where the latest load of a key wins. A retried write i
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,13 @@ def project_of(records: DataFrame) -> Column:
     return F.substring_index(F.when(owned, stamped).otherwise(F.col("source_key")), "-", 1)
 
 
+def of_projects(records: DataFrame, projects: Sequence[str]) -> DataFrame:
+    """Records of some projects; payloads pass through a generator, so that the filter can't make Spark build them again."""
+    once = [F.explode(F.array(c)).alias(c) if c == "raw_json" else F.col(c) for c in records.columns]
+    built = records.select(*once)
+    return built.where(F.coalesce(project_of(built).isin(*projects), F.lit(False)))
+
+
 def without_purged(records: DataFrame, purged: DataFrame) -> DataFrame:
     """Records but for those staged of a project before it was purged (``project, purged_at``)."""
     last = purged.groupBy("project").agg(F.max("purged_at").alias("_purged_at"))

@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegerType
 
 from qualitymart import schemas as S
 from qualitymart.operators import upsert
-from qualitymart.session import cut, read_or_none, remove, sized
+from qualitymart.session import cut, parts_in, read_or_none, remove, sized
 from qualitymart.sources.star import Star
 
 #: Tables kept per value of a column.
@@ -99,6 +99,8 @@ class Update:
         self.folder = f"{warehouse.root}/_prepared/{uuid.uuid4().hex}"
         # per table: the folders that are replaced (None: all) and their new rows
         self._prepared: dict[str, tuple[set | None, DataFrame]] = {}
+        # per divided table: which of those folders hold rows
+        self._present: dict[str, set[int]] = {}
         self.changed: dict[str, tuple[int, int]] = {}
 
     def _rows(self, name: str, parts: Iterable | None = None) -> DataFrame:
@@ -138,11 +140,12 @@ class Update:
             return
         rows.hint("rebalance", division).write.partitionBy(division).parquet(folder)
         new = self.warehouse.rows(name, folder)
-        present = {r[0] for r in new.select(division).distinct().collect()}
+        present = parts_in(self.spark, folder, division)
         before, earlier = self._prepared.get(name, (set(), None))
         if parts is None:
-            parts = {r[0] for r in self._rows(name).select(division).distinct().collect()}
+            parts = parts_in(self.spark, f"{self.warehouse.root}/{name}", division) | before
         now = {*parts, *present}
+        self._present[name] = (self._present.get(name, set()) - now) | present
         if earlier is not None:
             new = earlier.where(~F.col(division).isin(list(now))).unionByName(new)
         self._prepared[name] = (before | now, new)
@@ -212,8 +215,7 @@ class Update:
                 rows.write.mode("overwrite").parquet(path)
                 continue
             rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(division).parquet(path)
-            present = {r[0] for r in rows.select(division).distinct().collect()}
-            for part in replaced - present:  # no row is left in it
+            for part in replaced - self._present[name]:  # no row is left in it
                 remove(self.spark, f"{path}/{division}={part}")
-        self._prepared = {}
+        self._prepared, self._present = {}, {}
         remove(self.spark, self.folder)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from qualitymart import session
 from qualitymart.functions.fieldmap import FieldMap
 from qualitymart.operators import dims, keys, upsert, windows
-from qualitymart.sources import staging
+from qualitymart.sources import landing, staging
 
 
 def frame(spark, rows, schema="k STRING, a STRING, b STRING"):
@@ -146,3 +146,19 @@ def test_dimensions_that_grow_are_not_broadcast(spark):
     found = keys.lookup(runs, executions, "execution_key", "execution_key", "summary", grows=True)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.count() == 9
+
+
+def test_payloads_are_built_once_for_a_filter_on_projects(spark):
+    pages = spark.createDataFrame([('[{"id":"1","steps":[{"id":"a"}]}]', f"x/{p}-1/p") for p in ("OLD", "NEW")], "body STRING, origin STRING")
+    records = landing.run_records(pages, "r", F.lit("2024-03-01"))
+    found = staging.of_projects(records, ("OLD",))
+    written = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("StructsToJsonEvaluator")
+    assert written(found) == written(records)
+    assert found.columns == records.columns
+    assert sorted(r.source_key for r in found.collect()) == ["1", "1:a"]
+
+
+def test_folders_of_a_divided_table(spark, tmp_path):
+    spark.range(6).selectExpr("id", "if(id < 5, id % 3, NULL) AS month").write.partitionBy("month").parquet(str(tmp_path / "t"))
+    assert session.parts_in(spark, str(tmp_path / "t"), "month") == {0, 1, 2}
+    assert session.parts_in(spark, str(tmp_path / "none"), "month") == set()
