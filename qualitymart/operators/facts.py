@@ -48,9 +48,10 @@ def _defects(values: Column) -> Column:
 def runs(parsed: DataFrame) -> DataFrame:
     """One row per run, before the fan-out over versions.
 
-    In steps: cast the payload, pick the parts, derive the columns, so that nothing is worked out twice.
+    In steps: cast the payload, pick the parts, derive the columns, so that nothing is worked out twice. The cast passes
+    through a generator, so that a filter on the columns can't make Spark cast again.
     """
-    cast = parsed.select("source_key", "ord", F.try_variant_get(V, "$", RUN_PAYLOAD).alias("p"))
+    cast = parsed.select("source_key", "ord", F.explode(F.array(F.try_variant_get(V, "$", RUN_PAYLOAD))).alias("p"))
     picked = cast.select(
         "source_key",
         "ord",

@@ -2,8 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from qualitymart.operators import facts
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import Inputs
+from qualitymart.sources import staging
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def physical(df) -> str:
@@ -28,3 +34,9 @@ def test_pages_shuffle_rows_not_items(spark, sf_dir):
     # from the top down: items are collected above the only exchange
     assert shown.count("Exchange") == 1 and shown.rindex("collect_list") < shown.index("Exchange")
     assert pages.selectExpr("json_array_length(body) AS n").agg(F.sum("n")).first()[0] == Inputs(spark, sf_dir).raw("lineitem").count()
+
+
+def test_a_filter_on_run_columns_does_not_cast_the_payload_again(spark, sf_dir):
+    runs = facts.runs(staging.parse(P.runs(Inputs(spark, sf_dir))))
+    dated = runs.where("started_at IS NOT NULL").select("test_run_id", "started_at")
+    assert plan(dated).count("variant_get(v#") == 1
