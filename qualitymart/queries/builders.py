@@ -13,7 +13,7 @@ from qualitymart.functions.fieldmap import FieldMap, FieldMapping, coerce
 from qualitymart.operators import coverage, dims, facts, keys, quality, upsert, windows
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import query
-from qualitymart.session import cut, shared_folder
+from qualitymart.session import cut, shared_folder, sized
 from qualitymart.sources import landing, staging
 from qualitymart.sources.derived import rule
 from qualitymart.sources.warehouse import Warehouse
@@ -530,7 +530,7 @@ def links_into_filled_target(i):
     """Links of all runs, delivered to a table that holds those of even orders with the flag the other way round."""
     triple = ["defect_key", "test_run_id", "release_sk"]
     rows = facts.defect_links(facts.runs(staging.parse(P.runs(i))), built_star(i))
-    links = windows.earliest(rows, triple, ["ord", "open_flag"])
+    links = sized(cut(windows.earliest(rows, triple, ["ord", "open_flag"])))  # the target is made of them and they are delivered to it
     even = F.split("test_run_id", "-")[0].cast("bigint") % 2 == 0
     held = links.where(even).withColumn("open_flag", ~F.col("open_flag"))
     return upsert.insert_absent(held, links, triple).select(*triple, "open_flag")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from qualitymart.operators import facts
+from qualitymart.queries import builders
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import Inputs
 from qualitymart.sources import staging
@@ -40,3 +41,7 @@ def test_a_filter_on_run_columns_does_not_cast_the_payload_again(spark, sf_dir):
     runs = facts.runs(staging.parse(P.runs(Inputs(spark, sf_dir))))
     dated = runs.where("started_at IS NOT NULL").select("test_run_id", "started_at")
     assert plan(dated).count("variant_get(v#") == 1
+
+
+def test_links_into_a_filled_target_are_built_once(spark, sf_dir):
+    assert "variant_get" not in plan(builders.links_into_filled_target(Inputs(spark, sf_dir)))
