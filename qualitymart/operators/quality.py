@@ -12,6 +12,7 @@ from qualitymart import schemas as S
 from qualitymart.functions import scalars as X
 from qualitymart.operators import windows
 from qualitymart.plans import marts
+from qualitymart.session import dealt
 from qualitymart.sources.star import Star
 
 
@@ -229,15 +230,16 @@ def type_versions(history: DataFrame) -> DataFrame:
 def runs_of_former_types(runs: DataFrame, versions: DataFrame) -> DataFrame:
     """Runs (test_key, test_run_id, started_at) whose test had another type then than it has now.
 
-    The version a run saw is looked up by test and time; each run meets one version, and none is ordered.
+    The version a run saw is looked up by test and time; each run meets one version, and none is ordered. Runs and versions
+    are dealt out by test: parsed rows are far more than Spark takes them for, and would be broadcast.
     """
     seen = versions.select("test_key", F.col("test_type_name").alias("seen_type"), "valid_from", "valid_to")
     then = F.coalesce(F.col("started_at") >= F.col("valid_from"), F.lit(True)) & F.coalesce(F.col("started_at") < F.col("valid_to"), F.lit(True))
     # only tests that have changed their type have more than one version
     changed = versions.where("valid_from IS NOT NULL").select("test_key").distinct()
     now = versions.where("valid_to IS NULL").select("test_key", F.col("test_type_name").alias("current_type"))
-    of_changed = runs.where("started_at IS NOT NULL").join(changed, "test_key", "left_semi")
-    found = of_changed.join(seen, "test_key").where(then).join(now, "test_key")
+    of_changed = runs.where("started_at IS NOT NULL").join(dealt(changed), "test_key", "left_semi")
+    found = of_changed.join(dealt(seen), "test_key").where(then).join(dealt(now), "test_key")
     return found.where("NOT seen_type <=> current_type").select("test_run_id", "test_key", "seen_type", "current_type")
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from qualitymart.operators import facts
+from qualitymart.operators import facts, quality
 from qualitymart.queries import builders
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import Inputs
@@ -45,3 +45,13 @@ def test_a_filter_on_run_columns_does_not_cast_the_payload_again(spark, sf_dir):
 
 def test_links_into_a_filled_target_are_built_once(spark, sf_dir):
     assert "variant_get" not in plan(builders.links_into_filled_target(Inputs(spark, sf_dir)))
+
+
+def test_runs_and_versions_of_tests_are_not_broadcast(spark):
+    runs = spark.createDataFrame([("T-1", "r1", 1), ("T-1", "r2", 3), ("T-1", "r3", None), ("T-2", "r4", 1), (None, "r5", 1)], "test_key STRING, test_run_id STRING, d INT")
+    runs = runs.select("test_key", "test_run_id", F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(d)").alias("started_at"))
+    history = spark.createDataFrame([("T-1", "Manual", 0), ("T-1", "Generic", 3), ("T-2", "Manual", 0)], "test_key STRING, test_type_name STRING, d INT")
+    history = history.select("test_key", "test_type_name", F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(d)").alias("loaded_at"), F.col("d").alias("ord"))
+    found = quality.runs_of_former_types(runs, quality.type_versions(history))
+    assert [tuple(r) for r in found.collect()] == [("r1", "T-1", "Manual", "Generic")]
+    assert "Broadcast" not in physical(found)
