@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from qualitymart.operators import facts, quality
+from qualitymart.operators import coverage, facts, quality
 from qualitymart.queries import builders
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import Inputs
@@ -55,3 +55,32 @@ def test_runs_and_versions_of_tests_are_not_broadcast(spark):
     found = quality.runs_of_former_types(runs, quality.type_versions(history))
     assert [tuple(r) for r in found.collect()] == [("r1", "T-1", "Manual", "Generic")]
     assert "Broadcast" not in physical(found)
+
+
+def test_coverage_shuffles_links_not_links_times_releases(spark):
+    links = spark.createDataFrame([(1, 1), (1, 2), (1, 1), (2, 2), (3, 9), (None, 1), (4, None)], "issue_sk INT, test_sk INT")
+    latest = spark.createDataFrame(
+        [(1, 10, "PASS", 20240101), (1, 11, "FAIL", None), (1, None, "ABORTED", 20240102), (2, 10, None, 20240103), (2, 11, "BLOCKED", 20240104), (None, 10, "PASS", 1)],
+        "test_sk INT, release_sk INT, run_status STRING, date_sk INT",
+    )
+    planned = spark.createDataFrame([(1, 10), (3, 12)], "issue_sk INT, release_sk INT")
+    found = coverage.from_latest(links, planned, latest)
+    counts = [f"{s}_test_count" for s in ("total", "passing", "failing", "blocked", "executing", "todo")]
+    rows = sorted((tuple(r) for r in found.select("issue_sk", "release_sk", *counts, "latest_execution_date_sk").collect()), key=repr)
+    assert rows == sorted(
+        [
+            (1, 10, 2, 1, 0, 0, 0, 1, 20240103),
+            (1, 11, 2, 0, 1, 1, 0, 0, 20240104),
+            (1, None, 2, 0, 0, 0, 0, 2, 20240102),
+            (2, 10, 1, 0, 0, 0, 0, 1, 20240103),
+            (2, 11, 1, 0, 0, 1, 0, 0, 20240104),
+            (3, 12, 1, 0, 0, 0, 0, 1, None),
+            (None, 10, 0, 1, 0, 0, 0, -1, 20240101),
+            (None, 11, 0, 0, 1, 0, 0, -1, None),
+            (None, None, 0, 0, 0, 0, 0, 0, 20240102),
+        ],
+        key=repr,
+    )
+    # taken apart above the shuffle by requirement
+    shown = plan(found)
+    assert "inline(" in shown and shown.index("inline(") < shown.index("RepartitionByExpression [issue_sk")
