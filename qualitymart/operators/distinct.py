@@ -30,7 +30,11 @@ def parts(rows: DataFrame, by: Sequence[str], distinct: Mapping[str, Column], co
     entries += [F.struct(F.lit(name).alias("measure"), none.alias("code"), n.cast("bigint").alias("n")) for name, n in (counted or {}).items()]
     each = rows.select(*by, F.explode(F.array(*entries)).alias("_e")).select(*by, "_e.*").where("code IS NOT NULL OR n IS NOT NULL")
     bits = F.bitmap_construct_agg(F.bitmap_bit_position("code"))
-    return each.groupBy(*by, "measure", F.bitmap_bucket_number("code").alias("block")).agg(F.sum("n").alias("n"), bits.alias("bits"))
+    # Repeated keys are combined and numbers summed before the shuffle; bitmaps, 4 KB each however few keys they hold, are
+    # made only where all keys of a cell and block are, not by every task for itself.
+    block = [*by, "measure", "block"]
+    once = each.withColumn("block", F.bitmap_bucket_number("code")).groupBy(*block, "code").agg(F.sum("n").alias("n"))
+    return once.repartition(*block).groupBy(*block).agg(F.sum("n").alias("n"), bits.alias("bits"))
 
 
 def totals(cells: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -41,6 +45,8 @@ def totals(cells: DataFrame, by: Sequence[str], measures: Sequence[str]) -> Data
     """
     sets = [list(kept) + ["measure", "block"] for n in range(len(by), -1, -1) for kept in combinations(by, n)]
     level = sum((F.grouping(c).cast("int") * (1 << (len(by) - 1 - k)) for k, c in enumerate(by)), F.lit(0))
+    # finer parts are united first, so that each total takes a cell's bitmap once
+    cells = cells.groupBy(*by, "measure", "block").agg(F.sum("n").alias("n"), F.bitmap_or_agg("bits").alias("bits"))
     united = cells.groupingSets(sets, *by, "measure", "block").agg(F.sum("n").alias("n"), F.bitmap_or_agg("bits").alias("bits"), level.alias("level"))
     value = F.when(F.col("block").isNull(), F.col("n")).otherwise(F.bitmap_count("bits"))
     of = lambda name: F.coalesce(F.sum(F.when(F.col("measure") == name, value)), F.lit(0))

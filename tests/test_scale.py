@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from qualitymart.operators import coverage, facts, quality
+from qualitymart.operators import coverage, distinct, facts, quality
 from qualitymart.queries import builders
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import Inputs
@@ -84,3 +84,19 @@ def test_coverage_shuffles_links_not_links_times_releases(spark):
     # taken apart above the shuffle by requirement
     shown = plan(found)
     assert "inline(" in shown and shown.index("inline(") < shown.index("RepartitionByExpression [issue_sk")
+
+
+def test_bitmaps_are_made_once_per_cell_and_block(spark):
+    rows = spark.range(0, 40_000, numPartitions=4).selectExpr("id % 2 AS a", "if(id % 3 = 0, null, 'x') AS b", "if(id % 5 = 0, null, id) AS code", "id % 7 AS m")
+    by, counts = ["a", "b"], {"rows": F.lit(1)}
+    cells = distinct.parts(rows.union(rows), ["m", *by], {"keys": F.col("code")}, counts)
+    # one aggregate above the shuffle makes them: no task makes bitmaps of its own part of a cell and block
+    assert plan(cells).count("bitmap_construct_agg") == 1
+    shown = physical(cells)
+    assert shown.rindex("bitmap_construct_agg") < shown.index("Exchange")
+    found = {(r["a"], r["b"], r["level"]): (r["keys"], r["rows"]) for r in distinct.totals(cells, by, ["keys", "rows"]).collect()}
+    both = [(k % 2, None if k % 3 == 0 else "x", None if k % 5 == 0 else k) for k in range(40_000)]
+    assert found[None, None, 3] == (len({c for _, _, c in both if c is not None}), 2 * len(both))
+    assert found[1, None, 1] == (len({c for a, _, c in both if a == 1 and c is not None}), 2 * sum(a == 1 for a, _, _ in both))
+    assert found[0, None, 0] == (len({c for a, b, c in both if a == 0 and b is None and c is not None}), 2 * sum(a == 0 and b is None for a, b, _ in both))
+    assert len(found) == 4 + 2 + 2 + 1
