@@ -15,8 +15,11 @@ import re
 import unicodedata
 from array import array
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Characters on which the Unicode tables of all libraries agree, and whose lower case is known to them too.
 PLAIN = re.compile("[\x01-ȳ‐-‧‰-⁞€]*")
@@ -30,7 +33,7 @@ SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f"
 
 END = "\x00"
 
-#: Pre-tokens whose ids a worker remembers.
+#: Pre-tokens, and as many words, whose ids a worker remembers.
 KNOWN = 1 << 18
 
 
@@ -95,6 +98,9 @@ class Library:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
+    def ids_of_all(self, texts: list[str]) -> list[np.ndarray]:
+        return [self.ids(text) for text in texts]
+
     def pretokens(self, text: str) -> list[str]:
         """The normalised pieces that merges never cross, special strings as pieces of their own."""
         found: list[str] = []
@@ -154,7 +160,9 @@ class Words(Ranked):
         super().__init__(path, config, f"[^{END}]+{END}")
         letters, digits = char_class("L"), char_class("N")
         self.split = re.compile(rf"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{digits}]|[^{SPACES}{letters}{digits}]+")
+        self.control = re.compile("[\x1c-\x1f]")
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         by_rank = sorted(self.encoding.token_byte_values(), key=self.encoding.encode_single_token)
         self.ends = np.array([b.endswith(END.encode()) for b in by_rank])
 
@@ -166,18 +174,52 @@ class Words(Ranked):
         return self.split.findall(text.lower())
 
     def ids(self, text: str) -> np.ndarray:
+        return self.ids_of_all([text])[0]
+
+    def ids_of_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Pre-tokens never hold white space, so words are told apart first, for all texts at once, and each distinct one
+        is looked up or encoded once; its ids are then put where it occurs."""
+        plain = [k for k, text in enumerate(texts) if self.plain(text) and not self.control.search(text)]
+        out: list[np.ndarray | None] = [None] * len(texts)
+        lower = [(texts[k] if texts[k].isascii() else unicodedata.normalize("NFC", texts[k])).lower() for k in plain]
+        words = pc.utf8_split_whitespace(pa.array(lower, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        parts = self._found(self.words, coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self._of_words)
+        codes = coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        n = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        shift = (np.cumsum(sizes) - sizes)[codes] - ends[:-1]
+        ids = np.frombuffer(b"".join(parts), dtype=np.uint32)[np.repeat(shift, n) + np.arange(ends[-1])]
+        cuts = ends[words.offsets.to_numpy()].tolist()
+        for k, start, end in zip(plain, cuts, cuts[1:], strict=False):
+            out[k] = ids[start:end]
+        return [self._of_text(text) if found is None else found for text, found in zip(texts, out, strict=True)]
+
+    def _of_text(self, text: str) -> np.ndarray:
+        """The ids of a text that isn't plain, or holds what is white space to Arrow but not to Unicode."""
         if not self.plain(text):
             return Library.ids(self, text)
-        pretokens = self.pretokens(text)
-        parts = list(map(self.known.get, pretokens))
+        return np.frombuffer(b"".join(self._found(self.known, self.pretokens(text), self._encode)), dtype=np.uint32)
+
+    @staticmethod
+    def _found(known: dict[str, bytes], pieces: list[str], encode) -> list[bytes]:
+        """The ids of each piece, from those that are known or else by ``encode``, which then are known."""
+        parts = list(map(known.get, pieces))
         rare = [k for k, part in enumerate(parts) if part is None]
         if rare:
-            found = self._encode([pretokens[k] for k in rare])
+            found = encode([pieces[k] for k in rare])
             for k, part in zip(rare, found, strict=True):
                 parts[k] = part
-            if len(self.known) < KNOWN:
-                self.known.update((pretokens[k], parts[k]) for k in rare if len(pretokens[k]) <= 32)
-        return np.frombuffer(b"".join(parts), dtype=np.uint32)
+            if len(known) < KNOWN:
+                known.update((pieces[k], parts[k]) for k in rare if len(pieces[k]) <= 32)
+        return parts
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word (lower-cased, without white space), by its pre-tokens."""
+        split = list(map(self.split.findall, words))
+        parts = iter(self._found(self.known, list(chain.from_iterable(split)), self._encode))
+        return [b"".join(islice(parts, len(pretokens))) for pretokens in split]
 
     def _encode(self, pretokens: list[str]) -> list[bytes]:
         """The ids of each pre-token, all encoded in one call and cut after ids that end a word."""

@@ -22,6 +22,8 @@ from qualitymart.llm.token_counts import texts_of
 from qualitymart.llm.tokens import load
 
 SHARD_TOKENS = 1 << 20
+#: Characters of texts that are encoded together.
+GROUP_CHARS = 1 << 22
 #: Bits between two stored ranks.
 BLOCK = 512
 SHARD = "part int, before long, n_tokens long, doc_ids array<long>, lengths array<int>, zeros array<int>, planes array<binary>, ranks array<binary>"
@@ -117,6 +119,22 @@ class WaveletMatrix:
         return out
 
 
+def groups_of(texts: Iterator[tuple[int, str]]) -> Iterator[tuple[list[int], list[str]]]:
+    """Row numbers and texts in groups of about ``GROUP_CHARS`` characters, to be encoded together."""
+    rows: list[int] = []
+    group: list[str] = []
+    chars = 0
+    for k, text in texts:
+        rows.append(k)
+        group.append(text)
+        chars += len(text)
+        if chars >= GROUP_CHARS:
+            yield rows, group
+            rows, group, chars = [], [], 0
+    if rows:
+        yield rows, group
+
+
 def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int, id_column: str = "doc_id", text_column: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode every text, append ``end_id`` and write the ids in ascending order of document id.
 
@@ -151,13 +169,14 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int, id_column
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for k, text in texts_of(batch, 1):
-                part = batch.column(2)[k].as_py()
-                held.append(np.append(encoder.ids(text), np.uint32(end_id)).astype(np.uint16 if depth <= 16 else np.uint32))
-                ids.append(doc_ids[k])
-                tokens += len(held[-1])
-                if tokens >= shard_tokens:
-                    yield shard()
+            for rows, texts in groups_of(texts_of(batch, 1)):
+                for k, found in zip(rows, encoder.ids_of_all(texts), strict=True):
+                    part = batch.column(2)[k].as_py()
+                    held.append(np.append(found, np.uint32(end_id)).astype(np.uint16 if depth <= 16 else np.uint32))
+                    ids.append(doc_ids[k])
+                    tokens += len(held[-1])
+                    if tokens >= shard_tokens:
+                        yield shard()
         if held:
             yield shard()
 

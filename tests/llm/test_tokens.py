@@ -215,3 +215,26 @@ def test_shards_of_nothing(spark, none):
     folder = common.new_folder(spark, "test")
     wavelet.write_tokens(none, WORD, folder, 1)
     assert wavelet.read_documents(spark, folder).collect() == []
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_texts_encoded_together_have_the_librarys_ids(path):
+    texts = ["", "  ", "Café naïve l'été's 2024!", "a\x1cb \x1f c", "tail ", " head", "日本 mixed", "<|endoftext|> x", "it's – (ok)... ok", "\x85next\tline\n"]
+    together = tokens.load(path).ids_of_all(texts * 2)
+    assert [ids.tolist() for ids in together] == [plain_cache(path).encode(t, add_special_tokens=False).ids for t in texts * 2]
+
+
+def test_each_distinct_word_of_a_group_is_looked_up_once():
+    found = []
+
+    class Counted(dict):
+        def get(self, word):
+            found.append(word)
+            return super().get(word)
+
+    encoder = tokens.load.__wrapped__(WORD)
+    encoder.words = Counted()
+    texts = ["one two two three"] * 50
+    assert len(encoder.ids_of_all(texts)) == 50 and sorted(found) == ["one", "three", "two"]
+    groups = list(wavelet.groups_of(iter([(0, "x" * wavelet.GROUP_CHARS), (1, "a"), (2, "b")])))
+    assert [rows for rows, _ in groups] == [[0], [1, 2]] and list(wavelet.groups_of(iter([]))) == []
