@@ -14,13 +14,48 @@ V = "v"  # the payload column
 
 
 # The parts of a run payload that are read, as one cast of the payload. Parts of varying shape stay VARIANT.
-RUN_PAYLOAD = (
-    "struct<status: variant, startedOn: string, started_at: string, finishedOn: string, finished_at: string,"
-    " assignee: variant, assigneeId: string, comment: string, blockReason: string, block_reason: string,"
-    " defects: array<variant>, fixVersions: array<variant>, customFields: array<variant>,"
-    " test: struct<key: string, jira: variant, testType: variant, customFields: array<variant>>,"
-    " _execution_key: string, _execution_issue_id: string>"
-)
+RUN_PAYLOAD = {
+    "status": "variant",
+    "startedOn": "string",
+    "started_at": "string",
+    "finishedOn": "string",
+    "finished_at": "string",
+    "assignee": "variant",
+    "assigneeId": "string",
+    "comment": "string",
+    "blockReason": "string",
+    "block_reason": "string",
+    "defects": "array<variant>",
+    "fixVersions": "array<variant>",
+    "customFields": "array<variant>",
+    "test": "struct<key: string, jira: variant, testType: variant, customFields: array<variant>>",
+    "_execution_key": "string",
+    "_execution_issue_id": "string",
+}
+# The parts that each column of a run is made of.
+RUN_PARTS = {
+    "test_run_id": (),
+    "test_key": ("test",),
+    "execution_key": ("_execution_key", "_execution_issue_id"),
+    "tester_id": ("assignee", "assigneeId"),
+    "tester_name": ("assignee",),
+    "email": ("assignee",),
+    "team_name": ("assignee",),
+    "run_status": ("status",),
+    "root_cause_name": ("customFields", "test"),
+    "is_automated": ("test",),
+    "block_reason": ("blockReason", "block_reason"),
+    "started_at": ("startedOn", "started_at"),
+    "finished_at": ("finishedOn", "finished_at"),
+    "duration_s": ("startedOn", "started_at", "finishedOn", "finished_at"),
+    "date_sk": ("startedOn", "started_at"),
+    "executed_by": ("assignee", "assigneeId"),
+    "comment": ("comment",),
+    "defect_count": ("defects",),
+    "versions": ("fixVersions", "test"),
+    "defects": ("defects",),
+    "ord": (),
+}
 STEP_PAYLOAD = (
     "struct<_test_run_id: string, index: variant, `order`: variant, status: variant, actualResult: string,"
     " actual_result: string, comment: string>"
@@ -45,24 +80,27 @@ def _defects(values: Column) -> Column:
     return F.transform(F.coalesce(values, F.array().cast("array<variant>")), pair)
 
 
-def runs(parsed: DataFrame) -> DataFrame:
-    """One row per run, before the fan-out over versions.
+def runs(parsed: DataFrame, *columns: str) -> DataFrame:
+    """One row per run, before the fan-out over versions (B6); all columns, or those named.
 
     In steps: cast the payload, pick the parts, derive the columns, so that nothing is worked out twice. The cast passes
-    through a generator, so that a filter on the columns can't make Spark cast again.
+    through a generator, so that a filter on the columns can't make Spark cast again; nor can it leave parts out there, so
+    only those are cast of which the columns are made.
     """
-    cast = parsed.select("source_key", "ord", F.explode(F.array(F.try_variant_get(V, "$", RUN_PAYLOAD))).alias("p"))
-    picked = cast.select(
-        "source_key",
-        "ord",
-        "p.*",
-        X.first_truthy(F.col("p.startedOn"), F.col("p.started_at")).alias("started_text"),
-        X.first_truthy(F.col("p.finishedOn"), F.col("p.finished_at")).alias("finished_text"),
-        X.is_object(F.col("p.assignee")).alias("person"),
-        _names(F.col("p.fixVersions")).alias("own_versions"),
-        _names(X.items(F.col("p.test.jira"), "$.fixVersions")).alias("test_versions"),
-        X.named_entry(F.col("p.customFields"), "root_cause", "Root Cause").alias("cause"),
-        X.named_entry(F.col("p.test.customFields"), "root_cause", "Root Cause").alias("test_cause"),
+    wanted = columns or tuple(RUN_PARTS)
+    read = {part for column in wanted for part in RUN_PARTS[column]}
+    layout = ", ".join(f"`{part}`: {kind}" for part, kind in RUN_PAYLOAD.items() if part in read)
+    cast = parsed.select("source_key", "ord", F.explode(F.array(F.try_variant_get(V, "$", f"struct<{layout}>"))).alias("p"))
+    parts = [(F.col(f"p.{part}") if part in read else F.lit(None).cast(kind)).alias(part) for part, kind in RUN_PAYLOAD.items()]
+    picked = cast.select("source_key", "ord", *parts).select(
+        "*",
+        X.first_truthy(F.col("startedOn"), F.col("started_at")).alias("started_text"),
+        X.first_truthy(F.col("finishedOn"), F.col("finished_at")).alias("finished_text"),
+        X.is_object(F.col("assignee")).alias("person"),
+        _names(F.col("fixVersions")).alias("own_versions"),
+        _names(X.items(F.col("test.jira"), "$.fixVersions")).alias("test_versions"),
+        X.named_entry(F.col("customFields"), "root_cause", "Root Cause").alias("cause"),
+        X.named_entry(F.col("test.customFields"), "root_cause", "Root Cause").alias("test_cause"),
     )
     timed = picked.withColumns(
         {
@@ -104,7 +142,7 @@ def runs(parsed: DataFrame) -> DataFrame:
         F.array_distinct(versions).alias("versions"),
         _defects(F.col("defects")).alias("defects"),
         "ord",
-    )
+    ).select(*wanted)
 
 
 def testers(run_rows: DataFrame) -> DataFrame:

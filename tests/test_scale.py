@@ -1,12 +1,15 @@
 """Plans and steps on which run time, shuffles and memory depend."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from qualitymart.operators import coverage, distinct, facts, quality
 from qualitymart.queries import builders
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import Inputs
-from qualitymart.sources import staging
+from qualitymart.functions.fieldmap import FieldMap
+from qualitymart.sources import landing, staging, window
 
 
 def plan(df) -> str:
@@ -43,6 +46,72 @@ def test_a_filter_on_run_columns_does_not_cast_the_payload_again(spark, sf_dir):
     assert plan(dated).count("variant_get(v#") == 1
 
 
+def test_only_the_parts_of_a_run_that_are_wanted_are_cast(spark, sf_dir):
+    made = P.runs(Inputs(spark, sf_dir)).limit(300)
+    parsed = staging.parse(spark.createDataFrame(made.collect(), made.schema).repartition(2))
+    found = facts.runs(parsed, "test_key", "test_run_id", "started_at")
+    shown = plan(found)
+    assert found.columns == ["test_key", "test_run_id", "started_at"] and "StructField(startedOn," in shown
+    assert not any(f"StructField({part}," in shown for part in ("status", "assignee", "defects", "fixVersions"))
+    whole = facts.runs(parsed)
+    assert set(facts.RUN_PARTS) == set(whole.columns)
+    for columns in (("test_key", "test_run_id", "started_at"), ("test_key", "execution_key", "versions", "defects"), ("tester_id", "run_status", "root_cause_name", "duration_s")):
+        assert facts.runs(parsed, *columns).exceptAll(whole.select(*columns)).isEmpty()
+
+
+def test_a_window_parses_each_payload_once_for_all_it_names(spark):
+    records = [
+        ("r1", "xray_test_run", '{"test":{"key":"T-1"},"_execution_key":"E-1","fixVersions":["v1",{"name":"v2"}],"defects":["D-1",{"key":"D-2"}]}'),
+        ("r2", "xray_test_run", "{}"),
+        ("r3", "xray_test_run", "not JSON"),
+        ("I-1", "jira_issue", '{"fields":{"fixVersions":[{"name":"v3"}],"issuelinks":[{"outwardIssue":{"key":"T-2"}},{"inwardIssue":{}}]}}'),
+        ("I-2", "jira_issue", '{"fields":{}}'),
+        ("E-1", "xray_test_execution", '{"fields":{"customfield_10301":{"key":"P-1"}}}'),
+        ("E-2", "xray_test_execution", "{}"),
+    ]
+    kept = spark.createDataFrame([("r", k, e, j, datetime(2024, 3, 1)) for k, e, j in records], "run_id STRING, source_key STRING, entity_type STRING, raw_json STRING, loaded_at TIMESTAMP")
+    # one that the optimizer can't work out beforehand
+    named = window._referred(kept.repartition(2), FieldMap())
+    assert plan(named).count("parse_json(concat") == 3 or plan(named).count("parseJson") == 3
+    assert sorted(map(tuple, named.collect())) == sorted(
+        [("xray_test", "T-1"), ("xray_test", "T-2"), ("xray_test_execution", "E-1"), ("jira_defect", "D-1"), ("jira_defect", "D-2"), ("xray_test_plan", "P-1")]
+        + [("jira_version", v) for v in ("v1", "v2", "v3", "UNVERSIONED")]
+    )
+
+
+def test_own_time_looks_only_for_keys_that_a_payload_can_have(spark):
+    at = datetime(2024, 3, 1)
+    texts = {
+        '{"fields":{"updated":"2024-01-01T00:00:00Z"},"startedOn":"2023-01-01"}': datetime(2024, 1, 1),
+        '{"fields":{"upd\\u0061ted":"2024-01-02T00:00:00Z"}}': datetime(2024, 1, 2),
+        '{"updated":"no time","startedOn":null,"started_at":"2024-01-03T00:00:00+01:00"}': datetime(2024, 1, 2, 23),
+        '{"star\\u0074edOn":"2024-01-04"}': datetime(2024, 1, 4),
+        '{"other":{"updated":"2024-01-05"}}': at,
+        "updated": at,
+        None: at,
+    }
+    rows = spark.createDataFrame([(t, at) for t in texts], "raw_json STRING, loaded_at TIMESTAMP").repartition(1)
+    found = rows.select("raw_json", window.own_time().cast("timestamp_ntz").alias("at"))
+    assert {r["raw_json"]: r["at"] for r in found.collect()} == texts
+    # looked up through an array, so not once for the check and once for the cast
+    assert plan(found).count("get_json_object") + plan(found).count("GetJsonObject") <= 5
+
+
+def test_extra_keys_are_no_variants_when_written(spark):
+    pages = spark.createDataFrame([('[{"id":"a","n":null,"_execution_key":"no","steps":[{"x":"\\"\\u00e9"},{},{"_test_run_id":1},5]}]', 'landing/E"1/page.json')], "body STRING, origin STRING")
+    records = landing.run_records(pages, "r", datetime(2024, 3, 1, tzinfo=timezone.utc))
+    assert sorted(r["raw_json"] or "" for r in records.collect()) == sorted(
+        [
+            '{"id":"a","n":null,"steps":[{"x":"\\"é"},{},{"_test_run_id":1},5],"_execution_key":"E\\"1"}',
+            '{"x":"\\"é","_test_run_id":"a","_execution_key":"E\\"1"}',
+            '{"_test_run_id":"a","_execution_key":"E\\"1"}',
+            '{"_test_run_id":"a","_execution_key":"E\\"1"}',
+            "",
+        ]
+    )
+    assert "as variant)" not in plan(records.where("entity_type = 'xray_test_step_result'").select("raw_json")).lower().replace("cast(null as variant)", "")
+
+
 def test_links_into_a_filled_target_are_built_once(spark, sf_dir):
     assert "variant_get" not in plan(builders.links_into_filled_target(Inputs(spark, sf_dir)))
 
