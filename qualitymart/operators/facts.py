@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
 from qualitymart.functions import scalars as X
 from qualitymart.operators import keys
+from qualitymart.sources import staging
 from qualitymart.sources.star import Star
 
 V = "v"  # the payload column
@@ -88,9 +91,22 @@ def runs(parsed: DataFrame, *columns: str) -> DataFrame:
     only those are cast of which the columns are made.
     """
     wanted = columns or tuple(RUN_PARTS)
+    return _runs(parsed.select("source_key", "ord", F.explode(F.array(F.try_variant_get(V, "$", _run_layout(wanted)))).alias("p")), wanted)
+
+
+def runs_of(records: DataFrame, *columns: str) -> DataFrame:
+    """``runs`` of staging records; payloads are cast as they are parsed, without a VARIANT of each in between."""
+    wanted = columns or tuple(RUN_PARTS)
+    return _runs(staging.parse(records, _run_layout(wanted)).withColumnRenamed(V, "p"), wanted)
+
+
+def _run_layout(wanted: Sequence[str]) -> str:
+    read = {part for column in wanted for part in RUN_PARTS[column]}
+    return f"struct<{', '.join(f'`{part}`: {kind}' for part, kind in RUN_PAYLOAD.items() if part in read)}>"
+
+
+def _runs(cast: DataFrame, wanted: Sequence[str]) -> DataFrame:
     read = {part for column in wanted for part in RUN_PARTS[column]}
-    layout = ", ".join(f"`{part}`: {kind}" for part, kind in RUN_PAYLOAD.items() if part in read)
-    cast = parsed.select("source_key", "ord", F.explode(F.array(F.try_variant_get(V, "$", f"struct<{layout}>"))).alias("p"))
     parts = [(F.col(f"p.{part}") if part in read else F.lit(None).cast(kind)).alias(part) for part, kind in RUN_PAYLOAD.items()]
     picked = cast.select("source_key", "ord", *parts).select(
         "*",

@@ -113,13 +113,15 @@ def latest_per_load(records: DataFrame) -> DataFrame:
     return last.select("run_id", "source_key", "entity_type", "_last.raw_json", "_last.loaded_at")
 
 
-def parse(records: DataFrame) -> DataFrame:
-    """(source_key, v, ord): payloads as VARIANT; bad JSON is left out.
+def parse(records: DataFrame, kind: str | None = None) -> DataFrame:
+    """(source_key, v, ord): payloads as VARIANT, or cast to ``kind`` at once; bad JSON is left out.
 
     ``ord`` orders deliveries: a later load wins over an earlier one (I5), within a load the higher key.
     """
     order = F.struct("loaded_at", "run_id", "source_key")
-    return records.select("source_key", order.alias("ord"), F.explode(X.parsed_values("raw_json")).alias("v"))
+    if kind is None:
+        return records.select("source_key", order.alias("ord"), F.explode(X.parsed_values("raw_json")).alias("v"))
+    return records.select("source_key", order.alias("ord"), F.inline(X.parsed_as("raw_json", kind)))
 
 
 def bad_json(records: DataFrame) -> DataFrame:

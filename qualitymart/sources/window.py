@@ -50,7 +50,7 @@ def _referred(kept: DataFrame, fields_map: FieldMap) -> DataFrame:
     pair = lambda entity, name: F.struct(F.lit(entity).alias("entity"), name.alias("name"))
     none = F.array().cast("array<struct<entity: string, name: string>>")
     pairs = lambda entity, names: F.coalesce(F.transform(names, lambda name: pair(entity, name)), none)
-    runs = facts.runs(_of(kept, "xray_test_run"), "test_key", "execution_key", "versions", "defects")
+    runs = facts.runs_of(kept.where("entity_type = 'xray_test_run'"), "test_key", "execution_key", "versions", "defects")
     issues = dims.issues(_of(kept, "jira_issue"), fields_map)
     of_run = F.concat(
         F.array(pair("xray_test", F.col("test_key")), pair("xray_test_execution", F.col("execution_key"))),

@@ -59,6 +59,19 @@ def test_only_the_parts_of_a_run_that_are_wanted_are_cast(spark, sf_dir):
         assert facts.runs(parsed, *columns).exceptAll(whole.select(*columns)).isEmpty()
 
 
+def test_runs_of_records_are_those_of_their_payloads(spark):
+    texts = [
+        '{"test":{"key":"T-1"},"startedOn":"2024-01-01","fixVersions":["v1"],"defects":["D-1"]}', '{"test":5,"startedOn":{},"fixVersions":"v","defects":null}',
+        '{"id":1} {}', '{"id":1},{"id":2}', '{"id":1}] x', '', ' ', '5', 'null', '[]', '[{"id":1}]', '"x"', '{"a":1,"a":2}', '{', '{}', None,
+    ]
+    rows = [("r", str(n), "xray_test_run", text, datetime(2024, 3, 1)) for n, text in enumerate(texts)]
+    records = spark.createDataFrame(rows, "run_id STRING, source_key STRING, entity_type STRING, raw_json STRING, loaded_at TIMESTAMP").repartition(2)
+    of_records, of_payloads = facts.runs_of(records), facts.runs(staging.parse(records))
+    assert of_records.schema == of_payloads.schema
+    assert sorted(map(repr, of_records.collect())) == sorted(map(repr, of_payloads.collect()))
+    assert of_records.count() == 10
+
+
 def test_a_window_parses_each_payload_once_for_all_it_names(spark):
     records = [
         ("r1", "xray_test_run", '{"test":{"key":"T-1"},"_execution_key":"E-1","fixVersions":["v1",{"name":"v2"}],"defects":["D-1",{"key":"D-2"}]}'),
