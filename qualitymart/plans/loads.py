@@ -22,7 +22,7 @@ from qualitymart.functions import calendar
 from qualitymart.functions import scalars as X
 from qualitymart.functions.fieldmap import FieldMap
 from qualitymart.operators import coverage, dims, facts, keys, snapshot, upsert, windows
-from qualitymart.session import configure, cut, dealt, is_many, sized
+from qualitymart.session import configure, cut, dealt, is_many, no_rows, sized, stored, together
 from qualitymart.sources import staging, window
 from qualitymart.sources.control import Control
 from qualitymart.sources.warehouse import HASHED, Update, Warehouse
@@ -58,7 +58,6 @@ def _dimension(tx: Update, name: str, updates: DataFrame, key: str, merge) -> No
         parts = tx.parts_of(name, updates)
         highest = tx.table(name).agg(F.coalesce(F.max(sk), F.lit(0)).alias("m")).first()["m"]
     target = tx.table(name, parts)
-    tx.count_changes(name, target, updates, [key], merge)
     merged = keys.merge_dimension(target, updates, key, sk, merge, highest, many)
     if "is_active" in merged.columns:
         merged = merged.fillna(True, subset=["is_active"])
@@ -66,7 +65,7 @@ def _dimension(tx: Update, name: str, updates: DataFrame, key: str, merge) -> No
         merged = merged.fillna(False, subset=["is_released"])
     if name == "dim_status":
         merged = merged.fillna(99, subset=["sort_order"])
-    tx.put(name, merged, parts)
+    together(lambda: tx.count_changes(name, target, updates, [key], merge), lambda: tx.put(name, merged, parts))
 
 
 def _insert_new(tx: Update, name: str, updates: DataFrame, key: str) -> None:
@@ -136,9 +135,11 @@ def load_issues(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> DataFram
     issues = keys.lookup(latest, programs.withColumnRenamed("program_name", "_program"), "program_name", "_program", "program_sk")
     issues = keys.lookup(issues, tx.table("dim_squad").select("squad_name", "squad_sk").withColumnRenamed("squad_name", "_squad"), "squad_name", "_squad", "squad_sk")
     wanted = [c for c in S.columns("dim_issue") if c != "issue_sk"]
-    _dimension(tx, "dim_issue", issues.select(*wanted), "issue_key", upsert.overwrite)
-    _replace_bridge(tx, "bridge_issue_test", latest, delivered_keys, F.col("linked_keys"), "test_key")
-    _replace_bridge(tx, "bridge_issue_release", latest, delivered_keys, F.col("fix_versions"), "release_name")
+    together(
+        lambda: _dimension(tx, "dim_issue", issues.select(*wanted), "issue_key", upsert.overwrite),
+        lambda: _replace_bridge(tx, "bridge_issue_test", latest, delivered_keys, F.col("linked_keys"), "test_key"),
+        lambda: _replace_bridge(tx, "bridge_issue_release", latest, delivered_keys, F.col("fix_versions"), "release_name"),
+    )
     return delivered_keys
 
 
@@ -192,23 +193,37 @@ def load_executions(tx: Update, parsed: DataFrame, fields_map: FieldMap) -> None
     _dimension(tx, "dim_test_execution", _latest(rows, "execution_key"), "execution_key", upsert.overwrite)
 
 
-def load_runs(tx: Update, parsed: DataFrame, refresh_open_flag: bool = False) -> None:
+def run_rows(tx: Update, records: DataFrame) -> DataFrame:
+    """Runs of staged records, stored as columns, since each of the passes of ``load_runs`` reads some."""
     names = {"test_key": "dim_test", "execution_key": "dim_test_execution", "tester_id": "dim_tester", "run_status": "dim_status"}
-    rows = cut(_spelled(tx, facts.runs(parsed), **names, root_cause_name="dim_root_cause"))
+    return stored(_spelled(tx, facts.runs_of(records), **names, root_cause_name="dim_root_cause"))
+
+
+def load_runs(tx: Update, rows: DataFrame, refresh_open_flag: bool = False) -> None:
     testers = upsert.last_known(facts.testers(rows), ["tester_id"], "ord")
-    _dimension(tx, "dim_tester", testers, "tester_id", upsert.patch)
     seen = _names(rows, "run_status").withColumnRenamed("run_status", "status_name")
-    _insert_new(tx, "dim_status", seen.withColumn("status_category", F.lit("Unknown")), "status_name")
-    ensure_releases(tx, rows.select(F.explode("versions").alias("release_name")))
+    together(
+        lambda: _dimension(tx, "dim_tester", testers, "tester_id", upsert.patch),
+        lambda: _insert_new(tx, "dim_status", seen.withColumn("status_category", F.lit("Unknown")), "status_name"),
+        lambda: ensure_releases(tx, rows.select(F.explode("versions").alias("release_name"))),
+    )
+    together(lambda: _load_run_facts(tx, rows), lambda: _load_links(tx, rows, refresh_open_flag))
 
-    # Redeliveries with the same versions are dropped before the lookups, the rest after the fan-out.
-    once = windows.latest(rows.drop("defects"), ["test_run_id", "versions"], ["ord"])
+
+def _load_run_facts(tx: Update, rows: DataFrame) -> None:
+    # Redeliveries with the same versions are dropped before the lookups, the rest after the fan-out. One load has none.
+    first, last = rows.agg(F.min("ord.run_id"), F.max("ord.run_id")).first()
+    once = rows.drop("defects")
+    if first != last:
+        once = windows.latest(once, ["test_run_id", "versions"], ["ord"])
     pair = ["test_run_id", "release_sk"]
     fanned = facts.test_run_facts(once, tx.star())
     wanted = [c for c in S.columns("fact_test_run") if c in fanned.columns]
     runs = sized(cut(windows.latest(fanned.select(*wanted, "ord"), pair, ["ord"]).drop("ord")))
     tx.merge_months("fact_test_run", runs, pair, lambda t, u: upsert.replace_rows(t, u, pair))
 
+
+def _load_links(tx: Update, rows: DataFrame, refresh_open_flag: bool) -> None:
     triple = ["defect_key", "test_run_id", "release_sk"]
     linked = facts.defect_links(rows, tx.star())
     pick = windows.latest if refresh_open_flag else windows.earliest
@@ -217,29 +232,36 @@ def load_runs(tx: Update, parsed: DataFrame, refresh_open_flag: bool = False) ->
     tx.merge_months("fact_defect_link", links, triple, lambda t, u: keep(t, u, triple))
 
 
-def load_steps(tx: Update, parsed: DataFrame) -> None:
-    rows = facts.steps(parsed)
-    frozen, moving = ["test_run_id", "step_order"], ["step_status", "actual_result", "comment"]
-    steps = sized(cut(upsert.first_and_last(rows, ["step_result_id"], "ord", frozen, moving)))
+#: What a later delivery changes of a step.
+MOVING = ["step_status", "actual_result", "comment"]
+
+
+def step_rows(parsed: DataFrame) -> DataFrame:
+    return sized(cut(upsert.first_and_last(facts.steps(parsed), ["step_result_id"], "ord", ["test_run_id", "step_order"], MOVING)))
+
+
+def load_steps(tx: Update, steps: DataFrame) -> None:
     # Steps are filed under the month of their run.
     filed = tx.months_of("fact_test_run", steps.select("test_run_id").distinct()).groupBy("test_run_id").agg(F.max("month").alias("month"))
     steps = sized(cut(steps.join(filed, "test_run_id", "left").fillna(0, subset=["month"])))
     tx.merge_months(
-        "fact_test_step_result", steps, ["step_result_id"], lambda t, u: upsert.partial(t, u, ["step_result_id"], moving)
+        "fact_test_step_result", steps, ["step_result_id"], lambda t, u: upsert.partial(t, u, ["step_result_id"], MOVING)
     )
 
 
 def refresh_states(tx: Update) -> DataFrame:
     """Count the months anew that the update has rewritten; ``test_sk`` of the tests whose state differs from before."""
-    months = tx.replaced("fact_defect_link")
-    if months:
-        tx.put("state_open_links", snapshot.open_link_state(tx.table("fact_defect_link", months)), months)
-    months = tx.replaced("fact_test_run")
+    months, of_links = tx.replaced("fact_test_run"), tx.replaced("fact_defect_link")
     before = tx.table("state_test_runs", months)
-    if months:
-        tx.put("state_test_runs", snapshot.month_state(tx.table("fact_test_run", months)), months)
+    together(
+        lambda: of_links and tx.put("state_open_links", snapshot.open_link_state(tx.table("fact_defect_link", of_links)), of_links),
+        lambda: months and tx.put("state_test_runs", snapshot.month_state(tx.table("fact_test_run", months)), months),
+    )
     after = tx.table("state_test_runs", months)
-    return sized(cut(before.exceptAll(after).unionByName(after.exceptAll(before)).select("test_sk").distinct()))
+    # rows that occur more often on one side than on the other, from one pass over both
+    sides = before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))
+    differing = sides.groupBy(*before.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    return sized(cut(differing.select("test_sk").distinct()))
 
 
 def load_coverage(tx: Update, issue_keys: DataFrame, test_keys: DataFrame, changed_tests: DataFrame) -> None:
@@ -276,8 +298,10 @@ def load_snapshot(tx: Update, as_of: date) -> None:
     days = tx.parts_of("fact_cycle_snapshot", rows)
     if days:
         held = tx.table("fact_cycle_snapshot", days)
-        tx.count_changes("fact_cycle_snapshot", held, rows, on)
-        tx.put("fact_cycle_snapshot", upsert.overwrite(held, rows, on, null_safe=True), days)
+        together(
+            lambda: tx.count_changes("fact_cycle_snapshot", held, rows, on),
+            lambda: tx.put("fact_cycle_snapshot", upsert.overwrite(held, rows, on, null_safe=True), days),
+        )
 
 
 def transform(
@@ -296,21 +320,43 @@ def transform(
     fields_map = fields_map or FieldMap()
     counts = {r["entity_type"]: r["count"] for r in records.groupBy("entity_type").count().collect()}
     tx = warehouse.begin()
-    parsed = lambda entity: staging.parse(records.where(F.col("entity_type") == entity))
-    plan: list[tuple[str, Callable[[DataFrame], DataFrame | None]]] = [
-        ("jira_version", lambda p: load_versions(tx, p)),
-        ("jira_issue", lambda p: load_issues(tx, p, fields_map)),
-        ("jira_defect", lambda p: load_defects(tx, p, fields_map)),
-        ("xray_test", lambda p: load_tests(tx, p, fields_map)),
-        ("xray_test_plan", lambda p: load_plans(tx, p, fields_map)),
-        ("xray_test_execution", lambda p: load_executions(tx, p, fields_map)),
-        ("xray_test_run", lambda p: load_runs(tx, p, refresh_open_flag)),
-        ("xray_test_step_result", lambda p: load_steps(tx, p)),
-    ]
-    delivered = {entity: load(parsed(entity)) for entity, load in plan if counts.get(entity)}
+    of = lambda entity: records.where(F.col("entity_type") == entity)
+    parsed = lambda entity: staging.parse(of(entity))
+    plan: dict[str, Callable[[], DataFrame | None]] = {
+        "jira_version": lambda: load_versions(tx, parsed("jira_version")),
+        "jira_issue": lambda: load_issues(tx, parsed("jira_issue"), fields_map),
+        "jira_defect": lambda: load_defects(tx, parsed("jira_defect"), fields_map),
+        "xray_test": lambda: load_tests(tx, parsed("xray_test"), fields_map),
+        "xray_test_plan": lambda: load_plans(tx, parsed("xray_test_plan"), fields_map),
+        "xray_test_execution": lambda: load_executions(tx, parsed("xray_test_execution"), fields_map),
+        "xray_test_run": lambda: run_rows(tx, of("xray_test_run")),
+        "xray_test_step_result": lambda: step_rows(parsed("xray_test_step_result")),
+    }
+    # Defects, tests and plans look squads up, which issues bring. Runs and steps are parsed beside them and merged after
+    # them. Where case doesn't matter, each takes the spelling of those before it.
+    owners, owned = ("jira_version", "jira_issue"), ("jira_defect", "xray_test", "xray_test_plan")
+    apart = ("xray_test_execution", "xray_test_run", "xray_test_step_result")
+    delivered: dict[str, DataFrame | None] = {}
+
+    def load(*entities: str) -> None:
+        for entity in entities:
+            if counts.get(entity):
+                delivered[entity] = plan[entity]()
+
+    def each(entities: tuple[str, ...]) -> list[Callable[[], None]]:
+        return [lambda e=entity: load(e) for entity in entities]
+
+    if warehouse.ci:
+        load(*plan)
+    else:
+        together(lambda: (load(*owners), together(*each(owned))), *each(apart))
+    if "xray_test_run" in delivered:
+        load_runs(tx, delivered["xray_test_run"], refresh_open_flag)
+    if "xray_test_step_result" in delivered:
+        load_steps(tx, delivered["xray_test_step_result"])
     changed_tests = refresh_states(tx)
     if COVERAGE_INPUTS & counts.keys():
-        none = warehouse.spark.createDataFrame([], "issue_key STRING, test_key STRING")
+        none = no_rows(warehouse.spark, "issue_key STRING, test_key STRING")
         load_coverage(tx, delivered.get("jira_issue", none), delivered.get("xray_test", none), changed_tests)
     load_snapshot(tx, as_of)
     tx.publish()
@@ -337,21 +383,24 @@ def purge_project(warehouse: Warehouse, project: str, control: Control | None =
     of_executions = runs.join(gone_executions, "execution_sk", "left_semi").select("test_run_id")
     gone_runs = sized(cut(of_tests.union(of_executions).distinct()))
     gone_defects = sized(cut(of_project("fact_defect_link", "defect_key").select("defect_key").distinct()))
-    for fact in ("fact_test_step_result", "fact_defect_link", "fact_test_run"):
-        tx.remove_rows(fact, gone_runs, "test_run_id")
-    tx.remove_rows("fact_defect_link", gone_defects, "defect_key")
+    facts_without = [lambda f=fact: tx.remove_rows(f, gone_runs, "test_run_id") for fact in ("fact_test_step_result", "fact_test_run")]
+    together(*facts_without, lambda: (tx.remove_rows("fact_defect_link", gone_runs, "test_run_id"), tx.remove_rows("fact_defect_link", gone_defects, "defect_key")))
     # requirements that lose a linked test are covered anew; those of the project go
     issues = of_project("dim_issue", "issue_key").select("issue_key", "issue_sk")
     gone_issues = sized(cut(issues))
     left = t["bridge_issue_test"].join(gone_tests.select("test_key"), "test_key", "left_semi").select("issue_key").distinct()
     left = sized(cut(left.join(gone_issues.select("issue_key"), "issue_key", "left_anti")))
-    for name in ("bridge_issue_test", "bridge_issue_release", "dim_issue", "dim_defect", "dim_test", "dim_test_plan", "dim_test_execution"):
+
+    def purge(name: str) -> None:
         key = HASHED.get(name, "test_plan_key")
         parts = tx.parts_of(name, of_project(name, key)) if name in HASHED else None
         tx.put(name, upsert.purge_project(tx.table(name, parts), key, project), parts)
+
+    named = ("bridge_issue_test", "bridge_issue_release", "dim_issue", "dim_defect", "dim_test", "dim_test_plan", "dim_test_execution")
+    together(*[lambda n=name: purge(n) for name in named])
     parts = tx.parts_of("fact_requirement_coverage", gone_issues)
     tx.put("fact_requirement_coverage", tx.table("fact_requirement_coverage", parts).join(gone_issues.select("issue_sk"), "issue_sk", "left_anti"), parts)
-    load_coverage(tx, left, warehouse.spark.createDataFrame([], "test_key STRING"), refresh_states(tx))
+    load_coverage(tx, left, no_rows(warehouse.spark, "test_key STRING"), refresh_states(tx))
     tx.publish()
     if control is not None:
         control.add_purge(project)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualitymart import schemas as S
-from qualitymart.session import read_or_none
+from qualitymart.session import no_rows, read_or_none
 
 
 PURGES = "project STRING, purged_at TIMESTAMP"
@@ -73,7 +73,7 @@ class Control:
     def purges(self) -> DataFrame:
         """Projects taken out, with the time up to which what was staged of them is void."""
         events = read_or_none(self.spark, PURGES, f"{self.root}/pipeline_purges")
-        return self.spark.createDataFrame([], PURGES) if events is None else events
+        return no_rows(self.spark, PURGES) if events is None else events
 
     def add_purge(self, project: str, now: datetime | None = None) -> None:
         row = [(project, _utc(now) or datetime.now(tz=timezone.utc))]

@@ -41,7 +41,9 @@ def write(records: DataFrame, root: str) -> None:
 def project_of(records: DataFrame) -> Column:
     """Project of a staged record: of its key, for versions the one they are stamped with, for runs and steps that
     of their execution."""
-    stamped = F.coalesce(F.get_json_object("raw_json", "$._project_key"), F.get_json_object("raw_json", "$._execution_key"))
+    # a payload is not parsed for a key whose letters it doesn't contain, unless some of its letters are escaped
+    may_hold = lambda key: F.contains("raw_json", F.lit(key)) | F.contains("raw_json", F.lit("\\"))
+    stamped = F.coalesce(*[F.when(may_hold(key), F.get_json_object("raw_json", f"$.{key}")) for key in ("_project_key", "_execution_key")])
     owned = F.col("entity_type").isin("jira_version", "xray_test_run", "xray_test_step_result")
     return F.substring_index(F.when(owned, stamped).otherwise(F.col("source_key")), "-", 1)
 
@@ -54,8 +56,11 @@ def of_projects(records: DataFrame, projects: Sequence[str]) -> DataFrame:
 
 
 def without_purged(records: DataFrame, purged: DataFrame) -> DataFrame:
-    """Records but for those staged of a project before it was purged (``project, purged_at``)."""
-    last = purged.groupBy("project").agg(F.max("purged_at").alias("_purged_at"))
+    """Records but for those staged of a project before it was purged (``project, purged_at``).
+
+    The purged projects, one row each, are sent to the records: dealt out by project, all records of one would meet in a task.
+    """
+    last = F.broadcast(purged.groupBy("project").agg(F.max("purged_at").alias("_purged_at")))
     void = (project_of(records) == F.col("project")) & (F.col("loaded_at") <= F.col("_purged_at"))
     return records.join(last, void, "left_anti")
 

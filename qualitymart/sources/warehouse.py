@@ -1,9 +1,9 @@
 """Published tables: plain Parquet folders, divided by month, by day or by key.
 
 Facts are kept per month, large dimensions in buckets of their key's hash. An update reads and rewrites only the
-folders that hold its keys, with Spark's dynamic partition overwrite. All tables of an update are prepared first, in a
-folder of their own, and written over the published ones when every step has succeeded; an update that fails while it
-prepares has changed nothing, and one that fails while it writes is mended by applying it again. One writer at a time.
+folders that hold its keys. All tables of an update are prepared first, in a folder of their own inside the warehouse, and
+moved to the place of the published ones when every step has succeeded; an update that fails while it prepares has changed
+nothing, and one that fails while it moves folders is mended by applying it again. One writer at a time.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegerType
 
 from qualitymart import schemas as S
 from qualitymart.operators import upsert
-from qualitymart.session import cut, parts_in, read_or_none, remove, sized
+from qualitymart.session import cut, move, no_rows, parts_in, read_or_none, remove, sized, together
 from qualitymart.sources.star import Star
 
 #: Tables kept per value of a column.
@@ -77,7 +77,7 @@ class Warehouse:
         if name in HASHED:
             layout = layout.add("bucket", IntegerType())
         found = read_or_none(self.spark, layout, folder or f"{self.root}/{name}")
-        return self.spark.createDataFrame([], layout) if found is None else found.select(*layout.fieldNames())
+        return no_rows(self.spark, layout) if found is None else found.select(*layout.fieldNames())
 
     def table(self, name: str) -> DataFrame:
         return self.rows(name).select(*S.columns(name))
@@ -99,8 +99,11 @@ class Update:
         self.folder = f"{warehouse.root}/_prepared/{uuid.uuid4().hex}"
         # per table: the folders that are replaced (None: all) and their new rows
         self._prepared: dict[str, tuple[set | None, DataFrame]] = {}
-        # per divided table: which of those folders hold rows
-        self._present: dict[str, set[int]] = {}
+        # per table: where it was prepared last, and for a divided one which of those folders hold rows and where
+        self._last: dict[str, str] = {}
+        self._present: dict[str, dict[int, str]] = {}
+        # published tables that were looked at, so that their folders are listed once
+        self._held: dict[str, DataFrame] = {}
         self.changed: dict[str, tuple[int, int]] = {}
 
     def _rows(self, name: str, parts: Iterable | None = None) -> DataFrame:
@@ -109,7 +112,9 @@ class Update:
         chosen = (lambda df: df) if parts is None else (lambda df, of=list(parts): df.where(F.col(division).isin(of)))
         if replaced is None:
             return chosen(new)
-        held = self.warehouse.rows(name)
+        if name not in self._held:
+            self._held[name] = self.warehouse.rows(name)
+        held = self._held[name]
         if new is None:
             return chosen(held)
         return chosen(held.where(~F.col(division).isin(list(replaced)))).unionByName(chosen(new))
@@ -134,6 +139,7 @@ class Update:
         """Replace a table, or some folders of a divided one, by ``df``."""
         division, folder = self.warehouse.division(name), f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
         rows = self.warehouse.divided(name, df)
+        self._last[name] = folder
         if not division:
             rows.write.parquet(folder)
             self._prepared[name] = (None, self.warehouse.rows(name, folder))
@@ -145,7 +151,7 @@ class Update:
         if parts is None:
             parts = parts_in(self.spark, f"{self.warehouse.root}/{name}", division) | before
         now = {*parts, *present}
-        self._present[name] = (self._present.get(name, set()) - now) | present
+        self._present[name] = {p: at for p, at in self._present.get(name, {}).items() if p not in now} | dict.fromkeys(present, folder)
         if earlier is not None:
             new = earlier.where(~F.col(division).isin(list(now))).unionByName(new)
         self._prepared[name] = (before | now, new)
@@ -176,8 +182,7 @@ class Update:
         if not months:
             return
         target = self.table(name, months)
-        self.count_changes(name, target, updates, keys)
-        self.put(name, merge(target, updates), months)
+        together(lambda: self.count_changes(name, target, updates, keys), lambda: self.put(name, merge(target, updates), months))
         self._locate(name, ids, months)
 
     def _locate(self, name: str, ids: DataFrame, months: Iterable[int]) -> None:
@@ -205,17 +210,24 @@ class Update:
         self._locate(name, ids, months)
 
     def publish(self) -> None:
-        """Write everything prepared over the published tables."""
+        """Move everything prepared to the place of what it replaces."""
         if self.warehouse.is_new and self._prepared:
             self.spark.range(1).select(F.lit(self.warehouse.buckets).alias("buckets")).coalesce(1).write.mode("ignore").parquet(f"{self.warehouse.root}/_layout")
             self.warehouse.is_new = False
-        for name, (replaced, rows) in self._prepared.items():
-            division, path = self.warehouse.division(name), f"{self.warehouse.root}/{name}"
-            if not division:
-                rows.write.mode("overwrite").parquet(path)
-                continue
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(division).parquet(path)
-            for part in replaced - self._present[name]:  # no row is left in it
-                remove(self.spark, f"{path}/{division}={part}")
-        self._prepared, self._present = {}, {}
+        together(*[lambda n=name: self._publish(n) for name in self._prepared])
+        self._prepared, self._present, self._last, self._held = {}, {}, {}, {}
         remove(self.spark, self.folder)
+
+    def _publish(self, name: str) -> None:
+        division, path = self.warehouse.division(name), f"{self.warehouse.root}/{name}"
+        if not division:
+            move(self.spark, self._last[name], path)
+            return
+        for part in sorted(self._prepared[name][0]):
+            to, present = f"{path}/{division}={part}", self._present[name].get(part)
+            if present is None:  # no row is left in it
+                remove(self.spark, to)
+            else:
+                move(self.spark, f"{present}/{division}={part}", to)
+        nowhere = f"{division}=__HIVE_DEFAULT_PARTITION__"
+        move(self.spark, f"{self._last[name]}/{nowhere}", f"{path}/{nowhere}")

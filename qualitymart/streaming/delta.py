@@ -7,6 +7,7 @@ published before the stream could note it is recognised, and what is void by a p
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from qualitymart.functions.fieldmap import FieldMap
 from qualitymart.plans import loads
-from qualitymart.session import configure
+from qualitymart.session import configure, remove
 from qualitymart.sources import staging
 from qualitymart.sources.control import Control
 from qualitymart.sources.warehouse import Warehouse
@@ -40,10 +41,12 @@ def start(
     def apply(batch: DataFrame, batch_id: int) -> None:
         if control is not None and control.has_batch(checkpoint, batch_id):
             return
-        records = batch.drop("load_date")
-        if control is not None:
-            records = staging.without_purged(records, control.purges())
-        loads.transform(staging.latest_per_load(records), Warehouse(batch.sparkSession, warehouse_root), as_of, fields_map)
+        records = batch if control is None else staging.without_purged(batch, control.purges())
+        # stored per entity: Spark takes a batch for rows of which it knows nothing, and would read all of it for each entity
+        folder = f"{warehouse_root.rstrip('/')}/_prepared/batch-{uuid.uuid4().hex}"
+        staging.write(records.drop("load_date"), folder)
+        loads.transform(staging.scan(spark, folder), Warehouse(spark, warehouse_root), as_of, fields_map)
+        remove(spark, folder)
         if control is not None:
             control.add_batch(checkpoint, batch_id)
 

@@ -1,15 +1,22 @@
 """Plans and steps on which run time, shuffles and memory depend."""
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
-from qualitymart.operators import coverage, distinct, facts, quality
+from qualitymart import schemas as S
+from qualitymart.operators import coverage, distinct, facts, quality, upsert
+from qualitymart.plans import loads
 from qualitymart.queries import builders
 from qualitymart.queries import payloads as P
 from qualitymart.queries.registry import Inputs
 from qualitymart.functions.fieldmap import FieldMap
+from qualitymart.session import together
 from qualitymart.sources import landing, staging, window
+from qualitymart.sources.control import Control
+from qualitymart.sources.warehouse import Warehouse
+from qualitymart.streaming import delta
 
 
 def plan(df) -> str:
@@ -182,3 +189,69 @@ def test_bitmaps_are_made_once_per_cell_and_block(spark):
     assert found[1, None, 1] == (len({c for a, _, c in both if a == 1 and c is not None}), 2 * sum(a == 1 for a, _, _ in both))
     assert found[0, None, 0] == (len({c for a, b, c in both if a == 0 and b is None and c is not None}), 2 * sum(a == 0 and b is None for a, b, _ in both))
     assert len(found) == 4 + 2 + 2 + 1
+
+
+def staged_runs(spark, n=40):
+    rows = [("run-1", f"r{k}", "xray_test_run", f'{{"_execution_key":"{("E", "OLD")[k % 2]}-{k}"}}', datetime(2024, 3, 1)) for k in range(n)]
+    return spark.createDataFrame(rows, S.STAGING).repartition(2)
+
+
+def test_records_are_not_dealt_out_by_project_for_purges(spark, tmp_path):
+    """All records of a project would meet in one task; without a purge there is no join at all."""
+    control, records = Control(spark, str(tmp_path)), staged_runs(spark)
+    assert "Join" not in plan(staging.without_purged(records, control.purges()))
+    control.add_purge("OLD", datetime(2024, 3, 2, tzinfo=timezone.utc))
+    left = staging.without_purged(records, control.purges())
+    assert "BroadcastHashJoin" in physical(left) and "SortMergeJoin" not in physical(left)
+    assert left.count() == 20 and left.where("raw_json LIKE '%OLD%'").isEmpty()
+
+
+def test_projects_of_payloads_with_escapes_and_none(spark):
+    texts = ['{"_execution_key":"A-1"}', '{"_project_key":"B","_execution_key":"A-1"}', r'{"_project_key":"C"}', '{"id":"1"}', "no JSON", None, '{"x":{"_project_key":"D"}}']
+    records = spark.createDataFrame([("r", str(n), "xray_test_run", t, None) for n, t in enumerate(texts)], S.STAGING)
+    found = records.select("source_key", staging.project_of(records).alias("p")).collect()
+    assert [r.p for r in sorted(found)] == ["A", "B", "C", None, None, None, None]
+
+
+def test_a_join_with_a_table_that_is_not_there_is_taken_out(spark, tmp_path):
+    tx = Warehouse(spark, str(tmp_path)).begin()
+    runs = tx.table("fact_test_run")
+    merged = upsert.replace_rows(runs, runs.select("test_run_id", "release_sk"), ["test_run_id", "release_sk"])
+    assert runs.isEmpty() and "Join" not in plan(merged) and runs.columns == S.columns("fact_test_run")
+
+
+def test_published_files_are_the_prepared_ones(spark, tmp_path):
+    """Rows are written once, whether a table is divided or not; replaced folders go, others stay."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=4)
+    names = lambda df: {f.rsplit("/", 1)[1] for f in df.inputFiles()}
+    defects = spark.createDataFrame([(k, f"D-{k}") for k in range(20)], "defect_sk BIGINT, defect_key STRING")
+    statuses = spark.createDataFrame([(1, "PASS")], "status_sk BIGINT, status_name STRING")
+    for rows in (defects, defects.where("defect_sk = 3")):
+        tx = warehouse.begin()
+        parts = tx.parts_of("dim_defect", rows)
+        others = names(warehouse.rows("dim_defect").where(~F.col("bucket").isin(parts)))
+        tx.put("dim_defect", rows, parts)
+        tx.put("dim_status", statuses)
+        prepared = {t: names(tx._rows(t, parts if t == "dim_defect" else None)) for t in ("dim_defect", "dim_status")}
+        tx.publish()
+        assert names(warehouse.table("dim_status")) == prepared["dim_status"]
+        published = warehouse.rows("dim_defect")
+        assert {r.f.rsplit("/", 1)[1] for r in published.where(F.col("bucket").isin(parts)).select(F.input_file_name().alias("f")).distinct().collect()} <= prepared["dim_defect"]
+        assert {f for f in published.inputFiles() if int(f.split("bucket=")[1].split("/")[0]) not in parts} <= {f for f in published.inputFiles() if f.rsplit("/", 1)[1] in others}
+    assert warehouse.table("dim_defect").where("defect_sk = 3").count() == 1 and not (tmp_path / "w" / "_prepared").joinpath(tx.folder).exists()
+
+
+def test_a_batch_of_a_stream_is_read_per_entity(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(loads, "transform", lambda records, *_: seen.append((physical(records.where("entity_type = 'jira_issue'")), records.count())))
+    staging.write(staged_runs(spark), str(tmp_path / "staging"))
+    delta.start(spark, str(tmp_path / "staging"), str(tmp_path / "w"), str(tmp_path / "checkpoint"), date(2024, 3, 1)).awaitTermination()
+    shown, n = seen[0]
+    assert n == 40 and "ExistingRDD" not in shown and "PartitionFilters: [isnotnull(entity_type" in shown
+    assert not list((tmp_path / "w" / "_prepared").iterdir())
+
+
+def test_tasks_together_raise_what_one_raises(spark):
+    assert together() == [] and together(lambda: 1, lambda: spark.range(5).count()) == [1, 5]
+    with pytest.raises(ZeroDivisionError):
+        together(lambda: 1, lambda: 1 // 0)
