@@ -255,3 +255,14 @@ def test_tasks_together_raise_what_one_raises(spark):
     assert together() == [] and together(lambda: 1, lambda: spark.range(5).count()) == [1, 5]
     with pytest.raises(ZeroDivisionError):
         together(lambda: 1, lambda: 1 // 0)
+
+
+def test_runs_alone_make_no_rows_of_steps(spark):
+    results = '{"id":"1","steps":[{"id":"a"},null,5]},{"key":"2","steps":[]},{"id":3},{"id":"4","steps":{}},null,7,{"id":"5","steps":null}'
+    pages = spark.createDataFrame([(f'{{"results":[{results}]}}', "x/E-1/p.json"), ("[]", "x/E-2/p.json"), ("{", "x/E-3/p.json")], "body STRING, origin STRING")
+    runs, steps = landing.test_runs(pages, "r", P.LOADED)
+    both = landing.run_records(pages, "r", P.LOADED)
+    for part, entity in ((runs, "xray_test_run"), (steps, "xray_test_step_result")):
+        assert part.schema == both.schema or [f.dataType for f in part.schema] == [f.dataType for f in both.schema]
+        assert sorted(map(repr, part.collect())) == sorted(map(repr, both.where(F.col("entity_type") == entity).collect()))
+    assert plan(both).count("Generate") == 3 and plan(runs).count("Generate") == 2 and plan(steps).count("Generate") == 3
